@@ -11,10 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.operators import marts, staging
+from pyspark.sql import functions as F
+
+from ticklake.functions.util import trade_order_key
+from ticklake.operators import marts, quality, serving, staging, windows
 from ticklake.plans.boundary import stable
+from ticklake.plans.refresh import build_marts
+from ticklake.schema import NOT_NULL_RULES, STG_ORDER_COL
 from ticklake.session import configure
-from ticklake.sources.testdata import load_trades
+from ticklake.sources.testdata import load_trades, with_redelivery
 
 # Fixed as-of instant for health/serving reads on the test data (its
 # trades span 2024-01-01 00:00 .. ~01:12 UTC, so some trades lie after it).
@@ -50,6 +55,119 @@ def q_fct_pipeline_health_5m(spark, sf_dir):
     return stable(marts.fct_pipeline_health_5m(_stg(spark, sf_dir), as_of=AS_OF))
 
 
+# Serving parameters for the registered slice reads.
+SLICE_PAIR = "CLICK"
+SLICE_LOOKBACK = 30
+TRADES_LOOKBACK = 1440
+
+
+def q_open_close_row_number(spark, sf_dir):
+    """earliest/latest trade per pair x minute (ROW_NUMBER() = 1)."""
+    stg = _stg(spark, sf_dir).withColumn("minute_bucket", F.date_trunc("minute", "trade_ts_utc"))
+    keys = ["pair", "minute_bucket"]
+    flagged = windows.first_last_flags(stg, keys, trade_order_key(STG_ORDER_COL, "trade_id"))
+    return stable(windows.first_last_values(flagged, keys, "price", "open_price", "close_price"))
+
+
+def q_candles_window_join_form(spark, sf_dir):
+    """Aggregate part joined with the open/close part on (pair, minute)."""
+    stg = _stg(spark, sf_dir).withColumn("minute_bucket", F.date_trunc("minute", "trade_ts_utc"))
+    keys = ["pair", "minute_bucket"]
+    agg = stg.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("trade_count"),
+        F.sum("qty").alias("total_qty"),
+        F.sum(F.col("price") * F.col("qty")).alias("notional_usdt"),
+        F.min("price").alias("low_price"),
+        F.max("price").alias("high_price"),
+    ).withColumn("vwap", F.col("notional_usdt") / F.when(F.col("total_qty") != 0, F.col("total_qty")))
+    flagged = windows.first_last_flags(stg, keys, trade_order_key(STG_ORDER_COL, "trade_id"))
+    oc = windows.first_last_values(flagged, keys, "price", "open_price", "close_price")
+    out = windows.join_on_keys(agg, oc, keys).select(
+        "pair", "minute_bucket", "open_price", "high_price", "low_price", "close_price",
+        "vwap", "trade_count", "total_qty", "notional_usdt",
+    )
+    return stable(out)
+
+
+def q_latency_window_distinct_form(spark, sf_dir):
+    """W3-W5 + A11: whole-group aggregates over a named window, then DISTINCT."""
+    stg = _stg(spark, sf_dir).where(F.col("ingested_at_utc").isNotNull())
+    calc = stg.select(
+        "pair",
+        F.date_trunc("minute", "trade_ts_utc").alias("minute_bucket"),
+        F.timestamp_diff("SECOND", "trade_ts_utc", "ingested_at_utc").alias("latency_seconds"),
+    )
+    w = ["pair", "minute_bucket"]
+    lat = F.col("latency_seconds")
+    rows = windows.over_group(calc, w, [
+        F.count(F.lit(1)).alias("trade_count"),
+        F.avg(lat.cast("double")).alias("avg_latency_s"),
+        F.min(lat).alias("min_latency_s"),
+        F.max(lat).alias("max_latency_s"),
+        F.percentile(lat, 0.95).alias("p95_latency_s"),
+        F.percentile(lat, 0.99).alias("p99_latency_s"),
+    ])
+    return stable(rows.drop("latency_seconds").distinct())
+
+
+def _marts(spark, sf_dir):
+    return build_marts(_stg(spark, sf_dir), as_of=AS_OF)
+
+
+def q_list_pairs(spark, sf_dir):
+    return stable(serving.list_pairs(_marts(spark, sf_dir)["fct_candles_1m"]))
+
+
+def q_candles_slice(spark, sf_dir):
+    m = _marts(spark, sf_dir)["fct_candles_1m"]
+    return stable(serving.candles_slice(m, SLICE_PAIR, SLICE_LOOKBACK, as_of=AS_OF))
+
+
+def q_orderflow_slice(spark, sf_dir):
+    m = _marts(spark, sf_dir)["fct_orderflow_1m"]
+    return stable(serving.orderflow_slice(m, SLICE_PAIR, SLICE_LOOKBACK, as_of=AS_OF))
+
+
+def q_trades_slice_top200(spark, sf_dir):
+    m = _marts(spark, sf_dir)["fct_trades_1m"]
+    return stable(serving.trades_slice(m, SLICE_PAIR, TRADES_LOOKBACK, as_of=AS_OF))
+
+
+def _top5(mart_name, order="minute_bucket"):
+    def q(spark, sf_dir):
+        return stable(serving.top_n(_marts(spark, sf_dir)[mart_name], serving.REPORT_ROWS, order))
+    q.__name__ = f"q_top5_{mart_name}"
+    return q
+
+
+def q_latest_candle_per_pair(spark, sf_dir):
+    return stable(serving.latest_per_pair(_marts(spark, sf_dir)["fct_candles_1m"]))
+
+
+def q_latest_candle_stats(spark, sf_dir):
+    m = _marts(spark, sf_dir)["fct_candles_1m"]
+    return stable(serving.latest_candle_stats(serving.candles_slice(m, SLICE_PAIR, SLICE_LOOKBACK, as_of=AS_OF)))
+
+
+def q_quality_not_null(spark, sf_dir):
+    stg = _stg(spark, sf_dir)
+    tables = {"stg_trades": stg, **build_marts(stg, as_of=AS_OF)}
+    return stable(quality.run_checks(tables, NOT_NULL_RULES))
+
+
+def _stg_redelivered(spark, sf_dir):
+    configure(spark)
+    return staging.stg_trades(with_redelivery(load_trades(spark, sf_dir)))
+
+
+def q_quality_unique_trade_key(spark, sf_dir):
+    return stable(quality.duplicate_keys(_stg_redelivered(spark, sf_dir), "trade_key"))
+
+
+def q_dedupe_trades(spark, sf_dir):
+    return stable(staging.dedupe_trades(_stg_redelivered(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_trades": q_stg_trades,
     "fct_trades_1m": q_fct_trades_1m,
@@ -57,6 +175,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_orderflow_1m": q_fct_orderflow_1m,
     "fct_ingestion_latency_1m": q_fct_ingestion_latency_1m,
     "fct_pipeline_health_5m": q_fct_pipeline_health_5m,
+    "open_close_row_number": q_open_close_row_number,
+    "candles_window_join_form": q_candles_window_join_form,
+    "latency_window_distinct_form": q_latency_window_distinct_form,
+    "list_pairs": q_list_pairs,
+    "candles_slice": q_candles_slice,
+    "orderflow_slice": q_orderflow_slice,
+    "trades_slice_top200": q_trades_slice_top200,
+    "latest_candles_top5": _top5("fct_candles_1m"),
+    "latest_orderflow_top5": _top5("fct_orderflow_1m"),
+    "latest_trades_top5": _top5("fct_trades_1m"),
+    "latest_latency_top5": _top5("fct_ingestion_latency_1m"),
+    "health_top5": _top5("fct_pipeline_health_5m", None),
+    "latest_candle_per_pair": q_latest_candle_per_pair,
+    "latest_candle_stats": q_latest_candle_stats,
+    "quality_not_null": q_quality_not_null,
+    "quality_unique_trade_key": q_quality_unique_trade_key,
+    "dedupe_trades": q_dedupe_trades,
 }
 
 

@@ -71,3 +71,25 @@ def trades_from_events(events: DataFrame) -> DataFrame:
 def load_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade events of a test-data directory."""
     return trades_from_events(read_table(spark, sf_dir, "events"))
+
+
+# Redelivery fixture — trades whose id ends in this digit
+# are delivered a second time, 2 s later, under a new event id.
+REDELIVERY_DIGIT = 3
+REDELIVERY_DELAY_S = 2
+
+
+def with_redelivery(trades: DataFrame) -> DataFrame:
+    """The trade stream plus at-least-once re-deliveries of some trades."""
+    from ticklake.functions.time import iso_to_ts
+
+    again = trades.where(F.col("trade_id") % 10 == REDELIVERY_DIGIT).select(
+        "schema_version",
+        F.concat(F.col("event_id"), F.lit("-r")).alias("event_id"),
+        "source",
+        iso_utc_string(
+            iso_to_ts("ingested_at") + F.make_interval(secs=F.lit(REDELIVERY_DELAY_S))
+        ).alias("ingested_at"),
+        "symbol", "trade_id", "trade_ts", "price", "qty", "is_buyer_maker",
+    )
+    return trades.unionByName(again)

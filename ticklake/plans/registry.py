@@ -14,12 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.functions.util import trade_order_key
-from ticklake.operators import marts, quality, serving, staging, windows
+from ticklake.operators import ingest, marts, quality, serving, staging, windows
 from ticklake.plans.boundary import stable
 from ticklake.plans.refresh import build_marts
 from ticklake.schema import NOT_NULL_RULES, STG_ORDER_COL
 from ticklake.session import configure
-from ticklake.sources.testdata import load_trades, with_redelivery
+from ticklake.sources.testdata import (
+    feed_messages,
+    kafka_records,
+    load_trades,
+    with_redelivery,
+)
 
 # Fixed as-of instant for health/serving reads on the test data (its
 # trades span 2024-01-01 00:00 .. ~01:12 UTC, so some trades lie after it).
@@ -168,6 +173,57 @@ def q_dedupe_trades(spark, sf_dir):
     return stable(staging.dedupe_trades(_stg_redelivered(spark, sf_dir)))
 
 
+# DLQ cap used by the registered DLQ query: small enough that most
+# damaged payloads exercise the truncation path.
+DLQ_TEST_MAX_BYTES = 120
+
+
+def _checked(spark, sf_dir):
+    configure(spark)
+    return ingest.check_contract(kafka_records(load_trades(spark, sf_dir)), ingest.FULL)
+
+
+def q_contract_check(spark, sf_dir):
+    """Parse, key presence, JSON types -> error code or typed fields."""
+    c = _checked(spark, sf_dir)
+    return stable(c.select(
+        "offset", "partition", "error", "schema_version", "event_id", "source", "ingested_at",
+        "symbol", "trade_id", "trade_ts", "price", "qty", "is_buyer_maker",
+    ))
+
+
+def q_dlq_payload(spark, sf_dir):
+    """Failing records -> DLQ key + JSON envelope (with truncation)."""
+    return stable(ingest.to_dlq(ingest.bad_rows(_checked(spark, sf_dir)), max_bytes=DLQ_TEST_MAX_BYTES))
+
+
+def q_ingest_counts(spark, sf_dir):
+    """Consumed / landed / dead-lettered / next offset per partition."""
+    return stable(ingest.ingest_counts(_checked(spark, sf_dir)))
+
+
+def q_normalize_feed(spark, sf_dir):
+    """Raw exchange messages -> trade_v1 (uuid/now checked for shape)."""
+    configure(spark)
+    ev = ingest.normalize_feed(feed_messages(load_trades(spark, sf_dir)))
+    return stable(ev.select(
+        "schema_version", "source", "symbol", "trade_id", "trade_ts", "price", "qty",
+        "is_buyer_maker",
+        (F.length("event_id") == 36).alias("event_id_ok"),
+        F.col("ingested_at").try_cast("timestamp").isNotNull().alias("ingested_ok"),
+    ))
+
+
+def q_partition_values(spark, sf_dir):
+    """Epoch ms -> ('yyyy-MM-dd', 'HH') UTC partition names."""
+    from ticklake.functions.time import partition_values
+
+    t = load_trades(spark, sf_dir)
+    d, h = partition_values("trade_ts")
+    configure(spark)
+    return stable(t.select("trade_id", d.alias("trade_date"), h.alias("hour")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_trades": q_stg_trades,
     "fct_trades_1m": q_fct_trades_1m,
@@ -192,6 +248,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_not_null": q_quality_not_null,
     "quality_unique_trade_key": q_quality_unique_trade_key,
     "dedupe_trades": q_dedupe_trades,
+    "contract_check": q_contract_check,
+    "dlq_payload": q_dlq_payload,
+    "ingest_counts": q_ingest_counts,
+    "normalize_feed": q_normalize_feed,
+    "partition_values": q_partition_values,
 }
 
 

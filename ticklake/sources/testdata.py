@@ -17,7 +17,7 @@ oracle (it must produce the same rows in both engines):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.functions.time import epoch_ms_to_ts, iso_utc_string
@@ -93,3 +93,86 @@ def with_redelivery(trades: DataFrame) -> DataFrame:
         "symbol", "trade_id", "trade_ts", "price", "qty", "is_buyer_maker",
     )
     return trades.unionByName(again)
+
+
+# Topic names of the trade stream and its dead-letter
+# stream, and the trade topic's partition count.
+TRADES_TOPIC = "crypto.trades.v1"
+DLQ_TOPIC = "crypto.trades.dlq.v1"
+TOPIC_PARTITIONS = 3
+# Damage fixture: trade_id % DAMAGE_CYCLE selects how a payload is damaged.
+DAMAGE_CYCLE = 13
+
+_JSON_OPTS = {"ignoreNullFields": "false"}
+
+
+def _event_json(**override) -> Column:
+    """to_json of a trade_v1 struct with some fields replaced or dropped."""
+    cols = []
+    for k in (
+        "schema_version", "event_id", "source", "ingested_at", "symbol",
+        "trade_id", "trade_ts", "price", "qty", "is_buyer_maker",
+    ):
+        if k in override:
+            if override[k] is None:
+                continue
+            cols.append(override[k].alias(k))
+        else:
+            cols.append(F.col(k))
+    extra = override.get("_extra")
+    if extra is not None:
+        cols.append(extra.alias("venue"))
+    return F.to_json(F.struct(*cols), _JSON_OPTS)
+
+
+def damaged_payload(trades: DataFrame) -> Column:
+    """JSON payload per trade, damaged according to ``trade_id % 13``:
+
+    0 price missing; 1 price as text; 2 trade_id 1.5-style; 3 trade_id
+    written as a whole float (valid); 4 is_buyer_maker as 0/1; 5 trade_ts
+    null; 6 symbol null; 7 not JSON; 8 a JSON array; 9 an extra key
+    (valid); 10 symbol and qty missing; 11, 12 intact.
+    """
+    d = F.col("trade_id") % DAMAGE_CYCLE
+    return (
+        F.when(d == 0, _event_json(price=None))
+        .when(d == 1, _event_json(price=F.col("price").cast("string")))
+        .when(d == 2, _event_json(trade_id=F.col("trade_id") + F.lit(0.5)))
+        .when(d == 3, _event_json(trade_id=F.col("trade_id").cast("double")))
+        .when(d == 4, _event_json(is_buyer_maker=F.col("is_buyer_maker").cast("int")))
+        .when(d == 5, _event_json(trade_ts=F.lit(None).cast("bigint")))
+        .when(d == 6, _event_json(symbol=F.lit(None).cast("string")))
+        .when(d == 7, F.concat(F.lit("{bad"), F.col("event_id")))
+        .when(d == 8, F.concat(F.lit("["), F.col("trade_id").cast("string"), F.lit("]")))
+        .when(d == 9, _event_json(_extra=F.lit("spot")))
+        .when(d == 10, _event_json(symbol=None, qty=None))
+        .otherwise(_event_json())
+    )
+
+
+def kafka_records(trades: DataFrame, damaged: bool = True) -> DataFrame:
+    """Trades as Kafka-shaped records of the trade topic (key = symbol)."""
+    payload = damaged_payload(trades) if damaged else _event_json()
+    return trades.select(
+        F.col("symbol").cast("binary").alias("key"),
+        payload.cast("binary").alias("value"),
+        F.lit(TRADES_TOPIC).alias("topic"),
+        (F.col("trade_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        F.col("trade_id").alias("offset"),
+        F.timestamp_millis("trade_ts").alias("timestamp"),
+    )
+
+
+def feed_messages(trades: DataFrame) -> DataFrame:
+    """Trades as raw exchange messages (``e,E,s,t,p,q,T,m``; p/q as text)."""
+    text = F.format_string(
+        '{"e":"trade","E":%d,"s":"%s","t":%d,"p":"%s","q":"%s","T":%d,"m":%s}',
+        F.col("trade_ts") + 5,
+        F.col("symbol"),
+        F.col("trade_id"),
+        F.col("price").cast("string"),
+        F.col("qty").cast("string"),
+        F.col("trade_ts"),
+        F.when(F.col("is_buyer_maker"), F.lit("true")).otherwise(F.lit("false")),
+    )
+    return trades.select(text.alias("value"), F.col("trade_id").alias("offset"))

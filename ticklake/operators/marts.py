@@ -112,12 +112,19 @@ def minute_stats(
 ) -> DataFrame:
     """One row per (pair, minute_bucket) with the measures of ``groups``.
 
-    ``bucket`` overrides the bucket expression (streaming passes an
-    event-time ``window`` so the watermark can close buckets).
+    ``bucket`` overrides the bucket expression with an event-time
+    ``window(...)`` struct (streaming: lets the watermark close buckets).
     """
-    b = bucket if bucket is not None else minute_bucket("trade_ts_utc")
     base = stg.where(F.col("trade_ts_utc").isNotNull())
-    return base.groupBy(F.col("pair"), b.alias("minute_bucket")).agg(*_measures(groups, as_of))
+    if bucket is None:
+        return base.groupBy(
+            F.col("pair"), minute_bucket("trade_ts_utc").alias("minute_bucket")
+        ).agg(*_measures(groups, as_of))
+    # Event-time window: group by the window struct itself so a watermark
+    # can finalise and evict buckets, then expose its start.
+    out = base.groupBy(F.col("pair"), bucket.alias("_bucket")).agg(*_measures(groups, as_of))
+    rest = [c for c in out.columns if c not in ("pair", "_bucket")]
+    return out.select("pair", F.col("_bucket.start").alias("minute_bucket"), *rest)
 
 
 # -- projections from minute stats ------------------------------------------
@@ -202,6 +209,35 @@ def _health_project(per_pair: DataFrame, as_of) -> DataFrame:
     ).select(*FCT_PIPELINE_HEALTH_5M)
 
 
+# Wide minute table: every minute mart's columns in one row per bucket.
+WIDE_MINUTE_COLUMNS = (
+    *FCT_CANDLES_1M,
+    "avg_price",
+    *[c for c in FCT_ORDERFLOW_1M if c not in FCT_CANDLES_1M],
+    "latency_count",
+    *[c for c in FCT_INGESTION_LATENCY_1M if c not in FCT_CANDLES_1M],
+)
+
+
+def wide_from_stats(stats: DataFrame) -> DataFrame:
+    """All minute-mart columns from one aggregate, in a single projection
+    (streams cannot join two projections of the same aggregate)."""
+    exprs = {
+        "high_price": F.col("max_price"),
+        "low_price": F.col("min_price"),
+        "vwap": safe_ratio("notional_usdt", "total_qty"),
+        "qty_imbalance": F.col("buy_qty") - F.col("sell_qty"),
+        "notional_imbalance": F.col("buy_notional_usdt") - F.col("sell_notional_usdt"),
+        "buy_qty_ratio": safe_ratio("buy_qty", "total_qty"),
+        "sell_qty_ratio": safe_ratio("sell_qty", "total_qty"),
+        "buy_notional_ratio": safe_ratio("buy_notional_usdt", "notional_usdt"),
+        "sell_notional_ratio": safe_ratio("sell_notional_usdt", "notional_usdt"),
+        "p95_latency_s": F.col("_latency_pct")[0],
+        "p99_latency_s": F.col("_latency_pct")[1],
+    }
+    return stats.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in WIDE_MINUTE_COLUMNS])
+
+
 # -- the five marts ---------------------------------------------------------
 
 

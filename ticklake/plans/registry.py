@@ -18,9 +18,11 @@ from ticklake.operators import ingest, marts, quality, serving, staging, windows
 from ticklake.plans.boundary import stable
 from ticklake.plans.refresh import build_marts
 from ticklake.schema import NOT_NULL_RULES, STG_ORDER_COL
-from ticklake.session import configure
+from ticklake.session import configure, scratch_path
 from ticklake.sources.testdata import (
+    events_stream,
     feed_messages,
+    trades_from_events,
     kafka_records,
     load_trades,
     with_redelivery,
@@ -224,6 +226,145 @@ def q_partition_values(spark, sf_dir):
     return stable(t.select("trade_id", d.alias("trade_date"), h.alias("hour")))
 
 
+# Lake reads: a 15-minute range inside hour 00 of 2024-01-01.
+RANGE_START = "2024-01-01 00:30:00"
+RANGE_END = "2024-01-01 00:45:00"
+# Snapshots: the first refresh sees trades before SNAP_1, the second all.
+SNAP_1 = "2024-01-01 00:30:00"
+SNAP_2 = "2024-01-01 01:30:00"
+SNAP_READ = "2024-01-01 01:00:00"
+# Time-ordered landing batches for the compaction query (minutes).
+BATCH_EDGES_MIN = (24, 48)
+
+
+def _written_lake(spark, sf_dir):
+    from ticklake.sources.lake import write_lake
+
+    configure(spark)
+    root = scratch_path(spark, "lake")
+    write_lake(load_trades(spark, sf_dir), root)
+    return root
+
+
+def _lake_cols(df):
+    from ticklake.schema import LAKE_PARTITION_COLS, TRADE_V1_REQUIRED
+
+    return df.select(*TRADE_V1_REQUIRED, *LAKE_PARTITION_COLS)
+
+
+def q_lake_roundtrip(spark, sf_dir):
+    """Partitioned zstd write, fixed-schema read of the whole lake."""
+    from ticklake.sources.lake import read_lake
+
+    root = _written_lake(spark, sf_dir)
+    return stable(_lake_cols(read_lake(spark, root)))
+
+
+def q_lake_range_read(spark, sf_dir):
+    """Time-range read pruned to the matching date/hour partitions."""
+    from ticklake.sources.lake import read_lake
+
+    root = _written_lake(spark, sf_dir)
+    return stable(_lake_cols(read_lake(spark, root, start=RANGE_START, end=RANGE_END)))
+
+
+def q_external_table_scan(spark, sf_dir):
+    """External table over the lake, partitions discovered."""
+    from ticklake.sources.catalog import ensure_namespaces
+    from ticklake.sources.lake import create_external_table
+
+    root = _written_lake(spark, sf_dir)
+    ensure_namespaces(spark, ["ext"], location_root=scratch_path(spark, "catalog"))
+    name = create_external_table(spark, root, "ext", "trades")
+    return stable(_lake_cols(spark.table(name)))
+
+
+def q_lake_compaction(spark, sf_dir):
+    """Three landing batches (many small files), compacted in place."""
+    from ticklake.plans.compaction import compact
+    from ticklake.sources.lake import read_lake, write_lake
+    from ticklake.sources.testdata import BASE_MS
+
+    configure(spark)
+    root = scratch_path(spark, "lake")
+    trades = load_trades(spark, sf_dir)
+    edges = [None, *[BASE_MS + m * 60_000 for m in BATCH_EDGES_MIN], None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = trades
+        if lo is not None:
+            part = part.where(F.col("trade_ts") >= lo)
+        if hi is not None:
+            part = part.where(F.col("trade_ts") < hi)
+        write_lake(part, root)
+    dates = [r[0] for r in read_lake(spark, root).select("trade_date").distinct().collect()]
+    compact(spark, root, dates)
+    return stable(_lake_cols(read_lake(spark, root)))
+
+
+def q_refresh_roundtrip(spark, sf_dir):
+    """One-pass refresh of all marts to storage; candles read back."""
+    from ticklake.plans.refresh import refresh
+
+    stg = _stg(spark, sf_dir)
+    root = scratch_path(spark, "marts")
+    paths = refresh(spark, stg, root, as_of=AS_OF)
+    return stable(spark.read.parquet(paths["fct_candles_1m"]))
+
+
+def q_asof_snapshot(spark, sf_dir):
+    """Two snapshot refreshes; read the candles mart as of a past instant."""
+    from ticklake.plans.snapshot import append_snapshot, read_as_of
+
+    stg = _stg(spark, sf_dir)
+    path = scratch_path(spark, "snapshots")
+    early = stg.where(F.col("trade_ts_utc") < F.lit(SNAP_1).cast("timestamp"))
+    append_snapshot(marts.fct_candles_1m(early), path, SNAP_1)
+    append_snapshot(marts.fct_candles_1m(stg), path, SNAP_2)
+    return stable(read_as_of(spark, path, SNAP_READ))
+
+
+def _run_stream(df, name: str):
+    """Drain a streaming DataFrame into a Parquet file sink; return its rows."""
+    spark = df.sparkSession
+    out = scratch_path(spark, name)
+    q = (
+        df.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", out + "-checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_stream_minute_marts(spark, sf_dir):
+    """Streaming minute marts, 1-minute watermark, closed buckets only."""
+    from ticklake.streaming.marts import stream_minute_marts
+
+    configure(spark)
+    stg = staging.stg_trades(trades_from_events(events_stream(spark, sf_dir)))
+    return stable(_run_stream(stream_minute_marts(stg, "1 minute"), "stream-marts"))
+
+
+def q_stream_dedupe(spark, sf_dir):
+    """Streaming dedupe of re-delivered trades within the watermark."""
+    from ticklake.streaming.marts import dedupe_stream
+
+    configure(spark)
+    stg = staging.stg_trades(with_redelivery(trades_from_events(events_stream(spark, sf_dir))))
+    out = _run_stream(dedupe_stream(stg, "1 minute"), "stream-dedupe")
+    return stable(out.select("pair", "trade_id", "trade_ts_utc", "price", "qty", "is_buyer_maker", "trade_key"))
+
+
+def q_rolling_activity_5m(spark, sf_dir):
+    """T4: trades per pair in 5-minute windows sliding by 1 minute."""
+    from ticklake.streaming.marts import rolling_activity
+
+    return stable(rolling_activity(_stg(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_trades": q_stg_trades,
     "fct_trades_1m": q_fct_trades_1m,
@@ -253,6 +394,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_counts": q_ingest_counts,
     "normalize_feed": q_normalize_feed,
     "partition_values": q_partition_values,
+    "lake_roundtrip": q_lake_roundtrip,
+    "lake_range_read": q_lake_range_read,
+    "external_table_scan": q_external_table_scan,
+    "lake_compaction": q_lake_compaction,
+    "refresh_roundtrip": q_refresh_roundtrip,
+    "asof_snapshot": q_asof_snapshot,
+    "stream_minute_marts": q_stream_minute_marts,
+    "stream_dedupe": q_stream_dedupe,
+    "rolling_activity_5m": q_rolling_activity_5m,
 }
 
 

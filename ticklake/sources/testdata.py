@@ -176,3 +176,12 @@ def feed_messages(trades: DataFrame) -> DataFrame:
         F.when(F.col("is_buyer_maker"), F.lit("true")).otherwise(F.lit("false")),
     )
     return trades.select(text.alias("value"), F.col("trade_id").alias("offset"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """``events`` as a file stream (the table's file, picked by name)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(sf_dir)

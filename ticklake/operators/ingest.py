@@ -85,7 +85,11 @@ def _contract_error(keys: Sequence[str], mode: str) -> Column:
     return branches
 
 
-def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value") -> DataFrame:
+METRICS_NAME = "ingest_metrics"
+
+
+def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value",
+                   metrics_name: str | None = METRICS_NAME) -> DataFrame:
     """Parse and check each record; add the typed trade_v1 fields + ``error``.
 
     ``error`` is NULL when the payload satisfies the contract, else one of
@@ -97,6 +101,12 @@ def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value
 
     The payload is parsed once and every key is extracted once (one
     projection each), so per-row cost is one parse + one lookup per key.
+
+    The result carries per-query counters (``observe``: consumed /
+    landed / dead_lettered) under ``metrics_name``. The observation node
+    also keeps a later ``where(error ...)`` above the check: without it
+    Catalyst pushes that filter through the projections and inlines the
+    parse into every reference (tens of parses per row).
     """
     keys = TRADE_V1_REQUIRED if mode == FULL else CONSUMER_REQUIRED
     env = list(records.columns)
@@ -125,7 +135,15 @@ def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value
         g("qty", "double").alias("qty"),
         g("is_buyer_maker", "boolean").alias("is_buyer_maker"),
     ]
-    return checked.select(*env, *fields, "error")
+    out = checked.select(*env, *fields, "error")
+    if metrics_name:
+        out = out.observe(
+            metrics_name,
+            F.count(F.lit(1)).alias("consumed"),
+            F.count_if(F.col("error").isNull()).alias("landed"),
+            F.count_if(F.col("error").isNotNull()).alias("dead_lettered"),
+        )
+    return out
 
 
 def good_rows(checked: DataFrame) -> DataFrame:

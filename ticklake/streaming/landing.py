@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ticklake.operators import ingest
@@ -21,7 +20,7 @@ from ticklake.schema import LAKE_PARTITION_COLS
 from ticklake.sources.lake import lake_frame
 from ticklake.streaming.sources import TRIGGER_INTERVAL, apply_trigger
 
-METRICS_NAME = "ingest_metrics"
+METRICS_NAME = ingest.METRICS_NAME
 
 
 @dataclass
@@ -42,37 +41,29 @@ class Landing:
         self.dlq.stop()
 
 
-def checked_stream(records: DataFrame, mode: str = ingest.FULL) -> DataFrame:
-    """Contract-checked records with per-batch counters (``observe``)."""
-    checked = ingest.check_contract(records, mode)
-    return checked.observe(
-        METRICS_NAME,
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(F.col("error").isNull()).alias("landed"),
-        F.count_if(F.col("error").isNotNull()).alias("dead_lettered"),
-        F.max("offset").alias("max_offset"),
-    )
-
-
 def land(records: DataFrame, lake_root: str, dlq_root: str, checkpoint_root: str,
          mode: str = ingest.FULL, trigger: str | None = TRIGGER_INTERVAL,
          available_now: bool = False, max_bytes: int = ingest.DLQ_MAX_BYTES) -> Landing:
-    """Start the lake and DLQ queries over one Kafka-shaped record stream."""
-    checked = checked_stream(records, mode)
-    good = lake_frame(ingest.good_rows(checked))
+    """Start the lake and DLQ queries over one Kafka-shaped record stream.
+
+    Exactly-once per sink; each query parses the payloads (2 parses per
+    record). ``land_batches`` parses once but is at-least-once.
+    """
+    ck = checkpoint_root.rstrip("/")
+    good = lake_frame(ingest.good_rows(ingest.check_contract(records, mode, metrics_name=METRICS_NAME)))
     lake_w = (
         good.writeStream.format("parquet")
         .option("path", lake_root)
-        .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/lake")
+        .option("checkpointLocation", f"{ck}/lake")
         .option("compression", "zstd")
         .partitionBy(*LAKE_PARTITION_COLS)
         .outputMode("append")
     )
-    dlq = ingest.to_dlq(ingest.bad_rows(ingest.check_contract(records, mode)), max_bytes)
+    bad = ingest.bad_rows(ingest.check_contract(records, mode, metrics_name=f"{METRICS_NAME}_dlq"))
     dlq_w = (
-        dlq.writeStream.format("parquet")
+        ingest.to_dlq(bad, max_bytes).writeStream.format("parquet")
         .option("path", dlq_root)
-        .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/dlq")
+        .option("checkpointLocation", f"{ck}/dlq")
         .outputMode("append")
     )
     lake_q = apply_trigger(lake_w, trigger, available_now).start()
@@ -80,6 +71,30 @@ def land(records: DataFrame, lake_root: str, dlq_root: str, checkpoint_root: str
     return Landing(lake_q, dlq_q)
 
 
+def land_batches(records: DataFrame, lake_root: str, dlq_root: str, checkpoint: str,
+                 mode: str = ingest.FULL, trigger: str | None = TRIGGER_INTERVAL,
+                 available_now: bool = False, max_bytes: int = ingest.DLQ_MAX_BYTES):
+    """One query, one parse per record: each micro-batch is checked once,
+    persisted, and split into the lake append and the DLQ append.
+
+    At-least-once: a batch replayed after a failure between the two
+    appends lands again — staging's ``dedupe_trades`` removes the copies.
+    """
+    def _batch(batch: DataFrame, batch_id: int) -> None:
+        checked = ingest.check_contract(batch, mode, metrics_name=None).persist()
+        try:
+            (
+                lake_frame(ingest.good_rows(checked)).write.mode("append")
+                .option("compression", "zstd").partitionBy(*LAKE_PARTITION_COLS).parquet(lake_root)
+            )
+            ingest.to_dlq(ingest.bad_rows(checked), max_bytes).write.mode("append").parquet(dlq_root)
+        finally:
+            checked.unpersist()
+
+    w = records.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    return apply_trigger(w, trigger, available_now).start()
+
+
 class IngestMetricsListener(StreamingQueryListener):
     """Collects the ``ingest_metrics`` observed per micro-batch.
 

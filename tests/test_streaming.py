@@ -1,0 +1,133 @@
+"""Streaming: checkpointed landing (restart, exactly-once), late data, refresh."""
+
+from __future__ import annotations
+
+from conftest import M, SMOKE_DIR, trades_df
+from pyspark.sql import functions as F
+
+from ticklake.operators import ingest, marts
+from ticklake.operators.staging import stg_trades
+from ticklake.schema import TRADE_V1
+from ticklake.session import scratch_path
+from ticklake.sources.lake import read_lake, write_lake
+from ticklake.sources.testdata import BASE_MS, kafka_records, load_trades
+from ticklake.streaming import landing
+from ticklake.streaming import marts as SM
+from ticklake.streaming.sources import file_source
+
+
+def _record_batches(spark):
+    t = load_trades(spark, SMOKE_DIR)
+    cut1, cut2 = BASE_MS + 24 * 60_000, BASE_MS + 48 * 60_000
+    parts = [t.where(F.col("trade_ts") < cut1),
+             t.where((F.col("trade_ts") >= cut1) & (F.col("trade_ts") < cut2)),
+             t.where(F.col("trade_ts") >= cut2)]
+    return [kafka_records(p) for p in parts]
+
+
+def _expected(spark, recs):
+    c = ingest.check_contract(recs[0].unionByName(recs[1]).unionByName(recs[2]))
+    return ingest.good_rows(c).count(), ingest.bad_rows(c).count()
+
+
+def test_stream_restart_no_duplicates(spark):
+    src, lake, dlq, ck = (scratch_path(spark, n) for n in ("t-in", "t-lake", "t-dlq", "t-ck"))
+    recs = _record_batches(spark)
+    for r in recs[:2]:
+        r.coalesce(1).write.mode("append").parquet(src)
+    run = landing.land(file_source(spark, src), lake, dlq, ck, available_now=True)
+    run.await_termination()
+    metrics = [p["observedMetrics"].get("ingest_metrics") for p in run.lake.recentProgress
+               if p.get("observedMetrics")]
+    first = spark.read.parquet(lake).count()
+    recs[2].coalesce(1).write.mode("append").parquet(src)
+    # restart on the same checkpoints: only the new file is processed
+    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).await_termination()
+    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).await_termination()
+    good, bad = _expected(spark, recs)
+    out = spark.read.parquet(lake)
+    assert out.count() == good > first
+    assert out.select("trade_id").distinct().count() == good
+    assert spark.read.parquet(dlq).count() == bad
+    assert sum(m["consumed"] for m in metrics) == recs[0].count() + recs[1].count()
+
+
+def test_batch_landing_one_parse(spark):
+    src, lake, dlq, ck = (scratch_path(spark, n) for n in ("t-in", "t-lake", "t-dlq", "t-ck"))
+    recs = _record_batches(spark)
+    for r in recs:
+        r.coalesce(1).write.mode("append").parquet(src)
+    q = landing.land_batches(file_source(spark, src), lake, dlq, ck, available_now=True)
+    q.awaitTermination()
+    good, bad = _expected(spark, recs)
+    assert read_lake(spark, lake).count() == good
+    assert spark.read.parquet(dlq).count() == bad
+
+
+def _trade_files(spark, path, rows):
+    trades_df(spark, rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_late_trade_dropped_by_stream_then_reconciled(spark):
+    src, sink, ck, root = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck", "t-marts"))
+    _trade_files(spark, src, [("A", i, M + i * 60_000, 10, 1, False) for i in range(11)])
+
+    def run():
+        stream = spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
+        SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream), "1 minute"), sink, ck,
+                        available_now=True).start().awaitTermination()
+
+    run()
+    _trade_files(spark, src, [("A", 100, M + 2 * 60_000 + 5000, 50, 1, False),
+                              ("A", 101, M + 13 * 60_000, 10, 1, False)])
+    run()
+    out = {r.minute_bucket.minute: r.trade_count for r in spark.read.parquet(sink).collect()}
+    assert out[2] == 1  # the late trade was past the watermark
+    every = spark.read.schema(TRADE_V1).parquet(src)
+    SM.reconcile_dates(spark, stg_trades(every), root, ["2024-01-01"])
+    rebuilt = {r.minute_bucket.minute: r.trade_count for r in spark.read.parquet(f"{root}/fct_candles_1m").collect()}
+    assert rebuilt[2] == 2 and rebuilt[13] == 1
+
+
+def test_stream_equals_batch_for_closed_windows(spark):
+    src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
+    load_trades(spark, SMOKE_DIR).write.parquet(src)
+    stream = spark.readStream.schema(TRADE_V1).parquet(src)
+    SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream)), sink, ck,
+                    available_now=True).start().awaitTermination()
+    got = spark.read.parquet(sink)
+    batch = marts.wide_from_stats(marts.minute_stats(stg_trades(load_trades(spark, SMOKE_DIR))))
+    closed = batch.join(got.select("pair", "minute_bucket"), ["pair", "minute_bucket"], "left_semi")
+    assert got.count() > 0
+    assert sorted(map(tuple, got.select(*batch.columns).collect())) == sorted(map(tuple, closed.collect()))
+
+
+def test_scheduled_refresh_rebuilds_touched_dates(spark):
+    lake, src, root, ck = (scratch_path(spark, n) for n in ("t-lake", "t-in", "t-marts", "t-ck"))
+    t = load_trades(spark, SMOKE_DIR)
+    write_lake(t, lake)
+    t.write.parquet(src)
+    q = SM.scheduled_refresh(spark.readStream.schema(TRADE_V1).parquet(src), lake, root, ck,
+                             available_now=True).start()
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/fct_candles_1m").drop("trade_date")
+    want = marts.fct_candles_1m(stg_trades(t))
+    assert got.count() == want.count() > 0
+
+
+def test_rolling_activity_stream(spark):
+    src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
+    _trade_files(spark, src, [("A", i, M + i * 60_000, 10, 1, False) for i in range(20)])
+    stream = spark.readStream.schema(TRADE_V1).parquet(src)
+    df = SM.rolling_activity(SM.stream_stg(stream), watermark="1 minute")
+    SM.write_stream(df, sink, ck, available_now=True).start().awaitTermination()
+    got = {(r.window_start.minute): r.trade_count for r in spark.read.parquet(sink).collect()}
+    assert got[5] == 5  # window [00:05, 00:10) holds minutes 5..9
+
+
+def test_dedupe_stream_drops_redelivery(spark):
+    src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
+    _trade_files(spark, src, [("A", 1, M, 10, 1, False), ("A", 1, M, 10, 1, False), ("A", 2, M, 10, 1, False)])
+    stream = spark.readStream.schema(TRADE_V1).parquet(src)
+    SM.write_stream(SM.dedupe_stream(SM.stream_stg(stream)), sink, ck, available_now=True).start().awaitTermination()
+    assert sorted(r.trade_id for r in spark.read.parquet(sink).collect()) == [1, 2]

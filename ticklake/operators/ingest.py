@@ -10,6 +10,7 @@ and bad rows are split by the ``error`` column.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -89,7 +90,7 @@ METRICS_NAME = "ingest_metrics"
 
 
 def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value",
-                   metrics_name: str | None = METRICS_NAME) -> DataFrame:
+                   metrics_name: str | None = "") -> DataFrame:
     """Parse and check each record; add the typed trade_v1 fields + ``error``.
 
     ``error`` is NULL when the payload satisfies the contract, else one of
@@ -103,7 +104,9 @@ def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value
     projection each), so per-row cost is one parse + one lookup per key.
 
     The result carries per-query counters (``observe``: consumed /
-    landed / dead_lettered) under ``metrics_name``. The observation node
+    landed / dead_lettered) under ``metrics_name`` (default: a unique
+    name per call, so several checks can share one plan; ``None``: no
+    counters, e.g. on an already persisted batch). The observation node
     also keeps a later ``where(error ...)`` above the check: without it
     Catalyst pushes that filter through the projections and inlines the
     parse into every reference (tens of parses per row).
@@ -136,6 +139,8 @@ def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value
         g("is_buyer_maker", "boolean").alias("is_buyer_maker"),
     ]
     out = checked.select(*env, *fields, "error")
+    if metrics_name == "":
+        metrics_name = f"{METRICS_NAME}_{uuid.uuid4().hex[:8]}"
     if metrics_name:
         out = out.observe(
             metrics_name,

@@ -115,7 +115,7 @@ class MissingMartsError(RuntimeError):
 
 def missing_marts(spark: SparkSession, db: str = "marts", required=REQUIRED_MARTS) -> list[str]:
     """Required marts that do not exist in ``db``."""
-    return [t for t in required if not spark.catalog.tableExists(t, db)]
+    return [t for t in required if not spark.catalog.tableExists(f"{db}.{t}")]
 
 
 def require_marts(spark: SparkSession, db: str = "marts", required=REQUIRED_MARTS) -> None:
@@ -128,7 +128,7 @@ def require_marts(spark: SparkSession, db: str = "marts", required=REQUIRED_MART
 
 def health_table(spark: SparkSession, db: str = "marts") -> DataFrame | None:
     """All pairs of the health mart, ordered; None when the table is absent."""
-    if not spark.catalog.tableExists("fct_pipeline_health_5m", db):
+    if not spark.catalog.tableExists(f"{db}.fct_pipeline_health_5m"):
         return None
     return spark.table(f"{db}.fct_pipeline_health_5m").orderBy("pair")
 
@@ -138,5 +138,5 @@ def latest_of_each_mart(spark: SparkSession, db: str = "marts", n: int = REPORT_
     return {
         title: top_n(spark.table(f"{db}.{table}"), n, order)
         for title, table, order in REPORT
-        if spark.catalog.tableExists(table, db)
+        if spark.catalog.tableExists(f"{db}.{table}")
     }

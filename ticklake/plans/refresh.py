@@ -104,7 +104,7 @@ def refresh(
         materialize(df, path)
         paths[name] = path
         if db:
-            register_table(spark, db, name, path)
+            register_table(spark, db, name, path, location_root=f"{root.rstrip('/')}/_catalog")
         if snapshot_ts is not None:
             from ticklake.plans.snapshot import append_snapshot
 
@@ -117,8 +117,11 @@ def materialize(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def register_table(spark: SparkSession, db: str, name: str, path: str) -> None:
+def register_table(spark: SparkSession, db: str, name: str, path: str,
+                   location_root: str | None = None) -> None:
     """(Re)register ``db.name`` as an external Parquet table at ``path``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    from ticklake.sources.catalog import ensure_namespaces
+
+    ensure_namespaces(spark, [db], location_root=location_root)
     spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
     spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")

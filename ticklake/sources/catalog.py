@@ -45,7 +45,7 @@ def create_view(df: DataFrame, name: str, db: str | None = None) -> str:
 
 
 def table_exists(spark: SparkSession, db: str, table: str) -> bool:
-    return spark.catalog.tableExists(table, db)
+    return spark.catalog.tableExists(f"{db}.{table}")
 
 
 def list_tables(spark: SparkSession, db: str) -> list[tuple[str, str]]:

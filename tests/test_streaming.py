@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from conftest import M, SMOKE_DIR, trades_df
 from pyspark.sql import functions as F
 
@@ -131,3 +133,18 @@ def test_dedupe_stream_drops_redelivery(spark):
     stream = spark.readStream.schema(TRADE_V1).parquet(src)
     SM.write_stream(SM.dedupe_stream(SM.stream_stg(stream)), sink, ck, available_now=True).start().awaitTermination()
     assert sorted(r.trade_id for r in spark.read.parquet(sink).collect()) == [1, 2]
+
+
+def test_publish_feed_routes_contract_failures(spark):
+    from ticklake.streaming.feed import feed_text_source, publish
+
+    src, out, ck = (scratch_path(spark, n) for n in ("t-feed", "t-topics", "t-ck"))
+    good = '{"e":"trade","E":1,"s":"btcusdt","t":1,"p":"1.5","q":"2","T":%d,"m":false}' % M
+    bad = '{"e":"trade","E":1,"s":"btcusdt","t":2,"p":"x","q":"2","T":%d,"m":false}' % M
+    spark.createDataFrame([(good,), (bad,), ("{nope",)], "value string").coalesce(1).write.text(src)
+    run = publish(feed_text_source(spark, src), ck, out_root=out, available_now=True)
+    run.await_termination()
+    trades = spark.read.parquet(f"{out}/crypto.trades.v1").collect()
+    dlq = spark.read.parquet(f"{out}/crypto.trades.dlq.v1").collect()
+    assert [r.key for r in trades] == ["BTCUSDT"]
+    assert sorted(json.loads(r.value)["error"] for r in dlq) == ["type:price", "type:symbol"]

@@ -182,14 +182,19 @@ def to_dlq(bad: DataFrame, max_bytes: int = DLQ_MAX_BYTES, source: str = DLQ_SOU
             dlq_raw(F.col(value_col), max_bytes).alias("raw"),
         )).alias("value"),
         "topic", "partition", "offset",
+        *(["timestamp"] if "timestamp" in bad.columns else []),
     )
 
 
 def encode_event(df: DataFrame, key_col: str = "symbol") -> DataFrame:
-    """trade_v1 rows -> ``key, value`` records (JSON text) for a topic sink."""
+    """trade_v1 rows -> ``key, value`` records (JSON text) for a topic sink.
+
+    NULL fields are written as JSON nulls (a present-but-null key fails
+    the contract as a type error, not as a missing key).
+    """
     return df.select(
         F.col(key_col).cast("string").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in TRADE_V1_REQUIRED])).alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in TRADE_V1_REQUIRED]), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 

@@ -72,12 +72,16 @@ def assert_passed(checks: DataFrame) -> list[tuple]:
     return failing
 
 
-def dlq_rate(landed: DataFrame, dlq: DataFrame, ts_col: str = "ingest_time",
-             interval: str = "1 hour") -> DataFrame:
-    """Consumed vs dead-lettered records per ``interval`` of processing time."""
-    good = landed.select(F.window(ts_col, interval).getField("start").alias("interval_start"),
+def dlq_rate(landed: DataFrame, dlq: DataFrame, landed_ts: str = "ingested_at_utc",
+             dlq_ts: str = "timestamp", interval: str = "1 hour") -> DataFrame:
+    """Landed vs dead-lettered records per ``interval`` (epoch-aligned).
+
+    Both sides are reduced to (interval, 1/0 flags) and summed in one
+    aggregate — partial sums map-side, one small shuffle.
+    """
+    good = landed.select(F.window(landed_ts, interval).getField("start").alias("interval_start"),
                          F.lit(1).alias("good"), F.lit(0).alias("bad"))
-    bad = dlq.select(F.window(ts_col, interval).getField("start").alias("interval_start"),
+    bad = dlq.select(F.window(dlq_ts, interval).getField("start").alias("interval_start"),
                      F.lit(0).alias("good"), F.lit(1).alias("bad"))
     return good.unionByName(bad).groupBy("interval_start").agg(
         F.sum("good").cast("bigint").alias("landed"),

@@ -20,24 +20,23 @@ from ticklake.session import configure, scratch_path
 from ticklake.sources.lake import LAKE_SCHEMA, MAX_RECORDS_PER_FILE
 
 
-def compact(spark: SparkSession, root: str, dates: Iterable, files_per_partition: int = 1,
-            num_partitions: int | None = None) -> str:
+def compact(spark: SparkSession, root: str, dates: Iterable) -> str:
     """Rewrite the lake partitions of ``dates``; returns the staging path.
 
-    Output files per (pair, date, hour) ≈ ``files_per_partition`` (range
-    partitioning on the partition keys + trade time), each capped at
-    ``MAX_RECORDS_PER_FILE`` rows.
+    The staging write rebalances rows by directory (AQE sizes the tasks:
+    small directories merge into one file, a hot one is split into a few
+    advisory-sized files) and sorts them by trade time. The swap then
+    copies the staged files partition by partition without a shuffle.
     """
     configure(spark)
     dates = [F.lit(str(d)).cast("date") for d in dates]
     src = spark.read.schema(LAKE_SCHEMA).option("basePath", root).parquet(root).where(
         F.col("trade_date").isin(*dates)
     )
-    n_dirs = src.select(*LAKE_PARTITION_COLS).distinct().count()
-    n = num_partitions or max(1, n_dirs * files_per_partition)
     stage = scratch_path(spark, "compaction")
     (
-        src.repartitionByRange(n, *LAKE_PARTITION_COLS, "trade_ts", "trade_id")
+        src.hint("rebalance", *LAKE_PARTITION_COLS)
+        .sortWithinPartitions(*LAKE_PARTITION_COLS, "trade_ts", "trade_id")
         .write.mode("overwrite")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -49,8 +48,7 @@ def compact(spark: SparkSession, root: str, dates: Iterable, files_per_partition
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         (
-            staged.repartitionByRange(n, *LAKE_PARTITION_COLS, "trade_ts", "trade_id")
-            .write.mode("overwrite")
+            staged.write.mode("overwrite")
             .option("compression", "zstd")
             .partitionBy(*LAKE_PARTITION_COLS)
             .parquet(root)

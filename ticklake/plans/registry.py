@@ -204,6 +204,14 @@ def q_ingest_counts(spark, sf_dir):
     return stable(ingest.ingest_counts(_checked(spark, sf_dir)))
 
 
+def q_dlq_rate_10m(spark, sf_dir):
+    """Q4: landed vs dead-lettered records per 10 minutes."""
+    c = _checked(spark, sf_dir)
+    landed = staging.stg_trades(ingest.good_rows(c))
+    dlq = ingest.to_dlq(ingest.bad_rows(c))
+    return stable(quality.dlq_rate(landed, dlq, "ingested_at_utc", "timestamp", "10 minutes"))
+
+
 def q_normalize_feed(spark, sf_dir):
     """Raw exchange messages -> trade_v1 (uuid/now checked for shape)."""
     configure(spark)
@@ -392,6 +400,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_check": q_contract_check,
     "dlq_payload": q_dlq_payload,
     "ingest_counts": q_ingest_counts,
+    "dlq_rate_10m": q_dlq_rate_10m,
     "normalize_feed": q_normalize_feed,
     "partition_values": q_partition_values,
     "lake_roundtrip": q_lake_roundtrip,

@@ -33,14 +33,20 @@ def write_lake(events: DataFrame, root: str, mode: str = "append",
                max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """Append trade_v1 rows to the lake (zstd Parquet, keyed directories).
 
-    Rows are range-partitioned on (pair, date, hour, trade_ts): each task
-    writes a contiguous slice, so a directory gets few files, and a hot
-    pair-hour is split across tasks instead of landing in one.
+    ``REBALANCE(pair, trade_date, hour)`` hashes rows to tasks by their
+    directory; AQE then splits an oversized (hot pair-hour) partition
+    across several tasks and merges small ones to the advisory size, so
+    files stay few per directory without one task writing a hot hour.
+    Rows are sorted by trade time within each file (tight row-group
+    min/max for time-range reads). ``num_partitions`` pins the count.
     """
     df = lake_frame(events)
-    n = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions:
+        df = df.repartition(num_partitions, *LAKE_PARTITION_COLS)
+    else:
+        df = df.hint("rebalance", *LAKE_PARTITION_COLS)
     (
-        df.repartitionByRange(n, *LAKE_PARTITION_COLS, "trade_ts", "trade_id")
+        df.sortWithinPartitions(*LAKE_PARTITION_COLS, "trade_ts", "trade_id")
         .write.mode(mode)
         .option("compression", "zstd")
         .option("maxRecordsPerFile", max_records_per_file)
@@ -116,9 +122,14 @@ def partition_dir(root: str, subdir: str, pair: str, trade_date: str, hour: str)
 def create_external_table(spark: SparkSession, root: str, db: str = "ext", name: str = "trades") -> str:
     """(Re)create ``db.name`` over the keyed lake and discover its partitions.
 
-    Idempotent: drops the table definition (never the data) first.
+    Idempotent: drops the table definition (never the data) first. A
+    missing database is created under ``root/_catalog`` (shared storage),
+    never under a machine-local warehouse folder.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    from ticklake.sources.catalog import ensure_namespaces
+
+    if not spark.catalog.databaseExists(db):
+        ensure_namespaces(spark, [db], location_root=f"{root.rstrip('/')}/_catalog")
     spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TRADE_V1.fields)
     parts = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LAKE_PARTITIONS.fields)

@@ -41,7 +41,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from ticklake.plans.registry import QUERIES

@@ -70,21 +70,25 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only if neither is set — local runs and tests — a
-    fresh folder is created and registered.
+    Read from the session (the context's checkpoint dir, else the
+    ``spark.checkpoint.dir`` setting). Only if neither is set — local runs
+    and tests — a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ticklake-ckpt-"))
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="ticklake-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        return conf_dir
+    sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="ticklake-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -23,6 +23,6 @@ def stable(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
         if isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, decimals)
+            c = F.round(c, decimals) + F.lit(0.0)  # never -0.0
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -72,6 +72,18 @@ def kafka_sink(records: DataFrame, bootstrap: str, topic: str, checkpoint: str,
     return w
 
 
+# State for watermarked aggregations and dedupe lives in RocksDB on local
+# disk (checkpointed to the query's checkpoint folder), not on the heap:
+# dedupe keeps every trade key for the watermark span.
+STATE_STORE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Select the RocksDB state store (must be set before a query's first start)."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_STORE_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
+
+
 def apply_trigger(w: DataStreamWriter, trigger: str | None = TRIGGER_INTERVAL,
                   available_now: bool = False) -> DataStreamWriter:
     """Fixed-interval micro-batches, or drain what is available and stop."""

@@ -50,3 +50,10 @@ def stg_of(spark, rows, **kw):
     from ticklake.operators.staging import stg_trades
 
     return stg_trades(trades_df(spark, rows, **kw))
+
+
+@pytest.fixture(scope="session")
+def spark_hyp(spark):
+    """Same session; separate name so hypothesis does not warn about
+    function-scoped fixtures."""
+    return spark

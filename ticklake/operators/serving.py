@@ -38,18 +38,12 @@ def time_slice(mart: DataFrame, pair: str, lookback_minutes: int = DEFAULT_LOOKB
 def list_pairs(candles: DataFrame) -> DataFrame:
     """Distinct pairs in order; a single fallback pair when the mart is empty.
 
-    The emptiness test joins against ``limit(1)`` of the pairs — a
-    one-row side, so broadcasting it is bounded — instead of collecting.
+    Emptiness is an uncorrelated scalar subquery over ``limit(1)`` of the
+    pairs (evaluated once, inlined as a literal) — no join, no collect.
     """
     pairs = candles.select("pair").distinct()
-    spark = candles.sparkSession
-    probe = F.broadcast(pairs.limit(1).select(F.lit(1).alias("_k")))
-    fallback = (
-        spark.range(1)
-        .select(F.lit(FALLBACK_PAIR).alias("pair"), F.lit(1).alias("_k"))
-        .join(probe, "_k", "left_anti")
-        .select("pair")
-    )
+    any_rows = pairs.limit(1).agg(F.count(F.lit(1))).scalar()
+    fallback = candles.sparkSession.range(1).select(F.lit(FALLBACK_PAIR).alias("pair")).where(any_rows == 0)
     return pairs.unionByName(fallback).orderBy("pair")
 
 

@@ -65,8 +65,10 @@ def marts_from_stats(stats: DataFrame, selected: Sequence[str], as_of=None) -> d
 def build_marts(stg: DataFrame, as_of=None, select: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """Lazy DataFrames of the selected marts, all over one ``minute_stats``.
 
-    Inside one query (e.g. a union of checks) the shared aggregate is
-    planned once (exchange reuse); ``refresh`` materialises it instead.
+    Each mart used on its own prunes the aggregate to its measures. When
+    several marts feed ONE query their branches share the shuffle only if
+    they prune to the same aggregate (exchange reuse), so multi-mart jobs
+    use ``refresh``, which materialises the minute table once.
     """
     selected = resolve(select)
     stats = M.minute_stats(stg, _groups(selected), as_of=as_of)

@@ -340,18 +340,28 @@ def q_asof_snapshot(spark, sf_dir):
 
 
 def _run_stream(df, name: str):
-    """Drain a streaming DataFrame into a Parquet file sink; return its rows."""
+    """Drain a streaming DataFrame into a Parquet file sink; return its rows.
+
+    A stateful query fixes its state partition count at first start (from
+    ``spark.sql.shuffle.partitions``); it is set to the cluster's default
+    parallelism for that start only, then the session value is restored.
+    """
     spark = df.sparkSession
     out = scratch_path(spark, name)
-    q = (
-        df.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", out + "-checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        q = (
+            df.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", out + "-checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     return spark.read.parquet(out)
 
 

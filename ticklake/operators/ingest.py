@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.time import iso_utc_string, partition_values
-from ticklake.schema import CONSUMER_REQUIRED, TRADE_V1_REQUIRED, TRADE_V1_TYPES
+from ticklake.schema import CONSUMER_REQUIRED, TRADE_V1, TRADE_V1_REQUIRED, TRADE_V1_TYPES
 
 # Producer source tag, DLQ envelope source tag, DLQ raw cap
 # (bytes) and the marker appended to a truncated payload.
@@ -120,25 +120,14 @@ def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value
     typed = extracted.select(
         "*", *[F.schema_of_variant(F.col(_fcol(k))).alias(_tcol(k)) for k in TRADE_V1_REQUIRED]
     )
-    checked = typed.select("*", _contract_error(keys, mode).alias("error"))
-    ok = F.col("error").isNull()
-
-    def g(k, t):
-        return F.when(ok, F.try_variant_get(F.col(_fcol(k)), "$", t))
-
+    checked = typed.select(*env, "_v", _contract_error(keys, mode).alias("error"))
+    # Typed fields of passing rows: one cast of the object to the trade_v1
+    # struct (fields matched by exact key; unknown keys dropped).
+    row = F.when(F.col("error").isNull(), F.try_variant_get(F.col("_v"), "$", TRADE_V1.simpleString()))
     fields = [
-        g("schema_version", "bigint").alias("schema_version"),
-        g("event_id", "string").alias("event_id"),
-        g("source", "string").alias("source"),
-        g("ingested_at", "string").alias("ingested_at"),
-        F.upper(g("symbol", "string")).alias("symbol"),
-        g("trade_id", "bigint").alias("trade_id"),
-        g("trade_ts", "bigint").alias("trade_ts"),
-        g("price", "double").alias("price"),
-        g("qty", "double").alias("qty"),
-        g("is_buyer_maker", "boolean").alias("is_buyer_maker"),
+        (F.upper(F.col(f"_r.{k}")) if k == "symbol" else F.col(f"_r.{k}")).alias(k) for k in TRADE_V1_REQUIRED
     ]
-    out = checked.select(*env, *fields, "error")
+    out = checked.select(*env, row.alias("_r"), "error").select(*env, *fields, "error")
     if metrics_name == "":
         metrics_name = f"{METRICS_NAME}_{uuid.uuid4().hex[:8]}"
     if metrics_name:

@@ -139,3 +139,13 @@ def test_views_and_namespaces(spark):
     assert spark.table(name).count() == 1
     g = catalog.create_view(stg_of(spark, [("A", 1, M, 10, 1, False)]), "stg_trades_t", db="stg")
     assert spark.table(g).count() == 1
+
+
+def test_read_trades_both_layouts(spark, tmp_path):
+    from ticklake.sources.lake import read_trades
+
+    root = scratch_path(spark, "t-lake")
+    write_lake(trades_df(spark, [("A", i, M + i * HOUR // 2, 1, 1, False) for i in range(4)]), root)
+    assert read_trades(spark, root, start="2024-01-01 00:30:00").count() == 3
+    with pytest.raises(ValueError):
+        read_trades(spark, root, layout="nope")

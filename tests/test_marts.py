@@ -194,3 +194,18 @@ def test_orderflow_invariants(spark):
     bad = o.where("abs(buy_qty + sell_qty - total_qty) > 1e-6 "
                   "OR (total_qty > 0 AND abs(buy_qty_ratio + sell_qty_ratio - 1) > 1e-9)")
     assert bad.count() == 0
+
+
+def test_bucket_width_parameter(spark):
+    rows = [("A", i, M + i * 60_000, 10 + i, 1, False) for i in range(10)]
+    c5 = rows_of(marts.fct_candles_1m(stg_of(spark, rows), bucket="5 minutes"))
+    assert [(r["trade_count"], r["open_price"], r["close_price"]) for r in c5] == [(5, 10, 14), (5, 15, 19)]
+    lat = rows_of(marts.fct_ingestion_latency_1m(stg_of(spark, rows), bucket="5 minutes"))
+    assert [r["trade_count"] for r in lat] == [5, 5]
+
+
+def test_health_lookback_parameter(spark):
+    rows = [("A", 1, M, 1, 1, False), ("A", 2, M + 600_000, 1, 1, False)]
+    (h,) = rows_of(marts.fct_pipeline_health_5m(stg_of(spark, rows), as_of=ts(M + 900_000),
+                                                lookback="15 minutes"), ("pair",))
+    assert h["trades_last_5m"] == 2

@@ -56,7 +56,7 @@ def _latency() -> Column:
     return seconds_between("trade_ts_utc", "ingested_at_utc")
 
 
-def _measures(groups, as_of=None) -> list[Column]:
+def _measures(groups, as_of=None, lookback: str = HEALTH_LOOKBACK) -> list[Column]:
     g = set(groups)
     price, qty = F.col("price"), F.col("qty")
     notional = price * qty
@@ -95,7 +95,7 @@ def _measures(groups, as_of=None) -> list[Column]:
             F.percentile(lat, [0.95, 0.99]).alias("_latency_pct"),
         ]
     if HEALTH in g:
-        since = as_of_col(as_of) - F.expr(f"INTERVAL {HEALTH_LOOKBACK}")
+        since = as_of_col(as_of) - F.expr(f"INTERVAL {lookback}")
         out += [
             F.count_if(F.col("trade_ts_utc") >= since).alias("trades_recent"),
             F.max("trade_ts_utc").alias("max_trade_ts_utc"),
@@ -108,21 +108,27 @@ def minute_stats(
     stg: DataFrame,
     groups=ALL_MINUTE,
     as_of=None,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
+    lookback: str = HEALTH_LOOKBACK,
 ) -> DataFrame:
     """One row per (pair, minute_bucket) with the measures of ``groups``.
 
-    ``bucket`` overrides the bucket expression with an event-time
-    ``window(...)`` struct (streaming: lets the watermark close buckets).
+    ``bucket``: ``None``/``"1 minute"`` truncates to the minute; another
+    width (``"5 minutes"``) uses epoch-aligned tumbling buckets; a
+    ``window(...)`` Column groups by the event-time window struct itself
+    (streaming: lets the watermark close buckets). The output column is
+    ``minute_bucket`` (bucket start) either way.
     """
     base = stg.where(F.col("trade_ts_utc").isNotNull())
-    if bucket is None:
+    if isinstance(bucket, str) and bucket.strip().lower() not in ("1 minute", "minute"):
+        bucket = F.window("trade_ts_utc", bucket)
+    if bucket is None or isinstance(bucket, str):
         return base.groupBy(
             F.col("pair"), minute_bucket("trade_ts_utc").alias("minute_bucket")
-        ).agg(*_measures(groups, as_of))
+        ).agg(*_measures(groups, as_of, lookback))
     # Event-time window: group by the window struct itself so a watermark
     # can finalise and evict buckets, then expose its start.
-    out = base.groupBy(F.col("pair"), bucket.alias("_bucket")).agg(*_measures(groups, as_of))
+    out = base.groupBy(F.col("pair"), bucket.alias("_bucket")).agg(*_measures(groups, as_of, lookback))
     rest = [c for c in out.columns if c not in ("pair", "_bucket")]
     return out.select("pair", F.col("_bucket.start").alias("minute_bucket"), *rest)
 
@@ -241,34 +247,34 @@ def wide_from_stats(stats: DataFrame) -> DataFrame:
 # -- the five marts ---------------------------------------------------------
 
 
-def fct_trades_1m(stg: DataFrame) -> DataFrame:
+def fct_trades_1m(stg: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Per pair x minute: count, qty, notional, avg/min/max price."""
-    return trades_from_stats(minute_stats(stg, (TRADES,)))
+    return trades_from_stats(minute_stats(stg, (TRADES,), bucket=bucket))
 
 
-def fct_candles_1m(stg: DataFrame) -> DataFrame:
+def fct_candles_1m(stg: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Per pair x minute: OHLC (open/close by trade ms, then trade_id), VWAP."""
-    return candles_from_stats(minute_stats(stg, (CANDLES,)))
+    return candles_from_stats(minute_stats(stg, (CANDLES,), bucket=bucket))
 
 
-def fct_orderflow_1m(stg: DataFrame) -> DataFrame:
+def fct_orderflow_1m(stg: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Per pair x minute: buy (maker flag 0) vs sell (flag 1) split and ratios."""
-    return orderflow_from_stats(minute_stats(stg, (ORDERFLOW,)))
+    return orderflow_from_stats(minute_stats(stg, (ORDERFLOW,), bucket=bucket))
 
 
-def fct_ingestion_latency_1m(stg: DataFrame, exact: bool = True) -> DataFrame:
+def fct_ingestion_latency_1m(stg: DataFrame, exact: bool = True, bucket: str = "1 minute") -> DataFrame:
     """Per pair x minute: count, avg/min/max and p95/p99 of ingest latency (s).
 
     ``exact=False`` swaps the exact percentile for ``percentile_approx``
     (fixed-size sketch) for coarse buckets with very many distinct values.
     """
     timed = stg.where(F.col("trade_ts_utc").isNotNull() & F.col("ingested_at_utc").isNotNull())
-    stats = minute_stats(timed, (LATENCY,))
+    stats = minute_stats(timed, (LATENCY,), bucket=bucket)
     if not exact:
         lat = _latency()
-        stats = timed.groupBy(
-            "pair", minute_bucket("trade_ts_utc").alias("minute_bucket")
-        ).agg(
+        b = minute_bucket("trade_ts_utc") if bucket in ("1 minute", "minute") else \
+            F.window("trade_ts_utc", bucket).getField("start")
+        stats = timed.groupBy("pair", b.alias("minute_bucket")).agg(
             F.count(lat).alias("latency_count"),
             F.avg(lat.cast("double")).alias("avg_latency_s"),
             F.min(lat).alias("min_latency_s"),
@@ -278,12 +284,13 @@ def fct_ingestion_latency_1m(stg: DataFrame, exact: bool = True) -> DataFrame:
     return latency_from_stats(stats)
 
 
-def fct_pipeline_health_5m(stg: DataFrame, as_of=None) -> DataFrame:
-    """Per pair: trades in the 5 minutes before ``as_of`` (no upper bound:
-    future-stamped trades count), newest trade / ingest time and staleness
-    in whole seconds. ``as_of`` defaults to the query's current time."""
+def fct_pipeline_health_5m(stg: DataFrame, as_of=None, lookback: str = HEALTH_LOOKBACK) -> DataFrame:
+    """Per pair: trades in the ``lookback`` (5 minutes) before ``as_of`` (no
+    upper bound: future-stamped trades count), newest trade / ingest time
+    and staleness in whole seconds. ``as_of`` defaults to the query's
+    current time."""
     per_pair = stg.where(F.col("trade_ts_utc").isNotNull()).groupBy("pair").agg(
-        *_measures((HEALTH,), as_of)
+        *_measures((HEALTH,), as_of, lookback)
     ).withColumnRenamed("trades_recent", "trades_last_5m")
     return _health_project(per_pair, as_of)
 

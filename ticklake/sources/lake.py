@@ -89,6 +89,26 @@ def read_lake(spark: SparkSession, root: str, start=None, end=None, pairs=None)
     return df
 
 
+def read_trades(spark: SparkSession, root: str, start=None, end=None, layout: str = "keyed",
+                subdir: str = "trades") -> DataFrame:
+    """Trades of either lake layout: ``keyed`` (pruned range read) or
+    ``plain`` (un-keyed directories; range applied as a row filter)."""
+    if layout == "keyed":
+        return read_lake(spark, root, start=start, end=end)
+    if layout != "plain":
+        raise ValueError(layout)
+    df = read_unkeyed(spark, root, subdir)
+    if start is not None:
+        df = df.where(F.col("trade_ts") >= F.lit(_epoch_ms(start)))
+    if end is not None:
+        df = df.where(F.col("trade_ts") < F.lit(_epoch_ms(end)))
+    return df
+
+
+def _epoch_ms(x) -> int:
+    return int(_as_dt(x).replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
+
+
 # Un-keyed layout: {root}/{subdir}/{pair}/{yyyy-MM-dd}/{HH}/<file>
 _UNKEYED = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d{2})/[^/]+$"
 

@@ -148,3 +148,23 @@ def test_publish_feed_routes_contract_failures(spark):
     dlq = spark.read.parquet(f"{out}/crypto.trades.dlq.v1").collect()
     assert [r.key for r in trades] == ["BTCUSDT"]
     assert sorted(json.loads(r.value)["error"] for r in dlq) == ["type:price", "type:symbol"]
+
+
+def test_ingest_metrics_listener(spark):
+    import time
+
+    src, lake, dlq, ck = (scratch_path(spark, n) for n in ("t-in", "t-lake", "t-dlq", "t-ck"))
+    recs = _record_batches(spark)
+    recs[0].coalesce(1).write.mode("append").parquet(src)
+    listener = landing.IngestMetricsListener()
+    spark.streams.addListener(listener)
+    try:
+        landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).await_termination()
+        deadline = time.time() + 20
+        while time.time() < deadline and not listener.rows:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.rows
+    row = listener.rows[0]
+    assert row["consumed"] == row["landed"] + row["dead_lettered"] == recs[0].count()

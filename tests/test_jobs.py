@@ -31,3 +31,14 @@ def test_nightly_checks_fail_on_duplicates(spark):
     write_lake(with_redelivery(load_trades(spark, SMOKE_DIR)), lake)
     with pytest.raises(quality.QualityCheckFailed):
         jobs.nightly_checks(spark, lake, db="marts_none")
+
+
+def test_cli_refresh_and_report(spark, capsys):
+    from ticklake.__main__ import main
+
+    lake, marts_root = scratch_path(spark, "c-lake"), scratch_path(spark, "c-marts")
+    write_lake(load_trades(spark, SMOKE_DIR), lake)
+    assert main(["refresh", "--lake", lake, "--marts", marts_root, "--as-of", "2024-01-01 01:10:00"]) == 0
+    assert "fct_candles_1m" in capsys.readouterr().out
+    assert main(["report"]) == 0
+    assert "Latest candles" in capsys.readouterr().out

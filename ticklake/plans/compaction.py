@@ -44,15 +44,11 @@ def compact(spark: SparkSession, root: str, dates: Iterable) -> str:
         .parquet(stage)
     )
     staged = spark.read.schema(LAKE_SCHEMA).option("basePath", stage).parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            staged.write.mode("overwrite")
-            .option("compression", "zstd")
-            .partitionBy(*LAKE_PARTITION_COLS)
-            .parquet(root)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (
+        staged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .partitionBy(*LAKE_PARTITION_COLS)
+        .parquet(root)
+    )
     return stage

@@ -17,18 +17,15 @@ SNAPSHOT_COL = "snapshot_ts"
 
 
 def append_snapshot(mart: DataFrame, path: str, snapshot_ts) -> None:
-    spark = mart.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            mart.withColumn(SNAPSHOT_COL, F.lit(str(snapshot_ts)).cast("timestamp"))
-            .write.mode("overwrite")
-            .partitionBy(SNAPSHOT_COL)
-            .parquet(path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """Write ``mart`` as the ``snapshot_ts`` partition of ``path`` (replacing
+    only that partition when the same snapshot is written again)."""
+    (
+        mart.withColumn(SNAPSHOT_COL, F.lit(str(snapshot_ts)).cast("timestamp"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SNAPSHOT_COL)
+        .parquet(path)
+    )
 
 
 def read_as_of(spark: SparkSession, path: str, as_of) -> DataFrame:

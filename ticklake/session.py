@@ -21,14 +21,13 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL confs we rely on. AQE re-plans at runtime: coalesces small
 # shuffle partitions and splits skewed join partitions (one hot pair can
-# hold a third of all rows).
+# hold a third of all rows). Write modes (compression, dynamic partition
+# overwrite) are set per write, never session-wide.
 _SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.compression.codec": "zstd",
     # stateful streaming operators keep their state in RocksDB (off-heap)
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -94,17 +94,17 @@ def reconcile_dates(spark: SparkSession, stg: DataFrame, root: str, dates: Itera
     ds = [F.lit(str(d)).cast("date") for d in dates]
     part = stg.where(F.col("trade_date").isin(*ds))
     stats = M.minute_stats(part, M.ALL_MINUTE, as_of=as_of)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     paths = {}
-    try:
-        for name, df in marts_from_stats(stats, list(MINUTE_MARTS), as_of).items():
-            path = f"{root.rstrip('/')}/{name}"
-            df.withColumn("trade_date", F.to_date("minute_bucket")).write.mode("overwrite").partitionBy(
-                "trade_date").parquet(path)
-            paths[name] = path
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    for name, df in marts_from_stats(stats, list(MINUTE_MARTS), as_of).items():
+        path = f"{root.rstrip('/')}/{name}"
+        (
+            df.withColumn("trade_date", F.to_date("minute_bucket"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("trade_date")
+            .parquet(path)
+        )
+        paths[name] = path
     return paths
 
 

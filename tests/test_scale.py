@@ -8,7 +8,6 @@ import os
 from conftest import M, stg_of, trades_df
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from ticklake.functions.util import trade_order_key
 from ticklake.operators import marts

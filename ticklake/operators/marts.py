@@ -19,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.time import minute_bucket, seconds_between
+from ticklake.functions.time import bucket_start, minute_bucket, seconds_between
 from ticklake.functions.util import safe_ratio, sum_if, trade_order_key
 from ticklake.schema import (
     FCT_CANDLES_1M,
@@ -272,9 +272,7 @@ def fct_ingestion_latency_1m(stg: DataFrame, exact: bool = True, bucket: str = "
     stats = minute_stats(timed, (LATENCY,), bucket=bucket)
     if not exact:
         lat = _latency()
-        b = minute_bucket("trade_ts_utc") if bucket in ("1 minute", "minute") else \
-            F.window("trade_ts_utc", bucket).getField("start")
-        stats = timed.groupBy("pair", b.alias("minute_bucket")).agg(
+        stats = timed.groupBy("pair", bucket_start("trade_ts_utc", bucket).alias("minute_bucket")).agg(
             F.count(lat).alias("latency_count"),
             F.avg(lat.cast("double")).alias("avg_latency_s"),
             F.min(lat).alias("min_latency_s"),

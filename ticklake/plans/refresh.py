@@ -10,6 +10,7 @@ trades is cut: a lost executor re-reads a small table, not the lake.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,11 +101,14 @@ def refresh(
     stats_path = scratch_path(spark, "minute-stats")
     M.minute_stats(stg, _groups(selected), as_of=as_of).write.mode("overwrite").parquet(stats_path)
     stats = spark.read.parquet(stats_path)
-    paths = {}
-    for name, df in marts_from_stats(stats, selected, as_of).items():
-        path = f"{root.rstrip('/')}/{name}"
-        materialize(df, path)
-        paths[name] = path
+    built = marts_from_stats(stats, selected, as_of)
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in built}
+    # The mart writes are independent small jobs over the minute table:
+    # submit them together so their scheduling and I/O overlap.
+    with ThreadPoolExecutor(max_workers=max(1, len(built))) as pool:
+        for f in [pool.submit(materialize, df, paths[name]) for name, df in built.items()]:
+            f.result()
+    for name, path in paths.items():
         if db:
             register_table(spark, db, name, path, location_root=f"{root.rstrip('/')}/_catalog")
         if snapshot_ts is not None:

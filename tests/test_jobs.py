@@ -42,3 +42,26 @@ def test_cli_refresh_and_report(spark, capsys):
     assert "fct_candles_1m" in capsys.readouterr().out
     assert main(["report"]) == 0
     assert "Latest candles" in capsys.readouterr().out
+
+
+def test_migrate_unkeyed(spark, tmp_path):
+    import os
+
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ticklake.sources.lake import partition_dir, read_lake
+
+    src = str(tmp_path / "old")
+    t = load_trades(spark, SMOKE_DIR).toPandas()
+    when = pd.to_datetime(t.trade_ts, unit="ms")
+    t = t.assign(_d=when.dt.strftime("%Y-%m-%d"), _h=when.dt.strftime("%H"))
+    for (sym, day, hh), g in t.groupby(["symbol", "_d", "_h"]):
+        d = partition_dir(src, "trades", sym, day, hh)
+        os.makedirs(d, exist_ok=True)
+        pq.write_table(pa.Table.from_pandas(g.drop(columns=["_d", "_h"]), preserve_index=False),
+                       os.path.join(d, "part-0.parquet"))
+    dst = scratch_path(spark, "m-lake")
+    jobs.migrate_unkeyed(spark, src, dst)
+    assert read_lake(spark, dst).count() == 1000

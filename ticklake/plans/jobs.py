@@ -4,6 +4,7 @@
 * ``refresh_marts`` — staging over the lake, one-pass rebuild of the marts
 * ``nightly_checks`` — all data-quality checks; raises on any failure
 * ``report``        — the titled top-5 reads of every mart
+* ``migrate_unkeyed`` — copy an un-keyed lake into the keyed layout
 
 Each reads the shared lake/mart roots given by the caller; nothing is
 written to machine-local folders.
@@ -21,7 +22,7 @@ from ticklake.plans import refresh as R
 from ticklake.schema import NOT_NULL_RULES
 from ticklake.session import configure
 from ticklake.sources import catalog
-from ticklake.sources.lake import create_external_table, read_lake
+from ticklake.sources.lake import create_external_table, read_lake, read_unkeyed, write_lake
 
 
 def init_catalog(spark: SparkSession, lake_root: str, catalog_root: str) -> list[tuple[str, str]]:
@@ -32,6 +33,14 @@ def init_catalog(spark: SparkSession, lake_root: str, catalog_root: str) -> list
     return catalog.list_tables(spark, "ext")
 
 
+def migrate_unkeyed(spark: SparkSession, src_root: str, lake_root: str, subdir: str = "trades") -> None:
+    """Copy an un-keyed lake (``pair/yyyy-MM-dd/HH`` directories) into the
+    keyed layout. Partition values are re-derived from the rows, which
+    also repairs files that sit in the wrong directory."""
+    configure(spark)
+    write_lake(read_unkeyed(spark, src_root, subdir), lake_root)
+
+
 def staging_view(spark: SparkSession, lake_root: str, start=None, end=None) -> DataFrame:
     """``stg_trades`` over the lake (optionally a time range, pruned)."""
     stg = stg_trades(read_lake(spark, lake_root, start=start, end=end))

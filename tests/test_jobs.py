@@ -65,3 +65,28 @@ def test_migrate_unkeyed(spark, tmp_path):
     dst = scratch_path(spark, "m-lake")
     jobs.migrate_unkeyed(spark, src, dst)
     assert read_lake(spark, dst).count() == 1000
+
+
+def test_incremental_refresh_equals_full(spark):
+    from conftest import M, trades_df
+
+    from ticklake.plans.refresh import read_mart
+
+    day = 86_400_000
+    first = [("A", 1, M + 1000, 10, 1, False), ("A", 2, M + 61_000, 11, 2, True),
+             ("B", 3, M + day + 5000, 20, 1, False)]
+    later = [("A", 4, M + 2 * day + 7000, 12, 1, True),   # new date
+             ("A", 5, M + 30_000, 9, 3, False),            # late trade on day 1
+             ("C", 6, M + 2 * day + 9000, 5, 1, True)]
+    as_of = "2024-01-03 00:03:00"
+    lake, inc, full_lake, full = (scratch_path(spark, n) for n in ("i-lake", "i-marts", "f-lake", "f-marts"))
+    write_lake(trades_df(spark, first), lake)
+    jobs.refresh_marts(spark, lake, inc, as_of="2024-01-02 00:10:00", db=None)
+    write_lake(trades_df(spark, later), lake)
+    paths = jobs.refresh_dates(spark, lake, inc, ["2024-01-01", "2024-01-03"], as_of=as_of)
+    write_lake(trades_df(spark, first + later), full_lake)
+    jobs.refresh_marts(spark, full_lake, full, as_of=as_of, db=None)
+    for name, path in paths.items():
+        got = sorted(map(tuple, read_mart(spark, path).collect()))
+        want = sorted(map(tuple, read_mart(spark, f"{full}/{name}").collect()))
+        assert got == want, name

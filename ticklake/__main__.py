@@ -22,6 +22,7 @@ def main(argv=None) -> int:
     r.add_argument("--select", nargs="*")
     r.add_argument("--as-of")
     r.add_argument("--snapshot-ts")
+    r.add_argument("--dates", nargs="*", help="incremental: rebuild only these trade dates")
     c = sub.add_parser("checks")
     c.add_argument("--lake", required=True)
     c.add_argument("--db", default="marts")
@@ -40,8 +41,12 @@ def main(argv=None) -> int:
         for row in jobs.init_catalog(spark, args.lake, args.catalog_root):
             print(row)
     elif args.cmd == "refresh":
-        for name, path in jobs.refresh_marts(spark, args.lake, args.marts, args.select, args.as_of,
-                                             snapshot_ts=args.snapshot_ts).items():
+        if args.dates:
+            paths = jobs.refresh_dates(spark, args.lake, args.marts, args.dates, args.as_of)
+        else:
+            paths = jobs.refresh_marts(spark, args.lake, args.marts, args.select, args.as_of,
+                                       snapshot_ts=args.snapshot_ts)
+        for name, path in paths.items():
             print(name, path)
     elif args.cmd == "checks":
         jobs.nightly_checks(spark, args.lake, args.db).show(truncate=False)

@@ -26,6 +26,8 @@ MINUTE_MARTS = {
     "fct_ingestion_latency_1m": ((M.LATENCY,), M.latency_from_stats),
 }
 HEALTH_MART = "fct_pipeline_health_5m"
+# Storage partition of the minute marts: the UTC date of minute_bucket.
+MART_DATE = "trade_date"
 ALL_MARTS = (*MINUTE_MARTS, HEALTH_MART)
 MODELS = ("stg_trades", *ALL_MARTS)
 # Every mart depends on the staging view only.
@@ -85,7 +87,10 @@ def refresh(
     db: str | None = None,
     snapshot_ts: str | None = None,
 ) -> dict[str, str]:
-    """Rebuild the selected marts under ``root/<mart>`` (Parquet, overwrite).
+    """Rebuild the selected marts under ``root/<mart>`` (full rebuild).
+
+    For a large lake prefer ``jobs.refresh_dates``: it rebuilds only the
+    dates that received trades and merges the health report.
 
     * ``as_of``: the health report's "now" (default: the job's start).
     * ``db``: also register each mart as an external table ``db.<mart>``.
@@ -102,25 +107,55 @@ def refresh(
     M.minute_stats(stg, _groups(selected), as_of=as_of).write.mode("overwrite").parquet(stats_path)
     stats = spark.read.parquet(stats_path)
     built = marts_from_stats(stats, selected, as_of)
-    paths = {name: f"{root.rstrip('/')}/{name}" for name in built}
-    # The mart writes are independent small jobs over the minute table:
-    # submit them together so their scheduling and I/O overlap.
-    with ThreadPoolExecutor(max_workers=max(1, len(built))) as pool:
-        for f in [pool.submit(materialize, df, paths[name]) for name, df in built.items()]:
-            f.result()
+    paths = write_marts(built, root)
     for name, path in paths.items():
         if db:
             register_table(spark, db, name, path, location_root=f"{root.rstrip('/')}/_catalog")
         if snapshot_ts is not None:
             from ticklake.plans.snapshot import append_snapshot
 
-            append_snapshot(spark.read.parquet(path), f"{root.rstrip('/')}/_snapshots/{name}", snapshot_ts)
+            append_snapshot(read_mart(spark, path), f"{root.rstrip('/')}/_snapshots/{name}", snapshot_ts)
+    return paths
+
+
+def write_marts(built: dict[str, DataFrame], root: str, dates_only: bool = False) -> dict[str, str]:
+    """Write mart DataFrames under ``root/<mart>``.
+
+    The writes are independent small jobs over one minute table, so they
+    are submitted together (their scheduling and I/O overlap).
+    """
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in built}
+    with ThreadPoolExecutor(max_workers=max(1, len(built))) as pool:
+        futures = [pool.submit(materialize, df, paths[name], name, dates_only) for name, df in built.items()]
+        for f in futures:
+            f.result()
     return paths
 
 
-def materialize(df: DataFrame, path: str) -> None:
-    """Full rebuild of a mart (``materialized='table'``)."""
-    df.write.mode("overwrite").parquet(path)
+def materialize(df: DataFrame, path: str, name: str | None = None, dates_only: bool = False) -> None:
+    """Store a mart.
+
+    Minute marts are partitioned by their bucket's UTC date
+    (``trade_date``): a full rebuild replaces every date, ``dates_only``
+    replaces just the dates present in ``df`` (dynamic partition
+    overwrite). The per-pair health report is always replaced whole.
+    """
+    if name in MINUTE_MARTS:
+        (
+            df.withColumn(MART_DATE, F.to_date("minute_bucket"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if dates_only else "static")
+            .partitionBy(MART_DATE)
+            .parquet(path)
+        )
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A stored mart with its published columns (storage partition dropped)."""
+    df = spark.read.parquet(path)
+    return df.drop(MART_DATE) if MART_DATE in df.columns else df
 
 
 def register_table(spark: SparkSession, db: str, name: str, path: str,
@@ -131,3 +166,5 @@ def register_table(spark: SparkSession, db: str, name: str, path: str,
     ensure_namespaces(spark, [db], location_root=location_root)
     spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
     spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+    if name in MINUTE_MARTS:  # date-partitioned: register the partitions found
+        spark.sql(f"ALTER TABLE `{db}`.`{name}` RECOVER PARTITIONS")

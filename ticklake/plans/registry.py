@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ticklake.functions.util import trade_order_key
 from ticklake.operators import ingest, marts, quality, serving, staging, windows
 from ticklake.plans.boundary import stable
-from ticklake.plans.refresh import build_marts
+from ticklake.plans.refresh import build_marts, read_mart
 from ticklake.schema import NOT_NULL_RULES, STG_ORDER_COL
 from ticklake.session import configure, scratch_path
 from ticklake.sources.testdata import (
@@ -166,7 +166,7 @@ def q_quality_not_null(spark, sf_dir):
 
     stg = _stg(spark, sf_dir)
     paths = refresh(spark, stg, scratch_path(spark, "marts"), as_of=AS_OF)
-    tables = {"stg_trades": stg, **{n: spark.read.parquet(p) for n, p in paths.items()}}
+    tables = {"stg_trades": stg, **{n: read_mart(spark, p) for n, p in paths.items()}}
     return stable(quality.run_checks(tables, NOT_NULL_RULES))
 
 
@@ -324,7 +324,7 @@ def q_refresh_roundtrip(spark, sf_dir):
     stg = _stg(spark, sf_dir)
     root = scratch_path(spark, "marts")
     paths = refresh(spark, stg, root, as_of=AS_OF)
-    return stable(spark.read.parquet(paths["fct_candles_1m"]))
+    return stable(read_mart(spark, paths["fct_candles_1m"]))
 
 
 def q_asof_snapshot(spark, sf_dir):

@@ -86,47 +86,35 @@ def reconcile_dates(spark: SparkSession, stg: DataFrame, root: str, dates: Itera
                     as_of=None) -> dict[str, str]:
     """Batch-rebuild the minute marts of ``dates`` (late trades included).
 
-    Writes ``root/<mart>`` partitioned by ``trade_date`` with dynamic
-    partition overwrite: only the given dates are replaced.
+    Writes ``root/<mart>`` (partitioned by ``trade_date``) with dynamic
+    partition overwrite: only the given dates are replaced. Pass a
+    ``stg`` read with those dates' partition filter (``read_lake``) so
+    only their files are scanned.
     """
-    from ticklake.plans.refresh import MINUTE_MARTS, marts_from_stats
+    from ticklake.plans.refresh import MINUTE_MARTS, marts_from_stats, write_marts
 
     ds = [F.lit(str(d)).cast("date") for d in dates]
     part = stg.where(F.col("trade_date").isin(*ds))
     stats = M.minute_stats(part, M.ALL_MINUTE, as_of=as_of)
-    paths = {}
-    for name, df in marts_from_stats(stats, list(MINUTE_MARTS), as_of).items():
-        path = f"{root.rstrip('/')}/{name}"
-        (
-            df.withColumn("trade_date", F.to_date("minute_bucket"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("trade_date")
-            .parquet(path)
-        )
-        paths[name] = path
-    return paths
+    return write_marts(marts_from_stats(stats, list(MINUTE_MARTS), as_of), root, dates_only=True)
 
 
 def scheduled_refresh(trades_stream: DataFrame, lake_root: str, root: str, checkpoint: str,
                       interval: str = REFRESH_INTERVAL, available_now: bool = False):
-    """Every ``interval``: re-aggregate the dates touched by new trades.
+    """Every ``interval``: incrementally refresh the dates touched by new trades.
 
     A ``foreachBatch`` over the landed trade stream: each micro-batch
-    finds its distinct trade dates (a handful of values) and rebuilds
-    those dates' marts from the lake, so late trades are always
-    included. Re-running a batch rewrites the same partitions
-    (idempotent under dynamic partition overwrite).
+    finds its distinct trade dates (a handful of values) and runs
+    ``jobs.refresh_dates`` for them — those dates' minute marts are
+    rebuilt from the lake (late trades included) and the health report
+    is merged. Re-running a batch rewrites the same partitions.
     """
-    from ticklake.sources.lake import read_lake
+    from ticklake.plans.jobs import refresh_dates
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         dates = [r[0] for r in stg_trades(batch).select("trade_date").distinct().collect()]
         if dates:
-            lake = read_lake(spark, lake_root).where(
-                F.col("trade_date").isin(*[F.lit(d) for d in dates]))
-            reconcile_dates(spark, stg_trades(lake), root, dates)
+            refresh_dates(batch.sparkSession, lake_root, root, dates)
 
     w = trades_stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     return apply_trigger(w, interval, available_now)

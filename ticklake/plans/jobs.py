@@ -99,8 +99,8 @@ def refresh_dates(spark: SparkSession, lake_root: str, marts_root: str, dates: I
         F.lit(0).cast("bigint").alias("n"), F.max("max_trade_ts_utc").alias("mt"),
         F.max("max_ingested_at_utc").alias("mi"))]
     health_path = f"{marts_root.rstrip('/')}/{R.HEALTH_MART}"
-    if _exists(spark, health_path):
-        prev = spark.read.parquet(health_path)
+    prev = _read_if_exists(spark, health_path)
+    if prev is not None:
         parts.append(prev.select("pair", F.lit(0).cast("bigint").alias("n"),
                                  F.col("max_trade_ts_utc").alias("mt"), F.col("max_ingested_at_utc").alias("mi")))
     merged = parts[0]
@@ -123,10 +123,13 @@ def _interval(text: str):
     return dt.timedelta(**{unit if unit.endswith("s") else unit + "s": int(n)})
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # no previous report yet
+        return None
 
 
 def nightly_checks(spark: SparkSession, lake_root: str, db: str = "marts", dedupe_key: str = "trade_key") -> DataFrame:

@@ -1,6 +1,7 @@
 """Command line: ``python -m ticklake <command> [options]``.
 
-Commands: ``init-catalog``, ``refresh``, ``checks``, ``report``, ``compact``.
+Commands: ``init-catalog``, ``refresh`` (full, or ``--dates`` incremental),
+``checks``, ``report``, ``migrate`` (un-keyed -> keyed layout), ``compact``.
 Roots are URIs on shared storage (``s3a://…``, ``hdfs://…`` or ``file:``).
 """
 
@@ -28,6 +29,9 @@ def main(argv=None) -> int:
     c.add_argument("--db", default="marts")
     q = sub.add_parser("report")
     q.add_argument("--db", default="marts")
+    g = sub.add_parser("migrate")
+    g.add_argument("--src", required=True, help="root of the un-keyed layout")
+    g.add_argument("--lake", required=True)
     k = sub.add_parser("compact")
     k.add_argument("--lake", required=True)
     k.add_argument("--date", nargs="+", required=True)
@@ -54,6 +58,8 @@ def main(argv=None) -> int:
         for title, df in jobs.report(spark, args.db).items():
             print(f"\n{title}:\n")
             df.show(truncate=False)
+    elif args.cmd == "migrate":
+        jobs.migrate_unkeyed(spark, args.src, args.lake)
     elif args.cmd == "compact":
         from ticklake.plans.compaction import compact
 

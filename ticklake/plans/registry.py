@@ -1,8 +1,10 @@
 """Registered queries: one per operator family, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables (trades are derived from
-``events`` by ``sources.testdata``) over their whole extent and returns
-a lazily built DataFrame; results pass through ``boundary.stable``.
+``events`` by ``sources.testdata``) over their whole extent; results
+pass through ``boundary.stable``. Queries that exercise writers (lake,
+refresh, snapshots, streams) first write to a fresh folder under the
+session's checkpoint dir, then return a lazy read of what was written.
 """
 
 from __future__ import annotations
@@ -10,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from ticklake.functions.util import trade_order_key
@@ -22,9 +23,9 @@ from ticklake.session import configure, scratch_path
 from ticklake.sources.testdata import (
     events_stream,
     feed_messages,
-    trades_from_events,
     kafka_records,
     load_trades,
+    trades_from_events,
     with_redelivery,
 )
 

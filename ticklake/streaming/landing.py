@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ticklake.operators import ingest
 from ticklake.schema import LAKE_PARTITION_COLS
 from ticklake.sources.lake import lake_frame
-from ticklake.streaming.sources import TRIGGER_INTERVAL, apply_trigger
+from ticklake.streaming.sources import TRIGGER_INTERVAL, apply_trigger, kafka_sink
 
 METRICS_NAME = ingest.METRICS_NAME
 
@@ -41,13 +41,17 @@ class Landing:
         self.dlq.stop()
 
 
-def land(records: DataFrame, lake_root: str, dlq_root: str, checkpoint_root: str,
+def land(records: DataFrame, lake_root: str, dlq_root: str | None, checkpoint_root: str,
          mode: str = ingest.FULL, trigger: str | None = TRIGGER_INTERVAL,
-         available_now: bool = False, max_bytes: int = ingest.DLQ_MAX_BYTES) -> Landing:
+         available_now: bool = False, max_bytes: int = ingest.DLQ_MAX_BYTES,
+         dlq_bootstrap: str | None = None, dlq_topic: str = "crypto.trades.dlq.v1") -> Landing:
     """Start the lake and DLQ queries over one Kafka-shaped record stream.
 
-    Exactly-once per sink; each query parses the payloads (2 parses per
-    record). ``land_batches`` parses once but is at-least-once.
+    Dead letters go to Parquet under ``dlq_root`` or, with
+    ``dlq_bootstrap``, to the ``dlq_topic`` Kafka topic (key
+    ``topic:partition``, JSON value). Exactly-once per file sink; each
+    query parses the payloads (2 parses per record). ``land_batches``
+    parses once but is at-least-once.
     """
     ck = checkpoint_root.rstrip("/")
     good = lake_frame(ingest.good_rows(ingest.check_contract(records, mode, metrics_name=METRICS_NAME)))
@@ -60,12 +64,16 @@ def land(records: DataFrame, lake_root: str, dlq_root: str, checkpoint_root: str
         .outputMode("append")
     )
     bad = ingest.bad_rows(ingest.check_contract(records, mode, metrics_name=f"{METRICS_NAME}_dlq"))
-    dlq_w = (
-        ingest.to_dlq(bad, max_bytes).writeStream.format("parquet")
-        .option("path", dlq_root)
-        .option("checkpointLocation", f"{ck}/dlq")
-        .outputMode("append")
-    )
+    dead = ingest.to_dlq(bad, max_bytes)
+    if dlq_bootstrap:
+        dlq_w = kafka_sink(dead, dlq_bootstrap, dlq_topic, f"{ck}/dlq")
+    else:
+        dlq_w = (
+            dead.writeStream.format("parquet")
+            .option("path", dlq_root)
+            .option("checkpointLocation", f"{ck}/dlq")
+            .outputMode("append")
+        )
     lake_q = apply_trigger(lake_w, trigger, available_now).start()
     dlq_q = apply_trigger(dlq_w, trigger, available_now).start()
     return Landing(lake_q, dlq_q)

@@ -24,6 +24,13 @@ def test_jobs_end_to_end(spark):
     assert checks.count() == 15 and checks.where("failures > 0").count() == 0
     rep = jobs.report(spark, "marts_j")
     assert [df.count() for df in rep.values()] == [5, 5, 5, 5, 5]
+    from ticklake.operators import serving
+
+    panels = serving.dashboard(spark, "marts_j", lookback_minutes=30, as_of="2024-01-01 01:10:00")
+    assert [r.pair for r in panels["pairs"].collect()] == ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+    assert panels["health"].count() == 5
+    assert panels["latest"].count() == 1 and panels["latest"].first().pair == "CLICK"
+    assert 0 < panels["candles"].count() == panels["orderflow"].count() == panels["trades"].count()
 
 
 def test_nightly_checks_fail_on_duplicates(spark):

@@ -134,3 +134,27 @@ def latest_of_each_mart(spark: SparkSession, db: str = "marts", n: int = REPORT_
         for title, table, order in REPORT
         if spark.catalog.tableExists(f"{db}.{table}")
     }
+
+
+def dashboard(spark: SparkSession, db: str = "marts", pair: str | None = None,
+              lookback_minutes: int = DEFAULT_LOOKBACK, as_of=None) -> dict[str, DataFrame | None]:
+    """Every dashboard panel as a DataFrame (nothing is collected except
+    the default pair: the first row of the ordered pair list).
+
+    Raises ``MissingMartsError`` when a required mart is absent; the
+    health panel is ``None`` when its mart is absent (it is optional).
+    """
+    require_marts(spark, db)
+    candles = spark.table(f"{db}.fct_candles_1m")
+    pairs = list_pairs(candles)
+    if pair is None:
+        pair = pairs.first()["pair"]
+    c = candles_slice(candles, pair, lookback_minutes, as_of)
+    return {
+        "pairs": pairs,
+        "health": health_table(spark, db),
+        "candles": c,
+        "latest": latest_candle_stats(c),
+        "orderflow": orderflow_slice(spark.table(f"{db}.fct_orderflow_1m"), pair, lookback_minutes, as_of),
+        "trades": trades_slice(spark.table(f"{db}.fct_trades_1m"), pair, lookback_minutes, as_of),
+    }

@@ -147,3 +147,9 @@ def test_ingest_counts(spark):
     c = ingest.check_contract(records(spark, [GOOD, "{bad", GOOD, GOOD]))
     got = {r.partition: (r.consumed, r.landed, r.dead_lettered, r.next_offset) for r in ingest.ingest_counts(c).collect()}
     assert got == {0: (2, 2, 0, 4), 1: (1, 0, 1, 2), 2: (1, 1, 0, 3)}
+
+
+def test_minimal_mode_keeps_row_with_bad_field(spark):
+    c = ingest.check_contract(records(spark, [with_(price="abc")]), ingest.MINIMAL)
+    (r,) = c.collect()
+    assert r.error is None and r.price is None and r.qty == 2.0 and r.symbol == "BTCUSDT"

@@ -209,3 +209,20 @@ def test_health_lookback_parameter(spark):
     (h,) = rows_of(marts.fct_pipeline_health_5m(stg_of(spark, rows), as_of=ts(M + 900_000),
                                                 lookback="15 minutes"), ("pair",))
     assert h["trades_last_5m"] == 2
+
+
+def test_sql_on_staging_view_group_by_ordinal(spark):
+    from ticklake.sources.catalog import create_view
+    from ticklake.sources.testdata import load_trades
+    from conftest import SMOKE_DIR
+
+    stg = staging.stg_trades(load_trades(spark, SMOKE_DIR))
+    create_view(stg, "stg_trades_sql")
+    sql = spark.sql("""
+        SELECT pair, date_trunc('MINUTE', trade_ts_utc) AS minute_bucket,
+               count(*) AS trade_count, sum(qty) AS total_qty, sum(price * qty) AS notional_usdt,
+               avg(price) AS avg_price, min(price) AS min_price, max(price) AS max_price
+        FROM stg_trades_sql WHERE trade_ts_utc IS NOT NULL
+        GROUP BY 1, 2""")
+    want = sorted(map(tuple, marts.fct_trades_1m(stg).collect()))
+    assert sorted(map(tuple, sql.collect())) == want and len(want) > 0

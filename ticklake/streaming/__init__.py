@@ -1,0 +1 @@
+"""Structured Streaming: sources/sinks, checkpointed landing, feed publishing, streaming marts."""

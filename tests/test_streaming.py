@@ -76,13 +76,15 @@ def test_late_trade_dropped_by_stream_then_reconciled(spark):
 
     def run():
         stream = spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
-        SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream), "1 minute"), sink, ck,
-                        available_now=True).start().awaitTermination()
+        q = SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream), "1 minute"), sink, ck,
+                            available_now=True).start()
+        q.awaitTermination()
+        return q
 
     run()
     _trade_files(spark, src, [("A", 100, M + 2 * 60_000 + 5000, 50, 1, False),
                               ("A", 101, M + 13 * 60_000, 10, 1, False)])
-    run()
+    assert SM.rows_dropped_by_watermark(run()) == 1
     out = {r.minute_bucket.minute: r.trade_count for r in spark.read.parquet(sink).collect()}
     assert out[2] == 1  # the late trade was past the watermark
     every = spark.read.schema(TRADE_V1).parquet(src)

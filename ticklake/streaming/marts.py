@@ -118,3 +118,17 @@ def scheduled_refresh(trades_stream: DataFrame, lake_root: str, root: str, check
 
     w = trades_stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     return apply_trigger(w, interval, available_now)
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows a stateful query discarded (sum over its recent progress).
+
+    These trades are not lost: they are in the lake and the next
+    ``refresh_dates`` for their date includes them.
+    """
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            total += (op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
+                      else op.numRowsDroppedByWatermark)
+    return total

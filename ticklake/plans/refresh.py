@@ -78,6 +78,15 @@ def build_marts(stg: DataFrame, as_of=None, select: Iterable[str] | None = None)
     return marts_from_stats(stats, selected, as_of)
 
 
+def materialized_stats(spark: SparkSession, stg: DataFrame, groups=(*M.ALL_MINUTE, M.HEALTH),
+                       as_of=None) -> DataFrame:
+    """``minute_stats`` written once to the shared checkpoint folder and read
+    back: the one aggregate pass over the trades, with lineage cut."""
+    path = scratch_path(spark, "minute-stats")
+    M.minute_stats(stg, groups, as_of=as_of).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def refresh(
     spark: SparkSession,
     stg: DataFrame,
@@ -103,9 +112,7 @@ def refresh(
     selected = resolve(select)
     as_of = as_of if as_of is not None else spark.range(1).select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    stats_path = scratch_path(spark, "minute-stats")
-    M.minute_stats(stg, _groups(selected), as_of=as_of).write.mode("overwrite").parquet(stats_path)
-    stats = spark.read.parquet(stats_path)
+    stats = materialized_stats(spark, stg, _groups(selected), as_of)
     built = marts_from_stats(stats, selected, as_of)
     paths = write_marts(built, root)
     for name, path in paths.items():

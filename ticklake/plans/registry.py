@@ -158,16 +158,16 @@ def q_latest_candle_stats(spark, sf_dir):
 
 
 def q_quality_not_null(spark, sf_dir):
-    """Q1/Q3: every not-null rule over staging and the refreshed marts.
+    """Q1/Q3: every not-null rule over staging and all five marts.
 
-    The marts are rebuilt once (one aggregate pass, written to shared
-    storage) and checked as stored tables, like the nightly job does.
+    The trades are aggregated once (minute table written to shared
+    storage); the marts checked are projections of that table.
     """
-    from ticklake.plans.refresh import refresh
+    from ticklake.plans.refresh import ALL_MARTS, marts_from_stats, materialized_stats
 
     stg = _stg(spark, sf_dir)
-    paths = refresh(spark, stg, scratch_path(spark, "marts"), as_of=AS_OF)
-    tables = {"stg_trades": stg, **{n: read_mart(spark, p) for n, p in paths.items()}}
+    stats = materialized_stats(spark, stg, as_of=AS_OF)
+    tables = {"stg_trades": stg, **marts_from_stats(stats, ALL_MARTS, AS_OF)}
     return stable(quality.run_checks(tables, NOT_NULL_RULES))
 
 

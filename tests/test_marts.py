@@ -226,3 +226,17 @@ def test_sql_on_staging_view_group_by_ordinal(spark):
         GROUP BY 1, 2""")
     want = sorted(map(tuple, marts.fct_trades_1m(stg).collect()))
     assert sorted(map(tuple, sql.collect())) == want and len(want) > 0
+
+
+def test_aggregate_forms_equal_window_forms(spark):
+    from conftest import SMOKE_DIR
+
+    from ticklake.plans import registry as Q
+
+    pairs = [("fct_candles_1m", "candles_window_join_form"),
+             ("fct_ingestion_latency_1m", "latency_window_distinct_form")]
+    for agg_form, window_form in pairs:
+        a = Q.QUERIES[agg_form](spark, SMOKE_DIR)
+        w = Q.QUERIES[window_form](spark, SMOKE_DIR).select(*a.columns)
+        got, want = sorted(map(tuple, w.collect())), sorted(map(tuple, a.collect()))
+        assert got == want and len(want) > 0, agg_form

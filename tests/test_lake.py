@@ -149,3 +149,21 @@ def test_read_trades_both_layouts(spark, tmp_path):
     assert read_trades(spark, root, start="2024-01-01 00:30:00").count() == 3
     with pytest.raises(ValueError):
         read_trades(spark, root, layout="nope")
+
+
+def test_unkeyed_reader_with_drifted_types(spark, tmp_path):
+    root = str(tmp_path / "drift")
+    d = partition_dir(root, "trades", "BTCUSDT", "2024-01-01", "10")
+    os.makedirs(d)
+    t = pa.table({"schema_version": [1], "event_id": ["e"], "source": ["s"],
+                  "ingested_at": ["2024-01-01T10:00:00+00:00"], "symbol": ["BTCUSDT"], "trade_id": [9],
+                  "trade_ts": [M + 10 * HOUR], "price": pa.array([42], pa.int64()), "qty": pa.array([2], pa.int64()),
+                  "is_buyer_maker": [True]})
+    pq.write_table(t, os.path.join(d, "part-int.parquet"))
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    physical = StructType([StructField(f.name, LongType(), True) if f.name in ("price", "qty") else f
+                           for f in TRADE_V1.fields])
+    (r,) = read_unkeyed(spark, root, schema=physical).collect()
+    assert (r.price, r.qty, r.hour, r.pair) == (42.0, 2.0, 10, "BTCUSDT")
+    assert isinstance(r.price, float)

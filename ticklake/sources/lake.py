@@ -113,20 +113,28 @@ def _epoch_ms(x) -> int:
 _UNKEYED = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d{2})/[^/]+$"
 
 
-def read_unkeyed(spark: SparkSession, root: str, subdir: str = "trades") -> DataFrame:
+def read_unkeyed(spark: SparkSession, root: str, subdir: str = "trades",
+                 schema: T.StructType | str | None = None) -> DataFrame:
     """Read the un-keyed directory layout; path segments become columns.
 
     ``location`` is the file path; ``pair``/``trade_date``/``hour`` come
     from its last three directories (typed DATE / TINYINT).
+
+    Files written with per-flush inferred types can drift (e.g. integer
+    prices); Parquet does not widen INT64 to DOUBLE on read. Read such a
+    group of files with its physical ``schema``: columns are cast to the
+    trade_v1 types afterwards.
     """
     df = (
-        spark.read.schema(TRADE_V1)
+        spark.read.schema(schema or TRADE_V1)
         .option("recursiveFileLookup", "true")
         .parquet(f"{root.rstrip('/')}/{subdir}")
     )
+    if schema is not None:
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRADE_V1.fields], "_metadata")
     path = F.col("_metadata.file_path")
     return df.select(
-        "*",
+        *TRADE_V1_REQUIRED,
         path.alias("location"),
         F.regexp_extract(path, _UNKEYED, 1).alias("pair"),
         F.regexp_extract(path, _UNKEYED, 2).cast("date").alias("trade_date"),

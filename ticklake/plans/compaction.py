@@ -20,8 +20,9 @@ from ticklake.session import configure, scratch_path
 from ticklake.sources.lake import LAKE_SCHEMA, MAX_RECORDS_PER_FILE
 
 
-def compact(spark: SparkSession, root: str, dates: Iterable) -> str:
-    """Rewrite the lake partitions of ``dates``; returns the staging path.
+def compact(spark: SparkSession, root: str, dates: Iterable | None = None) -> str:
+    """Rewrite the lake partitions of ``dates`` (``None``: every date);
+    returns the staging path.
 
     The staging write rebalances rows by directory (AQE sizes the tasks:
     small directories merge into one file, a hot one is split into a few
@@ -29,10 +30,9 @@ def compact(spark: SparkSession, root: str, dates: Iterable) -> str:
     copies the staged files partition by partition without a shuffle.
     """
     configure(spark)
-    dates = [F.lit(str(d)).cast("date") for d in dates]
-    src = spark.read.schema(LAKE_SCHEMA).option("basePath", root).parquet(root).where(
-        F.col("trade_date").isin(*dates)
-    )
+    src = spark.read.schema(LAKE_SCHEMA).option("basePath", root).parquet(root)
+    if dates is not None:
+        src = src.where(F.col("trade_date").isin(*[F.lit(str(d)).cast("date") for d in dates]))
     stage = scratch_path(spark, "compaction")
     (
         src.hint("rebalance", *LAKE_PARTITION_COLS)

@@ -313,8 +313,7 @@ def q_lake_compaction(spark, sf_dir):
         if hi is not None:
             part = part.where(F.col("trade_ts") < hi)
         write_lake(part, root)
-    dates = [r[0] for r in read_lake(spark, root).select("trade_date").distinct().collect()]
-    compact(spark, root, dates)
+    compact(spark, root)
     return stable(_lake_cols(read_lake(spark, root)))
 
 

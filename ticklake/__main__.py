@@ -34,7 +34,7 @@ def main(argv=None) -> int:
     g.add_argument("--lake", required=True)
     k = sub.add_parser("compact")
     k.add_argument("--lake", required=True)
-    k.add_argument("--date", nargs="+", required=True)
+    k.add_argument("--date", nargs="*", help="dates to compact (default: all)")
     args = p.parse_args(argv)
 
     from ticklake.plans import jobs
@@ -63,7 +63,7 @@ def main(argv=None) -> int:
     elif args.cmd == "compact":
         from ticklake.plans.compaction import compact
 
-        print(compact(spark, args.lake, args.date))
+        print(compact(spark, args.lake, args.date or None))
     return 0
 
 

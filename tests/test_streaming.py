@@ -170,3 +170,18 @@ def test_ingest_metrics_listener(spark):
     assert listener.rows
     row = listener.rows[0]
     assert row["consumed"] == row["landed"] + row["dead_lettered"] == recs[0].count()
+
+
+def test_wide_stream_output_splits_into_marts(spark):
+    src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
+    load_trades(spark, SMOKE_DIR).write.parquet(src)
+    stream = spark.readStream.schema(TRADE_V1).parquet(src)
+    SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream)), sink, ck,
+                    available_now=True).start().awaitTermination()
+    split = marts.marts_from_wide(spark.read.parquet(sink))
+    stg = stg_trades(load_trades(spark, SMOKE_DIR))
+    for name, df in split.items():
+        batch = marts.MART_BUILDERS[name](stg)
+        closed = batch.join(df.select("pair", "minute_bucket"), ["pair", "minute_bucket"], "left_semi")
+        assert df.count() > 0
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, closed.collect())), name

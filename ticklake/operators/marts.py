@@ -244,6 +244,21 @@ def wide_from_stats(stats: DataFrame) -> DataFrame:
     return stats.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in WIDE_MINUTE_COLUMNS])
 
 
+def marts_from_wide(wide: DataFrame) -> dict[str, DataFrame]:
+    """Split a wide minute table (e.g. the streaming sink) into the four
+    minute marts — projections only, no aggregation."""
+    return {
+        "fct_trades_1m": wide.select(*[
+            F.col({"min_price": "low_price", "max_price": "high_price"}.get(c, c)).alias(c) for c in FCT_TRADES_1M
+        ]),
+        "fct_candles_1m": wide.select(*FCT_CANDLES_1M),
+        "fct_orderflow_1m": wide.select(*FCT_ORDERFLOW_1M),
+        "fct_ingestion_latency_1m": wide.where(F.col("latency_count") > 0).select(
+            *[F.col("latency_count").alias(c) if c == "trade_count" else F.col(c) for c in FCT_INGESTION_LATENCY_1M]
+        ),
+    }
+
+
 # -- the five marts ---------------------------------------------------------
 
 

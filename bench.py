@@ -58,20 +58,26 @@ def main() -> None:
 
     # Warm-up: JVM, codegen caches, file listing.
     run("fct_candles_1m")
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in only or HEADLINE:
-        best = min(run(name) for _ in range(max(1, repeats)))
-        times[name] = round(best, 3)
+        try:
+            best = min(run(name) for _ in range(max(1, repeats)))
+            times[name] = round(best, 3)
+        except Exception as e:  # keep measuring the rest; report the failure
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
         "repeats": repeats,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 

@@ -56,3 +56,14 @@ def test_top_k_is_take_ordered(spark):
 def test_health_single_small_shuffle(spark):
     p = plan(marts.fct_pipeline_health_5m(stg(spark), as_of=AS_OF))
     assert p.count("Exchange") == 1 and "HashAggregate" in p
+
+
+def test_dedupe_pre_aggregates_before_shuffle(spark):
+    from ticklake.operators.staging import dedupe_trades
+    from ticklake.sources.testdata import with_redelivery
+
+    df = dedupe_trades(stg_trades(with_redelivery(load_trades(spark, SMOKE_DIR))))
+    p = plan(df)
+    # partial aggregate (map side) -> one exchange -> final aggregate
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "partial_min_by" in p and p.count("SortAggregate") + p.count("HashAggregate") >= 2

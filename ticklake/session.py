@@ -14,6 +14,7 @@ session handed to the library (``configure``):
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -73,8 +74,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder.
 
     Read from the session (the context's checkpoint dir, else the
-    ``spark.checkpoint.dir`` setting). Only if neither is set — local runs
-    and tests — a fresh folder is created and registered.
+    ``spark.checkpoint.dir`` setting). If neither is set, a local master
+    (tests) gets a fresh folder; on a cluster this raises, because each
+    executor has its own disk and later reads would miss the files.
     """
     try:
         sc = spark.sparkContext
@@ -85,12 +87,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="ticklake-ckpt-")
     if sc is None:
-        if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="ticklake-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
         return conf_dir
-    sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="ticklake-ckpt-"))
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 

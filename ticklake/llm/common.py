@@ -42,10 +42,7 @@ def held_out(id_col: Column) -> Column:
 def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
     """Arrow-batched row function: ``make()`` runs once per task and returns
     ``f(*column values) -> tuple``; one output row per input row, in order."""
-    from pyspark.sql.types import StructType
-
-    out_names = StructType.fromDDL(schema).names
-    arrow = _arrow_schema(schema)
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
@@ -54,15 +51,14 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: st
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 rows = [f(*r) for r in zip(*(c.to_pylist() for c in part.columns))]
-                cols = list(zip(*rows)) if rows else [[] for _ in out_names]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t.type) for c, t in zip(cols, arrow)], schema=arrow
+                    [pa.array(c, t.type) for c, t in zip(zip(*rows), arrow)], schema=arrow
                 )
 
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(ddl: str) -> pa.Schema:
+def arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

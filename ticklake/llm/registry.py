@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from ticklake.llm import simhash_bktree
+from ticklake.llm import (
+    decontaminate,
+    html_density,
+    language_mixture,
+    line_templates,
+    simhash_bktree,
+    soft_mixing,
+    threshold_topk,
+    toxicity,
+    url_vocabulary,
+    warc_index,
+)
 
 QUERIES = {
+    "op1_soft_mixing": soft_mixing.op1_soft_mixing,
+    "op2_line_templates": line_templates.op2_line_templates,
+    "op3_language_mixture": language_mixture.op3_language_mixture,
+    "op4_warc_index": warc_index.op4_warc_index,
+    "op5_url_vocabulary": url_vocabulary.op5_url_vocabulary,
+    "op6_html_density": html_density.op6_html_density,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_threshold_topk": threshold_topk.op8_threshold_topk,
+    "op9_decontamination": decontaminate.op9_decontamination,
     "op10_simhash_neardup": simhash_bktree.op10_simhash_neardup,
 }
 
-ORACLE = {}
+# The other operators fit models, walk trees or parse whole documents: they
+# are tested against brute force, round trips and held-out labels instead.
+ORACLE = {
+    "op5_url_vocabulary": url_vocabulary.ORACLE_SQL,
+    "op8_threshold_topk": threshold_topk.ORACLE_SQL,
+}
 
 
 def queries():

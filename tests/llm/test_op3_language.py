@@ -1,0 +1,52 @@
+"""Language mixtures: held-out accuracy and edge cases."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ticklake.llm import language_mixture as L
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    got = L.op3_language_mixture(spark, SF)
+    assert got.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    held = got.join(docs, "doc_id").where("held_out and lang is not null")
+    n, right = held.agg(F.count("*"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int"))).first()
+    assert n > 100 and right / n > 0.97
+    assert got.where("score < 0 or score > 1").count() == 0
+
+
+def test_mixture_shares():
+    text = {"a": "abab baba abba baab " * 20, "b": "xyxy yxyx xyyx yxxy " * 20}
+    counts = np.array([np.bincount(L.trigrams(t)[0], minlength=L.BINS) for t in text.values()], float)
+    m = L.LanguageModels(["a", "b"], counts)
+    assert m.proportions(text["a"]) == {"a": 1.0}
+    mixed = m.proportions("abab baba abba " * 30 + "xyxy yxyx " * 15)
+    assert abs(mixed["a"] - 0.75) < 0.02 and abs(mixed["b"] - 0.25) < 0.02
+    assert m.predict("12 34 !?") == ("und", 0.0, 0) and m.predict(None) == m.predict("") == ("und", 0.0, 0)
+
+
+def test_edges(spark):
+    rows = [(i, "abab baba abba", "a", "s") for i in range(40)] + [(100 + i, "xyxy yxyx xyyx", "b", "s") for i in range(40)]
+    rows += [(200, None, "a", "s"), (201, "", "b", "s"), (202, "12 ?", None, "s"), (None, "abab", "a", "s"), (203, "abab " * 60_000, None, "s"),
+             (203, "abab " * 60_000, None, "s"), (204, "abbabaab" * 30_000, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    got = L.identify(docs, L.fit(docs)).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    assert [by[i].lang_pred for i in (200, 201, 202, 203, 204, None, 3, 103)] == ["und", "und", "und", "a", "a", "a", "a", "b"]
+    assert L.identify(docs.limit(0), L.fit(docs)).count() == 0
+    empty = L.fit(docs.limit(0))
+    assert {r.lang_pred for r in L.identify(docs, empty).collect()} == {"und"}
+
+
+def test_no_held_out_row_is_fitted_on(spark):
+    """Labels of held-out rows do not change the models."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    other = docs.withColumn("lang", F.when(L.held_out(F.col("doc_id")), "xx").otherwise(F.col("lang")))
+    a, b = L.fit(docs), L.fit(other)
+    assert a.langs == b.langs and np.array_equal(a.counts, b.counts)

@@ -1,0 +1,55 @@
+"""Toxicity: held-out ranking, features and edge cases."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ticklake.llm import toxicity as T
+
+
+def auc(rows):
+    rows = sorted(rows)
+    bad = [y for _, y in rows]
+    below = ties = 0.0
+    pairs = sum(bad) * (len(bad) - sum(bad))
+    for s, y in rows:
+        if y:
+            below += sum(1 for t, z in rows if not z and t < s)
+            ties += sum(1 for t, z in rows if not z and t == s)
+    return (below + ties / 2) / pairs
+
+
+def test_held_out_auc(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    got = T.op7_toxicity(spark, sf)
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    rows = [(r.score, r.toxic) for r in got.join(labels, "doc_id").where("held_out").collect()]
+    assert len(rows) > 300 and auc(rows) > 0.95
+    assert all(0 <= s <= 1 for s, _ in rows)
+
+
+def test_features():
+    f = dict(zip(T.FEATURES, T.Features({"blarg": 3.0, "zork~": 2.0})("You IDIOT!! blarg zorkify 1d10t pl4in")))
+    assert f["seed_density"] == 2 / 6 and f["learned_density"] == 2 / 6 and f["strongest"] == 3.0
+    assert f["second_person_near"] == 3 / 6 and f["shouted_words"] == 1 / 6 and f["obfuscated"] > 0
+    assert T.Features({})(None) == T.Features({})("") and len(T.Features({})("")) == len(T.FEATURES)
+
+
+def test_edges(spark):
+    bad, good = "what a grumbly snark you are", "a fine day at the sea"
+    rows = [(i, bad if i % 2 else good, "x") for i in range(300)]
+    rows += [(1000, None, "x"), (1001, "", "x"), (None, bad, "x"), (1002, good + " fine" * 60_000, "x"), (1002, good, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)] + [(None, 1), (3, None), (5, 1)], "doc_id long, toxic int")
+    got = T.score_documents(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    by = {r.doc_id: r.predicted for r in got}
+    assert by[1] == 1 and by[2] == 0 and by[None] == 1 and by[1000] == by[1001] == by[1002] == 0
+    kept = T.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == 154
+    none = T.score_documents(docs, labels.limit(0)).agg(F.max("score")).first()[0]
+    assert none == 0.0
+    assert T.score_documents(docs.limit(0), labels).count() == 0
+    one_class = labels.where("toxic = 1")
+    assert T.score_documents(docs, one_class).agg(F.min("score")).first()[0] == 1.0

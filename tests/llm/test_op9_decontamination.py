@@ -1,0 +1,86 @@
+"""Positional index search against a plain scan of every window."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from ticklake.llm import decontaminate as D
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def plain_hits(docs, items, width=10):
+    windows = {}
+    for i, text in items:
+        w = plain_words(text)
+        for a in range(max(1, len(w) - width + 1)) if w else ():
+            windows.setdefault(tuple(w[a : a + width]), set()).add(i)
+    out = []
+    for doc_id, text in docs:
+        w = plain_words(text)
+        hit, found = set(), set()
+        for n in {len(x) for x in windows}:
+            for a in range(len(w) - n + 1):
+                if (ids := windows.get(tuple(w[a : a + n]))):
+                    hit |= set(range(a, a + n))
+                    found |= ids
+        names = ",".join(sorted(map(str, found)))
+        out.append((doc_id, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def test_equals_plain_scan(spark):
+    got = [tuple(r)[:6] for r in D.op9_decontamination(spark, SF).collect()]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()
+    want = plain_hits(docs, items)
+    assert sorted(got) == sorted(want)
+    assert any(r[5] for r in want)
+
+
+def test_edges_and_proximity(spark):
+    phrase = " ".join(f"w{i}" for i in range(14))
+    mixed = " ".join(f"w{i}" for i in (3, 1, 0, 2, 4, 5, 7, 6, 8, 9))
+    docs = [
+        (1, None, "n"), (2, "", "n"), (3, "?!", "n"), (4, phrase.upper() + " x", "n"), (4, phrase, "again"),
+        (5, "x short Item y", "n"), (6, mixed, "n"), (None, "short,item", "n"), (7, "w0 " * 50_000 + phrase, "long"),
+        (8, "short", "n"), (9, "item", "n"),
+    ]
+    bench = [(10, phrase), (2, "Short item"), (11, None), (12, "!!"), (10, phrase)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, n_hit string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.n_words): r for r in D.find_contamination(df, b).collect()}
+    assert sum(1 for _ in D.find_contamination(df, b).toLocalIterator()) == len(docs)
+    for doc_id, n, hit, items, sha, bad in plain_hits([d[:2] for d in docs], bench):
+        r = got[doc_id, n]
+        assert (r.n_hit, len(r.item_ids)) == (hit, items)
+        assert hashlib.sha256(",".join(r.item_ids).encode()).hexdigest() == sha
+    assert got[6, 10].item_ids == [] and got[6, 10].near_ids == ["10"]  # the words are there, in another order
+    kept = D.drop_contaminated(df, b)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 6, 8, 9]
+    assert D.find_contamination(df.limit(0), b).count() == 0
+    assert D.find_contamination(df, b.limit(0)).where("n_hit > 0").count() == 0
+    assert spark.createDataFrame([(1,)], "a int").count() == 1
+
+
+def test_matches_stay_inside_a_document(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, "b c d e")], "item_id long, text string")
+    assert [r.n_hit for r in D.find_contamination(docs, bench).collect()] == [0, 0]
+
+
+def test_large_test_set_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(D, "MAX_TEST_WORDS", 3)
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "b c d e")], "item_id long, text string")
+    with pytest.raises(ValueError):
+        D.find_contamination(docs, bench)

@@ -8,15 +8,16 @@ DataFrame functions only.
 2. Rates: document i with n_i tokens and posterior p_i gets a rate r_i >= 0, the
    expected number of its copies. Domain d then has the expected tokens
    A_d = sum_i r_i n_i p_id. Projected-gradient least squares lowers
-   sum_d (A_d - t_d)^2 / (2 t_d) towards the target totals t_d (targets under
-   ``LEAST_TARGET`` of the budget are weighed like that share): in the metric
-   weighted by n_i a step is r_i <- max(0, r_i - eta * p_i . g) with
-   g_d = (A_d - t_d) / t_d. One step is one aggregation of D sums; the D x D
-   matrix of sum_i n_i p_i p_i' gives the largest safe eta.
+   (A - t)' H (A - t) / 2 towards the target totals t: in the metric weighted by
+   n_i a step is r_i <- max(0, r_i - p_i . H (A - t)). H is the inverse of
+   M + diag(SOFTEN * t) with M = sum_i n_i p_i p_i', so that a full step never
+   overshoots and well-stocked domains settle in a few rounds, while a domain
+   with hardly a document does not rule the others. A round is one aggregation
+   of D sums.
 
 What the driver holds is D numbers per step. Rates start at 1, so documents
 are moved no further than the targets ask. A rate depends on the posterior
-alone, so it is computed beside the text, without a join.
+alone, so the steps are replayed beside each row, without a join.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,9 @@ from ticklake.llm.common import stored
 SAMPLE_ROWS = 20_000
 BINS = 16
 MAX_DOMAINS = 64
-MAX_ROUNDS = 80
+MAX_ROUNDS = 40
 TOLERANCE = 1e-3
+SOFTEN = 0.1
 LEAST_TARGET = 1e-3
 KEEP_EVERY = 10
 
@@ -64,12 +67,15 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     chars = F.greatest(F.length(t), F.lit(1)).cast("double")
     w, n = F.col("_mix_w"), F.col("_mix_n")
-    # what remains of a pattern's own signs: no string per match
-    x = [F.length(F.regexp_replace(t, "[^" + p[1:] + "+", "")) / chars for p in RATES.values()]
+    # one pass leaves the few signs that the classes tell apart; counting what
+    # remains of each class makes no string per match
+    of_class = lambda p: F.length(F.regexp_replace("_mix_t", "[^" + p[1:] + "+", ""))
+    x = [of_class(p) / chars for p in RATES.values()]
     x += [chars / (n + 1), F.size(F.array_distinct(w)) / F.size(w), F.log1p(n.cast("double"))]
     return (
-        docs.withColumn("_mix_w", F.split(t, r"\s+")).withColumn("_mix_n", tokens_of(w))
-        .withColumn("_mix_x", F.array(*(c.cast("double") for c in x))).drop("_mix_w")
+        docs.withColumn("_mix_t", F.regexp_replace(t, r"[a-z\s]+", ""))
+        .withColumn("_mix_w", F.split(t, r"\s+")).withColumn("_mix_n", tokens_of(w))
+        .withColumn("_mix_x", F.array(*(c.cast("double") for c in x))).drop("_mix_w", "_mix_t")
     )
 
 
@@ -155,7 +161,7 @@ class Mixture:
     targets: list[float]  # tokens per domain
     before: list[float]  # domain tokens at rate 1
     after: list[float] = field(default_factory=list)
-    steps: list[list[float]] = field(default_factory=list)  # eta * g of each round
+    steps: list[list[float]] = field(default_factory=list)  # H (A - t) of each round
 
     def rate(self, p: Column, steps: list[list[float]] | None = None, start: Column | None = None) -> Column:
         """Replays the projected steps for a posterior array."""
@@ -181,7 +187,7 @@ def solve(mass: DataFrame, table: DomainTable, weights: dict[str, float], budget
     ``weights`` are normalised over the table's domains (a domain without a
     weight gets 0); ``budget`` is the wanted number of tokens, by default all
     there are. Ends when every total is within ``tolerance`` of the budget
-    from its target, or after ``max_rounds`` (unreachable targets).
+    from its target, or when the totals stand still (targets out of reach).
     """
     size = len(table.domains)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
@@ -196,54 +202,54 @@ def solve(mass: DataFrame, table: DomainTable, weights: dict[str, float], budget
     mix = Mixture(table, [budget * w / (sum(given) or 1.0) for w in given], before, before)
     if not budget:
         return mix
-    scale = [math.sqrt(max(t, LEAST_TARGET * budget)) for t in mix.targets]
-    gram = [[(sums[f"m{min(i, j)}_{max(i, j)}"] or 0.0) / scale[i] / scale[j] for j in range(size)] for i in range(size)]
-    eta = 1.0 / max(sum(map(abs, row)) for row in gram)  # row sums bound the largest eigenvalue
+    gram = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(size)] for i in range(size)])
+    soft = SOFTEN * np.maximum(mix.targets, LEAST_TARGET * budget)
+    inverse = np.linalg.inv(gram + np.diag(soft))
     held, kept = mass.withColumn("r", F.lit(1.0)), 0
     for k in range(max_rounds):
         off = [a - t for a, t in zip(mix.after, mix.targets)]
         if max(map(abs, off)) <= tolerance * budget:
             break
-        mix.steps.append([eta * o / s / s for o, s in zip(off, scale)])
+        mix.steps.append((inverse @ np.array(off)).tolist())
         now = mix.rate(p, mix.steps[kept:], F.col("r"))
         if len(mix.steps) - kept == KEEP_EVERY:
             held, kept, now = stored(held.withColumn("r", now), "rates"), len(mix.steps), F.col("r")
         got = held.withColumn("_now", now).agg(*(F.sum(F.col("_now") * n * p[i]) for i in range(size))).first()
-        mix.after = [v or 0.0 for v in got]
+        last, mix.after = mix.after, [v or 0.0 for v in got]
+        if max(abs(a - b) for a, b in zip(last, mix.after)) <= tolerance * budget / 20:
+            break
     return mix
 
 
-def fit_mixture(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None) -> Mixture:
-    table = fit_domains(docs, labelled)
-    if not table.domains:
-        return Mixture(table, [], [])
-    found = table.with_posterior(with_features(docs.select("text")))
-    mass = stored(found.select(F.col("_mix_n").alias("n"), F.col("_mix_p").alias("p")), "mass")
-    return solve(mass, table, weights, budget)
+ADDED = ("n_tokens", "domain", "posterior", "rate")
 
 
-def with_rates(docs: DataFrame, mix: Mixture) -> DataFrame:
-    """``docs`` plus n_tokens, domain (likeliest), posterior (map) and rate.
+def mix(docs: DataFrame, table: DomainTable, weights: dict[str, float], budget: float | None = None,
+        carry: list[str] | None = None) -> tuple[DataFrame, Mixture]:
+    """Rows of ``docs`` (columns ``carry``, by default all) plus n_tokens, domain
+    (likeliest), posterior (map) and rate; and the solution.
 
     Null and empty texts have no tokens and the posterior of an empty text;
     repeated rows get the same rate; with no labelled document every rate is 1
-    and the domain null. Extra columns pass through (but for the added names).
+    and the domain null; an empty table gives no rows. Columns that are named
+    like the added ones are replaced.
     """
-    added = ("n_tokens", "domain", "posterior", "rate")
-    own = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added))
-    names = own.columns
-    if not mix.table.domains:
-        return own.select(
-            *names, tokens_of(F.split(F.coalesce("text", F.lit("")), r"\s+")).alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
+    names = [c for c in carry or docs.columns if c not in ADDED]
+    if not table.domains:
+        return with_features(docs).select(
+            *names, F.col("_mix_n").alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
             F.lit(None).cast("map<string,double>").alias("posterior"), F.lit(1.0).alias("rate"),
-        )
-    domains = F.array(*map(F.lit, mix.table.domains))
+        ), Mixture(table, [], [])
+    found = table.with_posterior(with_features(docs)).select(*names, "_mix_n", "_mix_p")
+    held = stored(found, "posteriors")  # texts are read once
     p = F.col("_mix_p")
-    return mix.table.with_posterior(with_features(own)).select(
+    solved = solve(held.select(F.col("_mix_n").alias("n"), p.alias("p")), table, weights, budget)
+    domains = F.array(*map(F.lit, table.domains))
+    return held.select(
         *names, F.col("_mix_n").alias("n_tokens"),
         F.element_at(domains, F.array_position(p, F.array_max(p)).cast("int")).alias("domain"),
-        F.map_from_arrays(domains, p).alias("posterior"), mix.rate(p).alias("rate"),
-    )
+        F.map_from_arrays(domains, p).alias("posterior"), solved.rate(p).alias("rate"),
+    ), solved
 
 
 # The query's domains are language/quality of the labelled documents, its
@@ -261,10 +267,11 @@ def quality_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return lang.join(quality, "doc_id").select("doc_id", F.concat_ws("/", "lang", F.col("quality").cast("string")).alias("domain"))
 
 
-def mix_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
-    """``docs`` with rates that bring the domains to ``weights``."""
-    mix = fit_mixture(docs, stored(quality_domains(docs, labels), "domains"), weights)
-    return with_rates(docs, mix)
+def mix_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS,
+                  carry: list[str] | None = None) -> DataFrame:
+    """``docs`` with rates that bring the domains to ``weights`` (see ``mix``)."""
+    table = fit_domains(docs, stored(quality_domains(docs, labels), "domains"))
+    return mix(docs, table, weights, carry=carry)[0]
 
 
 def op1_soft_mixing(spark, sf_dir):
@@ -272,4 +279,4 @@ def op1_soft_mixing(spark, sf_dir):
     from ticklake.llm.common import table
 
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return mix_documents(docs.select("doc_id", "text", "lang"), labels).drop("text", "lang")
+    return mix_documents(docs.select("doc_id", "text", "lang"), labels, carry=["doc_id"])

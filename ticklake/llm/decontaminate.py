@@ -20,8 +20,8 @@ The test set is broadcast; its size is checked, a test set of over
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,40 +32,43 @@ from ticklake.llm.common import stored
 
 WINDOW = 10
 SLOP = 5
-SHARD_WORDS = 400_000
+SHARD_WORDS = 1_000_000
+CANDIDATES = 1_000_000  # positions that are compared at once
 SHARD_DOCS = 4096
 MAX_TEST_WORDS = 2_000_000
 GAP = 64  # positions left free after each document; above a window plus slop
 
-# Fixed value: the word pattern of the contract, after A-Z are lower-cased.
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Words in UTF-8: runs of 0-9, a-z and bytes of non-ASCII letters, once A-Z are
+# lower-cased; every other byte becomes a blank.
+_WORDS = bytes(
+    c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
+)
 
 INDEX = (
     "doc_ids array<bigint>, doc_null array<boolean>, n_words array<bigint>, "
-    "terms array<string>, n_postings array<int>, postings binary"
+    "terms array<binary>, n_postings array<int>, postings binary"
 )
 _ARROW = pa.schema([
     ("doc_ids", pa.list_(pa.int64())), ("doc_null", pa.list_(pa.bool_())), ("n_words", pa.list_(pa.int64())),
-    ("terms", pa.list_(pa.string())), ("n_postings", pa.list_(pa.int32())), ("postings", pa.binary()),
+    ("terms", pa.list_(pa.binary())), ("n_postings", pa.list_(pa.int32())), ("postings", pa.binary()),
 ])
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.translate(_LOWER)) if text else []
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.translate(_WORDS).split() if text else []
 
 
-def test_items(bench: DataFrame) -> list[tuple[int, list[str]]]:
+def test_items(bench: DataFrame) -> list[tuple[int, list[bytes]]]:
     """The test set's word lists (items without words have no window).
 
     Collected because it is the stated query set; ``search`` checks its size.
     Repeated item_ids count as one item with all their windows.
     """
-    rows = bench.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator()
-    return [(i, w) for i, t in rows if (w := words_of(t))]
+    rows = bench.where("item_id is not null and text is not null").select("item_id", F.col("text").cast("binary"))
+    return [(i, w) for i, t in rows.toLocalIterator() if (w := words_of(bytes(t)))]
 
 
-def build_index(docs: DataFrame, vocabulary: set[str]) -> DataFrame:
+def build_index(docs: DataFrame, vocabulary: set[bytes]) -> DataFrame:
     """Shard rows of the positional index over ``docs`` (doc_id, text).
 
     A shard closes at ``SHARD_WORDS`` words or ``SHARD_DOCS`` documents; a
@@ -83,7 +86,7 @@ def build_index(docs: DataFrame, vocabulary: set[str]) -> DataFrame:
                 for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                     got = words_of(text)
                     docs_.append((doc_id, len(got)))
-                    tokens.append(np.fromiter((ids.get(w, -1) for w in got), np.int32, len(got)))
+                    tokens.append(np.fromiter(map(ids.get, got, repeat(-1)), np.int32, len(got)))
                     size += len(got)
                     if size >= SHARD_WORDS or len(docs_) >= SHARD_DOCS:
                         yield _shard(docs_, tokens, names)
@@ -91,7 +94,7 @@ def build_index(docs: DataFrame, vocabulary: set[str]) -> DataFrame:
         if docs_:
             yield _shard(docs_, tokens, names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, INDEX)
+    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, INDEX)
 
 
 def _shard(docs_, tokens, names) -> pa.RecordBatch:
@@ -113,7 +116,7 @@ def _shard(docs_, tokens, names) -> pa.RecordBatch:
 class Windows:
     """The test set's windows as arrays of term numbers (-1 pads short items)."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], width: int = WINDOW):
+    def __init__(self, items: list[tuple[int, list[bytes]]], width: int = WINDOW):
         assert width + SLOP < GAP
         self.items = sorted({i for i, _ in items})
         number = {w: k for k, w in enumerate(sorted({w for _, ws in items for w in ws}))}
@@ -131,76 +134,86 @@ class Windows:
 
 def search_shard(win: Windows, row: dict, slop: int) -> dict[str, np.ndarray]:
     """Per document of one shard: hit words and the (document, item) pairs of
-    phrase and proximity matches."""
+    phrase and proximity matches. All windows walk their lists side by side."""
     many = np.asarray(row["n_postings"], np.int64)
     wide = np.int32 if row["postings"][:1] == b"\4" else np.int64
-    lists = np.split(np.frombuffer(row["postings"], wide, offset=1).astype(np.int64), np.cumsum(many)[:-1]) if len(many) else []
+    position = np.frombuffer(row["postings"], wide, offset=1).astype(np.int64) + GAP
+    n_words = np.asarray(row["n_words"], np.int64)
+    doc_start = np.cumsum(n_words + GAP) - n_words  # the first position of each document
+    room = int((n_words + GAP).sum()) + 3 * GAP
+    # every posting as one number, rising: list * room + position
+    key = np.repeat(np.arange(len(many)), many) * room + position
+    head = np.cumsum(many) - many
     of_term = np.full(len(win.number) + 1, -1, np.int64)  # the last one answers for padding
     for k, t in enumerate(row["terms"]):
         if t in win.number:
             of_term[win.number[t]] = k
-    slots = of_term[win.term]
-    size = np.where(win.term < 0, np.iinfo(np.int64).max, np.where(slots < 0, 0, many[slots] if len(many) else 0))
-    n_words = np.asarray(row["n_words"], np.int64)
-    start = np.cumsum(n_words + GAP) - n_words - GAP
+    lists = of_term[win.term]
+    size = np.where(win.term < 0, np.iinfo(np.int64).max, np.where(lists < 0, 0, many[lists] if len(many) else 0))
     live = np.flatnonzero(size.min(1) > 0)
-    hit = np.zeros(int((n_words + GAP).sum()) + 1, np.int32)
+    order = np.argsort(size[live], 1, kind="stable")  # rarest first
+    length = (win.term[live] >= 0).sum(1)
+    hit = np.zeros(room, np.int32)
     phrase, near = [], []
-    for w in live:
-        order = np.argsort(size[w], kind="stable")
-        order = order[win.term[w][order] >= 0]
-        anchor = order[0]
-        base = lists[slots[w][anchor]]
-        at, close = base - anchor, base
-        span = len(order) + slop
-        for k in order[1:]:
-            if len(close):
-                close = close[_has_near(lists[slots[w][k]], close, span - 1)]
-            if len(at):
-                at = at[_contains(lists[slots[w][k]], at + k)]
-            if not len(close) and not len(at):
-                break
-        if len(at):
-            hit[at] += 1
-            hit[at + len(order)] -= 1
-            phrase.append((np.searchsorted(start, at, side="right") - 1, win.item[w]))
-        if len(close):
-            close = close[_one_span(win.term[w][order], [lists[slots[w][k]] for k in order], close, span)]
-        if len(close):
-            near.append((np.searchsorted(start, close, side="right") - 1, win.item[w]))
-    covered = np.r_[0, np.cumsum(np.cumsum(hit)[:-1] > 0)]
-    return {
-        "n_hit": covered[start + n_words] - covered[start],
-        "phrase": _pairs(phrase),
-        "near": _pairs(near),
-    }
-
-
-def _contains(sorted_list: np.ndarray, x: np.ndarray) -> np.ndarray:
-    k = np.minimum(np.searchsorted(sorted_list, x), len(sorted_list) - 1)
-    return sorted_list[k] == x
-
-
-def _has_near(sorted_list: np.ndarray, x: np.ndarray, far: int) -> np.ndarray:
-    k = np.searchsorted(sorted_list, x - far)
-    return sorted_list[np.minimum(k, len(sorted_list) - 1)] <= x + far if len(sorted_list) else np.zeros(len(x), bool)
-
-
-def _one_span(terms, lists, anchors, span) -> np.ndarray:
+    if len(live):
+        rare = lists[live, order[:, 0]]
+        block = np.cumsum(many[rare]) // CANDIDATES
+        for b in np.unique(block):
+            some = np.flatnonzero(block == b)
+            w = np.repeat(some, many[rare[some]])
+            at = position[np.concatenate([np.arange(head[r], head[r] + many[r]) for r in rare[some]])]
+            begin, wp = _offset_intersection(key, room, lists[live], order, length, w, at)
+            np.add.at(hit, begin, 1)
+            np.add.at(hit, begin + length[wp], -1)
+            phrase.append((np.searchsorted(doc_start, begin, side="right") - 1, win.item[live[wp]]))
+            # a phrase match is a proximity match; only the others are looked at
+            near.append(phrase[-1])
+            far = ~np.isin(w * room + at, wp * room + begin + order[wp, 0])
+            for u, close in _near(key, room, lists[live], order, length, w[far], at[far], slop):
+                near.append((np.searchsorted(doc_start, close, side="right") - 1, np.full(len(close), win.item[live[u]])))
+    covered = np.r_[0, np.cumsum(np.cumsum(hit) > 0)]
+    return {"n_hit": covered[doc_start + n_words] - covered[doc_start], "phrase": _pairs(phrase), "near": _pairs(near)}
+
+
+def _offset_intersection(key, room, lists, order, length, w, at):
+    """Starts of the windows ``w`` that hold all their words in a row, from the
+    positions ``at`` of each one's rarest word."""
+    begin = at - order[w, 0]
+    for k in range(1, order.shape[1]):
+        off = order[w, k]
+        want = lists[w, off] * room + begin + off
+        found = np.searchsorted(key, want)
+        ok = (key[np.minimum(found, len(key) - 1)] == want) | (k >= length[w])
+        w, begin = w[ok], begin[ok]
+    return begin, w
+
+
+def _near(key, room, lists, order, length, w, at, slop):
+    """(window, positions of its rarest word) where all its words are close."""
+    for k in range(1, order.shape[1]):
+        far = length[w] + slop - 1
+        base = lists[w, order[w, k]] * room + at
+        found = np.searchsorted(key, base - far)
+        ok = (key[np.minimum(found, len(key) - 1)] <= base + far) & (found < len(key)) | (k >= length[w])
+        w, at = w[ok], at[ok]
+    for u in np.unique(w):
+        own = lists[u, order[u, : length[u]]]
+        here = at[w == u]
+        here = here[_one_span(key, room, own, here, length[u] + slop)]
+        if len(here):
+            yield u, here
+
+
+def _one_span(key, room, own, anchors, span) -> np.ndarray:
     """Whether some ``span`` consecutive positions around the anchor hold every
     word of the window, a repeated word as often as it occurs there."""
-    need: dict[int, int] = {}
-    of: dict[int, np.ndarray] = {}
-    for t, l in zip(terms, lists):
-        need[t] = need.get(t, 0) + 1
-        of[t] = l
+    need = dict(zip(*np.unique(own, return_counts=True)))
     out = np.zeros(len(anchors), bool)
     for left in range(span):
         low = anchors - left
         ok = ~out
-        for t, n in need.items():
-            have = np.searchsorted(of[t], low + span) - np.searchsorted(of[t], low)
-            ok &= have >= n
+        for l, n in need.items():
+            ok &= np.searchsorted(key, l * room + low + span) - np.searchsorted(key, l * room + low) >= n
         out |= ok
     return out
 
@@ -209,7 +222,7 @@ def _pairs(found) -> np.ndarray:
     """Distinct (document number, item number) rows."""
     if not found:
         return np.zeros((0, 2), np.int64)
-    flat = np.concatenate([np.stack([d, np.full(len(d), i)], 1) for d, i in found])
+    flat = np.concatenate([np.stack([d, i], 1) for d, i in found])
     return np.unique(flat, axis=0)
 
 
@@ -218,7 +231,7 @@ _HITS = (
 )
 
 
-def search(index: DataFrame, items: list[tuple[int, list[str]]], width: int = WINDOW, slop: int = SLOP) -> DataFrame:
+def search(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int = WINDOW, slop: int = SLOP) -> DataFrame:
     """``(doc_id, n_words, n_hit, item_ids, near_ids)`` per document of the index.
 
     item_ids: the items with an occurring window, as strings, sorted; near_ids:

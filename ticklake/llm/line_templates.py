@@ -36,13 +36,16 @@ MIN_DOCS = 2
 MIN_TOKENS = 4
 CHUNK = 2000
 SHARD_LINES = 20_000
+BROADCAST_LEAVES = 2_000_000  # of 16 bytes; beyond it the join shuffles
 FIELD = "<*>"
 
 
 def masked(line: Column) -> Column:
     """The line's tokens joined by single blanks, digit-bearing ones as ``<*>``."""
     blanks = F.btrim(F.regexp_replace(line, r"\s+", " "))
-    return F.when(blanks.rlike("[0-9]"), F.regexp_replace(blanks, r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(blanks)
+    changed = F.regexp_replace(blanks, r"[^ ]*[0-9][^ ]*", FIELD)
+    # most lines hold neither digits nor odd blanks: one look tells
+    return F.when(line.rlike(r"[0-9\t\x0B\f\r]|  |^ | $"), changed).otherwise(line)
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -54,7 +57,7 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     doc = F.coalesce("doc_id", F.lit(NO_ID))
     lines = docs.where("text is not null").select(doc.alias("doc"), F.explode(F.array_distinct(F.split("text", "\n"))).alias("l"))
     cut = lines.select("doc", masked(F.col("l")).alias("masked")).where(F.length("masked") >= 2 * MIN_TOKENS - 1)
-    n_tokens = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
+    n_tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     leaf = F.xxhash64(n_tokens, F.substring_index("masked", " ", LEADING))
     return cut.where(n_tokens >= MIN_TOKENS).select("doc", leaf.alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
@@ -136,7 +139,10 @@ def templates(lines: DataFrame, similarity: float = SIMILARITY, chunk: int = CHU
     crowded = stored(
         distinct.groupBy("leaf").agg(F.count("*").alias("lines")).where("lines > 1"), "leaves"
     )
-    wanted = lines.select("leaf", "line", "masked").join(crowded, "leaf")
+    # few lines lie in such leaves; while the leaves fit a broadcast, the texts
+    # of the others are not shuffled
+    few = crowded.count() <= BROADCAST_LEAVES
+    wanted = lines.select("leaf", "line", "masked").join(F.broadcast(crowded) if few else crowded, "leaf")
     # one text per line: equal hashes are taken as equal lines
     once = wanted.groupBy("leaf", "line").agg(F.first("masked").alias("masked"), F.first("lines").alias("lines"))
     group = F.pmod(F.xxhash64("line"), F.ceil(F.col("lines") / chunk)).cast("int")

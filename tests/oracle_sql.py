@@ -151,44 +151,21 @@ health AS (
 )"""
 
 OPEN_CLOSE = """
-open_close AS (
-  SELECT pair, minute_bucket,
-         min(CASE WHEN rn_asc = 1 THEN price END)  AS open_price,
-         min(CASE WHEN rn_desc = 1 THEN price END) AS close_price
-  FROM (
-    SELECT pair, date_trunc('minute', trade_ts_utc) AS minute_bucket, price,
-      row_number() OVER (PARTITION BY pair, date_trunc('minute', trade_ts_utc)
-                         ORDER BY trade_ts_ms ASC, trade_id ASC)   AS rn_asc,
-      row_number() OVER (PARTITION BY pair, date_trunc('minute', trade_ts_utc)
-                         ORDER BY trade_ts_ms DESC, trade_id DESC) AS rn_desc
-    FROM stg
-  )
-  GROUP BY 1, 2
-)"""
-
-CANDLES_JOIN = """
-agg AS (
+ends AS (
   SELECT pair, date_trunc('minute', trade_ts_utc) AS minute_bucket,
-         count(*) AS trade_count, sum(qty) AS total_qty, sum(price * qty) AS notional_usdt,
-         sum(price * qty) / nullif(sum(qty), 0) AS vwap,
-         min(price) AS low_price, max(price) AS high_price
-  FROM stg GROUP BY 1, 2
+    arg_min(price, row(trade_ts_ms, trade_id)) AS open_price,
+    arg_max(price, row(trade_ts_ms, trade_id)) AS close_price
+  FROM stg GROUP BY ALL
 )"""
 
-LATENCY_WINDOWED = """
-SELECT DISTINCT pair, minute_bucket,
-  count(*) OVER w                                                    AS trade_count,
-  round(avg(CAST(latency_seconds AS DOUBLE)) OVER w, 6)              AS avg_latency_s,
-  min(latency_seconds) OVER w                                        AS min_latency_s,
-  max(latency_seconds) OVER w                                        AS max_latency_s,
-  (round(quantile_cont(latency_seconds, 0.95) OVER w, 6) + 0.0)              AS p95_latency_s,
-  (round(quantile_cont(latency_seconds, 0.99) OVER w, 6) + 0.0)              AS p99_latency_s
-FROM (
-  SELECT pair, date_trunc('minute', trade_ts_utc) AS minute_bucket,
-         date_sub('second', trade_ts_utc, ingested_at_utc) AS latency_seconds
-  FROM stg WHERE ingested_at_utc IS NOT NULL
-)
-WINDOW w AS (PARTITION BY pair, minute_bucket)"""
+LATENCY_GROUPED = """
+SELECT pair, date_trunc('minute', trade_ts_utc) AS minute_bucket,
+  count(*) AS trade_count,
+  round(avg(CAST(s AS DOUBLE)), 6) AS avg_latency_s, min(s) AS min_latency_s, max(s) AS max_latency_s,
+  (round(quantile_cont(s, 0.95), 6) + 0.0) AS p95_latency_s,
+  (round(quantile_cont(s, 0.99), 6) + 0.0) AS p99_latency_s
+FROM (SELECT *, date_sub('second', trade_ts_utc, ingested_at_utc) AS s FROM stg WHERE ingested_at_utc IS NOT NULL)
+GROUP BY ALL"""
 
 SLICE_START_30 = f"{AS_OF} - INTERVAL 30 MINUTE"
 SLICE_START_1440 = f"{AS_OF} - INTERVAL 1440 MINUTE"
@@ -239,7 +216,7 @@ def _quality_body() -> str:
 CHECKED = """
 checked AS (
   SELECT *,
-    CASE trade_id % 13
+    CASE trade_id % 17
       WHEN 0 THEN 'missing_key:price'
       WHEN 1 THEN 'type:price'
       WHEN 2 THEN 'type:trade_id'
@@ -249,6 +226,10 @@ checked AS (
       WHEN 7 THEN 'invalid_json'
       WHEN 8 THEN 'not_object'
       WHEN 10 THEN 'missing_key:symbol'
+      WHEN 13 THEN 'range:trade_ts'
+      WHEN 14 THEN 'range:trade_ts'
+      WHEN 15 THEN 'range:trade_ts'
+      WHEN 16 THEN 'range:trade_ts'
     END AS error,
     CAST(trade_id % 3 AS INTEGER) AS partition,
     trade_id AS "offset"
@@ -275,7 +256,7 @@ SELECT 'crypto.trades.v1:' || CAST(partition AS VARCHAR) AS key,
   'crypto.trades.v1' AS topic, partition, "offset", make_timestamp(trade_ts * 1000) AS "timestamp"
 FROM (
   SELECT *,
-    CASE trade_id % 13
+    CASE trade_id % 17
       WHEN 7 THEN '{bad' || event_id
       WHEN 8 THEN '[' || CAST(trade_id AS VARCHAR) || ']'
       ELSE substring('{"schema_version":1,"event_id":"' || event_id || '","source":"synthetic","ingested_at":"'
@@ -349,8 +330,7 @@ WIDE_COLS = f"""{CANDLES_COLS}, {r('avg_price', 'avg_price')},
 
 STREAM_MARTS = f"""
 SELECT {WIDE_COLS.replace('trade_count,', 'm.trade_count AS trade_count,', 1).replace('pair, minute_bucket,', 'm.pair, m.minute_bucket,', 1)}
-FROM minute_agg m LEFT JOIN latency_agg l ON m.pair = l.pair AND m.minute_bucket = l.minute_bucket
-WHERE m.minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(trade_ts_utc) FROM stg) - INTERVAL 1 MINUTE"""
+FROM minute_agg m LEFT JOIN latency_agg l ON m.pair = l.pair AND m.minute_bucket = l.minute_bucket"""
 
 ROLLING = """
 SELECT pair, window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS trade_count
@@ -370,15 +350,9 @@ ORACLE_SQL: dict[str, str] = {
     "fct_pipeline_health_5m": with_stg("SELECT * FROM health", HEALTH),
     "open_close_row_number": with_stg(
         "SELECT pair, minute_bucket, (round(open_price, 6) + 0.0) AS open_price, "
-        "(round(close_price, 6) + 0.0) AS close_price FROM open_close", OPEN_CLOSE),
-    "candles_window_join_form": with_stg(
-        f"""SELECT a.pair, a.minute_bucket, (round(o.open_price, 6) + 0.0) AS open_price,
-          (round(a.high_price, 6) + 0.0) AS high_price, (round(a.low_price, 6) + 0.0) AS low_price,
-          (round(o.close_price, 6) + 0.0) AS close_price, (round(a.vwap, 6) + 0.0) AS vwap, a.trade_count,
-          (round(a.total_qty, 6) + 0.0) AS total_qty, (round(a.notional_usdt, 6) + 0.0) AS notional_usdt
-        FROM agg a JOIN open_close o ON a.pair = o.pair AND a.minute_bucket = o.minute_bucket""",
-        CANDLES_JOIN, OPEN_CLOSE),
-    "latency_window_distinct_form": with_stg(LATENCY_WINDOWED),
+        "(round(close_price, 6) + 0.0) AS close_price FROM ends", OPEN_CLOSE),
+    "candles_window_join_form": with_stg(f"SELECT {CANDLES_COLS} FROM minute_agg", MINUTE_AGG),
+    "latency_window_distinct_form": with_stg(LATENCY_GROUPED),
     "list_pairs": with_stg(
         "SELECT pair FROM (SELECT DISTINCT pair FROM minute_agg "
         "UNION ALL SELECT 'BTCUSDT' WHERE NOT EXISTS (SELECT 1 FROM minute_agg)) ORDER BY 1",
@@ -443,5 +417,80 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
+# -- whole jobs ---------------------------------------------------------------
+
+MINIMAL = """
+SELECT "offset", partition, error,
+  CASE WHEN error IS NULL THEN symbol END AS symbol, CASE WHEN error IS NULL THEN trade_id END AS trade_id,
+  CASE WHEN error IS NULL THEN trade_ts END AS trade_ts, CASE WHEN error IS NULL THEN round(price, 6) END AS price,
+  CASE WHEN error IS NULL THEN round(qty, 6) END AS qty
+FROM (
+  SELECT trade_id AS "offset", CAST(trade_id % 3 AS INTEGER) AS partition, *,
+    CASE trade_id % 17
+      WHEN 0 THEN 'missing_key:price' WHEN 5 THEN 'type:trade_ts' WHEN 6 THEN 'type:symbol' WHEN 7 THEN 'invalid_json'
+      WHEN 8 THEN 'not_object' WHEN 10 THEN 'missing_key:symbol'
+      WHEN 13 THEN 'range:trade_ts' WHEN 14 THEN 'range:trade_ts' WHEN 15 THEN 'range:trade_ts' WHEN 16 THEN 'range:trade_ts'
+    END AS error
+  FROM trades)"""
+
+LANDED_DLQ = """
+SELECT 'crypto.trades.v1:' || CAST(partition AS VARCHAR) AS key, 'crypto.trades.v1' AS topic, partition, "offset", error,
+  TRUE AS payload_whole
+FROM checked WHERE error IS NOT NULL"""
+
+# every second trade on the next day
+TWO_DAYS = STG.replace("stg AS (", "stg AS (", 1).replace(
+    "FROM trades\n", "FROM (SELECT * REPLACE (trade_ts + CASE WHEN trade_id % 2 = 1 THEN 86400000 ELSE 0 END AS trade_ts) FROM trades)\n")
+
+CATALOG = """
+SELECT 'fct_trades_1m' AS mart, pair, minute_bucket AS "at", trade_count AS n FROM minute_agg
+UNION ALL SELECT 'fct_candles_1m', pair, minute_bucket, trade_count FROM minute_agg
+UNION ALL SELECT 'fct_orderflow_1m', pair, minute_bucket, trade_count FROM minute_agg
+UNION ALL SELECT 'fct_ingestion_latency_1m', pair, minute_bucket, trade_count FROM latency_agg
+UNION ALL SELECT 'fct_pipeline_health_5m', pair, max_trade_ts_utc, CAST(trades_last_5m AS BIGINT) FROM health"""
+
+FEED = """
+feed AS (
+  SELECT *, CASE trade_id % 7 WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'missing_key:p' WHEN 2 THEN 'type:price'
+      WHEN 3 THEN 'type:trade_ts' WHEN 4 THEN 'range:trade_ts' END AS error
+  FROM trades
+)"""
+
+_SLICE = "pair = 'CLICK' AND minute_bucket >="
+
+ORACLE_SQL |= {
+    "contract_minimal": with_trades(MINIMAL),
+    "stream_land_lake": with_trades(LAKE_SELECT.replace("FROM trades", "FROM checked WHERE error IS NULL"), CHECKED),
+    "stream_land_dlq": with_trades(LANDED_DLQ, CHECKED),
+    "land_compact_read": with_trades(LAKE_SELECT),
+    "land_external_table": with_trades(LAKE_SELECT),
+    "catalog_after_incremental": "WITH " + ",\n".join([TRADES, TWO_DAYS, MINUTE_AGG, LATENCY_AGG, HEALTH]) + CATALOG,
+    "health_table": with_stg("SELECT * FROM health ORDER BY pair", HEALTH),
+    "missing_marts": "SELECT unnest(['fct_orderflow_1m', 'fct_trades_1m']) AS mart",
+    "nightly_checks": with_stg(
+        _quality_body() + "\nUNION ALL\nSELECT 'stg_trades', 'trade_key', 'unique', "
+        "(SELECT count(*) FROM (SELECT trade_key FROM stg GROUP BY 1 HAVING count(*) > 1))",
+        MINUTE_AGG, LATENCY_AGG, HEALTH, QUALITY_TABLES),
+    "candles_slice_stored": with_stg(f"SELECT {CANDLES_COLS} FROM minute_agg WHERE {_SLICE} {SLICE_START_30}", MINUTE_AGG),
+    "orderflow_slice_stored": ORACLE_SQL["orderflow_slice"],
+    "trades_slice_stored": with_stg(
+        f"SELECT {TRADES_COLS} FROM minute_agg WHERE {_SLICE} {SLICE_START_1440} ORDER BY minute_bucket DESC LIMIT 20", MINUTE_AGG),
+    "late_reconciled": with_stg(f"SELECT * EXCLUDE (avg_price) FROM ({STREAM_MARTS})", MINUTE_AGG, LATENCY_AGG),
+    "unkeyed_range_read": ORACLE_SQL["lake_range_read"],
+    "publish_feed": with_trades(
+        "SELECT symbol AS key, symbol, trade_id, trade_ts, (round(price, 6) + 0.0) AS price, (round(qty, 6) + 0.0) AS qty, "
+        "is_buyer_maker FROM feed WHERE error IS NULL", FEED),
+    "publish_dlq": with_trades(
+        """SELECT 'feed:0' AS key, error, CASE WHEN error = 'invalid_json' THEN '{nope' || trade_id ELSE
+          '{"e":"trade","E":' || (trade_ts + 5) || ',"s":"' || symbol || '","t":' || trade_id
+          || CASE error WHEN 'missing_key:p' THEN '' WHEN 'type:price' THEN ',"p":"x"' ELSE ',"p":"' || price || '"' END
+          || ',"q":"' || qty || '","T":' || CASE error WHEN 'type:trade_ts' THEN 'null'
+             WHEN 'range:trade_ts' THEN trade_ts || '000000' ELSE trade_ts || '' END
+          || ',"m":' || is_buyer_maker || '}' END AS text
+        FROM feed WHERE error IS NOT NULL""", FEED),
+    "refresh_deduped": with_stg(f"SELECT {CANDLES_COLS} FROM minute_agg", MINUTE_AGG),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)

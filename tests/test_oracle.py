@@ -7,13 +7,14 @@ from conftest import ORACLE_DIR, SMOKE_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle_check import compare
+from ticklake.plans import registry
 
-QUERIES = queries()
+QUERIES = registry.queries()
 SQL = oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(queries())
     assert set(QUERIES) - set(SQL) == set()
 
 

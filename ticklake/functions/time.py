@@ -9,6 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ticklake.functions.util import as_col
+from ticklake.schema import TRADE_TS_MAX_MS
+
+
+def _sane(ms) -> Column:
+    """Epoch ms as BIGINT; NULL beyond year 9999 either way, so that a value in
+    the wrong unit (ns, µs) becomes a missing time instead of an overflow."""
+    ms = as_col(ms).cast("long")
+    return F.when(ms.between(-TRADE_TS_MAX_MS, TRADE_TS_MAX_MS), ms)
 
 
 def epoch_ms_to_ts_seconds(ms) -> Column:
@@ -17,12 +25,12 @@ def epoch_ms_to_ts_seconds(ms) -> Column:
     Integer division truncates toward zero, then seconds are added to
     1970-01-01 (milliseconds are dropped, as in the staging contract).
     """
-    return F.timestamp_seconds(F.call_function("div", as_col(ms).cast("long"), F.lit(1000)))
+    return F.timestamp_seconds(F.call_function("div", _sane(ms), F.lit(1000)))
 
 
 def epoch_ms_to_ts(ms) -> Column:
     """Epoch ms -> TIMESTAMP keeping milliseconds."""
-    return F.timestamp_millis(as_col(ms).cast("long"))
+    return F.timestamp_millis(_sane(ms))
 
 
 def iso_to_ts(text) -> Column:

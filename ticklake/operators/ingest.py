@@ -17,7 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.time import iso_utc_string, partition_values
-from ticklake.schema import CONSUMER_REQUIRED, TRADE_V1, TRADE_V1_REQUIRED, TRADE_V1_TYPES
+from ticklake.schema import (
+    CONSUMER_REQUIRED,
+    TRADE_TS_MAX_MS,
+    TRADE_TS_MIN_MS,
+    TRADE_V1,
+    TRADE_V1_REQUIRED,
+    TRADE_V1_TYPES,
+)
 
 # Producer source tag, DLQ envelope source tag, DLQ raw cap
 # (bytes) and the marker appended to a truncated payload.
@@ -30,9 +37,10 @@ SCHEMA_VERSION = 1
 # Error codes written to the ``error`` column / DLQ payload.
 ERR_INVALID_JSON = "invalid_json"
 ERR_NOT_OBJECT = "not_object"
+ERR_RANGE = "range:trade_ts"
 
 FULL = "full"        # all ten trade_v1 keys, with JSON types
-MINIMAL = "minimal"  # the consumer's five keys, presence only
+MINIMAL = "minimal"  # the consumer's five keys: present and castable
 
 _INT_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
@@ -80,10 +88,14 @@ def _contract_error(keys: Sequence[str], mode: str) -> Column:
     for k in keys:
         # A JSON null is present (a VARIANT null), a missing key is SQL NULL.
         branches = branches.when(F.col(_fcol(k)).isNull(), F.lit(f"missing_key:{k}"))
-    if mode == FULL:
-        for k in keys:
-            branches = branches.when(~_is_type(k, TRADE_V1_TYPES[k]), F.lit(f"type:{k}"))
-    return branches
+    for k in keys:
+        if mode == FULL:
+            bad = ~_is_type(k, TRADE_V1_TYPES[k])
+        else:  # nothing may turn into NULL on the way to the lake
+            bad = F.try_variant_get(F.col(_fcol(k)), "$", TRADE_V1[k].dataType.simpleString()).isNull()
+        branches = branches.when(bad, F.lit(f"type:{k}"))
+    ts = F.try_variant_get(F.col(_fcol("trade_ts")), "$", "bigint")
+    return branches.when(~ts.between(TRADE_TS_MIN_MS, TRADE_TS_MAX_MS), F.lit(ERR_RANGE))
 
 
 METRICS_NAME = "ingest_metrics"
@@ -95,8 +107,9 @@ def check_contract(records: DataFrame, mode: str = FULL, value_col: str = "value
 
     ``error`` is NULL when the payload satisfies the contract, else one of
     ``invalid_json``, ``not_object``, ``missing_key:<k>`` (first missing
-    key in contract order) or ``type:<k>`` (first wrong JSON type; FULL
-    mode only). Keeps the envelope columns; typed fields are NULL on
+    key in contract order), ``type:<k>`` (first wrong JSON type; in MINIMAL
+    mode the first required key that does not cast) or ``range:trade_ts``
+    (not epoch milliseconds of the years 1970 to 9999). Keeps the envelope columns; typed fields are NULL on
     failing rows. ``symbol`` is upper-cased (pairs compare
     case-insensitively). Unknown keys are dropped.
 
@@ -160,8 +173,12 @@ def dlq_raw(value: Column, max_bytes: int = DLQ_MAX_BYTES) -> Column:
 
 
 def to_dlq(bad: DataFrame, max_bytes: int = DLQ_MAX_BYTES, source: str = DLQ_SOURCE,
-           value_col: str = "value") -> DataFrame:
-    """Bad records -> DLQ records ``key = topic:partition``, JSON ``value``."""
+           value_col: str = "value", whole: bool = False) -> DataFrame:
+    """Bad records -> DLQ records ``key = topic:partition``, JSON ``value``.
+
+    The envelope cuts its ``raw`` text at ``max_bytes``; ``whole`` adds the
+    uncut payload as the binary column ``payload`` (Parquet DLQ).
+    """
     return bad.select(
         F.concat_ws(":", F.col("topic"), F.col("partition").cast("string")).alias("key"),
         F.to_json(F.struct(
@@ -172,6 +189,7 @@ def to_dlq(bad: DataFrame, max_bytes: int = DLQ_MAX_BYTES, source: str = DLQ_SOU
         )).alias("value"),
         "topic", "partition", "offset",
         *(["timestamp"] if "timestamp" in bad.columns else []),
+        *([F.col(value_col).cast("binary").alias("payload")] if whole else []),
     )
 
 
@@ -212,6 +230,46 @@ def normalize_feed(raw: DataFrame, text_col: str = "value", source: str = FEED_S
     )
 
 
+# Feed keys and the event fields they become.
+FEED_KEYS = {"s": "symbol", "t": "trade_id", "T": "trade_ts", "p": "price", "q": "qty", "m": "is_buyer_maker"}
+
+
+def check_feed(raw: DataFrame, text_col: str = "value", source: str = FEED_SOURCE,
+               event_id: Column | None = None, ingested_at: Column | None = None) -> DataFrame:
+    """Raw exchange messages -> the message's own columns, the trade_v1 event and
+    ``error``.
+
+    One parse. ``error`` is NULL, ``invalid_json``, ``not_object``,
+    ``missing_key:<feed key>``, ``type:<event field>`` (null or not
+    convertible) or ``range:trade_ts``; the original text stays beside it.
+    """
+    own = [c for c in raw.columns if c not in TRADE_V1_REQUIRED]
+    v = F.col("_v")
+    parsed = raw.select(*own, F.try_parse_json(payload_text(F.col(text_col))).alias("_v"))
+    keyed = parsed.select("*", *(F.variant_get(v, _path(k), "variant").alias(_fcol(f)) for k, f in FEED_KEYS.items()))
+    as_text = lambda f: F.try_variant_get(F.col(_fcol(f)), "$", "string").try_cast("double")
+    event = keyed.select(
+        *own, "_v", *(_fcol(f) for f in FEED_KEYS.values()),
+        F.lit(SCHEMA_VERSION).cast("bigint").alias("schema_version"),
+        (event_id if event_id is not None else F.expr("uuid()")).alias("event_id"),
+        F.lit(source).alias("source"),
+        (ingested_at if ingested_at is not None else iso_utc_string(F.current_timestamp())).alias("ingested_at"),
+        F.upper(F.try_variant_get(F.col(_fcol("symbol")), "$", "string")).alias("symbol"),
+        F.try_variant_get(F.col(_fcol("trade_id")), "$", "bigint").alias("trade_id"),
+        F.try_variant_get(F.col(_fcol("trade_ts")), "$", "bigint").alias("trade_ts"),
+        as_text("price").alias("price"),
+        as_text("qty").alias("qty"),
+        F.try_variant_get(F.col(_fcol("is_buyer_maker")), "$", "boolean").alias("is_buyer_maker"),
+    )
+    error = F.when(v.isNull(), ERR_INVALID_JSON).when(~F.schema_of_variant(v).startswith("OBJECT"), ERR_NOT_OBJECT)
+    for k, f in FEED_KEYS.items():
+        error = error.when(F.col(_fcol(f)).isNull(), f"missing_key:{k}")
+    for f in FEED_KEYS.values():
+        error = error.when(F.col(f).isNull(), f"type:{f}")
+    error = error.when(~F.col("trade_ts").between(TRADE_TS_MIN_MS, TRADE_TS_MAX_MS), ERR_RANGE)
+    return event.select(*own, *TRADE_V1_REQUIRED, error.alias("error"))
+
+
 def with_partition_values(df: DataFrame, ts_col: str = "trade_ts") -> DataFrame:
     """Add the lake's partition values (pair, UTC date, hour) from epoch ms."""
     d, h = partition_values(ts_col)

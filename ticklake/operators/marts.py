@@ -6,7 +6,7 @@ pair (or a hot minute) never sends its raw rows to one task. Open and
 close prices use ``min_by``/``max_by`` on a single decimal ordering key
 (hash-aggregable), replacing the reference-shaped "two row_number
 windows + self-join". Both percentiles come from one exact
-``percentile`` buffer per group (value -> count map, merged map-side).
+``percentile`` buffer per group over pre-counted latencies.
 
 ``minute_stats`` can compute all four minute marts in a single pass;
 ``plans.refresh`` uses that so a full refresh shuffles the trades once.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.time import bucket_start, minute_bucket, seconds_between
-from ticklake.functions.util import safe_ratio, sum_if, trade_order_key
+from ticklake.functions.util import nullif_zero, safe_ratio, sum_if, trade_order_key
 from ticklake.schema import (
     FCT_CANDLES_1M,
     FCT_INGESTION_LATENCY_1M,
@@ -120,6 +120,8 @@ def minute_stats(
     ``minute_bucket`` (bucket start) either way.
     """
     base = stg.where(F.col("trade_ts_utc").isNotNull())
+    if LATENCY in groups and not isinstance(bucket, Column) and not stg.isStreaming:
+        return _by_latency_first(base, groups, as_of, bucket or "1 minute", lookback)
     if isinstance(bucket, str) and bucket.strip().lower() not in ("1 minute", "minute"):
         bucket = F.window("trade_ts_utc", bucket)
     if bucket is None or isinstance(bucket, str):
@@ -133,6 +135,45 @@ def minute_stats(
     return out.select("pair", F.col("_bucket.start").alias("minute_bucket"), *rest)
 
 
+def _by_latency_first(base: DataFrame, groups, as_of, bucket: str, lookback: str) -> DataFrame:
+    """``minute_stats`` with percentiles, in two levels.
+
+    A percentile next to the other measures would put every trade through an
+    object aggregate, which falls back to sorting. So trades are first
+    counted per (pair, minute, whole second of latency) with all measures in
+    a hash aggregate; the second level merges these few rows per minute and
+    takes the exact percentile of the counted latencies.
+    """
+    rest = tuple(g for g in groups if g != LATENCY)
+    keys = [F.col("pair"), bucket_start("trade_ts_utc", bucket).alias("minute_bucket"), _latency().alias("_lat")]
+    merge = {
+        "trade_count": F.sum, "total_qty": F.sum, "notional_usdt": F.sum, "min_price": F.min, "max_price": F.max,
+        "buy_qty": F.sum, "sell_qty": F.sum, "buy_notional_usdt": F.sum, "sell_notional_usdt": F.sum,
+        "trades_recent": F.sum, "max_trade_ts_utc": F.max, "max_ingested_at_utc": F.max,
+    }
+    order = trade_order_key(STG_ORDER_COL, "trade_id")
+    first = [
+        *_measures(rest, as_of, lookback), F.count(F.lit(1)).alias("_n"),
+        F.sum("price").alias("_price_sum"), F.count("price").alias("_price_n"),
+        F.min(order).alias("_first"), F.max(order).alias("_last"),
+    ]
+    counted = base.groupBy(*keys).agg(*first)
+    lat, n = F.col("_lat"), F.when(F.col("_lat").isNotNull(), F.col("_n")).otherwise(0)
+    out = [f(c).alias(c) for c, f in merge.items() if c in counted.columns]
+    if TRADES in rest:
+        out.append((F.sum("_price_sum") / nullif_zero(F.sum("_price_n"))).alias("avg_price"))
+    if CANDLES in rest:
+        out += [F.min_by("open_price", "_first").alias("open_price"), F.max_by("close_price", "_last").alias("close_price")]
+    out += [
+        F.sum(n).alias("latency_count"),
+        (F.sum(lat * n).cast("double") / nullif_zero(F.sum(n))).alias("avg_latency_s"),
+        F.min(lat).alias("min_latency_s"),
+        F.max(lat).alias("max_latency_s"),
+        F.percentile(lat, [0.95, 0.99], n).alias("_latency_pct"),
+    ]
+    return counted.groupBy("pair", "minute_bucket").agg(*out)
+
+
 # -- projections from minute stats ------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ticklake.functions.time import lookback_start
 from ticklake.operators.marts import as_of_col
+from ticklake.schema import MART_COLUMNS
 
 # Lookback choices offered by the dashboard (minutes) and
 # its default, the pair shown when no mart has rows, and slice sizes.
@@ -22,6 +23,8 @@ DEFAULT_LOOKBACK = 180
 FALLBACK_PAIR = "BTCUSDT"
 TRADES_SLICE_ROWS = 200
 REPORT_ROWS = 5
+# Directory key of the stored minute marts; no column of their contract.
+STORAGE_DATE = "trade_date"
 
 
 def slice_start(as_of=None, lookback_minutes: int = DEFAULT_LOOKBACK) -> Column:
@@ -31,8 +34,17 @@ def slice_start(as_of=None, lookback_minutes: int = DEFAULT_LOOKBACK) -> Column:
 
 def time_slice(mart: DataFrame, pair: str, lookback_minutes: int = DEFAULT_LOOKBACK,
                as_of=None, ts_col: str = "minute_bucket") -> DataFrame:
-    """``pair = p AND minute_bucket >= as_of - lookback`` (no upper bound)."""
-    return mart.where((F.col("pair") == F.lit(pair)) & (F.col(ts_col) >= slice_start(as_of, lookback_minutes)))
+    """``pair = p AND minute_bucket >= as_of - lookback`` (no upper bound).
+
+    On a stored mart (with its ``trade_date`` directories) the same bound is
+    put on the date, so that older directories are not listed or read; the
+    storage column is not part of the result.
+    """
+    start = slice_start(as_of, lookback_minutes)
+    out = mart.where((F.col("pair") == F.lit(pair)) & (F.col(ts_col) >= start))
+    if STORAGE_DATE in mart.columns:
+        out = out.where(F.col(STORAGE_DATE) >= F.to_date(start)).drop(STORAGE_DATE)
+    return out
 
 
 def list_pairs(candles: DataFrame) -> DataFrame:
@@ -95,11 +107,11 @@ def latest_candle_stats(candles_slice_df: DataFrame) -> DataFrame:
 
 REQUIRED_MARTS = ("fct_candles_1m", "fct_orderflow_1m", "fct_trades_1m")
 REPORT = (
-    ("Latest candles", "fct_candles_1m", "minute_bucket"),
-    ("Latest orderflow", "fct_orderflow_1m", "minute_bucket"),
-    ("Latest trades_1m", "fct_trades_1m", "minute_bucket"),
-    ("Latest pipeline_health_5m", "fct_pipeline_health_5m", None),
-    ("Latest ingestion_latency_1m", "fct_ingestion_latency_1m", "minute_bucket"),
+    ("Newest candle minutes", "fct_candles_1m", "minute_bucket"),
+    ("Newest order-flow minutes", "fct_orderflow_1m", "minute_bucket"),
+    ("Newest trade minutes", "fct_trades_1m", "minute_bucket"),
+    ("Pipeline health by pair", "fct_pipeline_health_5m", None),
+    ("Newest ingest-latency minutes", "fct_ingestion_latency_1m", "minute_bucket"),
 )
 
 
@@ -107,6 +119,11 @@ class MissingMartsError(RuntimeError):
     pass
 
 
+def mart_table(spark: SparkSession, name: str, db: str = "marts") -> DataFrame:
+    """A registered mart with the columns of its contract."""
+    return spark.table(f"{db}.{name}").select(*MART_COLUMNS[name])
+
+
 def missing_marts(spark: SparkSession, db: str = "marts", required=REQUIRED_MARTS) -> list[str]:
     """Required marts that do not exist in ``db``."""
     return [t for t in required if not spark.catalog.tableExists(f"{db}.{t}")]
@@ -115,22 +132,20 @@ def missing_marts(spark: SparkSession, db: str = "marts", required=REQUIRED_MART
 def require_marts(spark: SparkSession, db: str = "marts", required=REQUIRED_MARTS) -> None:
     missing = missing_marts(spark, db, required)
     if missing:
-        raise MissingMartsError(
-            f"Missing mart tables in database `{db}`: {', '.join(missing)}. Run the refresh job first."
-        )
+        raise MissingMartsError(f"{db} lacks {', '.join(missing)}: build them with jobs.refresh_marts")
 
 
 def health_table(spark: SparkSession, db: str = "marts") -> DataFrame | None:
     """All pairs of the health mart, ordered; None when the table is absent."""
     if not spark.catalog.tableExists(f"{db}.fct_pipeline_health_5m"):
         return None
-    return spark.table(f"{db}.fct_pipeline_health_5m").orderBy("pair")
+    return mart_table(spark, "fct_pipeline_health_5m", db).orderBy("pair")
 
 
 def latest_of_each_mart(spark: SparkSession, db: str = "marts", n: int = REPORT_ROWS) -> dict[str, DataFrame]:
     """Titled top-``n`` reads of every mart (the CLI report)."""
     return {
-        title: top_n(spark.table(f"{db}.{table}"), n, order)
+        title: top_n(mart_table(spark, table, db), n, order)
         for title, table, order in REPORT
         if spark.catalog.tableExists(f"{db}.{table}")
     }
@@ -145,7 +160,7 @@ def dashboard(spark: SparkSession, db: str = "marts", pair: str | None = None,
     health panel is ``None`` when its mart is absent (it is optional).
     """
     require_marts(spark, db)
-    candles = spark.table(f"{db}.fct_candles_1m")
+    candles = spark.table(f"{db}.fct_candles_1m")  # slices prune by its storage date
     pairs = list_pairs(candles)
     if pair is None:
         pair = pairs.first()["pair"]

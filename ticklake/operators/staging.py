@@ -16,7 +16,7 @@ from ticklake.functions.time import (
     trade_date,
     trade_hour,
 )
-from ticklake.schema import STG_COLUMNS, STG_ORDER_COL
+from ticklake.schema import LAKE_PARTITION_COLS, STG_COLUMNS, STG_ORDER_COL
 
 
 def stg_trades(raw: DataFrame) -> DataFrame:
@@ -25,10 +25,15 @@ def stg_trades(raw: DataFrame) -> DataFrame:
     * ``trade_ts_utc``: epoch ms truncated to whole seconds (TIMESTAMP)
     * ``ingested_at_utc``: ISO text parsed to µs; junk -> NULL
     * ``is_buyer_maker``: boolean -> TINYINT 0/1 (NULL stays NULL)
-    * rows whose trade time is NULL are dropped
+    * rows whose trade time is NULL (or in another unit than ms) are dropped
+    * ``pair`` is the upper-cased symbol. Rows of the lake bring ``pair``,
+      ``trade_date`` and ``hour`` as directory keys; these are passed
+      through, so that filters on staging prune the lake's directories.
     """
     ts = epoch_ms_to_ts_seconds("trade_ts")
+    keyed = set(LAKE_PARTITION_COLS) <= set(raw.columns)
     parsed = raw.select(
+        *(F.col(c).alias(f"_{c}") for c in LAKE_PARTITION_COLS if keyed),
         F.col("symbol"),
         F.col("trade_id").cast("bigint").alias("trade_id"),
         F.col("price").cast("double").alias("price"),
@@ -42,9 +47,9 @@ def stg_trades(raw: DataFrame) -> DataFrame:
         F.col("trade_ts").cast("bigint").alias(STG_ORDER_COL),
     ).where(F.col("trade_ts_utc").isNotNull())
     return parsed.select(
-        F.col("symbol").alias("pair"),
-        trade_date("trade_ts_utc").alias("trade_date"),
-        trade_hour("trade_ts_utc").alias("hour"),
+        (F.col("_pair") if keyed else F.upper("symbol")).alias("pair"),
+        (F.col("_trade_date") if keyed else trade_date("trade_ts_utc")).alias("trade_date"),
+        (F.col("_hour") if keyed else trade_hour("trade_ts_utc")).alias("hour"),
         "symbol",
         "trade_id",
         "trade_ts_utc",

@@ -1 +1 @@
-"""Jobs and plans: refresh (full/incremental), snapshots, compaction, CLI jobs, query registry and SQL oracle."""
+"""Jobs and plans: refresh (full/incremental), snapshots, compaction, CLI jobs and the query registry."""

@@ -18,7 +18,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ticklake.operators import quality, serving
-from ticklake.operators.staging import stg_trades
+from ticklake.operators.staging import dedupe_trades, stg_trades
 from ticklake.plans import refresh as R
 from ticklake.schema import NOT_NULL_RULES
 from ticklake.session import configure
@@ -42,23 +42,29 @@ def migrate_unkeyed(spark: SparkSession, src_root: str, lake_root: str, subdir:
     write_lake(read_unkeyed(spark, src_root, subdir), lake_root)
 
 
-def staging_view(spark: SparkSession, lake_root: str, start=None, end=None) -> DataFrame:
-    """``stg_trades`` over the lake (optionally a time range, pruned)."""
+def staging_view(spark: SparkSession, lake_root: str, start=None, end=None, dedupe: bool = False) -> DataFrame:
+    """``stg_trades`` over the lake (optionally a time range, pruned); ``dedupe``
+    keeps one row per trade key."""
     stg = stg_trades(read_lake(spark, lake_root, start=start, end=end))
+    if dedupe:
+        stg = dedupe_trades(stg)
     catalog.create_view(stg, "stg_trades")
     return stg
 
 
 def refresh_marts(spark: SparkSession, lake_root: str, marts_root: str, select: Iterable[str] | None = None,
-                  as_of=None, db: str | None = "marts", snapshot_ts=None) -> dict[str, str]:
-    """Rebuild the selected marts (all by default) from the whole lake."""
+                  as_of=None, db: str | None = "marts", snapshot_ts=None, dedupe: bool = False) -> dict[str, str]:
+    """Rebuild the selected marts (all by default) from the whole lake.
+
+    Delivery is at-least-once; ``dedupe`` counts every trade once.
+    """
     configure(spark)
-    return R.refresh(spark, staging_view(spark, lake_root), marts_root, select=select, as_of=as_of,
+    return R.refresh(spark, staging_view(spark, lake_root, dedupe=dedupe), marts_root, select=select, as_of=as_of,
                      db=db, snapshot_ts=snapshot_ts)
 
 
 def refresh_dates(spark: SparkSession, lake_root: str, marts_root: str, dates: Iterable,
-                  as_of=None, lookback: str = "5 minutes") -> dict[str, str]:
+                  as_of=None, lookback: str = "5 minutes", db: str | None = None, dedupe: bool = False) -> dict[str, str]:
     """Incremental refresh: rebuild only ``dates`` and merge the health report.
 
     * minute marts: the touched dates' partitions are read (partition
@@ -70,7 +76,8 @@ def refresh_dates(spark: SparkSession, lake_root: str, marts_root: str, dates: I
       the recent read. History is never rescanned.
 
     Equal to a full ``refresh_marts`` when the untouched dates did not
-    change since the previous refresh.
+    change since the previous refresh. With ``db`` the registered tables take
+    up the new dates and replaced files.
     """
     import datetime as dt
 
@@ -83,7 +90,8 @@ def refresh_dates(spark: SparkSession, lake_root: str, marts_root: str, dates: I
     if as_of is None:
         as_of = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     ds = sorted({str(d) for d in dates})
-    touched = stg_trades(read_lake(spark, lake_root).where(F.col("trade_date").isin(*[F.lit(d).cast("date") for d in ds])))
+    once = dedupe_trades if dedupe else (lambda stg: stg)
+    touched = once(stg_trades(read_lake(spark, lake_root).where(F.col("trade_date").isin(*[F.lit(d).cast("date") for d in ds]))))
     stats_path = scratch_path(spark, "minute-stats")
     M.minute_stats(touched, (*M.ALL_MINUTE, M.HEALTH), as_of=as_of).write.mode("overwrite").parquet(stats_path)
     stats = spark.read.parquet(stats_path)
@@ -92,7 +100,7 @@ def refresh_dates(spark: SparkSession, lake_root: str, marts_root: str, dates: I
     since = dt.datetime.fromisoformat(str(as_of)) - _interval(lookback)
     now = M.as_of_col(as_of)
     threshold = now - F.expr(f"INTERVAL {lookback}")
-    recent = stg_trades(read_lake(spark, lake_root, start=since)).groupBy("pair").agg(
+    recent = once(stg_trades(read_lake(spark, lake_root, start=since))).groupBy("pair").agg(
         F.count_if(F.col("trade_ts_utc") >= threshold).alias("n"),
         F.max("trade_ts_utc").alias("mt"), F.max("ingested_at_utc").alias("mi"))
     parts = [recent, stats.groupBy("pair").agg(
@@ -113,6 +121,9 @@ def refresh_dates(spark: SparkSession, lake_root: str, marts_root: str, dates: I
     M._health_project(per_pair, as_of).write.mode("overwrite").parquet(staged)
     R.materialize(spark.read.parquet(staged), health_path, R.HEALTH_MART)
     paths[R.HEALTH_MART] = health_path
+    if db:
+        for name, path in paths.items():
+            R.update_table(spark, db, name, path, location_root=f"{marts_root.rstrip('/')}/_catalog")
     return paths
 
 
@@ -141,7 +152,7 @@ def nightly_checks(spark: SparkSession, lake_root: str, db: str = "marts", dedup
     tables = {"stg_trades": staging_view(spark, lake_root)}
     for name in NOT_NULL_RULES:
         if name != "stg_trades" and spark.catalog.tableExists(f"{db}.{name}"):
-            tables[name] = spark.table(f"{db}.{name}")
+            tables[name] = serving.mart_table(spark, name, db)
     checks = quality.run_checks(tables, NOT_NULL_RULES, unique_keys={"stg_trades": dedupe_key})
     quality.assert_passed(checks)
     return checks

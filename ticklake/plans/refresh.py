@@ -143,22 +143,40 @@ def materialize(df: DataFrame, path: str, name: str | None = None, dates_only: b
     """Store a mart.
 
     Minute marts are partitioned by their bucket's UTC date
-    (``trade_date``): a full rebuild replaces every date, ``dates_only``
-    replaces just the dates present in ``df`` (dynamic partition
-    overwrite). The per-pair health report is always replaced whole.
+    (``trade_date``); rows are rebalanced by date, so a date is one file or a
+    few of the advisory size, however many tasks aggregated it. Dates are
+    swapped in when the new files are complete (dynamic partition
+    overwrite): the mart is never empty for its readers. A full rebuild then
+    removes dates that no longer occur; ``dates_only`` leaves other dates
+    alone. The per-pair health report is always replaced whole.
     """
     if name in MINUTE_MARTS:
+        dated = df.withColumn(MART_DATE, F.to_date("minute_bucket"))
         (
-            df.withColumn(MART_DATE, F.to_date("minute_bucket"))
+            dated.hint("rebalance", MART_DATE)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if dates_only else "static")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(MART_DATE)
             .parquet(path)
         )
+        if not dates_only:
+            _remove_other_dates(dated, path)
     else:
         df.write.mode("overwrite").parquet(path)
 
 
+def _remove_other_dates(dated: DataFrame, path: str) -> None:
+    """Delete the date directories of ``path`` that ``dated`` has no row for."""
+    spark = dated.sparkSession
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = {s.getPath().getName(): s.getPath() for s in fs.listStatus(base) if s.isDirectory()}
+    kept = {f"{MART_DATE}={r[0]}" for r in dated.select(MART_DATE).distinct().collect()}  # one value per day
+    for name, at in there.items():
+        if name.startswith(f"{MART_DATE}=") and name not in kept:
+            fs.delete(at, True)
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """A stored mart with its published columns (storage partition dropped)."""
     df = spark.read.parquet(path)
@@ -175,3 +193,14 @@ def register_table(spark: SparkSession, db: str, name: str, path: str,
     spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
     if name in MINUTE_MARTS:  # date-partitioned: register the partitions found
         spark.sql(f"ALTER TABLE `{db}`.`{name}` RECOVER PARTITIONS")
+
+
+def update_table(spark: SparkSession, db: str, name: str, path: str, location_root: str | None = None) -> None:
+    """Make ``db.name`` show what now lies at ``path``: new and removed dates, and
+    replaced files. Registers the table if it is not there yet."""
+    if not spark.catalog.databaseExists(db) or not spark.catalog.tableExists(f"{db}.{name}"):
+        register_table(spark, db, name, path, location_root)
+        return
+    if name in MINUTE_MARTS:
+        spark.sql(f"MSCK REPAIR TABLE `{db}`.`{name}` SYNC PARTITIONS")
+    spark.catalog.refreshTable(f"{db}.{name}")

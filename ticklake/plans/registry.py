@@ -10,12 +10,14 @@ session's checkpoint dir, then return a lazy read of what was written.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.functions.util import trade_order_key
 from ticklake.operators import ingest, marts, quality, serving, staging, windows
+from ticklake.plans import job_queries
 from ticklake.plans.boundary import stable
 from ticklake.plans.refresh import build_marts, read_mart
 from ticklake.schema import NOT_NULL_RULES, STG_ORDER_COL
@@ -357,18 +359,23 @@ def q_asof_snapshot(spark, sf_dir):
     return stable(read_as_of(spark, path, SNAP_READ))
 
 
-def _run_stream(df, name: str):
-    """Drain a streaming DataFrame into a Parquet file sink; return its rows.
-
-    A stateful query fixes its state partition count at first start (from
-    ``spark.sql.shuffle.partitions``); it is set to the cluster's default
-    parallelism for that start only, then the session value is restored.
-    """
-    spark = df.sparkSession
-    out = scratch_path(spark, name)
+@contextmanager
+def _state_partitions(spark):
+    """A stateful query fixes its state partition count at first start (from
+    ``spark.sql.shuffle.partitions``): the cluster's default parallelism here."""
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def _run_stream(df, name: str):
+    """Drain a streaming DataFrame into a Parquet file sink; return its rows."""
+    spark = df.sparkSession
+    out = scratch_path(spark, name)
+    with _state_partitions(spark):
         q = (
             df.writeStream.format("parquet")
             .option("path", out)
@@ -378,18 +385,24 @@ def _run_stream(df, name: str):
             .start()
         )
         q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
     return spark.read.parquet(out)
 
 
+# The test trades span 72 minutes; files may hold them in any order.
+STREAM_DISORDER = "2 hours"
+
+
 def q_stream_minute_marts(spark, sf_dir):
-    """Streaming minute marts, 1-minute watermark, closed buckets only."""
-    from ticklake.streaming.marts import stream_minute_marts
+    """The streamed minute table, open minutes included; any number of input
+    files in any order."""
+    from ticklake.streaming.marts import read_minute_table, stream_minute_marts, write_minute_table
 
     configure(spark)
-    stg = staging.stg_trades(trades_from_events(events_stream(spark, sf_dir)))
-    return stable(_run_stream(stream_minute_marts(stg, "1 minute"), "stream-marts"))
+    stg = staging.stg_trades(trades_from_events(events_stream(spark, sf_dir, max_files_per_trigger=1)))
+    root = scratch_path(spark, "stream-marts")
+    with _state_partitions(spark):
+        write_minute_table(stream_minute_marts(stg, STREAM_DISORDER), root, root + "-checkpoint", available_now=True).awaitTermination()
+    return stable(read_minute_table(spark, root))
 
 
 def q_stream_dedupe(spark, sf_dir):
@@ -398,7 +411,7 @@ def q_stream_dedupe(spark, sf_dir):
 
     configure(spark)
     stg = staging.stg_trades(with_redelivery(trades_from_events(events_stream(spark, sf_dir))))
-    out = _run_stream(dedupe_stream(stg, "1 minute"), "stream-dedupe")
+    out = _run_stream(dedupe_stream(stg, STREAM_DISORDER), "stream-dedupe")
     return stable(out.select("pair", "trade_id", "trade_ts_utc", "price", "qty", "is_buyer_maker", "trade_key"))
 
 
@@ -452,5 +465,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+QUERIES |= job_queries.QUERIES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

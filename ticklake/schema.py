@@ -44,6 +44,11 @@ TRADE_V1_TYPES = {
     "is_buyer_maker": "boolean",
 }
 
+# trade_ts must lie in these epoch milliseconds (1970 .. 9999). A
+# value in seconds passes, one in micro- or nanoseconds does not.
+TRADE_TS_MIN_MS = 0
+TRADE_TS_MAX_MS = 253402300799999
+
 TRADE_V1 = T.StructType(
     [
         T.StructField("schema_version", T.LongType(), False),
@@ -91,6 +96,7 @@ DLQ_RECORD = T.StructType(
 )
 
 # -- staging ----------------------------------------------------------------
+# Staging columns, in contract order.
 STG_COLUMNS = (
     "pair",
     "trade_date",
@@ -112,7 +118,7 @@ STG_COLUMNS = (
 # first/last-trade selection needs the original milliseconds.
 STG_ORDER_COL = "trade_ts_ms"
 
-# -- marts (column order is the contract) -----------------------------------
+# -- marts (fixed values: names and order are the contract) ------------------
 FCT_TRADES_1M = (
     "pair",
     "minute_bucket",
@@ -179,7 +185,7 @@ MART_COLUMNS = {
     "fct_pipeline_health_5m": FCT_PIPELINE_HEALTH_5M,
 }
 
-# Not-null rules per table (data-quality checks).
+# Not-null rules per table (data-quality checks).
 NOT_NULL_RULES = {
     "stg_trades": ("pair", "trade_id", "trade_ts_utc", "price", "qty"),
     "fct_ingestion_latency_1m": ("pair", "minute_bucket"),

@@ -38,13 +38,11 @@ def write_lake(events: DataFrame, root: str, mode: str = "append",
     across several tasks and merges small ones to the advisory size, so
     files stay few per directory without one task writing a hot hour.
     Rows are sorted by trade time within each file (tight row-group
-    min/max for time-range reads). ``num_partitions`` pins the count.
+    min/max for time-range reads). ``num_partitions`` sets the number of
+    tasks before that split.
     """
     df = lake_frame(events)
-    if num_partitions:
-        df = df.repartition(num_partitions, *LAKE_PARTITION_COLS)
-    else:
-        df = df.hint("rebalance", *LAKE_PARTITION_COLS)
+    df = df.hint("rebalance", *([num_partitions] if num_partitions else []), *LAKE_PARTITION_COLS)
     (
         df.sortWithinPartitions(*LAKE_PARTITION_COLS, "trade_ts", "trade_id")
         .write.mode(mode)
@@ -97,7 +95,7 @@ def read_trades(spark: SparkSession, root: str, start=None, end=None, layout: st
         return read_lake(spark, root, start=start, end=end)
     if layout != "plain":
         raise ValueError(layout)
-    df = read_unkeyed(spark, root, subdir)
+    df = read_unkeyed(spark, root, subdir, hours=_hours(start, end) if start is not None and end is not None else None)
     if start is not None:
         df = df.where(F.col("trade_ts") >= F.lit(_epoch_ms(start)))
     if end is not None:
@@ -109,14 +107,27 @@ def _epoch_ms(x) -> int:
     return int(_as_dt(x).replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
 
 
+def _hours(start, end) -> list[tuple[str, str]]:
+    """(yyyy-MM-dd, HH) of every UTC hour that [start, end) touches."""
+    at, out = _as_dt(start).replace(tzinfo=None, minute=0, second=0, microsecond=0), []
+    while at < _as_dt(end).replace(tzinfo=None):
+        out.append((at.strftime("%Y-%m-%d"), at.strftime("%H")))
+        at += _dt.timedelta(hours=1)
+    return out
+
+
 # Un-keyed layout: {root}/{subdir}/{pair}/{yyyy-MM-dd}/{HH}/<file>
 _UNKEYED = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d{2})/[^/]+$"
 
 
 def read_unkeyed(spark: SparkSession, root: str, subdir: str = "trades",
-                 schema: T.StructType | str | None = None) -> DataFrame:
+                 schema: T.StructType | str | None = None,
+                 hours: list[tuple[str, str]] | None = None) -> DataFrame:
     """Read the un-keyed directory layout; path segments become columns.
 
+    ``hours``, (date, HH) pairs, limits the listing to those directories of
+    every pair (a glob per date), so that a range read opens no other file.
+
     ``location`` is the file path; ``pair``/``trade_date``/``hour`` come
     from its last three directories (typed DATE / TINYINT).
 
@@ -125,11 +136,18 @@ def read_unkeyed(spark: SparkSession, root: str, subdir: str = "trades",
     group of files with its physical ``schema``: columns are cast to the
     trade_v1 types afterwards.
     """
-    df = (
-        spark.read.schema(schema or TRADE_V1)
-        .option("recursiveFileLookup", "true")
-        .parquet(f"{root.rstrip('/')}/{subdir}")
-    )
+    base = f"{root.rstrip('/')}/{subdir}"
+    reader = spark.read.schema(schema or TRADE_V1).option("recursiveFileLookup", "true")
+    if hours is None:
+        df = reader.parquet(base)
+    else:
+        by_date: dict[str, list[str]] = {}
+        for d, h in hours:
+            by_date.setdefault(d, []).append(h)
+        globs = [g for d, hs in by_date.items() if matches(spark, g := f"{base}/*/{d}/{{{','.join(hs)}}}")]
+        if not globs:  # nothing landed in the range
+            return read_unkeyed(spark, root, subdir, schema).where(F.lit(False))
+        df = reader.parquet(*globs)
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRADE_V1.fields], "_metadata")
     path = F.col("_metadata.file_path")
@@ -147,6 +165,19 @@ def partition_dir(root: str, subdir: str, pair: str, trade_date: str, hour: str)
     return f"{root.rstrip('/')}/{subdir}/{pair}/{trade_date}/{hour}"
 
 
+def matches(spark: SparkSession, glob: str) -> bool:
+    """Whether any path matches ``glob`` (a listing on the driver, no job)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def refresh_external_table(spark: SparkSession, name: str) -> None:
+    """Take up the lake's new, changed and removed directories."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def create_external_table(spark: SparkSession, root: str, db: str = "ext", name: str = "trades") -> str:
     """(Re)create ``db.name`` over the keyed lake and discover its partitions.
 

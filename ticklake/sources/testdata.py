@@ -100,7 +100,7 @@ TRADES_TOPIC = "crypto.trades.v1"
 DLQ_TOPIC = "crypto.trades.dlq.v1"
 TOPIC_PARTITIONS = 3
 # Damage fixture: trade_id % DAMAGE_CYCLE selects how a payload is damaged.
-DAMAGE_CYCLE = 13
+DAMAGE_CYCLE = 17
 
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -125,12 +125,13 @@ def _event_json(**override) -> Column:
 
 
 def damaged_payload(trades: DataFrame) -> Column:
-    """JSON payload per trade, damaged according to ``trade_id % 13``:
+    """JSON payload per trade, damaged according to ``trade_id % 17``:
 
     0 price missing; 1 price as text; 2 trade_id 1.5-style; 3 trade_id
     written as a whole float (valid); 4 is_buyer_maker as 0/1; 5 trade_ts
     null; 6 symbol null; 7 not JSON; 8 a JSON array; 9 an extra key
-    (valid); 10 symbol and qty missing; 11, 12 intact.
+    (valid); 10 symbol and qty missing; 11, 12 intact; 13 trade_ts in
+    nanoseconds; 14 in microseconds; 15 negative; 16 the largest BIGINT.
     """
     d = F.col("trade_id") % DAMAGE_CYCLE
     return (
@@ -145,6 +146,10 @@ def damaged_payload(trades: DataFrame) -> Column:
         .when(d == 8, F.concat(F.lit("["), F.col("trade_id").cast("string"), F.lit("]")))
         .when(d == 9, _event_json(_extra=F.lit("spot")))
         .when(d == 10, _event_json(symbol=None, qty=None))
+        .when(d == 13, _event_json(trade_ts=F.col("trade_ts") * 1_000_000))
+        .when(d == 14, _event_json(trade_ts=F.col("trade_ts") * 1_000))
+        .when(d == 15, _event_json(trade_ts=-F.col("trade_ts")))
+        .when(d == 16, _event_json(trade_ts=F.lit((1 << 63) - 1)))
         .otherwise(_event_json())
     )
 
@@ -178,9 +183,10 @@ def feed_messages(trades: DataFrame) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``events`` as a file stream (the table's file, picked by name)."""
+    """``events`` as a file stream: one file, or a folder of part files."""
     schema = read_table(spark, sf_dir, "events").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(sf_dir)
+    # a glob: a plain file path would be taken for the folder of a table
+    return r.parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")

@@ -2,9 +2,10 @@
 
 The batch definitions are reused unchanged; streaming only swaps the
 bucket for an event-time ``window`` so the watermark can close minutes
-and evict their state (append mode emits each closed minute once).
-Trades later than the watermark are dropped by the stream and picked up
-by the next batch refresh of their dates (``reconcile_dates``).
+and evict their state. The watermark is the caller's choice and has no
+default: trades later than it are dropped by the aggregate, so ``late_rows``
+keeps them aside and ``reconcile_minutes`` rebuilds their dates in the
+stream's own table.
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ticklake.operators import marts as M
 from ticklake.operators.staging import stg_trades
+from ticklake.sources.lake import matches
 from ticklake.streaming.sources import apply_trigger
 
-DEFAULT_WATERMARK = "1 minute"
 BUCKET = "1 minute"
 # The health look-back and the refresh cadence of the marts.
 ROLLING_WINDOW = "5 minutes"
@@ -32,14 +33,13 @@ def stream_stg(trades: DataFrame) -> DataFrame:
     return stg_trades(trades)
 
 
-def minute_stats_stream(stg: DataFrame, groups=M.ALL_MINUTE,
-                        watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+def minute_stats_stream(stg: DataFrame, groups, watermark: str) -> DataFrame:
     """Per (pair, minute) measures with a watermark on ``trade_ts_utc``."""
     w = stg.withWatermark("trade_ts_utc", watermark)
     return M.minute_stats(w, groups, bucket=F.window("trade_ts_utc", BUCKET))
 
 
-def stream_minute_marts(stg: DataFrame, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+def stream_minute_marts(stg: DataFrame, watermark: str) -> DataFrame:
     """All four minute marts side by side from ONE streaming aggregation
     (``marts.WIDE_MINUTE_COLUMNS``)."""
     return M.wide_from_stats(minute_stats_stream(stg, M.ALL_MINUTE, watermark))
@@ -59,10 +59,11 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | None
     return apply_trigger(w, trigger, available_now)
 
 
-def dedupe_stream(stg: DataFrame, watermark: str = DEFAULT_WATERMARK,
-                  keys=("symbol", "trade_id")) -> DataFrame:
+def dedupe_stream(stg: DataFrame, watermark: str, keys=("symbol", "trade_id")) -> DataFrame:
     """Drop re-delivered trades; state for a key lives until the watermark
-    passes its first event time plus the delay."""
+    passes its first event time plus the delay. Trades that arrive later than
+    ``watermark`` behind the newest one are dropped, too: choose it above
+    the feed's disorder, and keep ``late_rows`` beside it."""
     return stg.withWatermark("trade_ts_utc", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -82,25 +83,78 @@ def rolling_activity(stg: DataFrame, window: str = ROLLING_WINDOW, slide: str =
     )
 
 
-def reconcile_dates(spark: SparkSession, stg: DataFrame, root: str, dates: Iterable,
-                    as_of=None) -> dict[str, str]:
-    """Batch-rebuild the minute marts of ``dates`` (late trades included).
+# Versions of reconciled minutes lie above every micro-batch number.
+_RECONCILED = 1 << 40
 
-    Writes ``root/<mart>`` (partitioned by ``trade_date``) with dynamic
-    partition overwrite: only the given dates are replaced. Pass a
-    ``stg`` read with those dates' partition filter (``read_lake``) so
-    only their files are scanned.
+
+def write_minute_table(wide: DataFrame, root: str, checkpoint: str, trigger: str | None = REFRESH_INTERVAL,
+                       available_now: bool = False) -> StreamingQuery:
+    """Keep the wide minute table of ``stream_minute_marts`` under ``root``.
+
+    Update mode: every batch writes the minutes it changed, open ones
+    included, as ``version=<batch_id>`` (replaced when a batch is replayed);
+    ``read_minute_table`` takes the newest version of each minute.
     """
-    from ticklake.plans.refresh import MINUTE_MARTS, marts_from_stats, write_marts
+    w = wide.writeStream.outputMode("update").foreachBatch(
+        lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={batch_id}")
+    ).option("checkpointLocation", checkpoint)
+    return apply_trigger(w, trigger, available_now).start()
+
+
+def read_minute_table(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of every (pair, minute) of a streamed minute table."""
+    rows = spark.read.parquet(root)
+    cols = [c for c in rows.columns if c not in ("pair", "minute_bucket", "version")]
+    newest = rows.groupBy("pair", "minute_bucket").agg(F.max_by(F.struct(*cols), "version").alias("r"))
+    return newest.select(*(c if c in ("pair", "minute_bucket") else F.col(f"r.{c}") for c in rows.columns if c != "version"))
+
 
+def reconcile_minutes(stg: DataFrame, root: str, dates: Iterable) -> None:
+    """Rebuild the minutes of ``dates`` in a streamed minute table from all landed
+    trades (late ones included). Pass ``stg`` over the lake: the filter on
+    its ``trade_date`` directories reads only those dates."""
     ds = [F.lit(str(d)).cast("date") for d in dates]
-    part = stg.where(F.col("trade_date").isin(*ds))
-    stats = M.minute_stats(part, M.ALL_MINUTE, as_of=as_of)
-    return write_marts(marts_from_stats(stats, list(MINUTE_MARTS), as_of), root, dates_only=True)
+    spark, base = stg.sparkSession, root.rstrip("/")
+    known = spark.read.parquet(base).agg(F.max("version")).first()[0]
+    version = max(int(known or 0), _RECONCILED - 1) + 1
+    wide = M.wide_from_stats(M.minute_stats(stg.where(F.col("trade_date").isin(*ds)), M.ALL_MINUTE))
+    wide.write.mode("overwrite").parquet(f"{base}/version={version}")
+
+
+def late_rows(stg: DataFrame, root: str, checkpoint: str, watermark: str, trigger: str | None = REFRESH_INTERVAL,
+              available_now: bool = False) -> StreamingQuery:
+    """Side output: staging rows whose minute was closed when they arrived.
+
+    Per batch, the newest trade time of all earlier batches less
+    ``watermark`` is the watermark that applies; rows whose minute ends at or
+    before it go to ``root/late/batch=<id>``. The newest times live in
+    ``root/newest/batch=<id>``, so a restart or replay finds them.
+    """
+    base = root.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            seen = None
+            if batch_id and matches(spark, f"{base}/newest/batch=*"):
+                before = spark.read.parquet(f"{base}/newest").where(F.col("batch") < batch_id)
+                # the newest time travels as text: no zone between driver and executors
+                seen = before.agg(F.max("newest").cast("string")).first()[0]
+            ends = F.date_trunc("minute", "trade_ts_utc") + F.expr(f"INTERVAL {BUCKET}")
+            line = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
+            batch.where(F.coalesce(ends <= line, F.lit(False))).write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
+            batch.agg(F.max("trade_ts_utc").alias("newest")).write.mode("overwrite").parquet(f"{base}/newest/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = stg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return apply_trigger(w, trigger, available_now).start()
 
 
 def scheduled_refresh(trades_stream: DataFrame, lake_root: str, root: str, checkpoint: str,
-                      interval: str = REFRESH_INTERVAL, available_now: bool = False):
+                      interval: str = REFRESH_INTERVAL, available_now: bool = False,
+                      db: str | None = None, dedupe: bool = False):
     """Every ``interval``: incrementally refresh the dates touched by new trades.
 
     A ``foreachBatch`` over the landed trade stream: each micro-batch
@@ -114,7 +168,7 @@ def scheduled_refresh(trades_stream: DataFrame, lake_root: str, root: str, check
     def _batch(batch: DataFrame, batch_id: int) -> None:
         dates = [r[0] for r in stg_trades(batch).select("trade_date").distinct().collect()]
         if dates:
-            refresh_dates(batch.sparkSession, lake_root, root, dates)
+            refresh_dates(batch.sparkSession, lake_root, root, dates, db=db, dedupe=dedupe)
 
     w = trades_stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     return apply_trigger(w, interval, available_now)

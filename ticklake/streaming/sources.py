@@ -13,29 +13,39 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ticklake.schema import KAFKA_RECORD
 
-# Consumer batch size (records per trigger), flush interval,
-# producer linger (ms) — the ingest cadence of the surveyed deployment.
-MAX_RECORDS_PER_TRIGGER = 5000
+# Flush size (records) and interval, producer linger (ms) — the
+# ingest cadence of the surveyed deployment: a batch is written at 5,000
+# records or after 10 seconds, whichever comes first. The size starts a batch;
+# it never limits one.
+FLUSH_RECORDS = 5000
 TRIGGER_INTERVAL = "10 seconds"
 PRODUCER_LINGER_MS = 20
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
                  starting_offsets: str = "earliest",
-                 max_offsets_per_trigger: int | None = MAX_RECORDS_PER_TRIGGER,
+                 max_offsets_per_trigger: int | None = None,
+                 fail_on_data_loss: bool = True, flush_records: int | None = FLUSH_RECORDS,
                  group_id: str | None = None, options: dict | None = None) -> DataFrame:
     """Subscribe to ``topic``; offsets are tracked in the query checkpoint.
 
     Structured Streaming commits source offsets only after a micro-batch's
     sink commit, which replaces the reference's manual commit-after-write.
+
+    ``flush_records`` waits for so many records, but no longer than the
+    trigger interval. A ceiling (``max_offsets_per_trigger``) is off unless
+    asked for, and records that the topic has already dropped stop the query
+    (``fail_on_data_loss``) instead of being skipped.
     """
     r = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
+    if flush_records:
+        r = r.option("minOffsetsPerTrigger", str(flush_records)).option("maxTriggerDelay", TRIGGER_INTERVAL)
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     if group_id:
@@ -45,7 +55,7 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
     return r.load()
 
 
-def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1,
+def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """Kafka-shaped records landed as files (test and replay source)."""
     r = spark.readStream.schema(KAFKA_RECORD).format(fmt)

@@ -21,7 +21,10 @@ ORACLE_DIR = "/root/testdata/sf0.01"
 def spark():
     from ticklake.session import get_session
 
-    s = get_session("local[4]", app_name="ticklake-tests", shuffle_partitions=4)
+    # one JVM runs every test: room for it, and no long memory of past queries
+    extra = {"spark.driver.memory": "6g", "spark.sql.ui.retainedExecutions": "20", "spark.ui.retainedJobs": "50",
+             "spark.ui.retainedStages": "50", "spark.ui.showConsoleProgress": "false"}
+    s = get_session("local[4]", app_name="ticklake-tests", shuffle_partitions=4, extra=extra)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

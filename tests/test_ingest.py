@@ -65,8 +65,10 @@ def test_missing_key_reports_first_in_order(spark):
 
 def test_null_vs_missing(spark):
     p = [with_(symbol=None)]
-    assert errors(spark, p, ingest.MINIMAL) == [None]
-    assert errors(spark, p, ingest.FULL) == ["type:symbol"]
+    # present but null: nothing is missing, but a required value is
+    for mode in (ingest.MINIMAL, ingest.FULL):
+        assert errors(spark, p, mode) == ["type:symbol"]
+    assert errors(spark, [with_(symbol=KeyError)], ingest.MINIMAL) == ["missing_key:symbol"]
 
 
 def test_wrong_types(spark):
@@ -149,7 +151,15 @@ def test_ingest_counts(spark):
     assert got == {0: (2, 2, 0, 4), 1: (1, 0, 1, 2), 2: (1, 1, 0, 3)}
 
 
-def test_minimal_mode_keeps_row_with_bad_field(spark):
-    c = ingest.check_contract(records(spark, [with_(price="abc")]), ingest.MINIMAL)
-    (r,) = c.collect()
-    assert r.error is None and r.price is None and r.qty == 2.0 and r.symbol == "BTCUSDT"
+def test_minimal_mode_loses_nothing(spark):
+    """A required key that is null or does not cast fails; other keys may be bad."""
+    got = errors(spark, [with_(price="abc"), with_(trade_ts=None), with_(trade_ts="soon"), with_(is_buyer_maker="?"),
+                         with_(source=KeyError), with_(price="1.5")], ingest.MINIMAL)
+    assert got == ["type:price", "type:trade_ts", "type:trade_ts", None, None, None]
+
+
+def test_trade_ts_range(spark):
+    times = [0, M, M // 1000, 253402300799999, M * 1000, M * 1_000_000, -1, 2**63 - 1]
+    for mode in (ingest.FULL, ingest.MINIMAL):
+        got = errors(spark, [with_(trade_ts=t) for t in times], mode)
+        assert got == [None] * 4 + ["range:trade_ts"] * 4

@@ -48,7 +48,7 @@ def test_cli_refresh_and_report(spark, capsys):
     assert main(["refresh", "--lake", lake, "--marts", marts_root, "--as-of", "2024-01-01 01:10:00"]) == 0
     assert "fct_candles_1m" in capsys.readouterr().out
     assert main(["report"]) == 0
-    assert "Latest candles" in capsys.readouterr().out
+    assert "Newest candle minutes" in capsys.readouterr().out
 
 
 def test_migrate_unkeyed(spark, tmp_path):
@@ -97,3 +97,66 @@ def test_incremental_refresh_equals_full(spark):
         got = sorted(map(tuple, read_mart(spark, path).collect()))
         want = sorted(map(tuple, read_mart(spark, f"{full}/{name}").collect()))
         assert got == want, name
+
+
+def test_catalog_follows_incremental_refresh(spark):
+    """Tables read before a new date was refreshed show it afterwards."""
+    from conftest import M, trades_df
+
+    from ticklake.schema import MART_COLUMNS
+
+    day, db = 86_400_000, "marts_follow"
+    lake, root = scratch_path(spark, "k-lake"), scratch_path(spark, "k-marts")
+    write_lake(trades_df(spark, [("A", 1, M + 1000, 10, 1, False)]), lake)
+    jobs.refresh_marts(spark, lake, root, as_of="2024-01-01 00:10:00", db=db)
+    before = {n: spark.table(f"{db}.{n}").count() for n in MART_COLUMNS}
+    write_lake(trades_df(spark, [("B", 2, M + day, 10, 1, False), ("A", 3, M + day, 10, 1, False)]), lake)
+    jobs.refresh_dates(spark, lake, root, ["2024-01-02"], as_of="2024-01-02 00:01:00", db=db)
+    after = {n: spark.table(f"{db}.{n}").count() for n in MART_COLUMNS}
+    assert set(before.values()) == {1} and after == {n: 2 if "health" in n else 3 for n in MART_COLUMNS}
+    rep = jobs.report(spark, db)
+    assert [df.columns for df in rep.values()][0] == list(MART_COLUMNS["fct_candles_1m"])
+    assert jobs.nightly_checks(spark, lake, db=db).where("failures > 0").count() == 0
+
+
+def test_full_rebuild_drops_vanished_dates(spark):
+    from conftest import M, trades_df
+
+    root, day = scratch_path(spark, "v-marts"), 86_400_000
+    two, one = scratch_path(spark, "v-lake"), scratch_path(spark, "v-lake")
+    write_lake(trades_df(spark, [("A", 1, M, 10, 1, False), ("A", 2, M + day, 10, 1, False)]), two)
+    write_lake(trades_df(spark, [("A", 2, M + day, 10, 1, False)]), one)
+    for lake, dates in ((two, 2), (one, 1)):
+        path = jobs.refresh_marts(spark, lake, root, as_of="2024-01-02 00:10:00", db=None)["fct_candles_1m"]
+        assert spark.read.parquet(path).select("trade_date").distinct().count() == dates
+
+
+def test_deduped_refresh_counts_once(spark):
+    lake, root = scratch_path(spark, "d-lake"), scratch_path(spark, "d-marts")
+    t = load_trades(spark, SMOKE_DIR)
+    write_lake(with_redelivery(t), lake)
+    path = jobs.refresh_marts(spark, lake, root, as_of="2024-01-01 01:10:00", db=None, dedupe=True)["fct_trades_1m"]
+    assert spark.read.parquet(path).agg({"trade_count": "sum"}).first()[0] == t.count()
+
+
+def test_no_local_checkpoint_folder_on_a_cluster(monkeypatch):
+    from ticklake import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session())

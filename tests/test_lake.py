@@ -114,7 +114,7 @@ def test_refresh_select_and_catalog(spark):
     assert serving.missing_marts(spark, db) == []
     report = serving.latest_of_each_mart(spark, db)
     assert list(report) == [t for t, _, _ in serving.REPORT]
-    assert report["Latest candles"].count() == 2
+    assert report["Newest candle minutes"].count() == 2
     h = serving.health_table(spark, db).collect()
     assert [(r.pair, r.trades_last_5m) for r in h] == [("A", 1), ("B", 1)]
 

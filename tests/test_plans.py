@@ -25,11 +25,36 @@ def test_candles_single_exchange_hash_aggregate(spark):
     assert "Window" not in p and "Join" not in p
 
 
-def test_latency_one_percentile_buffer(spark):
-    p = plan(marts.fct_ingestion_latency_1m(stg(spark)))
-    assert p.count("Exchange") == 1 and "ObjectHashAggregate" in p
-    # p95 and p99 come from one buffer: one partial, one final percentile
-    assert p.count("partial_percentile(") == 1 and p.count("percentile(") == 2
+def test_percentiles_over_counted_latencies(spark):
+    for df in (marts.fct_ingestion_latency_1m(stg(spark)), marts.minute_stats(stg(spark), marts.ALL_MINUTE)):
+        p = plan(df)
+        # trades go through hash aggregates only; the percentile sees their counts
+        assert p.count("Exchange") == 2 and "SortAggregate" not in p
+        below = p[p.rindex("Exchange"):]
+        assert "HashAggregate" in below and "ObjectHashAggregate" not in below and "percentile" not in below
+        # p95 and p99 come from one buffer: one partial, one final percentile
+        assert p.count("partial_percentile(") == 1 and p.count("percentile(") == 2
+
+
+def test_stored_slice_prunes_dates(spark, tmp_path):
+    from ticklake.plans.refresh import refresh
+    from ticklake.session import scratch_path
+
+    paths = refresh(spark, stg(spark), scratch_path(spark, "p-marts"), select=["fct_candles_1m"], as_of=AS_OF)
+    df = serving.candles_slice(spark.read.parquet(paths["fct_candles_1m"]), "CLICK", 30, as_of=AS_OF)
+    assert "trade_date" in plan(df).split("PartitionFilters: [")[1].split("]")[0]
+    assert "trade_date" not in df.columns
+
+
+def test_staging_filter_prunes_the_lake(spark):
+    from ticklake.session import scratch_path
+    from ticklake.sources.lake import read_lake, write_lake
+
+    root = scratch_path(spark, "p-lake")
+    write_lake(load_trades(spark, SMOKE_DIR), root)
+    df = stg_trades(read_lake(spark, root)).where("pair = 'CLICK' and trade_date = date'2024-01-01' and hour = 0")
+    filters = plan(df).split("PartitionFilters: [")[1].split("], ")[0]
+    assert all(c in filters for c in ("pair", "trade_date", "hour"))
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 
-from conftest import M, SMOKE_DIR, trades_df
+from conftest import M, SMOKE_DIR, iso, trades_df
 from pyspark.sql import functions as F
 
 from ticklake.operators import ingest, marts
 from ticklake.operators.staging import stg_trades
-from ticklake.schema import TRADE_V1
+from ticklake.plans import jobs
+from ticklake.plans.compaction import compact
+from ticklake.schema import KAFKA_RECORD, TRADE_V1
 from ticklake.session import scratch_path
-from ticklake.sources.lake import read_lake, write_lake
+from ticklake.sources.lake import read_lake, refresh_external_table, write_lake
 from ticklake.sources.testdata import BASE_MS, kafka_records, load_trades
 from ticklake.streaming import landing
 from ticklake.streaming import marts as SM
@@ -37,33 +39,103 @@ def test_stream_restart_no_duplicates(spark):
     recs = _record_batches(spark)
     for r in recs[:2]:
         r.coalesce(1).write.mode("append").parquet(src)
-    run = landing.land(file_source(spark, src), lake, dlq, ck, available_now=True)
-    run.await_termination()
-    metrics = [p["observedMetrics"].get("ingest_metrics") for p in run.lake.recentProgress
-               if p.get("observedMetrics")]
-    first = spark.read.parquet(lake).count()
+    run = landing.land(file_source(spark, src, 1), lake, dlq, ck, available_now=True)
+    run.awaitTermination()
+    metrics = [p["observedMetrics"].get("ingest_metrics") for p in run.recentProgress if p.get("observedMetrics")]
+    first = read_lake(spark, lake).count()
     recs[2].coalesce(1).write.mode("append").parquet(src)
     # restart on the same checkpoints: only the new file is processed
-    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).await_termination()
-    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).await_termination()
+    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).awaitTermination()
+    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).awaitTermination()
     good, bad = _expected(spark, recs)
-    out = spark.read.parquet(lake)
+    out = read_lake(spark, lake)
     assert out.count() == good > first
     assert out.select("trade_id").distinct().count() == good
-    assert spark.read.parquet(dlq).count() == bad
+    assert landing.read_dlq(spark, dlq).count() == bad
     assert sum(m["consumed"] for m in metrics) == recs[0].count() + recs[1].count()
 
 
-def test_batch_landing_one_parse(spark):
+def test_replayed_batch_adds_nothing(spark):
+    lake, dlq, ck = (scratch_path(spark, n) for n in ("t-lake", "t-dlq", "t-ck"))
+    checked = ingest.check_contract(_record_batches(spark)[0], metrics_name=None)
+    good, bad = ingest.good_rows(checked).count(), ingest.bad_rows(checked).count()
+    ledger = landing.Ledger(spark, ck)
+
+    def sizes():
+        return read_lake(spark, lake).count(), landing.read_dlq(spark, dlq).count()
+
+    landing.land_batch(checked, lake, dlq, ledger, 0)
+    assert sizes() == (good, bad)
+    landing.land_batch(checked, lake, dlq, ledger, 0)  # known as done
+    assert sizes() == (good, bad)
+    # broken off after part of the lake write: begun, not done
+    half = ingest.good_rows(checked).where("trade_id % 2 = 0")
+    broken = scratch_path(spark, "t-broken")
+    write_lake(half, broken)
+    ledger.note(7, "begun")
+    landing.land_batch(checked, broken, dlq, ledger, 7)
+    assert read_lake(spark, broken).count() == good
+    assert landing.read_dlq(spark, dlq).count() == 2 * bad  # batches 0 and 7
+    assert ledger.has(7, "done")
+
+
+def test_landing_takes_poison_times_and_minimal_nulls(spark):
+    """ns, us, negative and largest times, null and junk: all dead-lettered, none lost."""
+    src, lake, dlq, ck, root = (scratch_path(spark, n) for n in ("t-in", "t-lake", "t-dlq", "t-ck", "t-marts"))
+    event = {"schema_version": 1, "event_id": "e", "source": "s", "ingested_at": iso(M), "symbol": "btcusdt", "trade_id": 1,
+             "price": 1.5, "qty": 2.0, "is_buyer_maker": False}
+    times = [M, M + 1, M * 1_000_000, M * 1_000, -M, 2**63 - 1, None, "soon"]
+    rows = [(bytearray(b"k"), bytearray(json.dumps(event | {"trade_ts": t}).encode()), "t", 0, i, None) for i, t in enumerate(times)]
+    spark.createDataFrame(rows, KAFKA_RECORD).coalesce(1).write.parquet(src)
+    landing.land(file_source(spark, src), lake, dlq, ck, mode=ingest.MINIMAL, available_now=True).awaitTermination()
+    assert sorted(r.trade_ts for r in read_lake(spark, lake).collect()) == [M, M + 1]
+    dead = landing.read_dlq(spark, dlq).collect()
+    assert sorted(json.loads(r.value)["error"] for r in dead) == ["range:trade_ts"] * 4 + ["type:trade_ts"] * 2
+    assert {bytes(r.payload) for r in dead} == {bytes(r[1]) for r in rows[2:]}
+    # poison that is already in a lake does not stop staging or refresh
+    poison = trades_df(spark, [("A", 1, M, 1, 1, False), ("A", 2, M * 1_000_000, 1, 1, False), ("A", 3, 2**63 - 1, 1, 1, False)], ingested=[iso(M)] * 3)
+    write_lake(poison, root + "-lake")
+    assert stg_trades(read_lake(spark, root + "-lake")).count() == 1
+    jobs.refresh_marts(spark, root + "-lake", root, as_of="2024-01-01 00:01:00", db=None)
+    assert spark.read.parquet(f"{root}/fct_candles_1m").count() == 1
+
+
+def test_landed_lake_takes_appends_compaction_and_tables(spark):
     src, lake, dlq, ck = (scratch_path(spark, n) for n in ("t-in", "t-lake", "t-dlq", "t-ck"))
-    recs = _record_batches(spark)
-    for r in recs:
-        r.coalesce(1).write.mode("append").parquet(src)
-    q = landing.land_batches(file_source(spark, src), lake, dlq, ck, available_now=True)
-    q.awaitTermination()
-    good, bad = _expected(spark, recs)
-    assert read_lake(spark, lake).count() == good
-    assert spark.read.parquet(dlq).count() == bad
+    t = load_trades(spark, SMOKE_DIR)
+    kafka_records(t.where("trade_id % 2 = 0"), damaged=False).write.parquet(src)
+    landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).awaitTermination()
+    jobs.init_catalog(spark, lake, scratch_path(spark, "t-cat"))
+    landed = spark.table("ext.trades").count()
+    write_lake(t.where("trade_id % 2 = 1"), lake)
+    compact(spark, lake)
+    refresh_external_table(spark, "ext.trades")
+    assert landed < read_lake(spark, lake).count() == spark.table("ext.trades").count() == t.count()
+
+
+def test_source_options_drop_nothing(spark, monkeypatch):
+    """No ceiling per batch; lost records stop the query."""
+    from ticklake.streaming import sources
+
+    seen = {}
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def load(self):
+            return seen
+
+    class Session:
+        readStream = Reader()
+
+    sources.kafka_source(Session(), "b", "t")
+    assert "maxOffsetsPerTrigger" not in seen and seen["failOnDataLoss"] == "true"
+    assert (seen["minOffsetsPerTrigger"], seen["maxTriggerDelay"]) == ("5000", "10 seconds")
 
 
 def _trade_files(spark, path, rows):
@@ -71,13 +143,13 @@ def _trade_files(spark, path, rows):
 
 
 def test_late_trade_dropped_by_stream_then_reconciled(spark):
-    src, sink, ck, root = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck", "t-marts"))
+    src, root, side, ck, lake = (scratch_path(spark, n) for n in ("t-in", "t-minutes", "t-late", "t-ck", "t-lake"))
     _trade_files(spark, src, [("A", i, M + i * 60_000, 10, 1, False) for i in range(11)])
 
     def run():
-        stream = spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
-        q = SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream), "1 minute"), sink, ck,
-                            available_now=True).start()
+        stream = lambda: SM.stream_stg(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src))
+        SM.late_rows(stream(), side, ck + "-late", "1 minute", available_now=True).awaitTermination()
+        q = SM.write_minute_table(SM.stream_minute_marts(stream(), "1 minute"), root, ck, available_now=True)
         q.awaitTermination()
         return q
 
@@ -85,19 +157,20 @@ def test_late_trade_dropped_by_stream_then_reconciled(spark):
     _trade_files(spark, src, [("A", 100, M + 2 * 60_000 + 5000, 50, 1, False),
                               ("A", 101, M + 13 * 60_000, 10, 1, False)])
     assert SM.rows_dropped_by_watermark(run()) == 1
-    out = {r.minute_bucket.minute: r.trade_count for r in spark.read.parquet(sink).collect()}
-    assert out[2] == 1  # the late trade was past the watermark
-    every = spark.read.schema(TRADE_V1).parquet(src)
-    SM.reconcile_dates(spark, stg_trades(every), root, ["2024-01-01"])
-    rebuilt = {r.minute_bucket.minute: r.trade_count for r in spark.read.parquet(f"{root}/fct_candles_1m").collect()}
-    assert rebuilt[2] == 2 and rebuilt[13] == 1
+    got = lambda: {r.minute_bucket.minute: r.trade_count for r in SM.read_minute_table(spark, root).collect()}
+    assert got()[2] == 1 and got()[13] == 1  # the late trade was past the watermark; open minutes are there
+    late = spark.read.parquet(f"{side}/late").collect()
+    assert [(r.trade_id, str(r.trade_date)) for r in late] == [(100, "2024-01-01")]
+    write_lake(spark.read.schema(TRADE_V1).parquet(src), lake)
+    SM.reconcile_minutes(stg_trades(read_lake(spark, lake)), root, ["2024-01-01"])
+    assert got()[2] == 2 and got()[13] == 1 and len(got()) == 12
 
 
 def test_stream_equals_batch_for_closed_windows(spark):
     src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
     load_trades(spark, SMOKE_DIR).write.parquet(src)
     stream = spark.readStream.schema(TRADE_V1).parquet(src)
-    SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream)), sink, ck,
+    SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream), "1 minute"), sink, ck,
                     available_now=True).start().awaitTermination()
     got = spark.read.parquet(sink)
     batch = marts.wide_from_stats(marts.minute_stats(stg_trades(load_trades(spark, SMOKE_DIR))))
@@ -136,23 +209,25 @@ def test_dedupe_stream_drops_redelivery(spark):
     src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
     _trade_files(spark, src, [("A", 1, M, 10, 1, False), ("A", 1, M, 10, 1, False), ("A", 2, M, 10, 1, False)])
     stream = spark.readStream.schema(TRADE_V1).parquet(src)
-    SM.write_stream(SM.dedupe_stream(SM.stream_stg(stream)), sink, ck, available_now=True).start().awaitTermination()
+    SM.write_stream(SM.dedupe_stream(SM.stream_stg(stream), "1 minute"), sink, ck, available_now=True).start().awaitTermination()
     assert sorted(r.trade_id for r in spark.read.parquet(sink).collect()) == [1, 2]
 
 
 def test_publish_feed_routes_contract_failures(spark):
-    from ticklake.streaming.feed import feed_text_source, publish
+    from ticklake.streaming.feed import feed_text_source, publish, read_topic
 
     src, out, ck = (scratch_path(spark, n) for n in ("t-feed", "t-topics", "t-ck"))
     good = '{"e":"trade","E":1,"s":"btcusdt","t":1,"p":"1.5","q":"2","T":%d,"m":false}' % M
     bad = '{"e":"trade","E":1,"s":"btcusdt","t":2,"p":"x","q":"2","T":%d,"m":false}' % M
-    spark.createDataFrame([(good,), (bad,), ("{nope",)], "value string").coalesce(1).write.text(src)
-    run = publish(feed_text_source(spark, src), ck, out_root=out, available_now=True)
-    run.await_termination()
-    trades = spark.read.parquet(f"{out}/crypto.trades.v1").collect()
-    dlq = spark.read.parquet(f"{out}/crypto.trades.dlq.v1").collect()
-    assert [r.key for r in trades] == ["BTCUSDT"]
-    assert sorted(json.loads(r.value)["error"] for r in dlq) == ["type:price", "type:symbol"]
+    rest = ["{nope", "[1]", bad, good.replace('"q":"2",', ""), good.replace(str(M), f"{M}000000"), good.replace(str(M), "null")]
+    spark.createDataFrame([(x,) for x in [good, *rest]], "value string").coalesce(1).write.text(src)
+    publish(feed_text_source(spark, src), ck, out_root=out, available_now=True).awaitTermination()
+    assert [r.key for r in read_topic(spark, out, "crypto.trades.v1").collect()] == ["BTCUSDT"]
+    dlq = read_topic(spark, out, "crypto.trades.dlq.v1").collect()
+    errors = {bytes(r.payload).decode(): json.loads(r.value)["error"] for r in dlq}
+    assert [errors[x] for x in rest] == [
+        "invalid_json", "not_object", "type:price", "missing_key:q", "range:trade_ts", "type:trade_ts"]
+    assert all(json.loads(r.value)["raw"] == bytes(r.payload).decode() for r in dlq)
 
 
 def test_ingest_metrics_listener(spark):
@@ -164,7 +239,7 @@ def test_ingest_metrics_listener(spark):
     listener = landing.IngestMetricsListener()
     spark.streams.addListener(listener)
     try:
-        landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).await_termination()
+        landing.land(file_source(spark, src), lake, dlq, ck, available_now=True).awaitTermination()
         deadline = time.time() + 20
         while time.time() < deadline and not listener.rows:
             time.sleep(0.5)
@@ -179,7 +254,7 @@ def test_wide_stream_output_splits_into_marts(spark):
     src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
     load_trades(spark, SMOKE_DIR).write.parquet(src)
     stream = spark.readStream.schema(TRADE_V1).parquet(src)
-    SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream)), sink, ck,
+    SM.write_stream(SM.stream_minute_marts(SM.stream_stg(stream), "1 minute"), sink, ck,
                     available_now=True).start().awaitTermination()
     split = marts.marts_from_wide(spark.read.parquet(sink))
     stg = stg_trades(load_trades(spark, SMOKE_DIR))

@@ -44,8 +44,9 @@ def masked(line: Column) -> Column:
     """The line's tokens joined by single blanks, digit-bearing ones as ``<*>``."""
     blanks = F.btrim(F.regexp_replace(line, r"\s+", " "))
     changed = F.regexp_replace(blanks, r"[^ ]*[0-9][^ ]*", FIELD)
-    # most lines hold neither digits nor odd blanks: one look tells
-    return F.when(line.rlike(r"[0-9\t\x0B\f\r]|  |^ | $"), changed).otherwise(line)
+    # most lines hold neither digits nor odd blanks: a look tells
+    odd = line.rlike(r"[0-9\t\x0B\f\r]") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return F.when(odd, changed).otherwise(line)
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -55,8 +56,9 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     share a doc_id are one document).
     """
     doc = F.coalesce("doc_id", F.lit(NO_ID))
-    lines = docs.where("text is not null").select(doc.alias("doc"), F.explode(F.array_distinct(F.split("text", "\n"))).alias("l"))
-    cut = lines.select("doc", masked(F.col("l")).alias("masked")).where(F.length("masked") >= 2 * MIN_TOKENS - 1)
+    # masked inside the array, so that no filter repeats the work per line
+    every = F.array_distinct(F.transform(F.split("text", "\n"), masked))
+    cut = docs.where("text is not null").select(doc.alias("doc"), F.explode(every).alias("masked"))
     n_tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     leaf = F.xxhash64(n_tokens, F.substring_index("masked", " ", LEADING))
     return cut.where(n_tokens >= MIN_TOKENS).select("doc", leaf.alias("leaf"), F.xxhash64("masked").alias("line"), "masked")

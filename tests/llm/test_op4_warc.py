@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 
@@ -67,5 +68,5 @@ def test_archives_are_whole_records(spark, tmp_path):
     df = spark.createDataFrame([(i, f"http://a/{i}", f"h{i}") for i in range(25)], "page_id long, url string, html string")
     W.write_archives(df.coalesce(1), str(tmp_path / "w"), records_per_file=10)
     files = sorted((tmp_path / "w").glob("part-*"))
-    counts = [len(list(W.parse_archive(f.read_bytes()))) for f in files]
+    counts = [len(list(W.parse_archive(gzip.decompress(f.read_bytes())))) for f in files]
     assert sum(counts) == 25 and max(counts) <= 10

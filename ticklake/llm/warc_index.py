@@ -4,8 +4,8 @@ Writing: each page becomes a WARC 1.1 record. The payload is the html in
 UTF-8; of equal payloads (same SHA-1) the largest page_id is the ``response``,
 the others are ``revisit`` records that refer to it. Spark's text writer makes
 the archives: a record's text plus ``\\r\\n\\r\\n``, the record separator that the
-format asks for, so each part file is a plain archive of a bounded number of
-records.
+format asks for, so each part file is an archive (gzip, ``.txt.gz`` by Spark's
+naming) of a bounded number of records.
 
 Reading back: every archive is parsed by Content-Length. Each task's records
 are sorted by URL key and timestamp and written as a *capture run*. The runs
@@ -17,6 +17,7 @@ histories.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from base64 import b32encode
 from collections.abc import Iterator
@@ -115,10 +116,10 @@ def record_text(decided: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """WARC files under ``path``, at most ``records_per_file`` records each."""
+    """Gzip WARC files under ``path``, at most ``records_per_file`` records each."""
     (
         record_text(decide(pages, min_bytes)).write.option("lineSep", _NL + _NL)
-        .option("maxRecordsPerFile", records_per_file).text(path)
+        .option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
     )
 
 
@@ -151,14 +152,15 @@ _CAPTURE = (
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One capture per record of the archives under ``path``. ``digest_ok``: a
-    response's payload has the stated digest and length."""
+    response's payload has the stated digest and length. ``offset`` counts
+    bytes of the unzipped archive."""
     arrow = arrow_schema(_CAPTURE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 name, rows = batch.column(0)[k].as_py(), []
-                for offset, head, block in parse_archive(batch.column(1)[k].as_py()):
+                for offset, head, block in parse_archive(gzip.decompress(batch.column(1)[k].as_py())):
                     http, _, payload = block.partition(b"\r\n\r\n")
                     size = int(http.rpartition(b"Content-Length: ")[2])
                     digest, kind = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"]

@@ -170,7 +170,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         head.get("WARC-Target-URI"), head["WARC-Date"], _page_of(head["WARC-Record-ID"]), size, digest, kind,
                         _page_of(to) if to else None, ok, name.rpartition("/")[2], offset,
                     ))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+                if rows:  # an empty table leaves an archive without records
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _CAPTURE)
 

@@ -84,3 +84,20 @@ def test_large_test_set_is_refused(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "b c d e")], "item_id long, text string")
     with pytest.raises(ValueError):
         D.find_contamination(docs, bench)
+
+
+def test_large_test_set_is_searched_in_parts(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(200)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    # two items whose windows overlap in a document, in different parts
+    own = docs.where("doc_id is not null").orderBy("doc_id").first()
+    words = plain_words(own.text)
+    bench = bench.union(spark.createDataFrame([(901, " ".join(words[:14])), (902, " ".join(words[8:22])), (901, words[0])], bench.schema))
+    items = [tuple(r) for r in bench.collect()]
+    monkeypatch.setattr(D, "MAX_TEST_WORDS", max(len(plain_words(t)) for _, t in items))
+    assert len(list(D.test_parts(bench)[1])) > 2
+    got = [(r.doc_id, r.n_words, r.n_hit, r.item_ids, r.near_ids) for r in D.find_contamination(docs, bench).collect()]
+    monkeypatch.undo()
+    assert sorted(got, key=str) == sorted([tuple(r)[:5] for r in D.find_contamination(docs, bench).collect()], key=str)
+    want = plain_hits([tuple(r) for r in docs.collect()], items)
+    assert sorted((g[:3] + (len(g[3]),) for g in got), key=str) == sorted((w[:4] for w in want), key=str)

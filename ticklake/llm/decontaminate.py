@@ -14,13 +14,16 @@ from the rarest term on. Two kinds of match come back per document:
 * proximity: all of the window's words within ``slop`` further words, in any
   order (reported as ``n_near_items``).
 
-The test set is broadcast; its size is checked, a test set of over
-``MAX_TEST_WORDS`` words is refused (search it in parts of whole items).
+The test set is broadcast in parts of whole items of at most ``MAX_TEST_WORDS``
+words, counted before anything reaches the driver. With one part the index holds
+its words only; with more it holds every word, is searched once per part, and
+the hit spans and items are put together per document row. Only a single item
+of over ``MAX_TEST_WORDS`` words is refused.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -28,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import stored
+from ticklake.llm.common import arrow_schema, map_rows, stored
+from ticklake.session import scratch_path
 
 WINDOW = 10
 SLOP = 5
@@ -58,18 +62,43 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_WORDS).split() if text else []
 
 
-def test_items(bench: DataFrame) -> list[tuple[int, list[bytes]]]:
-    """The test set's word lists (items without words have no window).
+def test_parts(bench: DataFrame) -> tuple[int, Iterator[list[tuple[int, list[bytes]]]]]:
+    """Number of words of the test set and its word lists, in parts of whole rows
+    of at most ``MAX_TEST_WORDS`` words (items without words have no window).
 
-    Collected because it is the stated query set; ``search`` checks its size.
-    Repeated item_ids count as one item with all their windows.
+    Repeated item_ids count as one item with all their windows, also when their
+    rows lie in several parts.
     """
-    rows = bench.where("item_id is not null and text is not null").select("item_id", F.col("text").cast("binary"))
-    return [(i, w) for i, t in rows.toLocalIterator() if (w := words_of(bytes(t)))]
-
-
-def build_index(docs: DataFrame, vocabulary: set[bytes]) -> DataFrame:
-    """Shard rows of the positional index over ``docs`` (doc_id, text).
+    kind = bench.schema["item_id"].dataType.simpleString()
+    given = bench.where("item_id is not null and text is not null").select("item_id", F.col("text").cast("binary").alias("text"))
+    rows = stored(
+        map_rows(given.distinct(), lambda: lambda i, t: (i, t, len(words_of(t))), f"item_id {kind}, text binary, words long")
+        .where("words > 0"), "items",
+    )
+    total, most = (x or 0 for x in rows.agg(F.sum("words"), F.max("words")).first())
+    if most > MAX_TEST_WORDS:
+        raise ValueError(f"a test item of over {MAX_TEST_WORDS} words")
+    # dealt by hash to groups that fill four fifths of a part on average
+    groups = 1 if total <= MAX_TEST_WORDS else -(-5 * total // (4 * MAX_TEST_WORDS))
+
+    def cut():
+        for g in range(groups):
+            part, size = [], 0
+            for i, t, n in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).collect():
+                if size + n > MAX_TEST_WORDS:
+                    yield part
+                    part, size = [], 0
+                part.append((i, words_of(bytes(t))))
+                size += n
+            if part:
+                yield part
+
+    return total, cut()
+
+
+def build_index(docs: DataFrame, vocabulary: set[bytes] | None) -> DataFrame:
+    """Shard rows of the positional index over ``docs`` (doc_id, text), of the
+    words of ``vocabulary`` or (None) of all words.
 
     A shard closes at ``SHARD_WORDS`` words or ``SHARD_DOCS`` documents; a
     longer document makes a shard of its own, whole. A null text has no words.
@@ -77,8 +106,8 @@ def build_index(docs: DataFrame, vocabulary: set[bytes]) -> DataFrame:
     terms = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {w: i for i, w in enumerate(sorted(terms.value))}
-        names = sorted(terms.value)
+        names = [] if terms.value is None else sorted(terms.value)
+        ids = {w: i for i, w in enumerate(names)}
         docs_, tokens, size = [], [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -86,11 +115,18 @@ def build_index(docs: DataFrame, vocabulary: set[bytes]) -> DataFrame:
                 for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                     got = words_of(text)
                     docs_.append((doc_id, len(got)))
+                    if terms.value is None:  # every shard numbers its own words
+                        for w in got:
+                            if w not in ids:
+                                ids[w] = len(names)
+                                names.append(w)
                     tokens.append(np.fromiter(map(ids.get, got, repeat(-1)), np.int32, len(got)))
                     size += len(got)
                     if size >= SHARD_WORDS or len(docs_) >= SHARD_DOCS:
                         yield _shard(docs_, tokens, names)
                         docs_, tokens, size = [], [], 0
+                        if terms.value is None:
+                            ids, names = {}, []
         if docs_:
             yield _shard(docs_, tokens, names)
 
@@ -133,8 +169,9 @@ class Windows:
 
 
 def search_shard(win: Windows, row: dict, slop: int) -> dict[str, np.ndarray]:
-    """Per document of one shard: hit words and the (document, item) pairs of
-    phrase and proximity matches. All windows walk their lists side by side."""
+    """Of one shard: the hit spans (document, first word, end word) and the
+    (document, item) pairs of phrase and proximity matches. All windows walk
+    their lists side by side."""
     many = np.asarray(row["n_postings"], np.int64)
     wide = np.int32 if row["postings"][:1] == b"\4" else np.int64
     position = np.frombuffer(row["postings"], wide, offset=1).astype(np.int64) + GAP
@@ -171,8 +208,10 @@ def search_shard(win: Windows, row: dict, slop: int) -> dict[str, np.ndarray]:
             far = ~np.isin(w * room + at, wp * room + begin + order[wp, 0])
             for u, close in _near(key, room, lists[live], order, length, w[far], at[far], slop):
                 near.append((np.searchsorted(doc_start, close, side="right") - 1, np.full(len(close), win.item[live[u]])))
-    covered = np.r_[0, np.cumsum(np.cumsum(hit) > 0)]
-    return {"n_hit": covered[doc_start + n_words] - covered[doc_start], "phrase": _pairs(phrase), "near": _pairs(near)}
+    edge = np.flatnonzero(np.diff(np.r_[False, np.cumsum(hit) > 0, False]))
+    of = np.searchsorted(doc_start, edge[::2], side="right") - 1
+    spans = np.stack([of, edge[::2] - doc_start[of], edge[1::2] - doc_start[of]], 1)
+    return {"spans": spans, "phrase": _pairs(phrase), "near": _pairs(near)}
 
 
 def _offset_intersection(key, room, lists, order, length, w, at):
@@ -226,24 +265,17 @@ def _pairs(found) -> np.ndarray:
     return np.unique(flat, axis=0)
 
 
-_HITS = (
-    "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, near_ids array<string>"
-)
-
+_FOUND = "shard bigint, at int, doc_id bigint, n_words bigint, spans array<array<bigint>>, item_ids array<string>, near_ids array<string>"
+_HITS = ("doc_id", "n_words", "n_hit", "item_ids", "near_ids")
+# hit words from spans of several parts, which may overlap
+_COVERED = """aggregate(array_sort(spans), struct(0L as n, 0L as done),
+    (a, s) -> struct(a.n + greatest(0L, s[1] - greatest(s[0], a.done)) as n, greatest(a.done, s[1]) as done), a -> a.n)"""
 
-def search(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int = WINDOW, slop: int = SLOP) -> DataFrame:
-    """``(doc_id, n_words, n_hit, item_ids, near_ids)`` per document of the index.
 
-    item_ids: the items with an occurring window, as strings, sorted; near_ids:
-    those with a proximity match.
-    """
-    if sum(len(w) for _, w in items) > MAX_TEST_WORDS:
-        raise ValueError(f"a test set of over {MAX_TEST_WORDS} words; search it in parts of whole items")
+def _found(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int, slop: int, every: bool) -> DataFrame:
+    """``_FOUND`` rows of the documents of the index, or of those with a match only."""
     shared = index.sparkSession.sparkContext.broadcast(items)
-    arrow = pa.schema([
-        ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
-        ("item_ids", pa.list_(pa.string())), ("near_ids", pa.list_(pa.string())),
-    ])
+    arrow = arrow_schema(_FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         win = Windows(shared.value, width)
@@ -256,11 +288,50 @@ def search(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int =
                 for kind, per_doc in names.items():
                     for d, i in got[kind]:
                         per_doc[d].append(str(win.items[i]))
-                ids = [None if z else d for d, z in zip(row["doc_ids"], row["doc_null"])]
-                cols = [ids, row["n_words"], got["n_hit"], [sorted(x) for x in names["phrase"]], [sorted(x) for x in names["near"]]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+                spans = [[] for _ in range(n)]
+                for d, a, b in got["spans"].tolist():
+                    spans[d].append([a, b])
+                out = [
+                    (row["shard"], d, None if row["doc_null"][d] else row["doc_ids"][d], row["n_words"][d],
+                     spans[d], sorted(names["phrase"][d]), sorted(names["near"][d]))
+                    for d in range(n) if every or names["near"][d]
+                ]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    return index.mapInArrow(run, _FOUND)
 
-    return index.mapInArrow(run, _HITS)
+
+def search(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """``(doc_id, n_words, n_hit, item_ids, near_ids)`` per document of the index.
+
+    item_ids: the items with an occurring window, as strings, sorted; near_ids:
+    those with a proximity match.
+    """
+    if sum(len(w) for _, w in items) > MAX_TEST_WORDS:
+        raise ValueError(f"a test set of over {MAX_TEST_WORDS} words; search_parts takes it in parts")
+    return _found(index, items, width, slop, True).withColumn("n_hit", F.expr(_COVERED)).select(*_HITS)
+
+
+def search_parts(index: DataFrame, parts: Iterable[list[tuple[int, list[bytes]]]], width: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """As ``search``, for a test set in parts; the stored ``index`` holds all words."""
+    spark = index.sparkSession
+    path = scratch_path(spark, "found")
+    for items in parts:
+        _found(index, items, width, slop, False).write.mode("append").parquet(path)
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    found = (
+        spark.read.schema(_FOUND).parquet(path).groupBy("shard", "at")
+        .agg(*(union(c) for c in ("spans", "item_ids", "near_ids"))).withColumn("n_hit", F.expr(_COVERED)).drop("spans")
+    )
+    rows = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "doc_null", "n_words")).alias("at", "d")).select(
+        "shard", "at", F.when(~F.col("d.doc_null"), F.col("d.doc_ids")).alias("doc_id"), F.col("d.n_words").alias("n_words"),
+    )
+    none = F.array().cast("array<string>")
+    return rows.join(found, ["shard", "at"], "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("near_ids", none).alias("near_ids"),
+    )
 
 
 def find_contamination(docs: DataFrame, bench: DataFrame, width: int = WINDOW, slop: int = SLOP) -> DataFrame:
@@ -269,9 +340,11 @@ def find_contamination(docs: DataFrame, bench: DataFrame, width: int = WINDOW, s
     Null and empty texts have no words and no hit; an empty test set hits
     nothing; repeated rows are answered each; extra columns are ignored.
     """
-    items = test_items(bench)
-    index = stored(build_index(docs, {w for _, ws in items for w in ws}), "postings")
-    return search(index, items, width, slop)
+    total, parts = test_parts(bench)
+    items = next(parts, []) if total <= MAX_TEST_WORDS else None
+    built = build_index(docs, None if items is None else {w for _, ws in items for w in ws})
+    index = stored(built.withColumn("shard", F.monotonically_increasing_id()), "postings")
+    return search_parts(index, parts, width, slop) if items is None else search(index, items, width, slop)
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, width: int = WINDOW) -> DataFrame:

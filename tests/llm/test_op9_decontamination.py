@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticklake.llm import decontaminate as D
 
@@ -101,3 +102,14 @@ def test_large_test_set_is_searched_in_parts(spark, monkeypatch):
     assert sorted(got, key=str) == sorted([tuple(r)[:5] for r in D.find_contamination(docs, bench).collect()], key=str)
     want = plain_hits([tuple(r) for r in docs.collect()], items)
     assert sorted((g[:3] + (len(g[3]),) for g in got), key=str) == sorted((w[:4] for w in want), key=str)
+
+
+def test_clean_rows_stay_beside_hit_rows_of_their_id(spark):
+    docs = spark.createDataFrame(
+        [(None, "a short item"), (None, "clean"), (None, None), (1, "a short item"), (1, "clean too"), (2, "a short item"), (3, "")],
+        "doc_id long, text string",
+    ).withColumn("doc_key", F.lit("clash"))
+    bench = spark.createDataFrame([(1, "short item")], "item_id long, text string")
+    kept = D.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted([r[:2] for r in kept.collect()], key=str) == sorted([(None, "clean"), (None, None), (1, "clean too"), (3, "")], key=str)

@@ -28,7 +28,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import arrow_schema, map_rows, stored
@@ -49,11 +49,12 @@ _WORDS = bytes(
 )
 
 INDEX = (
-    "doc_ids array<bigint>, doc_null array<boolean>, n_words array<bigint>, "
+    "doc_ids array<bigint>, doc_null array<boolean>, doc_keys array<string>, n_words array<bigint>, "
     "terms array<binary>, n_postings array<int>, postings binary"
 )
 _ARROW = pa.schema([
-    ("doc_ids", pa.list_(pa.int64())), ("doc_null", pa.list_(pa.bool_())), ("n_words", pa.list_(pa.int64())),
+    ("doc_ids", pa.list_(pa.int64())), ("doc_null", pa.list_(pa.bool_())), ("doc_keys", pa.list_(pa.string())),
+    ("n_words", pa.list_(pa.int64())),
     ("terms", pa.list_(pa.binary())), ("n_postings", pa.list_(pa.int32())), ("postings", pa.binary()),
 ])
 
@@ -98,7 +99,7 @@ def test_parts(bench: DataFrame) -> tuple[int, Iterator[list[tuple[int, list[byt
 
 def build_index(docs: DataFrame, vocabulary: set[bytes] | None) -> DataFrame:
     """Shard rows of the positional index over ``docs`` (doc_id, text), of the
-    words of ``vocabulary`` or (None) of all words.
+    words of ``vocabulary`` or (None) of all words. A row's key is ``text_key``.
 
     A shard closes at ``SHARD_WORDS`` words or ``SHARD_DOCS`` documents; a
     longer document makes a shard of its own, whole. A null text has no words.
@@ -112,9 +113,9 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
+                for doc_id, text, key in zip(*(c.to_pylist() for c in part.columns)):
                     got = words_of(text)
-                    docs_.append((doc_id, len(got)))
+                    docs_.append((doc_id, key, len(got)))
                     if terms.value is None:  # every shard numbers its own words
                         for w in got:
                             if w not in ids:
@@ -130,14 +131,19 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None) -> DataFrame:
         if docs_:
             yield _shard(docs_, tokens, names)
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, INDEX)
+    return docs.select("doc_id", F.col("text").cast("binary"), text_key(docs)).mapInArrow(run, INDEX)
+
+
+def text_key(docs: DataFrame) -> Column:
+    """What tells rows apart for a verdict, which hangs on the text alone."""
+    return F.sha2(docs["text"].cast("binary"), 256)
 
 
 def _shard(docs_, tokens, names) -> pa.RecordBatch:
     """One index row. Positions run through the shard with a gap of one window
     between documents, so that no match crosses a document's end."""
     token = np.concatenate(tokens)
-    lens = np.array([n for _, n in docs_], np.int64)
+    lens = np.array([n for *_, n in docs_], np.int64)
     position = np.arange(len(token), dtype=np.int64) + np.repeat(np.arange(len(lens)) * GAP, lens)
     known = token >= 0
     token, position = token[known], position[known]
@@ -145,7 +151,8 @@ def _shard(docs_, tokens, names) -> pa.RecordBatch:
     used, many = np.unique(token, return_counts=True)
     wide = np.int32 if not len(position) or position[-1] < 1 << 31 else np.int64
     packed = (b"\4" if wide is np.int32 else b"\x08") + position[order].astype(wide).tobytes()
-    row = ([d or 0 for d, _ in docs_], [d is None for d, _ in docs_], lens, [names[u] for u in used], many, packed)
+    ids, keys, _ = zip(*docs_)
+    row = ([d or 0 for d in ids], [d is None for d in ids], keys, lens, [names[u] for u in used], many, packed)
     return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, _ARROW)], schema=_ARROW)
 
 
@@ -265,8 +272,8 @@ def _pairs(found) -> np.ndarray:
     return np.unique(flat, axis=0)
 
 
-_FOUND = "shard bigint, at int, doc_id bigint, n_words bigint, spans array<array<bigint>>, item_ids array<string>, near_ids array<string>"
-_HITS = ("doc_id", "n_words", "n_hit", "item_ids", "near_ids")
+_FOUND = "shard bigint, at int, doc_id bigint, doc_key string, n_words bigint, spans array<array<bigint>>, item_ids array<string>, near_ids array<string>"
+_HITS = ("doc_id", "n_words", "n_hit", "item_ids", "near_ids", "doc_key")
 # hit words from spans of several parts, which may overlap
 _COVERED = """aggregate(array_sort(spans), struct(0L as n, 0L as done),
     (a, s) -> struct(a.n + greatest(0L, s[1] - greatest(s[0], a.done)) as n, greatest(a.done, s[1]) as done), a -> a.n)"""
@@ -292,7 +299,7 @@ def _found(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int, s
                 for d, a, b in got["spans"].tolist():
                     spans[d].append([a, b])
                 out = [
-                    (row["shard"], d, None if row["doc_null"][d] else row["doc_ids"][d], row["n_words"][d],
+                    (row["shard"], d, None if row["doc_null"][d] else row["doc_ids"][d], row["doc_keys"][d], row["n_words"][d],
                      spans[d], sorted(names["phrase"][d]), sorted(names["near"][d]))
                     for d in range(n) if every or names["near"][d]
                 ]
@@ -303,7 +310,7 @@ def _found(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int, s
 
 
 def search(index: DataFrame, items: list[tuple[int, list[bytes]]], width: int = WINDOW, slop: int = SLOP) -> DataFrame:
-    """``(doc_id, n_words, n_hit, item_ids, near_ids)`` per document of the index.
+    """``(doc_id, n_words, n_hit, item_ids, near_ids, doc_key)`` per document of the index.
 
     item_ids: the items with an occurring window, as strings, sorted; near_ids:
     those with a proximity match.
@@ -324,13 +331,14 @@ def search_parts(index: DataFrame, parts: Iterable[list[tuple[int, list[bytes]]]
         spark.read.schema(_FOUND).parquet(path).groupBy("shard", "at")
         .agg(*(union(c) for c in ("spans", "item_ids", "near_ids"))).withColumn("n_hit", F.expr(_COVERED)).drop("spans")
     )
-    rows = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "doc_null", "n_words")).alias("at", "d")).select(
-        "shard", "at", F.when(~F.col("d.doc_null"), F.col("d.doc_ids")).alias("doc_id"), F.col("d.n_words").alias("n_words"),
+    rows = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "doc_null", "doc_keys", "n_words")).alias("at", "d")).select(
+        "shard", "at", F.when(~F.col("d.doc_null"), F.col("d.doc_ids")).alias("doc_id"), F.col("d.doc_keys").alias("doc_key"),
+        F.col("d.n_words").alias("n_words"),
     )
     none = F.array().cast("array<string>")
     return rows.join(found, ["shard", "at"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("near_ids", none).alias("near_ids"),
+        F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("near_ids", none).alias("near_ids"), "doc_key",
     )
 
 
@@ -348,10 +356,10 @@ def find_contamination(docs: DataFrame, bench: DataFrame, width: int = WINDOW, s
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, width: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` without any hit word (null doc_ids stay unless their
-    text is hit; rows that repeat a hit doc_id go with it)."""
-    bad = find_contamination(docs, bench, width).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The rows of ``docs`` without any hit word, whatever their doc_id: a row goes
+    by its own text alone (rows that share a hit row's id, null included, stay)."""
+    bad = find_contamination(docs, bench, width).where("n_hit > 0").select("doc_key").distinct()
+    return docs.join(bad, text_key(docs) == bad["doc_key"], "left_anti")
 
 
 def op9_decontamination(spark, sf_dir):

@@ -54,3 +54,32 @@ def test_edges(spark):
     got = [r.text for r in H.extract(df).orderBy("page_id").collect()]
     assert got == ["", "", "plain words", "", "", "unclosed", "a", "deep words", "", "&", "a\nb", "<"]
     assert H.extract(df.limit(0)).count() == 0
+
+
+def _paras(name, n, size):
+    return "".join(f"<p>{f'{name}{i} word ' * (size // 8)}</p>" for i in range(n))
+
+
+def test_whole_article_of_several_sections():
+    two = f"<body><article><section>{_paras('a', 10, 500)}</section><section>{_paras('b', 8, 500)}</section></article></body>"
+    assert len(H.main_text(two).split("\n")) == 18
+    lead = f"<body><article><h1>Head</h1><p>{'lead words ' * 45}</p><div>{_paras('c', 20, 500)}</div></article></body>"
+    out = H.main_text(lead).split("\n")
+    assert len(out) == 22 and out[0] == "Head" and out[1].startswith("lead words")
+    links = "".join(f'<li><a href="/{i}">some link {i}</a></li>' for i in range(30))
+    bare = f"<body><div><h1>Head</h1>bare words here<div>{_paras('d', 9, 500)}</div><p>last</p><ul>{links}</ul></div></body>"
+    out = H.main_text(bare).split("\n")
+    assert out[:2] == ["Head", "bare words here"] and len(out) == 12 and out[-1] == "last"
+
+
+def test_class_words_do_not_cut_what_wraps_the_text():
+    text = _paras("a", 6, 300)
+    for page in (
+        f'<body><div class="layout header-fixed"><main>{text}</main></div></body>',
+        f'<body><div class="page with sidebar"><article>{text}</article></div></body>',
+        f'<body><my-app id="widget"><div class="no-sidebar">{text}</div></my-app></body>',
+    ):
+        assert len(H.main_text(page).split("\n")) == 6
+    page = f'<body><article>{text}</article><section class="comments"><article>{_paras("x", 3, 100)}</article></section><p>a <span class="ad">buy</span> b</p></body>'
+    out = H.main_text(page)
+    assert "x0" not in out and "buy" not in out and "a5 word" in out

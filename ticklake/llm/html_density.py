@@ -4,11 +4,15 @@ Per page a small DOM is built from the whole html. Every block node gets a
 composite text density: characters per tag, adjusted by the characters and
 tags inside links (after Sun, Song and Liao, SIGIR 2011). A node's density sum
 adds up the densities of its children; the node with the largest density sum
-is the core. The smallest density on the path from body to the core is the
-threshold: a subtree that hangs off this path and reaches it belongs to the
-text, too. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments are cut from the tree before it is measured, by
-element and by the words of class, id and role.
+is the core. The article or main around the core belongs to the text as a whole.
+Outside it, a subtree that hangs off the path from body to the core does, if its
+density reaches the smallest one on the path or it is an article itself; on a
+page without article or main around the core, every such subtree whose text is
+not mostly links. Text that stands directly in the path belongs to it, too.
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments are cut from the tree before it is measured, by element and by
+the words of class, id and role. Words do not cut what wraps the page's text:
+main, its only articles, or blocks with most of body's characters.
 
 A plain map over whole pages: no shuffle, nothing kept between rows.
 """
@@ -58,6 +62,8 @@ class _Dom(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.cut = ["#root"], [-1], [False]
+        self.named = [False]  # to be cut by its words, unless it wraps the text
+        self.inline = [False]
         self.tags, self.link_tags = [0], [0]  # of the node itself, inline ones included
         self.text: list[tuple[int, str, bool]] = []
         self.open: list[tuple[str, int, bool]] = [("#root", 0, False)]  # element, its block node, inline and cut
@@ -98,14 +104,17 @@ class _Dom(HTMLParser):
             self.text.append((0, "", False) if tag == "hr" else (top, " " if tag == "br" else "", False))
             return
         bad = self._is_cut(tag, attrs)
+        named = not bad and tag not in NEVER_CUT and self._is_named(attrs)
         node = top
-        if tag in BLOCK or tag in CUT:
+        if tag in BLOCK or tag in CUT or named:
             node = len(self.tag)
             self.tag.append(tag)
             self.parent.append(top)
             self.cut.append(bad or self.cut[top] or self.inline_cut > 0)
+            self.named.append(named)
+            self.inline.append(tag not in BLOCK and tag not in CUT)
             self.tags.append(1)
-            self.link_tags.append(0)
+            self.link_tags.append(tag == "a")
             self.text.append((node, "", False))
             bad = False
         else:
@@ -122,14 +131,44 @@ class _Dom(HTMLParser):
             return True
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id", "role") and not CUT_WORDS.isdisjoint(_SPLIT.split(value)):
-                return True
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             if name == "style" and "display:none" in value.replace(" ", ""):
                 return True
         return False
 
+    def _is_named(self, attrs) -> bool:
+        return any(
+            name in ("class", "id", "role") and not CUT_WORDS.isdisjoint(_SPLIT.split((value or "").lower())) for name, value in attrs
+        )
+
+    def cut_named(self) -> None:
+        """Cut the subtrees named by class, id or role that do not wrap the text."""
+        n = len(self.tag)
+        chars, blocks, main, article, inside = [0] * n, [0] * n, [False] * n, [False] * n, self.named[:]
+        for node, text, _ in self.text:
+            chars[node] += len("".join(text.split()))
+        for i in range(1, n):
+            inside[i] = inside[i] or inside[self.parent[i]]
+        for i in range(n - 1, 0, -1):
+            if self.cut[i] or not chars[i]:
+                continue
+            p = self.parent[i]
+            chars[p] += chars[i]
+            blocks[p] += 1
+            main[p] |= main[i] or self.tag[i] == "main"
+            article[p] |= article[i] or self.tag[i] == "article"
+        plain = any(t in ("main", "article") and chars[i] and not inside[i] for i, t in enumerate(self.tag))
+        body = chars[next((i for i in range(n) if self.tag[i] == "body"), 0)] or chars[0]
+        for i in range(1, n):
+            most = 2 * chars[i] > body and blocks[i] > 0
+            wraps = main[i] or article[i] and (most or not plain) or most and not plain
+            self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or self.named[i] and not wraps
+        off = [False] * n  # cut inside a line: does not end the block around it
+        for i in range(1, n):
+            off[i] = off[self.parent[i]] or self.cut[i] and self.inline[i]
+        self.text = [t for t in self.text if not off[t[0]] and (not self.cut[t[0]] or not t[1])]
+
     def handle_endtag(self, tag):
         if not self.opened[tag] or tag in ("body", "html"):
             return
@@ -165,6 +204,7 @@ def main_text(html: str | None) -> str:
     dom = _Dom()
     dom.feed(html)
     dom.close()
+    dom.cut_named()
     n = len(dom.tag)
     own = [0] * n
     link = [0] * n
@@ -200,13 +240,23 @@ def main_text(html: str | None) -> str:
     while path[-1] != body:
         path.append(dom.parent[path[-1]])
     least = min(density[i] for i in path)
+    holder = next((i for i in reversed(path) if dom.tag[i] in ("main", "article")), None)  # the outermost one
+    top = core if holder is None else holder
+    whole = [False] * n
+    whole[top] = True
+    # text that stands directly in the path, as long as it is not mostly links
     taken = [False] * n
-    taken[core] = True
     on_path = set(path)
+    for i in path:
+        taken[i] = 2 * link[i] <= own[i]
     for i in range(n):
         p = dom.parent[i]
-        if i and live[i] and i not in on_path:
-            taken[i] = taken[p] or (p in on_path and p != core and density[i] >= least)
+        if i and live[i]:
+            whole[i] = whole[i] or whole[p]
+            if i not in on_path and p in on_path and not whole[i]:
+                text = 2 * links[i] <= chars[i]
+                whole[i] = density[i] >= least or text and (holder is None or dom.tag[i] in ("main", "article"))
+        taken[i] = taken[i] or whole[i]
     return "\n".join(_blocks(dom, taken))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,20 @@ def test_hot_line_and_hot_leaf(spark):
     )
     got = {r.doc_id: r.text for r in L.drop_recurring(df, chunk=5).collect()}
     assert got[0].startswith("one very common") and all("common" not in got[i] for i in range(1, 400))
+
+
+def test_lines_of_mostly_fields_match_exactly(spark):
+    rows = [
+        (1, "2019 12.4 13.1 8.8\n1 2 3 4 total\nthe year 1 to 2"), (2, "1998 3 4 5\n2019  12.4 13.1 8.8\n1 2 3 5 total"),
+        (3, "the year 3 to 4\nred 1 2 fish\nred <b> ran home"), (4, "blue 1 2 fish"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in L.drop_recurring(docs).collect()}
+    assert got == {1: rows[0][1], 2: "1998 3 4 5\n1 2 3 5 total", 3: "red 1 2 fish\nred <b> ran home", 4: "blue 1 2 fish"}
+
+
+def test_shared_fields_are_no_likeness():
+    tree = L.LeafTemplates(0.8)
+    assert tree.file(np.array([0, 1, 2, -1, -1]), 7) == 0
+    assert tree.file(np.array([0, 1, 3, -1, -1]), 8) == 1  # 2 of 3 constants
+    assert tree.file(np.array([0, 1, 2, -1, -1]), 9) == 0

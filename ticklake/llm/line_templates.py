@@ -2,12 +2,13 @@
 
 Lines are parsed as a log parser does it (after He et al., "Drain", ICWS 2017):
 
-* variable fields, tokens that hold a digit, become ``<*>``;
+* variable fields, tokens that hold a digit, become ``<*>``; a line of mostly
+  fields (tables, scores, dates) stays as it is and only equals itself;
 * a tree of fixed depth files each line under its token count and its
   ``LEADING`` first tokens;
 * in a leaf, a line joins the first template that agrees with it on at least
-  ``SIMILARITY`` of the token positions; positions that differ become ``<*>``
-  in the template. Otherwise it founds a template.
+  ``SIMILARITY`` of the token positions that are not a field in both; positions
+  that differ become ``<*>`` in the template. Otherwise it founds a template.
 
 A template that occurs in at least ``MIN_DOCS`` documents recurs: its lines are
 dropped from every document but the one with the smallest doc_id. Lines of
@@ -38,17 +39,34 @@ CHUNK = 2000
 SHARD_LINES = 20_000
 BROADCAST_LEAVES = 2_000_000  # of 16 bytes; beyond it the join shuffles
 FIELD = "<*>"
+MAX_FIELDS = 0.5  # share of a line's tokens
 
 
 def masked(line: Column) -> Column:
-    """The line's tokens joined by single blanks, digit-bearing ones as ``<*>``."""
-    blanks = F.btrim(F.regexp_replace(line, r"\s+", " "))
-    changed = F.regexp_replace(blanks, r"[^ ]*[0-9][^ ]*", FIELD)
+    """The line's tokens joined by single blanks, digit-bearing ones as ``<*>``
+    unless they are more than ``MAX_FIELDS`` of the line."""
+
+    def choose(blanks: Column) -> Column:
+        return _let(
+            F.regexp_replace(blanks, r"[^ ]*[0-9][^ ]*", FIELD),
+            lambda changed: F.when(_count(changed, FIELD) > MAX_FIELDS * (_count(blanks, " ") + 1), blanks).otherwise(changed),
+        )
+
+    changed = _let(F.btrim(F.regexp_replace(line, r"\s+", " ")), choose)
     # most lines hold neither digits nor odd blanks: a look tells
     odd = line.rlike(r"[0-9\t\x0B\f\r]") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
     return F.when(odd, changed).otherwise(line)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _count(text: Column, piece: str) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit(piece), F.lit("")))) / len(piece)
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """``(doc, leaf, line, masked)``: every distinct masked line of each document.
 
@@ -60,7 +78,8 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     every = F.array_distinct(F.transform(F.split("text", "\n"), masked))
     cut = docs.where("text is not null").select(doc.alias("doc"), F.explode(every).alias("masked"))
     n_tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    leaf = F.xxhash64(n_tokens, F.substring_index("masked", " ", LEADING))
+    # digits are left in lines of mostly fields only: a leaf for each
+    leaf = F.xxhash64(n_tokens, F.when(F.col("masked").rlike("[0-9]"), F.col("masked")).otherwise(F.substring_index("masked", " ", LEADING)))
     return cut.where(n_tokens >= MIN_TOKENS).select("doc", leaf.alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
 
@@ -77,8 +96,9 @@ class LeafTemplates:
         """Number of the template that the line joins or founds."""
         if self.rows is None:
             self.rows = np.empty((4, len(tokens)), np.int32)
-        same = (self.rows[: self.n] == tokens).sum(1)
-        fits = np.flatnonzero(same >= self.similarity * len(tokens))
+        equal = self.rows[: self.n] == tokens
+        fields = (equal & (tokens < 0)).sum(1)
+        fits = np.flatnonzero(equal.sum(1) - fields >= self.similarity * (len(tokens) - fields))
         if len(fits):
             at = int(fits[0])
             self.rows[at][self.rows[at] != tokens] = -1

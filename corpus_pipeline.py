@@ -19,7 +19,7 @@ def toxicity(spark, docs, sf_dir):
 
 def line_dedup(spark, docs, sf_dir):
     """Lines whose template recurs stay in their first document only (operator 2)."""
-    return line_templates.drop_recurring(docs).drop("lines_dropped", "chars_dropped")
+    return line_templates.drop_recurring(docs, min_tokens=1).drop("lines_dropped", "chars_dropped")
 
 
 def simhash_neardup(spark, docs, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import corpus_pipeline as P
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +101,12 @@ def test_shared_fields_are_no_likeness():
     assert tree.file(np.array([0, 1, 2, -1, -1]), 7) == 0
     assert tree.file(np.array([0, 1, 3, -1, -1]), 8) == 1  # 2 of 3 constants
     assert tree.file(np.array([0, 1, 2, -1, -1]), 9) == 0
+
+
+def test_short_recurring_lines_go(spark, tmp_path):
+    rows = [(1, "All rights reserved.\n\nShare\none two"), (2, "All  rights reserved.\nShare\n\none three\nPage 7"), (3, "Page 9\nx\n\ny")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.lines_dropped, r.chars_kept) for r in L.op2_line_templates(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, len(rows[0][1])), 2: (2, len("\none three\nPage 7")), 3: (1, len("x\n\ny"))}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.text for r in P.line_dedup(spark, docs, None).collect()} == {1: rows[0][1], 2: "\none three\nPage 7", 3: "x\n\ny"}

@@ -11,8 +11,10 @@ Lines are parsed as a log parser does it (after He et al., "Drain", ICWS 2017):
   that differ become ``<*>`` in the template. Otherwise it founds a template.
 
 A template that occurs in at least ``MIN_DOCS`` documents recurs: its lines are
-dropped from every document but the one with the smallest doc_id. Lines of
-fewer than ``MIN_TOKENS`` tokens are left alone (they recur by chance).
+dropped from every document but the one with the smallest doc_id. The operator's
+query and the pipeline do so for lines of every positive token count (those of up
+to ``LEADING`` tokens share a leaf and a template only if they are equal, masked);
+called without ``min_tokens``, lines of fewer than ``MIN_TOKENS`` are left alone.
 
 On Spark: equal masked lines are merged first (map-side), so a line that a
 third of all documents share is one row in its leaf. Only leaves with more
@@ -67,7 +69,7 @@ def _count(text: Column, piece: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(piece), F.lit("")))) / len(piece)
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
+def distinct_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``(doc, leaf, line, masked)``: every distinct masked line of each document.
 
     ``doc`` is doc_id, or a stand-in above all ids where it is null (rows that
@@ -80,7 +82,7 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     n_tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     # digits are left in lines of mostly fields only: a leaf for each
     leaf = F.xxhash64(n_tokens, F.when(F.col("masked").rlike("[0-9]"), F.col("masked")).otherwise(F.substring_index("masked", " ", LEADING)))
-    return cut.where(n_tokens >= MIN_TOKENS).select("doc", leaf.alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
+    return cut.where((n_tokens >= min_tokens) & (F.col("masked") != "")).select("doc", leaf.alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
 
 class LeafTemplates:
@@ -202,7 +204,8 @@ def recurring_lines(lines: DataFrame, similarity: float = SIMILARITY, min_docs:
     return named.select("line", "template", "pattern").join(recurs, "template")
 
 
-def drop_recurring(docs: DataFrame, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS, chunk: int = CHUNK) -> DataFrame:
+def drop_recurring(docs: DataFrame, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS, chunk: int = CHUNK,
+                   min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``docs`` with recurring lines cut from ``text``, plus the number of lines
     and characters cut (``lines_dropped``, ``chars_dropped``).
 
@@ -210,7 +213,7 @@ def drop_recurring(docs: DataFrame, similarity: float = SIMILARITY, min_docs: in
     empty ones empty. Rows that share a doc_id (null included) count as one
     document. Extra columns pass through (but for the two added names).
     """
-    lines = stored(distinct_lines(docs.select("doc_id", "text")), "doclines")
+    lines = stored(distinct_lines(docs.select("doc_id", "text"), min_tokens), "doclines")
     recurring = stored(recurring_lines(lines, similarity, min_docs, chunk).select("line", "first_doc"), "drops")
     cut = (
         lines.select("doc", "line").join(recurring, "line").where("doc <> first_doc")
@@ -233,5 +236,5 @@ def op2_line_templates(spark, sf_dir):
     """Every document after line dedup: counts and the cleaned text's digest."""
     from ticklake.llm.common import table
 
-    kept = drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"), min_tokens=1)
     return kept.select("doc_id", "lines_dropped", "chars_dropped", F.length("text").cast("long").alias("chars_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ticklake.llm import language_mixture as L
+from ticklake.llm import toxicity as T
+from ticklake.llm.common import sampled
 
 SF = "/root/testdata/sf0.01"
 
@@ -50,3 +52,12 @@ def test_no_held_out_row_is_fitted_on(spark):
     other = docs.withColumn("lang", F.when(L.held_out(F.col("doc_id")), "xx").otherwise(F.col("lang")))
     a, b = L.fit(docs), L.fit(other)
     assert a.langs == b.langs and np.array_equal(a.counts, b.counts)
+
+
+def test_small_share_leaves_a_sample(spark):
+    labels = spark.range(20_000_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    docs = labels.select("doc_id", F.lit("text").alias("text"))
+    assert 0 < T.labelled_sample(docs, labels, rows=10).count() < 50
+    few = spark.range(1000).where(sampled(F.col("id"), 1.0))
+    assert few.count() == 1000
+    assert spark.range(1000).where(sampled(F.col("id"), F.lit(0.0))).count() == 0

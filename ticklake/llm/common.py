@@ -39,6 +39,13 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 5 == 0
 
 
+def sampled(id_col: Column, share: float | Column) -> Column:
+    """True for about ``share`` of the ids, by their hash on its full 63-bit range
+    (a coarser one leaves no id of a small share)."""
+    share = F.lit(share)
+    return (share >= 1.0) | (F.shiftrightunsigned(F.xxhash64(id_col), 1) < share * float(1 << 63))
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
     """Arrow-batched row function: ``make()`` runs once per task and returns
     ``f(*column values) -> tuple``; one output row per input row, in order."""

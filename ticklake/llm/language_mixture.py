@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import held_out, map_rows
+from ticklake.llm.common import held_out, map_rows, sampled
 
 SAMPLE_DOCS = 1500
 BINS = 1 << 15
@@ -137,10 +137,10 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LanguageModels:
     usable = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
     sizes = usable.groupBy("lang").count().orderBy("lang").collect()
     # about sample_docs of each language, picked by hash
-    share = F.lit(0)
+    share = F.lit(0.0)
     for lang, n in sizes:
-        share = F.when(F.col("lang") == lang, int(min(1.0, sample_docs / n) * (1 << 20))).otherwise(share)
-    picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("lang", "text")
+        share = F.when(F.col("lang") == lang, min(1.0, sample_docs / n)).otherwise(share)
+    picked = usable.where(sampled(F.col("doc_id"), share)).select("lang", "text")
     rows = (
         picked.mapInArrow(_count_trigrams, "lang string, bin int, n long")
         .groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()

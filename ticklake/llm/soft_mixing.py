@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import stored
+from ticklake.llm.common import sampled, stored
 
 SAMPLE_ROWS = 20_000
 BINS = 16
@@ -130,7 +130,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE_ROWS) -
     wanted = labelled.where("doc_id is not null and domain is not null")
     take = min(1.0, rows / max(1, wanted.count()))
     one = (
-        wanted.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(take * (1 << 20)))
+        wanted.where(sampled(F.col("doc_id"), take))
         .groupBy("doc_id").agg(F.min("domain").alias("domain"))
     )
     # at most about ``rows`` labels

@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import held_out, stored
+from ticklake.llm.common import held_out, sampled, stored
 
 SAMPLE_ROWS = 20_000
 LEXICON_ROWS = 4_000  # learned entries, the strongest first
@@ -185,7 +185,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     wanted = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     share = min(1.0, rows / max(1, wanted.count()))
     one = (
-        wanted.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        wanted.where(sampled(F.col("doc_id"), share))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     )
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5

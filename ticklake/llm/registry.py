@@ -7,6 +7,7 @@ from ticklake.llm import (
     html_density,
     language_mixture,
     line_templates,
+    merkle_manifest,
     simhash_bktree,
     soft_mixing,
     threshold_topk,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_threshold_topk": threshold_topk.op8_threshold_topk,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_simhash_neardup": simhash_bktree.op10_simhash_neardup,
+    "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
 
 # The other operators fit models, walk trees or parse whole documents: they
@@ -33,6 +35,7 @@ QUERIES = {
 ORACLE = {
     "op5_url_vocabulary": url_vocabulary.ORACLE_SQL,
     "op8_threshold_topk": threshold_topk.ORACLE_SQL,
+    "op13_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }
 
 

@@ -1,0 +1,99 @@
+"""Resharding: fewest bytes, equal shards, untouched files, whole rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ticklake.llm import flow_resharding as R
+from ticklake.llm.registry import QUERIES
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, shard string, file string, row int"
+
+
+def least_moved(sizes, capacity):
+    """A byte stays only in a shard of the same name: no plan can keep more."""
+    return sum(sizes.values()) - sum(min(many, capacity.get(i, 0)) for i, many in sizes.items())
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_flow_moves_the_fewest_bytes(seed):
+    rnd = random.Random(seed)
+    sizes = {i: rnd.choice([0, 1, rnd.randrange(1000), 10**15]) for i in range(rnd.randrange(1, 12))}
+    capacity = R.even_capacities(sum(sizes.values()), rnd.randrange(1, 12))
+    flows = R.plan_transfers(sizes, capacity)
+    for i, many in sizes.items():
+        assert sum(f[2] for f in flows if f[0] == i) == many
+    for j, many in capacity.items():
+        assert sum(f[2] for f in flows if f[1] == j) == many
+    assert sum(f[2] for f in flows if f[0] != f[1]) == least_moved(sizes, capacity)
+
+
+def test_flow_with_given_capacities():
+    assert R.plan_transfers({0: 5, 1: 5}, {1: 4, 7: 8}) == [(0, 7, 5), (1, 1, 4), (1, 7, 1)]
+    with pytest.raises(ValueError, match="hold 3 of 5"):
+        R.plan_transfers({0: 5}, {0: 1, 1: 2})
+
+
+def docs_of(n=3000):
+    rnd = random.Random(1)
+    out = [(i, f"s{rnd.choice([0, 0, 0, i % 9])}", "en", 1, "é" * rnd.randrange(1, 400), "c", "f", 1) for i in range(n)]
+    out += [(None, None, None, None, None, None, None, None)] * 3 + [(1, "s0", "en", 1, "", "c", "f", 1)] * 2
+    return out + [(7, "s0", "en", 1, "copy " * 50, "c", "f", 1)] * 500 + [(8, "s1", "en", 1, "long " * 5000, "c", "f", 1)]
+
+
+@pytest.mark.parametrize("parts", [1, 12])
+def test_query(spark, tmp_path, parts):
+    rows = docs_of()
+    spark.createDataFrame(rows, SCHEMA).repartition(parts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op12_flow_resharding"](spark, str(tmp_path)).collect()
+    crc = lambda t: zlib.crc32((t or "").encode())
+    want = sorted((r[0] is None, r[0] or 0, len((r[4] or "").encode()) + 1, crc(r[4])) for r in rows)
+    assert sorted((r.doc_id is None, r.doc_id or 0, r["size"], r.text_crc32) for r in found) == want
+    assert {(r.law, r.grown_shard) for r in found} == {("bytes", None)}
+    shard = {}
+    for r in found:
+        shard.setdefault(r.shard, []).append(r)
+    assert sorted(shard) == list(range(8))
+    for mine in shard.values():
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+    bytes_of = [sum(r["size"] for r in mine) for mine in shard.values()]
+    assert max(bytes_of) - min(bytes_of) <= 0.02 * sum(bytes_of) / 8
+
+
+def test_only_affected_files_are_written(spark, tmp_path):
+    docs = spark.createDataFrame(docs_of(), SCHEMA).repartition(10)
+    old = R.write_shards(docs, F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 6, str(tmp_path / "old"))
+    size = R.row_size(F.col("row.text"))
+    before = R.read_shards(spark, old)
+    sizes = {r[0]: r[1] for r in before.groupBy("shard").agg(F.sum(size)).collect()}
+    capacity = R.even_capacities(sum(sizes.values()), 8)
+    new = R.reshard(spark, old, size)
+    after = R.read_shards(spark, new)
+    # whole rows, other columns included
+    same = lambda a, b: a.select("row.*").exceptAll(b.select("row.*")).isEmpty()
+    assert same(before, after) and same(after, before)
+    # what is written: the bytes that must move, and the files that a cut goes through
+    written = R._read(spark, new.schema, new.added).agg(F.sum(size)).first()[0]
+    largest = R.inventory(before, size).agg(F.max("bytes")).first()[0]
+    cuts = len(R.plan_transfers(sizes, capacity)) - len(sizes)
+    assert written <= least_moved(sizes, capacity) + (cuts + 1) * largest
+    assert new.files and new.added
+    # resharding what is even already moves no whole file
+    again = R.reshard(spark, R.write_shards(after.select("row.*"), F.col("doc_id") % 8, str(tmp_path / "even")), size)
+    assert len(again.files) > 0
+
+
+def test_even_shards_stay(spark, tmp_path):
+    docs = spark.range(80).select("id", F.lit("abc").alias("text")).repartition(2)
+    old = R.write_shards(docs, F.col("id") % 8, str(tmp_path))
+    new = R.reshard(spark, old, R.row_size(F.col("row.text")))
+    assert new.added is None and R.read_shards(spark, new).count() == 80
+
+
+def test_empty(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["op12_flow_resharding"](spark, str(tmp_path)).collect() == []

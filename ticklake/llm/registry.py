@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ticklake.llm import (
     decontaminate,
+    flow_resharding,
     html_density,
     language_mixture,
     line_templates,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_threshold_topk": threshold_topk.op8_threshold_topk,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_simhash_neardup": simhash_bktree.op10_simhash_neardup,
+    "op12_flow_resharding": flow_resharding.op12_flow_resharding,
     "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
 

@@ -89,7 +89,7 @@ def test_only_affected_files_are_written(spark, tmp_path):
 
 def test_even_shards_stay(spark, tmp_path):
     docs = spark.range(80).select("id", F.lit("abc").alias("text")).repartition(2)
-    old = R.write_shards(docs, F.col("id") % 8, str(tmp_path))
+    old = R.write_shards(docs, F.col("id") % 8, str(tmp_path / "old"))
     new = R.reshard(spark, old, R.row_size(F.col("row.text")))
     assert new.added is None and R.read_shards(spark, new).count() == 80
 

@@ -9,6 +9,7 @@ from ticklake.llm import (
     language_mixture,
     line_templates,
     merkle_manifest,
+    prefix_free_phrases,
     simhash_bktree,
     soft_mixing,
     threshold_topk,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_threshold_topk": threshold_topk.op8_threshold_topk,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_simhash_neardup": simhash_bktree.op10_simhash_neardup,
+    "op11_prefix_free_phrases": prefix_free_phrases.op11_prefix_free_phrases,
     "op12_flow_resharding": flow_resharding.op12_flow_resharding,
     "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
@@ -37,6 +39,7 @@ QUERIES = {
 ORACLE = {
     "op5_url_vocabulary": url_vocabulary.ORACLE_SQL,
     "op8_threshold_topk": threshold_topk.ORACLE_SQL,
+    "op11_prefix_free_phrases": prefix_free_phrases.ORACLE_SQL,
     "op13_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }
 

@@ -45,11 +45,13 @@ ORDER = 3
 MIN_COUNT = 10
 COVER_PERCENT = 50
 TOP = 2000
-MODULUS = 16
+MODULUS = 32
 LONGEST = 256
 MOST_BITS = 1 << 28
 BUCKET_ROWS = 50_000
-HELD = 200_000  # grams that a task adds up before it passes them on
+BUCKETS = 32
+STEP = 4096  # chunks worked on at once
+HELD = 300_000  # grams, or hashes, that a task holds at once
 
 BREAK = b"\n"
 _TABLE = bytes.maketrans(
@@ -67,7 +69,7 @@ class _Hashes(dict):
     """Token hashes; forgotten when there are many, so memory stays bounded."""
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > HELD:
             self.clear()
         value = self[token] = zlib.crc32(token)
         return value
@@ -77,7 +79,7 @@ def parse(toks: list[bytes], order: int, hashes: dict) -> Iterator[tuple[bytes,
     """``(chunk, owned)``: the chunks of a token stream; each owns the phrases
     that start at its first ``owned`` tokens."""
     n, over = len(toks), order - 1
-    h = np.fromiter((hashes[t] for t in toks), np.uint64, n)
+    h = np.fromiter(map(hashes.__getitem__, toks), np.uint64, n)
     window = np.zeros(max(0, n - over + 1), np.uint64)
     for k in range(over):
         window = window * np.uint64(0x9E3779B1) + h[k : k + len(window)]
@@ -116,36 +118,80 @@ def dictionary(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return chunks.groupBy("lang", "chunk", "owned").agg(F.count("*").alias("freq"))
 
 
-class _Seen(dict):
-    """Filter answers by gram; forgotten when there are many."""
+class _Grams(dict):
+    """Token hashes for the filters: 0 for a break, odd for words. Forgotten when
+    there are many, so memory stays bounded."""
 
-    def __init__(self, bits: bytes):
-        self.bits, self.mask = bits, len(bits) * 8 - 1
-
-    def __missing__(self, gram: bytes) -> int:
-        if len(self) > 1_000_000:
+    def __missing__(self, token: bytes) -> int:
+        if len(self) > HELD:
             self.clear()
-        at = xxhash.xxh64_intdigest(gram, 42) & self.mask
-        value = self[gram] = self.bits[at >> 3] >> (at & 7) & 1
+        value = self[token] = 0 if token == BREAK else xxhash.xxh64_intdigest(token) | 1
         return value
 
+    def of(self, toks: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, toks), np.uint64, len(toks))
+
+
+def _mixed(h: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of ``words`` tokens, from the tokens' hashes."""
+    n = max(0, len(h) - words + 1)
+    out = h[:n].copy()
+    for k in range(1, words):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
+        out ^= out >> np.uint64(29)
+    return out
+
 
-def bit_filter(grams: DataFrame, how_many: int) -> bytes:
-    """Bit array with the hash of every gram set: 16 bits a gram, ``MOST_BITS`` at
-    most. Built in Spark; what reaches the driver is the array."""
+def _set(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h & np.uint64(len(bits) * 8 - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def bit_filter(grams: DataFrame, words: int, how_many: int) -> bytes:
+    """Bit array with the hash of every gram of ``words`` words set: 16 bits a gram,
+    ``MOST_BITS`` at most. Built in Spark; what reaches the driver is the array."""
     bits = min(MOST_BITS, max(1 << 16, 1 << (16 * how_many).bit_length()))
-    at = F.xxhash64("gram").bitwiseAND(F.lit(bits - 1))
-    words = (
-        grams.select(at.alias("at"))
-        .groupBy(F.shiftright("at", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("set"))
-        .toArrow()
+
+    def places(batches):
+        hashes = _Grams()
+        for batch in batches:
+            toks = b" ".join(batch.column(0).to_pylist()).split(b" ") if batch.num_rows else []
+            at = _mixed(hashes.of(toks), words)[::words] & np.uint64(bits - 1)
+            one = np.left_shift(np.uint64(1), at & np.uint64(63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(one)], names=["word", "set"])
+
+    found = (
+        grams.select(F.col("gram").cast("binary")).mapInArrow(places, "word long, set long")
+        .groupBy("word").agg(F.bit_or("set").alias("set")).toArrow()
     )
     array = np.zeros(bits // 64, "<i8")
-    array[words.column("word").to_numpy()] = words.column("set").to_numpy()
+    array[found.column("word").to_numpy()] = found.column("set").to_numpy()
     return array.tobytes()
 
 
+def owned_grams(chunks: list[bytes], owned: np.ndarray, words: int, hashes: _Grams, filters: list[np.ndarray]):
+    """``(grams, chunk of each)``: the grams that start at a token their chunk owns
+    and whose parts all pass the filters; none spans a break."""
+    toks = b" ".join(chunks).split(b" ")
+    lens = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
+    of = np.repeat(np.arange(len(chunks)), lens)
+    place = np.arange(len(toks)) - np.repeat(np.cumsum(lens) - lens, lens)
+    h = hashes.of(toks)
+    alive = h != 0
+    if filters:
+        alive &= _set(filters[0], h)
+    for m in range(2, words + 1):
+        alive = alive[:-1] & alive[1:] & (of[: len(of) - m + 1] == of[m - 1 :])
+        if m < words:
+            alive &= _set(filters[m - 1], _mixed(h, m))
+    at = np.flatnonzero(alive & (place < owned[of])[: len(alive)])
+    if words == 1:
+        return [toks[i] for i in at.tolist()], of[at]
+    if words == 2:
+        return [toks[i] + b" " + toks[i + 1] for i in at.tolist()], of[at]
+    return [b" ".join(toks[i : i + words]) for i in at.tolist()], of[at]
+
+
 def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
     """``(lang, gram, f)``: occurrences of the grams of ``words`` words that pass the
     filters (broadcast bit arrays of the grams of 1, 2, … words)."""
@@ -153,7 +199,6 @@ def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
 
     def flush(held):
         for lang, counts in held.items():
-            counts.pop(BREAK, None)
             grams = pa.array(list(counts), pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(counts), pa.string()), grams, pa.array(list(counts.values()), pa.int64())], schema=schema
@@ -161,20 +206,19 @@ def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
         held.clear()
 
     def run(batches):
-        passed = [_Seen(f.value) for f in filters]
+        hashes, arrays = _Grams(), [np.frombuffer(f.value, np.uint8) for f in filters]
         held: dict = {}
-        for batch in batches:
-            lang, chunk, owned, freq = (c.to_pylist() for c in batch.columns)
-            for g, text, own, many in zip(lang, chunk, owned, freq):
-                counts = held.get(g)
-                if counts is None:
-                    counts = held[g] = Counter()
-                found = grams_of(text.split(b" "), own, words, passed)
-                if many == 1:
-                    counts.update(found)
-                else:
-                    for gram in found:
-                        counts[gram] += many
+        for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
+            langs = batch.column(0).dictionary_encode()
+            code, freq = langs.indices.to_numpy(), batch.column(3).to_numpy()
+            grams, of = owned_grams(batch.column(1).to_pylist(), batch.column(2).to_numpy(), words, hashes, arrays)
+            code, many = code[of], freq[of]
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                counts = held.setdefault(lang, Counter())
+                counts.update([grams[i] for i in np.flatnonzero((code == k) & (many == 1)).tolist()])
+                rest = np.flatnonzero((code == k) & (many > 1))
+                for i, weight in zip(rest.tolist(), many[rest].tolist()):
+                    counts[grams[i]] += weight
             if sum(map(len, held.values())) > HELD:
                 yield from flush(held)
         yield from flush(held)
@@ -186,23 +230,6 @@ def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
     )
 
 
-def grams_of(toks: list[bytes], own: int, words: int, passed: list[dict]) -> list[bytes]:
-    """Grams that start at the first ``own`` tokens and whose parts all pass; none
-    spans a break."""
-    if words == 1:
-        return toks[:own]
-    grams = [t if t != BREAK and passed[0][t] else None for t in toks]
-    for m in range(2, words + 1):
-        last = toks[m - 1 :]
-        test = passed[m - 1] if m < words else None
-        step = []
-        for a, b, t in zip(grams, grams[1:], last):
-            gram = a + b" " + t if a is not None and b is not None else None
-            step.append(gram if gram is None or test is None or test[gram] else None)
-        grams = step
-    return [g for g in grams[:own] if g is not None]
-
-
 def _cuts(grams: DataFrame) -> DataFrame:
     """Each candidate at each cut: its first ``k`` words and the rest."""
     w = F.split("gram", " ")
@@ -247,7 +274,7 @@ def collocations(
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
     levels, filters = [words.where(F.col("f") >= min_count)], []
     for m in range(2, order + 1):
-        filters.append(sc.broadcast(bit_filter(levels[-1], levels[-1].count())))
+        filters.append(sc.broadcast(bit_filter(levels[-1], m - 1, levels[-1].count())))
         levels.append(stored(gram_counts(chunks, m, filters).where(F.col("f") >= min_count), f"grams{m}"))
     candidates = reduce(DataFrame.union, levels[1:])
     parts = reduce(DataFrame.union, levels[:-1])
@@ -264,7 +291,7 @@ def collocations(
         "scored",
     )
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    buckets = partitions_for(left.count(), BUCKET_ROWS)
+    buckets = partitions_for(left.count(), BUCKET_ROWS, BUCKETS)
     salted = left.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(buckets)))
     heads = _first(salted, ["lang", "salt"], best, top).drop("salt")
     return _first(heads, ["lang"], best, top).join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -79,7 +79,7 @@ def test_overlaps_belong_to_one_chunk():
     rnd = random.Random(5)
     for _ in range(200):
         toks = [rnd.choice([b"a", b"b", b"c", b"dd"]) for _ in range(rnd.randrange(0, 80))]
-        found = list(P.parse(toks, 3, P._Hashes()))
+        found = list(P.parse(toks, 3))
         assert sum(own for _, own in found) == len(toks)
         at = 0
         for chunk, own in found:

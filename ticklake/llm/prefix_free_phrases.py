@@ -32,6 +32,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ MODULUS = 32
 LONGEST = 256
 MOST_BITS = 1 << 28
 BUCKET_ROWS = 50_000
-BUCKETS = 32
+BUCKETS = 8
 STEP = 4096  # chunks worked on at once
 HELD = 300_000  # grams, or hashes, that a task holds at once
 
@@ -65,21 +66,11 @@ def tokens(text: bytes) -> list[bytes]:
     return [t for t in _BREAKS.sub(b" \n ", text.translate(_TABLE)).split(b" ") if t]
 
 
-class _Hashes(dict):
-    """Token hashes; forgotten when there are many, so memory stays bounded."""
-
-    def __missing__(self, token: bytes) -> int:
-        if len(self) > HELD:
-            self.clear()
-        value = self[token] = zlib.crc32(token)
-        return value
-
-
-def parse(toks: list[bytes], order: int, hashes: dict) -> Iterator[tuple[bytes, int]]:
+def parse(toks: list[bytes], order: int) -> Iterator[tuple[bytes, int]]:
     """``(chunk, owned)``: the chunks of a token stream; each owns the phrases
     that start at its first ``owned`` tokens."""
     n, over = len(toks), order - 1
-    h = np.fromiter(map(hashes.__getitem__, toks), np.uint64, n)
+    h = np.fromiter(map(zlib.crc32, toks), np.uint64, n)
     window = np.zeros(max(0, n - over + 1), np.uint64)
     for k in range(over):
         window = window * np.uint64(0x9E3779B1) + h[k : k + len(window)]
@@ -98,13 +89,12 @@ def dictionary(docs: DataFrame, order: int = ORDER) -> DataFrame:
     schema = arrow_schema("lang string, chunk string, owned int")
 
     def run(batches):
-        hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 langs, chunks, owned = [], [], []
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for chunk, own in parse(tokens(text), order, hashes):
+                    for chunk, own in parse(tokens(text), order):
                         langs.append(lang)
                         chunks.append(chunk)
                         owned.append(own)
@@ -176,17 +166,16 @@ def owned_grams(chunks: list[bytes], owned: np.ndarray, words: int, hashes: _Gra
     lens = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
     of = np.repeat(np.arange(len(chunks)), lens)
     place = np.arange(len(toks)) - np.repeat(np.cumsum(lens) - lens, lens)
+    if words == 1:
+        own = place < owned[of]
+        return list(compress(toks, own.tolist())), of[own]
     h = hashes.of(toks)
-    alive = h != 0
-    if filters:
-        alive &= _set(filters[0], h)
+    alive = (h != 0) & _set(filters[0], h)
     for m in range(2, words + 1):
         alive = alive[:-1] & alive[1:] & (of[: len(of) - m + 1] == of[m - 1 :])
         if m < words:
             alive &= _set(filters[m - 1], _mixed(h, m))
     at = np.flatnonzero(alive & (place < owned[of])[: len(alive)])
-    if words == 1:
-        return [toks[i] for i in at.tolist()], of[at]
     if words == 2:
         return [toks[i] + b" " + toks[i + 1] for i in at.tolist()], of[at]
     return [b" ".join(toks[i : i + words]) for i in at.tolist()], of[at]
@@ -199,6 +188,7 @@ def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
 
     def flush(held):
         for lang, counts in held.items():
+            counts.pop(BREAK, None)
             grams = pa.array(list(counts), pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(counts), pa.string()), grams, pa.array(list(counts.values()), pa.int64())], schema=schema
@@ -215,7 +205,7 @@ def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
             code, many = code[of], freq[of]
             for k, lang in enumerate(langs.dictionary.to_pylist()):
                 counts = held.setdefault(lang, Counter())
-                counts.update([grams[i] for i in np.flatnonzero((code == k) & (many == 1)).tolist()])
+                counts.update(compress(grams, ((code == k) & (many == 1)).tolist()))
                 rest = np.flatnonzero((code == k) & (many > 1))
                 for i, weight in zip(rest.tolist(), many[rest].tolist()):
                     counts[grams[i]] += weight

@@ -464,6 +464,13 @@ ORACLE_SQL |= {
     "stream_land_dlq": with_trades(LANDED_DLQ, CHECKED),
     "land_compact_read": with_trades(LAKE_SELECT),
     "land_external_table": with_trades(LAKE_SELECT),
+    "compact_concurrent": with_trades(LAKE_SELECT),
+    "plain_table_range": with_trades(
+        LAKE_SELECT + f" WHERE upper(symbol) = 'CLICK' AND trade_ts >= {RANGE_MS[0]} AND trade_ts < {RANGE_MS[1]}"),
+    "drifted_files": with_trades(LAKE_SELECT.replace("FROM trades", """FROM (
+      SELECT * REPLACE (CASE WHEN trade_id % 3 = 1 THEN floor(price) ELSE price END AS price,
+                        CASE WHEN trade_id % 3 = 1 THEN floor(qty) ELSE qty END AS qty) FROM trades)""")),
+    "staging_view": with_stg(STG_SELECT.replace(", trade_ts_ms", "")),
     "catalog_after_incremental": "WITH " + ",\n".join([TRADES, TWO_DAYS, MINUTE_AGG, LATENCY_AGG, HEALTH]) + CATALOG,
     "health_table": with_stg("SELECT * FROM health ORDER BY pair", HEALTH),
     "missing_marts": "SELECT unnest(['fct_orderflow_1m', 'fct_trades_1m']) AS mart",

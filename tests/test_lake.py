@@ -12,12 +12,13 @@ from conftest import M, SMOKE_DIR, stg_of, trades_df
 from pyspark.sql import functions as F
 
 from ticklake.operators import marts, serving
+from ticklake.plans import compaction
 from ticklake.plans import refresh as R
 from ticklake.plans.compaction import compact
 from ticklake.plans.snapshot import append_snapshot, read_as_of
 from ticklake.schema import TRADE_V1
 from ticklake.session import local_path, scratch_path
-from ticklake.sources import catalog
+from ticklake.sources import catalog, files, plain
 from ticklake.sources.lake import create_external_table, partition_dir, read_lake, read_unkeyed, write_lake
 from ticklake.sources.testdata import load_trades
 
@@ -25,7 +26,8 @@ HOUR = 3_600_000
 
 
 def _files(root):
-    return glob.glob(os.path.join(local_path(root), "**", "*.parquet"), recursive=True)
+    found = glob.glob(os.path.join(local_path(root), "**", "*.parquet"), recursive=True)
+    return [f for f in found if "/_swaps/" not in f]
 
 
 def test_keyed_layout_and_roundtrip(spark):
@@ -84,6 +86,116 @@ def test_compaction_reduces_files(spark):
     assert sorted(r.trade_id for r in read_lake(spark, root).collect()) == list(range(40))
 
 
+def _small_lake(spark, batches=4):
+    root = scratch_path(spark, "t-lake")
+    for k in range(batches):
+        write_lake(trades_df(spark, [(p, 10 * k + i, M + i * HOUR // 2, 1, 1, False) for p in "AB" for i in range(4)]), root)
+    return root
+
+
+def _ids(spark, root):
+    return sorted((r.pair, r.trade_id) for r in read_lake(spark, root).collect())
+
+
+def test_compaction_keeps_concurrent_appends_and_other_files(spark):
+    root = _small_lake(spark)
+    write_lake(trades_df(spark, [("C", 1, M, 1, 1, False)]), root)  # a directory with a single file
+    alone, before = [f for f in _files(root) if "pair=C" in f], _ids(spark, root)
+    staged = compaction.stage_compaction(spark, root)
+    assert _ids(spark, root) == before and staged.files == len(_files(root)) - 1
+    write_lake(trades_df(spark, [("A", 99, M, 1, 1, False)]), root)
+    files.apply(spark, staged.swap)
+    assert _ids(spark, root) == sorted([*before, ("A", 99)])
+    assert [f for f in _files(root) if "pair=C" in f] == alone
+    assert compact(spark, root, ["1999-01-01"]) == compaction.Staged(None, 0, 0)
+    assert compact(spark, root).files == 2  # the merged file and the one appended beside it
+    assert _ids(spark, root) == sorted([*before, ("A", 99)])
+
+
+@pytest.mark.parametrize("done", [0, 1, 2])
+def test_compaction_survives_a_crash(spark, monkeypatch, done):
+    """The swap stops after some file operations; the next run finishes it."""
+    root = _small_lake(spark)
+    before = _ids(spark, root)
+    staged = compaction.stage_compaction(spark, root)
+    rows = spark.read.parquet(f"{staged.swap}/journal").orderBy("place").collect()
+    strip = lambda p: p.replace("file:", "")
+    for row in rows[:done]:  # what a crash can leave: entries done, half done, not begun
+        os.rename(strip(row.new), strip(row.place))
+        os.remove(strip(row.old[0]))
+    assert files.recover(spark, root) == len(rows)
+    assert _ids(spark, root) == before and len(_files(root)) == len(rows)
+    assert files.recover(spark, root) == 0
+
+
+def test_compaction_drops_an_entry_that_was_overtaken(spark):
+    root = _small_lake(spark)
+    staged = compaction.stage_compaction(spark, root)
+    write_lake(trades_df(spark, [("A", 7, M, 1, 1, False)]), root, mode="overwrite")  # a new lake
+    if os.path.exists(staged.swap.replace("file:", "")):
+        files.apply(spark, staged.swap)
+    assert _ids(spark, root) == [("A", 7)]
+
+
+def test_first_fit():
+    assert compaction.first_fit([5, 4, 3, 3, 1], 8) == [0, 1, 0, 1, 1]
+    assert compaction.first_fit([9, 1], 8) == [0, 1] and compaction.first_fit([], 8) == []
+
+
+def _plain(spark, root, pair="A", hour="01", ids=(1,)):
+    at = partition_dir(root, "trades", pair, "2024-01-01", hour)
+    trades_df(spark, [(pair, i, M + int(hour) * HOUR, 1.5, 1, False) for i in ids]).write.mode("append").parquet(at)
+
+
+def test_plain_table_prunes_and_follows_the_tree(spark, tmp_path):
+    root = str(tmp_path / "plain")
+    _plain(spark, root, "A", "01")
+    _plain(spark, root, "it's", "02", (2, 3))
+    os.makedirs(f"{root}/trades/A/notes/01")
+    name = plain.create_plain_table(spark, root, db="ext_t", name="plain_t")
+    assert spark.table(name).count() == 3
+    one = spark.table(name).where("pair = \"it's\" and hour >= 2")
+    assert sorted(r.trade_id for r in one.collect()) == [2, 3]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pair" in plan.replace("\n", " ") and len(one.inputFiles()) >= 1
+    assert all("it" in f for f in one.inputFiles())
+    _plain(spark, root, "A", "01", (4,))
+    _plain(spark, root, "B", "23", (5,))
+    assert plain.sync_plain_table(spark, name, root) == (1, 0)
+    assert spark.table(name).count() == 5
+    os.rename(f"{root}/trades/B", f"{root}/B")
+    assert plain.sync_plain_table(spark, name, root) == (0, 1)
+    assert spark.table(name).count() == 4
+
+
+def test_drifted_files_of_several_kinds(spark, tmp_path):
+    root = str(tmp_path / "drift")
+    _plain(spark, root, "A", "01", (1,))
+    at = partition_dir(root, "trades", "A", "2024-01-01", "01")
+    odd = trades_df(spark, [("A", 2, M, 7, 1, False), ("A", 3, M, 8, 1, False)])
+    odd.withColumn("price", F.lit(7)).withColumn("more", F.lit(1)).write.mode("append").parquet(at)
+    odd.drop("qty").withColumn("price", F.when(F.col("trade_id") == 2, "2.5").otherwise("junk")).write.mode("append").parquet(at)
+    rows = plain.read_drifted(spark, root).collect()
+    got = sorted((r.trade_id, r.price is None, r.price or 0, r.qty is None, r.hour) for r in rows)
+    assert got == [(1, False, 1.5, False, 1), (2, False, 2.5, True, 1), (2, False, 7.0, False, 1), (3, False, 7.0, False, 1), (3, True, 0, True, 1)]
+    os.makedirs(tmp_path / "none" / "trades")
+    assert plain.read_drifted(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_staging_view_is_persistent_and_prunes(spark):
+    from ticklake.operators.staging import contract_columns, stg_trades
+
+    root = _small_lake(spark, 1)
+    write_lake(trades_df(spark, [("A", 50, M, 1, 1, None)], ingested=["junk"]), root)
+    name = catalog.create_staging_view(spark, create_external_table(spark, root, "ext", "for_view_t"), "stg_t.stg_trades")
+    view = spark.newSession().table(name)
+    want = contract_columns(stg_trades(read_lake(spark, root)))
+    assert view.columns == want.columns and [t for _, t in view.dtypes] == [t for _, t in want.dtypes]
+    assert sorted(map(str, view.collect())) == sorted(map(str, want.collect()))
+    plan = spark.table(name).where("trade_date = date '2024-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan
+
+
 def test_snapshot_as_of(spark):
     path = scratch_path(spark, "t-snap")
     stg = stg_of(spark, [("A", 1, M, 10, 1, False), ("A", 2, M + HOUR, 20, 1, False)])

@@ -17,6 +17,7 @@ from ticklake.plans.boundary import stable
 from ticklake.plans.refresh import read_mart
 from ticklake.schema import LAKE_PARTITION_COLS, MART_COLUMNS, TRADE_V1, TRADE_V1_REQUIRED
 from ticklake.session import configure, scratch_path
+from ticklake.sources.catalog import create_staging_view
 from ticklake.sources.lake import create_external_table, partition_dir, read_lake, read_trades, write_lake
 from ticklake.sources.testdata import BASE_MS, feed_messages, kafka_records, load_trades, with_redelivery
 
@@ -79,10 +80,15 @@ def q_stream_land_dlq(spark, sf_dir):
     ))
 
 
-def _landed_then_appended(spark, sf_dir) -> str:
+def _last_quarter(trades: DataFrame) -> DataFrame:
+    return trades.where(F.col("trade_id") % 4 == 3)
+
+
+def _landed_then_appended(spark, sf_dir, whole: bool = True) -> str:
     """A lake whose first 48 minutes were landed by the stream, the rest appended
-    by a batch job."""
+    by a batch job; not ``whole``: without its last quarter."""
     trades = load_trades(spark, sf_dir)
+    trades = trades if whole else trades.exceptAll(_last_quarter(trades))
     lake, _ = _land(spark, kafka_records(trades.where(F.col("trade_ts") < CUT_MS), damaged=False))
     write_lake(trades.where(F.col("trade_ts") >= CUT_MS), lake)
     return lake
@@ -106,6 +112,21 @@ def q_land_external_table(spark, sf_dir):
     return stable(_lake_cols(spark.table(create_external_table(spark, lake, "ext", "landed"))))
 
 
+def q_compact_concurrent(spark, sf_dir):
+    """Small files are compacted while a writer appends; a second compaction
+    that stopped after its commit is finished by the next one."""
+    from ticklake.plans.compaction import compact, stage_compaction
+    from ticklake.sources import files
+
+    lake = _landed_then_appended(spark, sf_dir, whole=False)
+    staged = stage_compaction(spark, lake)
+    write_lake(_last_quarter(load_trades(spark, sf_dir)), lake)  # between the read and the swap
+    files.apply(spark, staged.swap)
+    stage_compaction(spark, lake)
+    compact(spark, lake)
+    return stable(_lake_cols(read_lake(spark, lake)))
+
+
 def _two_days(trades: DataFrame) -> DataFrame:
     """Every second trade moved to the next day."""
     return trades.withColumn("trade_ts", F.col("trade_ts") + F.when(F.col("trade_id") % 2 == 1, F.lit(DAY_MS)).otherwise(F.lit(0)))
@@ -220,6 +241,53 @@ def q_unkeyed_range_read(spark, sf_dir):
     return stable(_lake_cols(read_trades(spark, root, RANGE_START, RANGE_END, layout="plain")))
 
 
+def _plain_tree(trades: DataFrame, spark, kinds: dict) -> str:
+    """An un-keyed tree; ``kinds`` maps trade_id % len(kinds) to what its files hold."""
+    root = scratch_path(spark, "plain")
+    rows = ingest.with_partition_values(trades)
+    for pair, date, hour in rows.select(*LAKE_PARTITION_COLS).distinct().collect():  # the fixture's few directories
+        part = rows.where((F.col("pair") == pair) & (F.col("trade_date") == F.lit(date)) & (F.col("hour") == hour))
+        for kind, cols in kinds.items():
+            mine = part.where(F.col("trade_id") % len(kinds) == kind).select(*TRADE_V1_REQUIRED).withColumns(cols)
+            mine.write.mode("append").parquet(partition_dir(root, "trades", pair, str(date), f"{hour:02d}"))
+    return root
+
+
+def q_plain_table_range(spark, sf_dir):
+    """A table over the un-keyed tree in place; a range of it."""
+    from ticklake.sources.plain import create_plain_table
+
+    configure(spark)
+    table = create_plain_table(spark, _plain_tree(load_trades(spark, sf_dir), spark, {0: {}}), db="ext_plain")
+    rows = spark.sql(
+        f"SELECT * FROM {table} WHERE pair = '{SLICE_PAIR}' AND trade_date = DATE '2024-01-01' AND hour <= 1 "
+        f"AND trade_ts >= {BASE_MS + 30 * 60_000} AND trade_ts < {BASE_MS + 45 * 60_000}"
+    )
+    return stable(_lake_cols(rows))
+
+
+def q_drifted_files(spark, sf_dir):
+    """Files with double, integer and text prices in the same directories."""
+    from ticklake.sources.plain import read_drifted
+
+    configure(spark)
+    whole = {c: F.floor(c).cast("bigint") for c in ("price", "qty")}
+    text = {"price": F.col("price").cast("string"), "schema_version": F.col("schema_version").cast("int")}
+    root = _plain_tree(load_trades(spark, sf_dir), spark, {0: {}, 1: whole, 2: text})
+    return stable(_lake_cols(read_drifted(spark, root)))
+
+
+def q_staging_view(spark, sf_dir):
+    """The catalog's staging view, read by name from another session."""
+    configure(spark)
+    lake = scratch_path(spark, "lake")
+    write_lake(load_trades(spark, sf_dir), lake)
+    name = create_staging_view(spark, create_external_table(spark, lake, "ext", "for_view"), "stg.stg_trades")
+    other = spark.newSession()
+    configure(other)
+    return stable(other.table(name))
+
+
 def _damaged_feed(spark, sf_dir) -> DataFrame:
     """Raw messages; trade_id % 7 chooses: 0 no JSON, 1 no price key, 2 price "x",
     3 trade time null, 4 trade time in nanoseconds, 5 and 6 intact."""
@@ -282,6 +350,10 @@ QUERIES = {
     "orderflow_slice_stored": q_orderflow_slice_stored,
     "trades_slice_stored": q_trades_slice_stored,
     "late_reconciled": q_late_reconciled,
+    "compact_concurrent": q_compact_concurrent,
+    "plain_table_range": q_plain_table_range,
+    "drifted_files": q_drifted_files,
+    "staging_view": q_staging_view,
     "unkeyed_range_read": q_unkeyed_range_read,
     "publish_feed": q_publish_feed,
     "publish_dlq": q_publish_dlq,

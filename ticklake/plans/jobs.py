@@ -27,10 +27,11 @@ from ticklake.sources.lake import create_external_table, read_lake, read_unkeyed
 
 
 def init_catalog(spark: SparkSession, lake_root: str, catalog_root: str) -> list[tuple[str, str]]:
-    """Create ext/stg/marts, (re)create ``ext.trades`` and list ``ext``."""
+    """Create ext/stg/marts, (re)create ``ext.trades`` and the view
+    ``stg.stg_trades`` over it, and list ``ext``."""
     configure(spark)
     catalog.ensure_namespaces(spark, catalog.NAMESPACES, location_root=catalog_root)
-    create_external_table(spark, lake_root, "ext", "trades")
+    catalog.create_staging_view(spark, create_external_table(spark, lake_root, "ext", "trades"))
     return catalog.list_tables(spark, "ext")
 
 

@@ -132,9 +132,9 @@ def read_unkeyed(spark: SparkSession, root: str, subdir: str = "trades",
     from its last three directories (typed DATE / TINYINT).
 
     Files written with per-flush inferred types can drift (e.g. integer
-    prices); Parquet does not widen INT64 to DOUBLE on read. Read such a
-    group of files with its physical ``schema``: columns are cast to the
-    trade_v1 types afterwards.
+    prices); Parquet does not widen INT64 to DOUBLE on read.
+    ``plain.read_drifted`` finds the kinds of files itself; ``schema`` reads
+    one known kind: columns are cast to the trade_v1 types afterwards.
     """
     base = f"{root.rstrip('/')}/{subdir}"
     reader = spark.read.schema(schema or TRADE_V1).option("recursiveFileLookup", "true")
@@ -150,6 +150,11 @@ def read_unkeyed(spark: SparkSession, root: str, subdir: str = "trades",
         df = reader.parquet(*globs)
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRADE_V1.fields], "_metadata")
+    return unkeyed_columns(df)
+
+
+def unkeyed_columns(df: DataFrame) -> DataFrame:
+    """trade_v1 columns plus location, pair, trade_date and hour from the file path."""
     path = F.col("_metadata.file_path")
     return df.select(
         *TRADE_V1_REQUIRED,

@@ -332,6 +332,9 @@ STREAM_MARTS = f"""
 SELECT {WIDE_COLS.replace('trade_count,', 'm.trade_count AS trade_count,', 1).replace('pair, minute_bucket,', 'm.pair, m.minute_bucket,', 1)}
 FROM minute_agg m LEFT JOIN latency_agg l ON m.pair = l.pair AND m.minute_bucket = l.minute_bucket"""
 
+# averages lifted above ties at the 6th decimal, as the queries do
+WHOLE_MARTS = STREAM_MARTS.replace("round(avg_price, 6)", "round(avg_price + 1e-9, 6)")
+
 ROLLING = """
 SELECT pair, window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS trade_count
 FROM (
@@ -482,7 +485,10 @@ ORACLE_SQL |= {
     "orderflow_slice_stored": ORACLE_SQL["orderflow_slice"],
     "trades_slice_stored": with_stg(
         f"SELECT {TRADES_COLS} FROM minute_agg WHERE {_SLICE} {SLICE_START_1440} ORDER BY minute_bucket DESC LIMIT 20", MINUTE_AGG),
-    "late_reconciled": with_stg(f"SELECT * EXCLUDE (avg_price) FROM ({STREAM_MARTS})", MINUTE_AGG, LATENCY_AGG),
+    "late_reconciled": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
+    "refresh_merged": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
+    "refresh_merged_health": with_stg("SELECT * FROM health", HEALTH),
+    "scheduled_refresh": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
     "unkeyed_range_read": ORACLE_SQL["lake_range_read"],
     "publish_feed": with_trades(
         "SELECT symbol AS key, symbol, trade_id, trade_ts, (round(price, 6) + 0.0) AS price, (round(qty, 6) + 0.0) AS qty, "

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMOKE_DIR
+from conftest import M, SMOKE_DIR, iso, trades_df
 
 from ticklake.operators import quality
-from ticklake.plans import jobs
+from ticklake.plans import jobs, partials
+from ticklake.plans.refresh import ALL_MARTS, read_mart
 from ticklake.session import scratch_path
+from ticklake.sources import files
 from ticklake.sources.lake import write_lake
 from ticklake.sources.testdata import load_trades, with_redelivery
 
@@ -160,3 +162,65 @@ def test_no_local_checkpoint_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError):
         session.checkpoint_dir(Session())
+
+
+# -- refresh from partials ------------------------------------------------------
+
+
+def _rows_of(spark, root, names=None):
+    return {n: sorted(map(str, read_mart(spark, f"{root}/{n}").collect())) for n in names or ALL_MARTS}
+
+
+def _batches():
+    """Two days, two pairs, late trades, equal times, a missing ingest time."""
+    day = 86_400_000
+    rows = [[(p, 100 * b + i, M + (i * 7919 + b * 13) % 600_000 + day * (i % 5 == 0), 10.25 + i % 7, 1 + i % 3, i % 2 == 0)
+             for i in range(60) for p in "AB"] for b in range(5)]
+    return [*rows, [("C", 1, M + day, 5, 1, True)], [], [("A", 9999, M, 1, 1, False)]]
+
+
+def test_merged_refresh_equals_a_full_rebuild(spark, monkeypatch):
+    monkeypatch.setattr(partials, "FOLD_BATCHES", 2)
+    part, merged, full, lake = (scratch_path(spark, n) for n in ("t-partials", "t-merged", "t-full", "t-lake"))
+    as_of = "2024-01-02 00:05:30"
+    every = []
+    for b, rows in enumerate(_batches()):
+        trades = trades_df(spark, rows, ingested=["junk" if r[1] % 50 == 7 else iso(r[2] + r[1] % 9 * 1000 + 40) for r in rows])
+        every += [trades]
+        partials.refresh_merged(trades, part, merged, b, as_of=as_of)
+        if b in (1, 3):  # a replay of the batch changes nothing
+            partials.refresh_merged(trades, part, merged, b, as_of=as_of)
+        partials.fold(spark, part, ["2024-01-01", "2024-01-02"], b, most=2)
+    for t in every:
+        if t.count():
+            write_lake(t, lake)
+    jobs.refresh_marts(spark, lake, full, as_of=as_of, db=None)
+    assert _rows_of(spark, merged) == _rows_of(spark, full)
+    at = spark.read.parquet(f"{part}/minutes")
+    assert at.where("trade_date = '2024-01-01'").select("batch").distinct().count() <= 3
+    minutes = at.groupBy("pair", "minute_bucket", "_lat").count()
+    assert at.count() <= 3 * minutes.count()
+
+
+def test_merged_refresh_reads_no_landed_trade(spark):
+    part, marts = scratch_path(spark, "t-partials"), scratch_path(spark, "t-merged")
+    first = trades_df(spark, [("A", i, M + i * 1000, 1, 1, False) for i in range(50)])
+    partials.refresh_merged(first, part, marts, 0, as_of="2024-01-01 00:02:00")
+    stored = spark.read.parquet(f"{part}/minutes")
+    assert "trade_id" not in stored.columns and stored.count() == 1  # one minute, one latency
+    partials.refresh_merged(trades_df(spark, [("A", 99, M, 3, 1, False)]), part, marts, 1, as_of="2024-01-01 00:02:00")
+    (r,) = read_mart(spark, f"{marts}/fct_candles_1m").collect()
+    assert (r.trade_count, r.high_price, r.open_price, r.close_price) == (51, 3.0, 1.0, 1.0)
+
+
+def test_a_fold_that_stopped_half_way_is_finished(spark, monkeypatch):
+    part, marts = scratch_path(spark, "t-partials"), scratch_path(spark, "t-merged")
+    one = lambda i: trades_df(spark, [("A", i, M + i, 1, 1, False)])
+    for b in range(3):
+        partials.refresh_merged(one(b), part, marts, b, as_of="2024-01-01 00:02:00")
+    monkeypatch.setattr(files, "apply", lambda *a: 0)  # the process dies after the commit
+    partials.fold(spark, part, ["2024-01-01"], 3, most=1)
+    monkeypatch.undo()
+    partials.refresh_merged(one(3), part, marts, 3, as_of="2024-01-01 00:02:00")
+    assert read_mart(spark, f"{marts}/fct_trades_1m").first().trade_count == 4
+    assert spark.read.parquet(f"{part}/minutes").count() == 2  # the folded row and the new one

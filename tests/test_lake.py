@@ -121,7 +121,7 @@ def test_compaction_survives_a_crash(spark, monkeypatch, done):
     rows = spark.read.parquet(f"{staged.swap}/journal").orderBy("place").collect()
     strip = lambda p: p.replace("file:", "")
     for row in rows[:done]:  # what a crash can leave: entries done, half done, not begun
-        os.rename(strip(row.new), strip(row.place))
+        os.rename(strip(row.new[0]), strip(row.place[0]))
         os.remove(strip(row.old[0]))
     assert files.recover(spark, root) == len(rows)
     assert _ids(spark, root) == before and len(_files(root)) == len(rows)

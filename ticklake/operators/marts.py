@@ -144,26 +144,54 @@ def _by_latency_first(base: DataFrame, groups, as_of, bucket: str, lookback: str
     a hash aggregate; the second level merges these few rows per minute and
     takes the exact percentile of the counted latencies.
     """
+    return merge_counts(latency_counts(base, groups, as_of, bucket, lookback))
+
+
+def latency_counts(stg: DataFrame, groups=ALL_MINUTE, as_of=None, bucket: str = "1 minute",
+                   lookback: str = HEALTH_LOOKBACK) -> DataFrame:
+    """Mergeable partials: the measures of ``groups`` per (pair, minute, whole second
+    of latency). Rows of the same key from any number of passes add up."""
     rest = tuple(g for g in groups if g != LATENCY)
     keys = [F.col("pair"), bucket_start("trade_ts_utc", bucket).alias("minute_bucket"), _latency().alias("_lat")]
-    merge = {
-        "trade_count": F.sum, "total_qty": F.sum, "notional_usdt": F.sum, "min_price": F.min, "max_price": F.max,
-        "buy_qty": F.sum, "sell_qty": F.sum, "buy_notional_usdt": F.sum, "sell_notional_usdt": F.sum,
-        "trades_recent": F.sum, "max_trade_ts_utc": F.max, "max_ingested_at_utc": F.max,
-    }
     order = trade_order_key(STG_ORDER_COL, "trade_id")
     first = [
         *_measures(rest, as_of, lookback), F.count(F.lit(1)).alias("_n"),
-        F.sum("price").alias("_price_sum"), F.count("price").alias("_price_n"),
         F.min(order).alias("_first"), F.max(order).alias("_last"),
     ]
-    counted = base.groupBy(*keys).agg(*first)
+    if TRADES in rest:  # an average does not add up; its sum and count do
+        first += [F.sum("price").alias("_price_sum"), F.count("price").alias("_price_n")]
+    return stg.groupBy(*keys).agg(*first).drop("avg_price")
+
+
+_MERGE = {
+    "trade_count": F.sum, "total_qty": F.sum, "notional_usdt": F.sum, "min_price": F.min, "max_price": F.max,
+    "buy_qty": F.sum, "sell_qty": F.sum, "buy_notional_usdt": F.sum, "sell_notional_usdt": F.sum,
+    "trades_recent": F.sum, "max_trade_ts_utc": F.max, "max_ingested_at_utc": F.max,
+}
+
+
+def _merged(counted: DataFrame) -> list[Column]:
+    out = [f(c).alias(c) for c, f in _MERGE.items() if c in counted.columns]
+    if "open_price" in counted.columns:
+        out += [F.min_by("open_price", "_first").alias("open_price"), F.max_by("close_price", "_last").alias("close_price")]
+    return out
+
+
+def fold_counts(counted: DataFrame) -> DataFrame:
+    """Partials of the same key merged into one row; the same columns."""
+    again = {"_n": F.sum, "_price_sum": F.sum, "_price_n": F.sum, "_first": F.min, "_last": F.max}
+    return counted.groupBy("pair", "minute_bucket", "_lat").agg(
+        *_merged(counted), *(f(c).alias(c) for c, f in again.items() if c in counted.columns)
+    )
+
+
+def merge_counts(counted: DataFrame) -> DataFrame:
+    """``latency_counts`` rows -> one row per (pair, minute_bucket), with the exact
+    percentiles of the counted latencies."""
     lat, n = F.col("_lat"), F.when(F.col("_lat").isNotNull(), F.col("_n")).otherwise(0)
-    out = [f(c).alias(c) for c, f in merge.items() if c in counted.columns]
-    if TRADES in rest:
+    out = _merged(counted)
+    if "_price_sum" in counted.columns:
         out.append((F.sum("_price_sum") / nullif_zero(F.sum("_price_n"))).alias("avg_price"))
-    if CANDLES in rest:
-        out += [F.min_by("open_price", "_first").alias("open_price"), F.max_by("close_price", "_last").alias("close_price")]
     out += [
         F.sum(n).alias("latency_count"),
         (F.sum(lat * n).cast("double") / nullif_zero(F.sum(n))).alias("avg_latency_s"),

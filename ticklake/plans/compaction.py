@@ -104,7 +104,7 @@ def stage_compaction(spark: SparkSession, root: str, dates: Iterable | None = No
     old = plan.groupBy("bin").agg(F.sort_array(F.collect_list("path")).alias("old"))
     name = F.concat(F.lit("/compact-"), F.col("bin"), F.lit("-"), F.substring_index("new", "/", -1))
     place = F.concat(F.regexp_replace(F.col("old")[0], "/[^/]*$", ""), name)
-    files.commit(spark, base, swap, staged.join(old, "bin").select("new", place.alias("place"), "old"))
+    files.commit(spark, base, swap, staged.join(old, "bin").select(F.array("new").alias("new"), F.array(place).alias("place"), "old"))
     return Staged(swap, bins, len(paths))
 
 

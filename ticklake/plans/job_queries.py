@@ -227,8 +227,60 @@ def q_late_reconciled(spark, sf_dir):
     lake = scratch_path(spark, "lake")
     write_lake(trades, lake)
     SM.reconcile_minutes(stg_trades(read_lake(spark, lake)), root, dates)
-    # averages of 2-decimal prices end in ties at the 6th decimal: not compared here
-    return stable(SM.read_minute_table(spark, root).drop("avg_price"))
+    return stable(_ties_up(SM.read_minute_table(spark, root)))
+
+
+def _wide_marts(spark, root: str) -> DataFrame:
+    """The four stored minute marts side by side."""
+    mart = lambda name: read_mart(spark, f"{root}/{name}")
+    keys, seen = ["pair", "minute_bucket"], None
+    latency = mart("fct_ingestion_latency_1m").withColumnRenamed("trade_count", "latency_count")
+    for df in (mart("fct_candles_1m"), mart("fct_trades_1m"), mart("fct_orderflow_1m"), latency):
+        seen = df if seen is None else seen.join(df.select(*keys, *(c for c in df.columns if c not in seen.columns)), keys, "left")
+    return seen.drop("min_price", "max_price")
+
+
+def _ties_up(wide: DataFrame) -> DataFrame:
+    """Averages of 2-decimal prices can end in a tie at the 6th decimal, where sums
+    in another order round either way: lifted above it on both sides."""
+    return wide.withColumn("avg_price", F.col("avg_price") + 1e-9)
+
+
+def _trade_stream(spark, sf_dir) -> DataFrame:
+    """All trades as a stream of FILES micro-batches, in no order of time."""
+    src = _in_files(load_trades(spark, sf_dir), spark, "trades")
+    return spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
+
+
+def _merged_marts(spark, sf_dir) -> str:
+    from ticklake.streaming.marts import scheduled_merge
+
+    configure(spark)
+    root = scratch_path(spark, "marts")
+    scheduled_merge(_trade_stream(spark, sf_dir), scratch_path(spark, "partials"), root, scratch_path(spark, "ck"),
+                    available_now=True, as_of=AS_OF).start().awaitTermination()
+    return root
+
+
+def q_refresh_merged(spark, sf_dir):
+    """Four micro-batches merged into the marts by their partials; all minute marts."""
+    return stable(_ties_up(_wide_marts(spark, _merged_marts(spark, sf_dir))))
+
+
+def q_refresh_merged_health(spark, sf_dir):
+    """The same run's health report."""
+    return stable(read_mart(spark, f"{_merged_marts(spark, sf_dir)}/fct_pipeline_health_5m"))
+
+
+def q_scheduled_refresh(spark, sf_dir):
+    """Micro-batches landed one by one, each followed by a rebuild of its dates."""
+    from ticklake.streaming.marts import scheduled_refresh
+
+    configure(spark)
+    lake, root = scratch_path(spark, "lake"), scratch_path(spark, "marts")
+    write_lake(load_trades(spark, sf_dir), lake)
+    scheduled_refresh(_trade_stream(spark, sf_dir), lake, root, scratch_path(spark, "ck"), available_now=True).start().awaitTermination()
+    return stable(_ties_up(_wide_marts(spark, root)))
 
 
 def q_unkeyed_range_read(spark, sf_dir):
@@ -350,6 +402,9 @@ QUERIES = {
     "orderflow_slice_stored": q_orderflow_slice_stored,
     "trades_slice_stored": q_trades_slice_stored,
     "late_reconciled": q_late_reconciled,
+    "refresh_merged": q_refresh_merged,
+    "refresh_merged_health": q_refresh_merged_health,
+    "scheduled_refresh": q_scheduled_refresh,
     "compact_concurrent": q_compact_concurrent,
     "plain_table_range": q_plain_table_range,
     "drifted_files": q_drifted_files,

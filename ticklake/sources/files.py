@@ -42,8 +42,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def commit(spark: SparkSession, root: str, swap: str, entries: DataFrame) -> None:
-    """Write the journal of swap folder ``swap``: ``(new, place, old array)``, the
-    staged file, where it goes and what it replaces."""
+    """Write the journal of swap folder ``swap``: arrays ``(new, place, old)``, the
+    staged files, where each goes and what they replace."""
     entries.write.mode("overwrite").parquet(f"{swap}/journal.tmp")
     fs, path = _fs(spark, root)
     if not fs.rename(path(f"{swap}/journal.tmp"), path(f"{swap}/journal")):
@@ -53,25 +53,25 @@ def commit(spark: SparkSession, root: str, swap: str, entries: DataFrame) -> Non
 def apply(spark: SparkSession, swap: str, threads: int = 16) -> int:
     """Apply a committed swap and remove its folder; returns the entries applied.
 
-    An entry some of whose old files are gone before its new file is in place
+    An entry some of whose old files are gone before a new file is in place
     was overtaken (its directory was overwritten, or another swap took the
     files): it is dropped.
     """
     fs, path = _fs(spark, swap)
 
     def one(row) -> bool:
-        new, place = path(row.new), path(row.place)
+        moves = [(path(n), path(p)) for n, p in zip(row.new, row.place)]
         old = [path(p) for p in row.old]
-        if not fs.exists(place):
-            if not fs.exists(new) or not all(fs.exists(p) for p in old):
-                return False
-            if not fs.rename(new, place):
-                raise OSError(f"cannot move {row.new}")
+        if not any(fs.exists(p) for _, p in moves) and not all(fs.exists(x) for x in [*(n for n, _ in moves), *old]):
+            return False
+        for new, place in moves:
+            if not fs.exists(place) and not fs.rename(new, place):
+                raise OSError(f"cannot move {new.toString()}")
         for p in old:
             fs.delete(p, False)
         return True
 
-    entries = spark.read.schema("new string, place string, old array<string>").parquet(f"{swap}/journal")
+    entries = spark.read.schema("new array<string>, place array<string>, old array<string>").parquet(f"{swap}/journal")
     with ThreadPoolExecutor(threads) as pool:  # file names only, a few at a time
         done = sum(pool.map(one, entries.toLocalIterator()))
     fs.delete(path(swap), True)

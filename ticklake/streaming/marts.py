@@ -174,6 +174,19 @@ def scheduled_refresh(trades_stream: DataFrame, lake_root: str, root: str, check
     return apply_trigger(w, interval, available_now)
 
 
+def scheduled_merge(trades_stream: DataFrame, partials_root: str, root: str, checkpoint: str,
+                    interval: str = REFRESH_INTERVAL, available_now: bool = False, db: str | None = None, as_of=None):
+    """Every ``interval``: add the new trades' partials and merge the marts that they
+    touch (``partials.refresh_merged``); no landed trade is read again. For a
+    lake whose re-deliveries must count once use ``scheduled_refresh``."""
+    from ticklake.plans.partials import refresh_merged
+
+    w = trades_stream.writeStream.foreachBatch(
+        lambda batch, batch_id: refresh_merged(batch, partials_root, root, batch_id, as_of=as_of, db=db) and None
+    ).option("checkpointLocation", checkpoint)
+    return apply_trigger(w, interval, available_now)
+
+
 def rows_dropped_by_watermark(query) -> int:
     """Late rows a stateful query discarded (sum over its recent progress).
 

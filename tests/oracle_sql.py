@@ -486,6 +486,7 @@ ORACLE_SQL |= {
     "trades_slice_stored": with_stg(
         f"SELECT {TRADES_COLS} FROM minute_agg WHERE {_SLICE} {SLICE_START_1440} ORDER BY minute_bucket DESC LIMIT 20", MINUTE_AGG),
     "late_reconciled": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
+    "stream_dedupe_earliest": ORACLE_SQL["dedupe_trades"],
     "refresh_merged": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
     "refresh_merged_health": with_stg("SELECT * FROM health", HEALTH),
     "scheduled_refresh": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),

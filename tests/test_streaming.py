@@ -266,3 +266,40 @@ def test_wide_stream_output_splits_into_marts(spark):
 
         assert df.count() > 0
         assert rounded(df) == rounded(closed), name
+
+
+def test_versions_stay_few_and_newest_wins(spark, monkeypatch):
+    monkeypatch.setattr(SM, "FOLD_VERSIONS", 2)
+    src, root, ck = (scratch_path(spark, n) for n in ("t-src", "t-versions", "t-ck"))
+    for i in range(7):  # one file, and so one batch, per write: the first minute grows
+        trades_df(spark, [("A", i, M + i, 1 + i, 1, False), ("A", 100 + i, M + (1 + i) * 60_000, 1, 1, False)]).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
+    SM.write_minute_table(SM.stream_minute_marts(SM.stream_stg(stream), "1 day"), root, ck, available_now=True).awaitTermination()
+    versions = {r.version for r in spark.read.parquet(root).select("version").distinct().collect()}
+    assert len(versions) <= 4 and max(versions) >= 6
+    rows = {r.minute_bucket.minute: r.trade_count for r in SM.read_minute_table(spark, root).collect()}
+    assert rows == {0: 7, **{i: 1 for i in range(1, 8)}}
+    lake = scratch_path(spark, "t-lake")
+    write_lake(trades_df(spark, [("A", 1, M, 1, 1, False)]), lake)
+    for _ in range(4):
+        SM.reconcile_minutes(stg_trades(read_lake(spark, lake)), root, ["2024-01-01"])
+    assert spark.read.parquet(root).where("version >= 1099511627776").select("version").distinct().count() <= 3
+    assert {r.minute_bucket.minute: r.trade_count for r in SM.read_minute_table(spark, root).collect()}[0] == 1
+
+
+def test_stream_dedupe_keeps_the_earliest_ingest(spark):
+    from ticklake.operators.staging import dedupe_trades
+
+    src, root, ck = (scratch_path(spark, n) for n in ("t-src", "t-deduped", "t-ck"))
+    late, early = iso(M + 9000), iso(M + 1000)
+    batches = [[late, "junk"], [early, late], ["junk", early]]
+    every = None
+    for b, ingested in enumerate(batches):
+        rows = trades_df(spark, [("A", i, M + i * 1000, 1 + b, 1, False) for i in range(2)], ingested=ingested)
+        rows.coalesce(1).write.mode("append").parquet(src)
+        every = rows if every is None else every.unionByName(rows)
+    stream = SM.stream_stg(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src))
+    SM.write_versions(SM.dedupe_updates(stream, "1 day"), root, ck, SM.TRADE_KEYS, available_now=True).awaitTermination()
+    got = SM.read_versions(spark, root, SM.TRADE_KEYS).select(*stream.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, dedupe_trades(stg_trades(every)).collect()))
+    assert got.count() == 2

@@ -78,15 +78,21 @@ def dedupe_trades(stg: DataFrame, key: str = "trade_key") -> DataFrame:
     that is re-delivered millions of times never lands whole in one
     task. Rows with NULL ingest time rank after timed ones.
     """
-    cols = [c for c in stg.columns if c != key]
+    return earliest(stg, [key])
+
+
+def earliest(stg: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of the earliest ingest (then lowest event_id) per ``keys``; batch or,
+    with the event time among the keys, stream."""
+    cols = [c for c in stg.columns if c not in keys]
     order = F.struct(
         F.col("ingested_at_utc").isNull().alias("_late"),
         F.col("ingested_at_utc").alias("_ing"),
         F.col("event_id").alias("_eid"),
     )
-    picked = stg.groupBy(key).agg(
+    picked = stg.groupBy(*keys).agg(
         F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row")
     )
     return picked.select(*[
-        (F.col(key) if c == key else F.col(f"_row.{c}")).alias(c) for c in stg.columns
+        (F.col(c) if c in keys else F.col(f"_row.{c}")).alias(c) for c in stg.columns
     ])

@@ -252,6 +252,19 @@ def _trade_stream(spark, sf_dir) -> DataFrame:
     return spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
 
 
+def q_stream_dedupe_earliest(spark, sf_dir):
+    """Every trade delivered twice, in four files in no order; the stream keeps
+    the earliest ingest, as the batch rule does. All staging columns."""
+    from ticklake.streaming import marts as SM
+
+    configure(spark)
+    src = _in_files(with_redelivery(load_trades(spark, sf_dir)), spark, "trades")
+    stream = stg_trades(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src))
+    root = scratch_path(spark, "deduped")
+    SM.write_versions(SM.dedupe_updates(stream, "30 days"), root, scratch_path(spark, "ck"), SM.TRADE_KEYS, available_now=True).awaitTermination()
+    return stable(SM.read_versions(spark, root, SM.TRADE_KEYS).select(*stream.columns))
+
+
 def _merged_marts(spark, sf_dir) -> str:
     from ticklake.streaming.marts import scheduled_merge
 
@@ -402,6 +415,7 @@ QUERIES = {
     "orderflow_slice_stored": q_orderflow_slice_stored,
     "trades_slice_stored": q_trades_slice_stored,
     "late_reconciled": q_late_reconciled,
+    "stream_dedupe_earliest": q_stream_dedupe_earliest,
     "refresh_merged": q_refresh_merged,
     "refresh_merged_health": q_refresh_merged_health,
     "scheduled_refresh": q_scheduled_refresh,

@@ -17,8 +17,6 @@ count once needs ``jobs.refresh_dates(dedupe=True)``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,14 +87,8 @@ def fold(spark: SparkSession, root: str, dates: list[str], before: int, most: in
             batches = {r.batch for r in old}
             if len(batches) <= most:
                 continue
-            swap = f"{base}/{files.SWAPS}/{uuid.uuid4().hex[:12]}"
-            rows = spark.read.parquet(*[r.path for r in old])
-            merge(rows).hint("rebalance").write.parquet(f"{swap}/files")
-            new = sorted(r[0] for r in files.file_rows(spark, f"{swap}/files").select("path").collect())
-            place = [f"{base}/{_DAY}={day}/batch={max(batches)}/fold-{uuid.uuid4().hex[:8]}-{p.rsplit('/', 1)[1]}" for p in new]
-            entry = [(new, place, sorted(r.path for r in old))]
-            files.commit(spark, base, swap, spark.createDataFrame(entry, "new array<string>, place array<string>, old array<string>"))
-            done += files.apply(spark, swap)
+            rows = merge(spark.read.parquet(*[r.path for r in old]))
+            done += files.replace(spark, base, [r.path for r in old], rows, f"{base}/{_DAY}={day}/batch={max(batches)}")
     return done
 
 

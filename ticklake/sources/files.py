@@ -12,6 +12,7 @@ lists the folder during one entry can meet its rows twice.
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 SWAPS = "_swaps"
 # Without a journal a swap folder is work in progress; after so long it was abandoned.
 ABANDONED_HOURS = 24
+_ENTRY = "new array<string>, place array<string>, old array<string>"
 
 
 def file_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -41,6 +43,12 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove one folder of a table, if it is there."""
+    fs, path = _fs(spark, folder)
+    fs.delete(path(folder), True)
+
+
 def commit(spark: SparkSession, root: str, swap: str, entries: DataFrame) -> None:
     """Write the journal of swap folder ``swap``: arrays ``(new, place, old)``, the
     staged files, where each goes and what they replace."""
@@ -71,13 +79,24 @@ def apply(spark: SparkSession, swap: str, threads: int = 16) -> int:
             fs.delete(p, False)
         return True
 
-    entries = spark.read.schema("new array<string>, place array<string>, old array<string>").parquet(f"{swap}/journal")
+    entries = spark.read.schema(_ENTRY).parquet(f"{swap}/journal")
     with ThreadPoolExecutor(threads) as pool:  # file names only, a few at a time
         done = sum(pool.map(one, entries.toLocalIterator()))
     fs.delete(path(swap), True)
     return done
 
 
+def replace(spark: SparkSession, base: str, old: list[str], rows: DataFrame, folder: str) -> int:
+    """Write ``rows`` as new files of ``folder`` (under ``base``) in place of the files
+    ``old``, in one entry of one swap."""
+    swap = f"{base.rstrip('/')}/{SWAPS}/{uuid.uuid4().hex[:12]}"
+    rows.hint("rebalance").write.parquet(f"{swap}/files")
+    new = sorted(r[0] for r in file_rows(spark, f"{swap}/files").select("path").collect())
+    place = [f"{folder.rstrip('/')}/fold-{uuid.uuid4().hex[:8]}-{p.rsplit('/', 1)[1]}" for p in new]
+    commit(spark, base, swap, spark.createDataFrame([(new, place, sorted(old))], _ENTRY))
+    return apply(spark, swap)
+
+
 def recover(spark: SparkSession, root: str, abandoned_hours: float = ABANDONED_HOURS) -> int:
     """Finish the committed swaps that a crash left under ``root`` and remove
     abandoned stagings; returns the entries applied."""

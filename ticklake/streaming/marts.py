@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ticklake.operators import marts as M
-from ticklake.operators.staging import stg_trades
+from ticklake.operators.staging import earliest, stg_trades
+from ticklake.sources import files
 from ticklake.sources.lake import matches
 from ticklake.streaming.sources import apply_trigger
 
@@ -26,6 +27,10 @@ BUCKET = "1 minute"
 ROLLING_WINDOW = "5 minutes"
 ROLLING_SLIDE = "1 minute"
 REFRESH_INTERVAL = "5 minutes"
+MINUTE_KEYS = ("pair", "minute_bucket")
+TRADE_KEYS = ("trade_key", "trade_ts_utc")
+# A versioned table with more versions than this folds the older ones.
+FOLD_VERSIONS = 24
 
 
 def stream_stg(trades: DataFrame) -> DataFrame:
@@ -67,6 +72,17 @@ def dedupe_stream(stg: DataFrame, watermark: str, keys=("symbol", "trade_id")) -
     return stg.withWatermark("trade_ts_utc", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def dedupe_updates(stg: DataFrame, watermark: str) -> DataFrame:
+    """One row per trade with the batch rule of ``staging.dedupe_trades``: the
+    earliest ingest, whatever arrived first.
+
+    An aggregate in update mode: a copy with an earlier ingest that arrives later
+    replaces the row. State is one row per trade until ``watermark`` passes its
+    trade time. Keep it with ``write_versions(..., keys=TRADE_KEYS)``.
+    """
+    return earliest(stg.withWatermark("trade_ts_utc", watermark), list(TRADE_KEYS))
+
+
 def rolling_activity(stg: DataFrame, window: str = ROLLING_WINDOW, slide: str = ROLLING_SLIDE,
                      watermark: str | None = None) -> DataFrame:
     """Trades per pair in every ``window`` sliding by ``slide`` (batch or stream).
@@ -89,24 +105,61 @@ _RECONCILED = 1 << 40
 
 def write_minute_table(wide: DataFrame, root: str, checkpoint: str, trigger: str | None = REFRESH_INTERVAL,
                        available_now: bool = False) -> StreamingQuery:
-    """Keep the wide minute table of ``stream_minute_marts`` under ``root``.
+    """Keep the wide minute table of ``stream_minute_marts`` under ``root``, open
+    minutes included (``write_versions``)."""
+    return write_versions(wide, root, checkpoint, MINUTE_KEYS, trigger, available_now)
+
 
-    Update mode: every batch writes the minutes it changed, open ones
-    included, as ``version=<batch_id>`` (replaced when a batch is replayed);
-    ``read_minute_table`` takes the newest version of each minute.
+def write_versions(df: DataFrame, root: str, checkpoint: str, keys: Iterable[str],
+                   trigger: str | None = REFRESH_INTERVAL, available_now: bool = False) -> StreamingQuery:
+    """Keep an updating stream as a table with one row per ``keys``.
+
+    Update mode: every batch writes the rows it changed as ``version=<batch_id>``
+    (replaced when a batch is replayed); ``read_versions`` takes the newest of
+    each key. Versions of earlier batches are folded into one when there are
+    over ``FOLD_VERSIONS``, so folders stay few and rows near one per key.
     """
-    w = wide.writeStream.outputMode("update").foreachBatch(
-        lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={batch_id}")
-    ).option("checkpointLocation", checkpoint)
-    return apply_trigger(w, trigger, available_now).start()
+    base, keys = root.rstrip("/"), list(keys)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        files.recover(spark, base)
+        batch.write.mode("overwrite").parquet(f"{base}/version={batch_id}")
+        fold_versions(spark, base, keys, 0, batch_id)
+
+    return apply_trigger(df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint),
+                         trigger, available_now).start()
+
+
+def fold_versions(spark: SparkSession, root: str, keys: Iterable[str], first: int, below: int, most: int | None = None) -> int:
+    """Merge the versions in [first, below) into the newest of them if they are over
+    ``most`` (``FOLD_VERSIONS``), keeping the newest row of each key."""
+    base, most = root.rstrip("/"), FOLD_VERSIONS if most is None else most
+    version = F.regexp_extract("path", "/version=([0-9]+)/", 1).cast("long").alias("version")
+    found = files.file_rows(spark, base).select("path", version).where(F.col("version").between(first, below - 1)).collect()
+    versions = {r.version for r in found}
+    if len(versions) <= most:
+        return 0
+    paths = [r.path for r in found]  # file names; bounded by the versions kept
+    rows = spark.read.option("basePath", base).parquet(*paths)
+    return files.replace(spark, base, paths, _newest(rows, keys), f"{base}/version={max(versions)}")
 
 
 def read_minute_table(spark: SparkSession, root: str) -> DataFrame:
     """The newest version of every (pair, minute) of a streamed minute table."""
-    rows = spark.read.parquet(root)
-    cols = [c for c in rows.columns if c not in ("pair", "minute_bucket", "version")]
-    newest = rows.groupBy("pair", "minute_bucket").agg(F.max_by(F.struct(*cols), "version").alias("r"))
-    return newest.select(*(c if c in ("pair", "minute_bucket") else F.col(f"r.{c}") for c in rows.columns if c != "version"))
+    return read_versions(spark, root, MINUTE_KEYS)
+
+
+def read_versions(spark: SparkSession, root: str, keys: Iterable[str]) -> DataFrame:
+    """The newest row of every key of a table of ``write_versions``."""
+    return _newest(spark.read.parquet(root), keys)
+
+
+def _newest(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
+    keys = list(keys)
+    cols = [c for c in rows.columns if c not in (*keys, "version")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "version").alias("r"))
+    return newest.select(*(c if c in keys else F.col(f"r.{c}") for c in rows.columns if c != "version"))
 
 
 def reconcile_minutes(stg: DataFrame, root: str, dates: Iterable) -> None:
@@ -119,6 +172,7 @@ def reconcile_minutes(stg: DataFrame, root: str, dates: Iterable) -> None:
     version = max(int(known or 0), _RECONCILED - 1) + 1
     wide = M.wide_from_stats(M.minute_stats(stg.where(F.col("trade_date").isin(*ds)), M.ALL_MINUTE))
     wide.write.mode("overwrite").parquet(f"{base}/version={version}")
+    fold_versions(spark, base, MINUTE_KEYS, _RECONCILED, version)
 
 
 def late_rows(stg: DataFrame, root: str, checkpoint: str, watermark: str, trigger: str | None = REFRESH_INTERVAL,
@@ -127,8 +181,9 @@ def late_rows(stg: DataFrame, root: str, checkpoint: str, watermark: str, trigge
 
     Per batch, the newest trade time of all earlier batches less
     ``watermark`` is the watermark that applies; rows whose minute ends at or
-    before it go to ``root/late/batch=<id>``. The newest times live in
-    ``root/newest/batch=<id>``, so a restart or replay finds them.
+    before it go to ``root/late/batch=<id>``. The newest time so far lies in
+    ``root/newest/batch=<id>`` of the last two batches, so a restart or a
+    replay of the last batch finds it.
     """
     base = root.rstrip("/")
 
@@ -137,14 +192,15 @@ def late_rows(stg: DataFrame, root: str, checkpoint: str, watermark: str, trigge
         batch = batch.persist()
         try:
             seen = None
-            if batch_id and matches(spark, f"{base}/newest/batch=*"):
-                before = spark.read.parquet(f"{base}/newest").where(F.col("batch") < batch_id)
+            if matches(spark, f"{base}/newest/batch={batch_id - 1}"):
                 # the newest time travels as text: no zone between driver and executors
-                seen = before.agg(F.max("newest").cast("string")).first()[0]
+                seen = spark.read.parquet(f"{base}/newest/batch={batch_id - 1}").select(F.col("newest").cast("string")).first()[0]
             ends = F.date_trunc("minute", "trade_ts_utc") + F.expr(f"INTERVAL {BUCKET}")
             line = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
             batch.where(F.coalesce(ends <= line, F.lit(False))).write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
-            batch.agg(F.max("trade_ts_utc").alias("newest")).write.mode("overwrite").parquet(f"{base}/newest/batch={batch_id}")
+            newest = batch.agg(F.greatest(F.max("trade_ts_utc"), F.lit(seen).cast("timestamp")).alias("newest"))
+            newest.write.mode("overwrite").parquet(f"{base}/newest/batch={batch_id}")
+            files.remove(spark, f"{base}/newest/batch={batch_id - 2}")
         finally:
             batch.unpersist()
 

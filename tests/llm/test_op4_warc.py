@@ -40,7 +40,7 @@ def test_edges(spark):
     nasty = "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nxyz\u0000é\U0001F600"
     rows = [(1, "http://a.b/x", "same"), (5, "http://a.b/x", "same"), (3, None, "same"), (None, "u", "same"), (None, "v", "alone"),
             (7, "http://q/\r\nHost: x", nasty), (8, "http://q/", None), (9, "http://q/", ""), (5, "http://a.b/x", "same"),
-            (10, "http://long/", "x" * 300_000), (-4, "http://neg/", "n")]
+            (10, "http://long/", "x" * 300_000), (-4, "http://neg/", "n"), (-1, "http://neg/1", "m"), (-1, None, "mins"), (-2, "u", "mins")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1))
     got = W.capture_histories(df)
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()), key=str) == plain(rows)

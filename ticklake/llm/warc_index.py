@@ -30,6 +30,7 @@ from ticklake.llm.common import arrow_schema, partitions_for, stored
 from ticklake.session import scratch_path
 
 MIN_BYTES = 0
+_NULL_GROUP = "4001"
 RECORDS_PER_FILE = 500
 RANGE_ROWS = 100_000
 # Fixed value: capture time of page 0; page_id counts seconds from it.
@@ -55,10 +56,11 @@ def url_key(url: Column) -> Column:
 
 
 def record_id(page_id: Column) -> Column:
-    """``<urn:uuid:...>`` that holds the page_id (the last one stands for null)."""
-    hex_ = F.lower(F.lpad(F.hex(F.coalesce(page_id, F.lit(-1))), 16, "0"))
+    """``<urn:uuid:...>`` that holds the page_id; a third group of 4001 stands for null."""
+    hex_ = F.lower(F.lpad(F.hex(F.coalesce(page_id, F.lit(0))), 16, "0"))
+    third = F.when(page_id.isNull(), _NULL_GROUP).otherwise("4000")
     return F.concat(
-        F.lit("<urn:uuid:00000000-0000-4000-"), F.substring(hex_, 1, 4), F.lit("-"), F.substring(hex_, 5, 12), F.lit(">")
+        F.lit("<urn:uuid:00000000-0000-"), third, F.lit("-"), F.substring(hex_, 1, 4), F.lit("-"), F.substring(hex_, 5, 12), F.lit(">")
     )
 
 
@@ -139,9 +141,9 @@ def parse_archive(data: bytes):
 
 
 def _page_of(record: str) -> int | None:
-    n = int("".join(record.strip("<>").rsplit("-", 2)[1:]), 16)
-    n = n - (1 << 64) if n >> 63 else n
-    return None if n == -1 else n
+    *_, third, high, low = record.strip("<>").split("-")
+    n = int(high + low, 16)
+    return None if third == _NULL_GROUP else n - (1 << 64) if n >> 63 else n
 
 
 _CAPTURE = (

@@ -63,3 +63,16 @@ def test_stops_early():
     want = sorted((-int(s), i) for i, s in enumerate(v.sum(1)))[:5]
     assert [(-int(s), int(i)) for i, s in zip(ids, scores)] == want
     assert sum(met) < 2048
+
+
+def test_large_components_stay_exact(spark):
+    big = [(0, [1e7, 1.0, -3.0]), (1, [1e7, 1.0, 0.0]), (2, [1e7 + 1, 0.5, 0.25]), (3, [-1e7, 2.0, 1.0]), (50, [3e5, 7.0, 1 / 256]), (4, [1.0])]
+    df = spark.createDataFrame(big, "vec_id long, embedding array<double>")
+    exact = []
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in big}
+    for q in (0, 50):
+        found = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        exact += [(q, r + 1, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for r, (s, i) in enumerate(found)]
+    assert sorted(map(tuple, T.top_k(df, F.col("vec_id") % 50 == 0).collect())) == sorted(exact)
+    huge = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, -5.0]), (2, [-1e300, 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r)[2:] for r in T.top_k(huge, F.col("vec_id") == 0).collect()] == [(1, (1 << 63) - 1), (2, -(1 << 63))]

@@ -32,12 +32,15 @@ QUERY_EVERY = 50
 
 
 class SortedLists:
-    """One shard: vectors (rows x dims, whole numbers) and their sorted lists."""
+    """One shard: vectors (rows x dims, whole numbers) and their sorted lists.
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    ``kind``: the numbers that hold every sum of ``top`` exactly (``exact_kind``).
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, kind=np.float64):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order].astype(np.float64)
-        self.order = np.argsort(-self.vectors, axis=0, kind="stable").astype(np.int32)  # falling
+        self.ids, self.vectors, self.kind = ids[order], vectors[order].astype(kind), kind
+        self.order = np.argsort(vectors[order], axis=0, kind="stable")[::-1].astype(np.int32)  # falling
         self.sorted = np.take_along_axis(self.vectors, self.order, 0)
 
     def top(self, query: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,7 +48,7 @@ class SortedLists:
         n = len(self.ids)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         seen = np.zeros(n, bool)
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
+        best_at, best = np.zeros(0, np.int64), np.zeros(0, self.kind)
         depth, step = 0, max(1, n // 64)
         while depth < n:
             end = min(n, depth + step)
@@ -68,12 +71,27 @@ class SortedLists:
         return self.ids[best_at], best
 
 
+def exact_kind(a: np.ndarray, b: np.ndarray):
+    """Floats while inner products of rows of ``a`` and ``b`` stay below 2^53, 64-bit
+    integers below 2^63, else Python's integers."""
+    largest = lambda m: max(int(m.max(initial=0)), -int(m.min(initial=0)))
+    most = max(a.shape[1], b.shape[1]) * max(largest(a), 1) * max(largest(b), 1)
+    return np.float64 if most < 1 << 53 else np.int64 if most < 1 << 62 else object
+
+
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object:
+        scores = np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in scores], np.int64)
+    return scores.astype(np.int64)
+
+
 def whole_numbers(vec: str = "embedding") -> Column:
     """floor(256 * x) per component, or null for vectors that take no part:
-    null, or holding a null or non-finite component."""
+    null, or holding a null or non-finite component. Numbers beyond 64 bits are
+    cut to them."""
     x = F.transform(F.col(vec), lambda v: v.cast("double"))
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return F.when(~F.coalesce(bad, F.lit(False)) & F.col(vec).isNotNull(), F.transform(x, lambda v: F.floor(v * 256).cast("int")))
+    return F.when(~F.coalesce(bad, F.lit(False)) & F.col(vec).isNotNull(), F.transform(x, lambda v: F.floor(v * 256)))
 
 
 _BLOCK = pa.schema([("block", pa.int32()), ("dims", pa.int32()), ("ids", pa.binary()), ("row_ids", pa.binary()), ("vectors", pa.binary())])
@@ -83,7 +101,7 @@ def _pack(t: pa.Table) -> pa.Table:
     """All (block, vec_id, row_id, q) rows of a block -> one row of bytes."""
     vecs = t.column("q").combine_chunks()
     lens = np.asarray(vecs.value_lengths())
-    m = np.zeros((len(lens), max(1, lens.max())), np.int32)
+    m = np.zeros((len(lens), max(1, lens.max())), np.int64)
     m[np.arange(m.shape[1]) < lens[:, None]] = np.asarray(vecs.flatten())
     as_bytes = lambda c: t.column(c).to_numpy().astype(np.int64).tobytes()
     row = (t.column("block")[0].as_py(), m.shape[1], as_bytes("vec_id"), as_bytes("row_id"), m.tobytes())
@@ -98,7 +116,7 @@ def _blocks(vectors: DataFrame, count: int, name: str) -> DataFrame:
 
 def _open(batch: pa.RecordBatch, k: int, side: str):
     get = lambda c: batch.column(batch.schema.names.index(side + c))[k].as_py()
-    vectors = np.frombuffer(get("vectors"), np.int32).reshape(-1, get("dims"))
+    vectors = np.frombuffer(get("vectors"), np.int64).reshape(-1, get("dims"))
     return np.frombuffer(get("ids"), np.int64), np.frombuffer(get("row_ids"), np.int64), vectors
 
 
@@ -114,7 +132,8 @@ def top_k(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS
     component, take no part. Rows that share the query's vec_id are its own.
     A repeated query row is answered once per row; repeated candidates rank
     each. Missing trailing components count as 0. Fewer than k candidates:
-    all are returned; an empty table gives no rows.
+    all are returned; an empty table gives no rows. Scores are exact at any
+    size of component; a score beyond 64 bits is given as the nearest long.
     """
     usable = stored(
         vectors.where("vec_id is not null").select("vec_id", whole_numbers().alias("q")).where("q is not null")
@@ -131,24 +150,21 @@ def top_k(vectors: DataFrame, is_query, k: int = K, shard_rows: int = SHARD_ROWS
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, lists = None, None
+        held, lists = None, None  # the shard, dimensions and kind of numbers of the lists at hand
         for batch in batches:
             for r in range(batch.num_rows):
                 number = batch.column(batch.schema.names.index("block"))[r].as_py()
                 q_ids, q_rows, qs = _open(batch, r, "q_")
-                if number != held:
-                    ids, _, m = _open(batch, r, "")
-                    held, lists = number, SortedLists(ids, m)
-                dims = max(qs.shape[1], lists.vectors.shape[1])
-                if dims > lists.vectors.shape[1]:
-                    ids, _, m = _open(batch, r, "")
-                    lists = SortedLists(ids, _wide(m, dims))
-                out = [lists.top(x, i, k) for x, i in zip(_wide(qs, dims).astype(np.float64), q_ids)]
+                ids, _, m = _open(batch, r, "")
+                dims, kind = max(qs.shape[1], m.shape[1]), exact_kind(qs, m)
+                if (number, dims, kind) != held:
+                    held, lists = (number, dims, kind), SortedLists(ids, _wide(m, dims), kind)
+                out = [lists.top(x, i, k) for x, i in zip(_wide(qs, dims).astype(kind), q_ids)]
                 many = [len(i) for i, _ in out]
                 yield pa.RecordBatch.from_pydict({
                     "query_id": pa.array(np.repeat(q_ids, many)), "query_row": pa.array(np.repeat(q_rows, many)),
                     "vec_id": pa.array(np.concatenate([i for i, _ in out])),
-                    "score": pa.array(np.concatenate([s for _, s in out]).astype(np.int64)),
+                    "score": pa.array(np.concatenate([_as_long(s) for _, s in out])),
                 })
 
     found = (

@@ -83,3 +83,34 @@ def test_class_words_do_not_cut_what_wraps_the_text():
     page = f'<body><article>{text}</article><section class="comments"><article>{_paras("x", 3, 100)}</article></section><p>a <span class="ad">buy</span> b</p></body>'
     out = H.main_text(page)
     assert "x0" not in out and "buy" not in out and "a5 word" in out
+
+
+COMMENTS = "".join(f'<article class="comment-body"><p>comment {i} {"says a lot about it " * 20}</p></article>' for i in range(8))
+PLAIN_COMMENTS = "".join(f"<div><p>comment {i} {'says a lot about it ' * 20}</p></div>" for i in range(12))
+
+
+def test_comments_and_sidebars_go_from_pages_without_article():
+    text = _paras("a", 6, 300)
+    for rest in (
+        f'<div id="comments">{COMMENTS}</div>', f'<div class="comments">{PLAIN_COMMENTS}</div>', COMMENTS,
+        f'<div class="sidebar">{PLAIN_COMMENTS}</div>', f'<div class="sidebar"><article>{PLAIN_COMMENTS}</article></div>',
+        f'<div id="respond"><article>{PLAIN_COMMENTS}</article></div>',
+    ):
+        for page in (
+            f'<body><div class="content">{text}</div>{rest}</body>', f"<body><article>{text}</article>{rest}</body>",
+            f'<body><div class="page with-sidebar"><div class="post">{text}</div>{rest}</div></body>',
+            f"<body><main><div>{text}</div>{rest}</main></body>", f'<body class="comments-open"><div>{text}</div>{rest}</body>',
+        ):
+            out = H.main_text(page)
+            assert "comment" not in out and len(out.split("\n")) == 6, page
+    assert H.main_text(f'<body><div class="post comments-open">{text}</div></body>').count("\n") == 5
+
+
+def test_unclosed_markup_takes_linear_time():
+    import time
+
+    for piece in ("<a ", "<!--", "</a ", "<!x", "<?x", "<a b='"):
+        began = time.time()
+        assert H.main_text("<p>words</p>" + piece * (1_000_000 // len(piece))) == "words"
+        assert time.time() - began < 5
+    assert H.main_text("<p>a<!-->b<!--->c<!-- x --!>d</p>1 < 2 <![CDATA[x]]>e") == "abcd\n1 < 2 e"

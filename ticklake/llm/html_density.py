@@ -12,7 +12,8 @@ not mostly links. Text that stands directly in the path belongs to it, too.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are cut from the tree before it is measured, by element and by
 the words of class, id and role. Words do not cut what wraps the page's text:
-main, its only articles, or blocks with most of body's characters.
+main, or a block outside of which there are next to no paragraphs. Text of an
+unclosed tag or comment at the end of a page is markup, as in browsers.
 
 A plain map over whole pages: no shuffle, nothing kept between rows.
 """
@@ -43,10 +44,17 @@ CUT_WORDS = frozenset("""
     ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner masthead
     nav navbar navigation menu menubar breadcrumb breadcrumbs header topbar footer sidebar sidenav rail aside
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup
-    login share sharing social related recommended recommendations comment comments commentlist disqus respond reply
-    replies discussion widget widgets toolbar pagination pager search complementary contentinfo skip
+    login share sharing social related recommended recommendations widget widgets toolbar pagination pager search
+    complementary contentinfo skip
 """.split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+ELSEWHERE_WORDS = frozenset("""
+    ad ads advert adverts advertisement advertising sponsor sponsored promo promotion related recommended recommendations
+""".split())
+PARAGRAPH = frozenset("p li dd td blockquote pre".split())
+COMMENTS = 2
 NEVER_CUT = frozenset(("html", "body", "main", "article"))
+UNNAMED = frozenset(("html", "body", "main"))
 # An open element that a new one of the listed kind ends.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -54,6 +62,7 @@ ENDS = {
 }
 FENCE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_EMPTY_COMMENT, _COMMENT_END = re.compile("<!---?>"), re.compile("--!?>")
 
 
 class _Dom(HTMLParser):
@@ -62,7 +71,8 @@ class _Dom(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.cut = ["#root"], [-1], [False]
-        self.named = [False]  # to be cut by its words, unless it wraps the text
+        self.named = [0]  # to be cut by its words, unless it wraps the text
+        self.last_end: int | None = None  # the last > of the page
         self.inline = [False]
         self.tags, self.link_tags = [0], [0]  # of the node itself, inline ones included
         self.text: list[tuple[int, str, bool]] = []
@@ -104,7 +114,7 @@ class _Dom(HTMLParser):
             self.text.append((0, "", False) if tag == "hr" else (top, " " if tag == "br" else "", False))
             return
         bad = self._is_cut(tag, attrs)
-        named = not bad and tag not in NEVER_CUT and self._is_named(attrs)
+        named = 0 if bad or tag in UNNAMED else self._is_named(tag, attrs)
         node = top
         if tag in BLOCK or tag in CUT or named:
             node = len(self.tag)
@@ -137,38 +147,85 @@ class _Dom(HTMLParser):
                 return True
         return False
 
-    def _is_named(self, attrs) -> bool:
-        return any(
-            name in ("class", "id", "role") and not CUT_WORDS.isdisjoint(_SPLIT.split((value or "").lower())) for name, value in attrs
-        )
+    def _is_named(self, tag, attrs) -> int:
+        """COMMENTS, 1 for other words that cut, else 0; of an article, comments and
+        what points elsewhere only."""
+        words = {w for name, value in attrs if name in ("class", "id", "role") for w in _SPLIT.split((value or "").lower())}
+        if not words.isdisjoint(COMMENT_WORDS):
+            return COMMENTS
+        return int(not words.isdisjoint(ELSEWHERE_WORDS if tag == "article" else CUT_WORDS))
 
     def cut_named(self) -> None:
-        """Cut the subtrees named by class, id or role that do not wrap the text."""
+        """Cut the subtrees named by class, id or role that do not wrap the text.
+
+        A named block stays only if the paragraphs outside all named blocks are
+        few against it: under a quarter for a block around an article, a
+        twentieth for one with most of the page, none for reader comments. A
+        block around main always stays. What stays counts as outside for the
+        named blocks in it.
+        """
         n = len(self.tag)
-        chars, blocks, main, article, inside = [0] * n, [0] * n, [False] * n, [False] * n, self.named[:]
-        for node, text, _ in self.text:
-            chars[node] += len("".join(text.split()))
+        chars, blocks, free, main, article, para = [0] * n, [0] * n, [0] * n, [False] * n, [False] * n, [False] * n
         for i in range(1, n):
-            inside[i] = inside[i] or inside[self.parent[i]]
+            para[i] = self.tag[i] in PARAGRAPH or para[self.parent[i]]
+        for node, text, in_link in self.text:
+            k = len("".join(text.split()))
+            chars[node] += k
+            free[node] += k * (para[node] and not in_link)
         for i in range(n - 1, 0, -1):
             if self.cut[i] or not chars[i]:
                 continue
-            p = self.parent[i]
+            p, tag, named = self.parent[i], self.tag[i], self.named[i]
             chars[p] += chars[i]
             blocks[p] += 1
-            main[p] |= main[i] or self.tag[i] == "main"
-            article[p] |= article[i] or self.tag[i] == "article"
-        plain = any(t in ("main", "article") and chars[i] and not inside[i] for i, t in enumerate(self.tag))
+            main[p] |= main[i] or tag == "main"
+            article[p] |= named != COMMENTS and (article[i] or tag == "article" and not named)
+            free[p] += 0 if named else free[i]
         body = chars[next((i for i in range(n) if self.tag[i] == "body"), 0)] or chars[0]
+        outside = [free[0]] * n
         for i in range(1, n):
-            most = 2 * chars[i] > body and blocks[i] > 0
-            wraps = main[i] or article[i] and (most or not plain) or most and not plain
-            self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or self.named[i] and not wraps
+            p = self.parent[i]
+            rest = outside[i] = outside[p]
+            if self.named[i] and not self.cut[i] and not self.cut[p]:
+                most = 2 * chars[i] > body and blocks[i] > 0
+                if self.named[i] == COMMENTS:
+                    wraps = main[i] or not rest and (article[i] or most)
+                else:
+                    wraps = main[i] or article[i] and 4 * rest < chars[i] or most and 20 * rest < chars[i]
+                self.cut[i] = not wraps
+                outside[i] = rest + free[i]
+            self.cut[i] = self.cut[i] or self.cut[p]
         off = [False] * n  # cut inside a line: does not end the block around it
         for i in range(1, n):
             off[i] = off[self.parent[i]] or self.cut[i] and self.inline[i]
         self.text = [t for t in self.text if not off[t[0]] and (not self.cut[t[0]] or not t[1])]
 
+    # Tags, comments and declarations that nothing ends run to the end of the
+    # page, as in browsers; looking for their end once keeps parsing linear.
+
+    def _unended(self, i: int) -> bool:
+        if self.last_end is None:
+            self.last_end = self.rawdata.rfind(">")
+        return i > self.last_end
+
+    def parse_starttag(self, i):
+        return len(self.rawdata) if self._unended(i) else super().parse_starttag(i)
+
+    def parse_endtag(self, i):
+        return len(self.rawdata) if self._unended(i) else super().parse_endtag(i)
+
+    def parse_comment(self, i, report=1):
+        if m := _EMPTY_COMMENT.match(self.rawdata, i) or _COMMENT_END.search(self.rawdata, i + 4):
+            return m.end()
+        return len(self.rawdata)
+
+    def parse_pi(self, i):
+        end = self.rawdata.find(">", i + 2)
+        return len(self.rawdata) if end < 0 else end + 1
+
+    def parse_html_declaration(self, i):
+        return self.parse_comment(i) if self.rawdata.startswith("<!--", i) else self.parse_pi(i)
+
     def handle_endtag(self, tag):
         if not self.opened[tag] or tag in ("body", "html"):
             return

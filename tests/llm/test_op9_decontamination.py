@@ -79,12 +79,17 @@ def test_matches_stay_inside_a_document(spark):
     assert [r.n_hit for r in D.find_contamination(docs, bench).collect()] == [0, 0]
 
 
-def test_large_test_set_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(D, "MAX_TEST_WORDS", 3)
-    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
-    bench = spark.createDataFrame([(1, "b c d e")], "item_id long, text string")
-    with pytest.raises(ValueError):
-        D.find_contamination(docs, bench)
+@pytest.mark.parametrize("most", [3, 10, 12, 25])
+def test_a_long_item_is_searched_in_pieces(spark, monkeypatch, most):
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(words[5:20])), (3, " ".join(words[30:39])), (4, " ".join(words[49:60]) + " w0"), (5, None)],
+        "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "w7 w8"), (3, "w1 w2 w4")], "item_id long, text string")
+    look = lambda: sorted((tuple(r)[:5] for r in D.find_contamination(docs, bench).collect()), key=str)
+    want = look()
+    monkeypatch.setattr(D, "MAX_TEST_WORDS", most)
+    assert [r[:4] for r in look()] == [r[:4] for r in want] and [r[2] for r in want] == [60, 15, 0, 11, 0]
 
 
 def test_large_test_set_is_searched_in_parts(spark, monkeypatch):

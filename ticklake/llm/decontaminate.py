@@ -17,8 +17,8 @@ from the rarest term on. Two kinds of match come back per document:
 The test set is broadcast in parts of whole items of at most ``MAX_TEST_WORDS``
 words, counted before anything reaches the driver. With one part the index holds
 its words only; with more it holds every word, is searched once per part, and
-the hit spans and items are put together per document row. Only a single item
-of over ``MAX_TEST_WORDS`` words is refused.
+the hit spans and items are put together per document row. An item of over
+``MAX_TEST_WORDS`` words is cut into pieces that overlap by a window less a word.
 """
 
 from __future__ import annotations
@@ -63,9 +63,18 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_WORDS).split() if text else []
 
 
-def test_parts(bench: DataFrame) -> tuple[int, Iterator[list[tuple[int, list[bytes]]]]]:
+def pieces(words: list[bytes], most: int, width: int) -> Iterator[list[bytes]]:
+    """``words`` in pieces of at most ``most`` words (a window at least) that overlap by
+    ``width - 1``, so that every window lies whole in one of them."""
+    step = max(1, most - width + 1)
+    for at in range(0, max(1, len(words) - width + 1), step):
+        yield words[at : at + step + width - 1]
+
+
+def test_parts(bench: DataFrame, width: int = WINDOW) -> tuple[int, Iterator[list[tuple[int, list[bytes]]]]]:
     """Number of words of the test set and its word lists, in parts of whole rows
-    of at most ``MAX_TEST_WORDS`` words (items without words have no window).
+    of at most ``MAX_TEST_WORDS`` words (items without words have no window). A
+    longer item is cut into overlapping pieces that share its id.
 
     Repeated item_ids count as one item with all their windows, also when their
     rows lie in several parts.
@@ -76,21 +85,20 @@ def test_parts(bench: DataFrame) -> tuple[int, Iterator[list[tuple[int, list[byt
         map_rows(given.distinct(), lambda: lambda i, t: (i, t, len(words_of(t))), f"item_id {kind}, text binary, words long")
         .where("words > 0"), "items",
     )
-    total, most = (x or 0 for x in rows.agg(F.sum("words"), F.max("words")).first())
-    if most > MAX_TEST_WORDS:
-        raise ValueError(f"a test item of over {MAX_TEST_WORDS} words")
+    total = rows.agg(F.sum("words")).first()[0] or 0
     # dealt by hash to groups that fill four fifths of a part on average
     groups = 1 if total <= MAX_TEST_WORDS else -(-5 * total // (4 * MAX_TEST_WORDS))
 
     def cut():
         for g in range(groups):
             part, size = [], 0
-            for i, t, n in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).collect():
-                if size + n > MAX_TEST_WORDS:
-                    yield part
-                    part, size = [], 0
-                part.append((i, words_of(bytes(t))))
-                size += n
+            for i, t, _ in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).toLocalIterator():
+                for words in pieces(words_of(bytes(t)), MAX_TEST_WORDS, width):
+                    if part and size + len(words) > MAX_TEST_WORDS:
+                        yield part
+                        part, size = [], 0
+                    part.append((i, words))
+                    size += len(words)
             if part:
                 yield part
 
@@ -348,7 +356,7 @@ def find_contamination(docs: DataFrame, bench: DataFrame, width: int = WINDOW, s
     Null and empty texts have no words and no hit; an empty test set hits
     nothing; repeated rows are answered each; extra columns are ignored.
     """
-    total, parts = test_parts(bench)
+    total, parts = test_parts(bench, width)
     items = next(parts, []) if total <= MAX_TEST_WORDS else None
     built = build_index(docs, None if items is None else {w for _, ws in items for w in ws})
     index = stored(built.withColumn("shard", F.monotonically_increasing_id()), "postings")

@@ -219,15 +219,19 @@ def drop_recurring(docs: DataFrame, similarity: float = SIMILARITY, min_docs: in
         lines.select("doc", "line").join(recurring, "line").where("doc <> first_doc")
         .groupBy("doc").agg(F.collect_set("line").alias("_cut"))
     )
+    # the row travels as one struct, so that no column of it can clash
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    own = docs.select(row, F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"))
+    text = F.col("row")["text"]
     # a document's own lines bound its set
-    keep = F.filter(F.split("text", "\n"), lambda l: ~F.array_contains("_cut", F.xxhash64(masked(l))))
-    joined = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(NO_ID))).join(cut.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    lefts = joined.withColumn("_kept", F.when(F.col("_cut").isNotNull() & F.col("text").isNotNull(), keep))
-    out = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
-    dropped = F.when(F.col("_kept").isNull(), 0).otherwise(F.size(F.split("text", "\n")) - F.size("_kept"))
-    chars = F.coalesce(F.length("text") - F.length(out), F.lit(0))
-    return lefts.select(
-        *(out.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("lines_dropped", "chars_dropped")),
+    keep = F.filter(F.split(text, "\n"), lambda l: ~F.array_contains("_cut", F.xxhash64(masked(l))))
+    joined = own.join(cut, "doc", "left").withColumn("_kept", F.when(F.col("_cut").isNotNull() & text.isNotNull(), keep))
+    out = F.when(F.col("_kept").isNull(), text).otherwise(F.array_join("_kept", "\n"))
+    dropped = F.when(F.col("_kept").isNull(), 0).otherwise(F.size(F.split(text, "\n")) - F.size("_kept"))
+    chars = F.coalesce(F.length(text) - F.length(out), F.lit(0))
+    names = [c for c in docs.columns if c not in ("lines_dropped", "chars_dropped")]
+    return joined.select(
+        *((out if c == "text" else F.col("row")[c]).alias(c) for c in names),
         dropped.cast("long").alias("lines_dropped"), chars.cast("long").alias("chars_dropped"),
     )
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -242,13 +243,29 @@ def hex16(fp: Column) -> Column:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with one document of each group: the smallest doc_id.
 
-    Documents without an id cannot be named and all stay; of repeated rows of
-    a kept doc_id one stays.
+    Documents without an id cannot be named and all stay. Of the rows that share
+    a kept doc_id one per fingerprint stays, so unrelated texts under one id
+    are not lost.
     """
-    found = simhash_components(docs.select("doc_id", "text"), shingle, radius)
-    kept = found.where("doc_id = component_id").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    found = stored(simhash_components(docs.select("doc_id", "text"), shingle, radius).where("doc_id = component_id"), "kept")
+    ids = found.groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
+    # the row travels as one struct, so that no column of it can clash
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id")
+    one = rows.join(ids.where("not several"), "doc_id", "left_semi").select("row")
+    several = rows.join(ids.where("several"), "doc_id", "left_semi")
+    fp = _fingerprint_udf(shingle)(F.col("row")["text"])
+    first = several.groupBy("doc_id", fp.alias("fp")).agg(F.first("row").alias("row")).select("row")
+    unnamed = rows.where("doc_id is null").select("row")
+    kept = one.unionByName(first).unionByName(unnamed)
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def _fingerprint_udf(shingle: int):
+    @F.pandas_udf("long")
+    def of(text: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in text], dtype="int64")
+
+    return of
 
 
 def op10_simhash_neardup(spark, sf_dir):

@@ -237,8 +237,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the model does not call toxic."""
-    scored = fit(docs, labels).score(docs, to="_tox_score")
-    return scored.where("_tox_score < 0.5").select(*docs.columns)
+    # the row travels as one struct, so that no column of it can clash
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    scored = fit(docs, labels).score(rows)
+    return scored.where("score < 0.5").select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op7_toxicity(spark, sf_dir):

@@ -237,22 +237,22 @@ def mix(docs: DataFrame, table: DomainTable, weights: dict[str, float], budget:
     names = [c for c in carry or docs.columns if c not in ADDED]
     # the row travels as one struct, so that no column of it can clash
     rows = docs.select(F.struct(*([F.col(f"`{c}`") for c in names] or [F.lit(0)])).alias("row"), "text")
-    own = [F.col("row")[c].alias(c) for c in names]
+    own, added = [F.col("row")[c].alias(c) for c in names], ["n_tokens", "domain", "posterior", "rate"]
     if not table.domains:
         return with_features(rows).select(
-            *own, F.col("_mix_n").alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
+            "row", F.col("_mix_n").alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
             F.lit(None).cast("map<string,double>").alias("posterior"), F.lit(1.0).alias("rate"),
-        ), Mixture(table, [], [])
+        ).select(*own, *added), Mixture(table, [], [])
     found = table.with_posterior(with_features(rows)).select("row", "_mix_n", "_mix_p")
     held = stored(found, "posteriors")  # texts are read once
     p = F.col("_mix_p")
     solved = solve(held.select(F.col("_mix_n").alias("n"), p.alias("p")), table, weights, budget)
     domains = F.array(*map(F.lit, table.domains))
     return held.select(
-        *own, F.col("_mix_n").alias("n_tokens"),
+        "row", F.col("_mix_n").alias("n_tokens"),
         F.element_at(domains, F.array_position(p, F.array_max(p)).cast("int")).alias("domain"),
         F.map_from_arrays(domains, p).alias("posterior"), solved.rate(p).alias("rate"),
-    ), solved
+    ).select(*own, *added), solved
 
 
 # The query's domains are language/quality of the labelled documents, its

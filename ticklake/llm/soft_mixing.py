@@ -10,10 +10,15 @@ DataFrame functions only.
    A_d = sum_i r_i n_i p_id. Projected-gradient least squares lowers
    (A - t)' H (A - t) / 2 towards the target totals t: in the metric weighted by
    n_i a step is r_i <- max(0, r_i - p_i . H (A - t)). H is the inverse of
-   M + diag(SOFTEN * t) with M = sum_i n_i p_i p_i', so that a full step never
-   overshoots and well-stocked domains settle in a few rounds, while a domain
-   with hardly a document does not rule the others. A round is one aggregation
-   of D sums.
+   M + diag(s) with M = sum_i n_i p_i p_i', so that a full step never
+   overshoots. The softening s starts at SOFTEN * t and falls to a quarter every
+   round, down to LEAST_SOFT of that: well-stocked domains settle first, those
+   with hardly a document after them. A round is one aggregation of D sums. The
+   rounds end when every total is within TOLERANCE of the budget from its target,
+   or when s is at its floor and the totals stand still: every round lowers the
+   objective by the squares of the rates' moves, so the rates are then optimal
+   and the targets out of reach. What is left is returned (``Mixture.gaps``, and
+   the largest one in the column target_gap).
 
 What the driver holds is D numbers per step. Rates start at 1, so documents
 are moved no further than the targets ask. A rate depends on the posterior
@@ -33,10 +38,12 @@ from ticklake.llm.common import sampled, stored
 
 SAMPLE_ROWS = 20_000
 BINS = 16
-MAX_DOMAINS = 64
-MAX_ROUNDS = 40
+MAX_ROUNDS = 1000  # a guard; target_gap tells if it ever ends the rounds
 TOLERANCE = 1e-3
+STILL = 1e-6
 SOFTEN = 0.1
+LEAST_SOFT = 1e-8
+SUMS_AT_ONCE = 400
 LEAST_TARGET = 1e-3
 KEEP_EVERY = 10
 
@@ -125,20 +132,16 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE_ROWS) -
     """From ``docs`` (doc_id, text) and ``labelled`` (doc_id, domain string).
 
     At most about ``rows`` labelled documents are used, picked by a hash of
-    doc_id. A doc_id labelled twice takes its smallest domain.
+    doc_id. A doc_id labelled twice takes its smallest domain, one with several
+    texts the smallest features.
     """
-    wanted = labelled.where("doc_id is not null and domain is not null")
+    wanted = labelled.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
     take = min(1.0, rows / max(1, wanted.count()))
-    one = (
-        wanted.where(sampled(F.col("doc_id"), take))
-        .groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    )
-    # at most about ``rows`` labels
+    one = wanted.where(sampled(F.col("doc_id"), take))
+    # at most about ``rows`` labels, and one row of each id, however often it occurs
     picked = with_features(docs.select("doc_id", "text").join(F.broadcast(one), "doc_id"))
-    sample = stored(picked.select("domain", F.col("_mix_x").alias("x")), "domains")
+    sample = stored(picked.groupBy("doc_id", "domain").agg(F.min("_mix_x").alias("x")).select("domain", "x"), "domains")
     sizes = sample.groupBy("domain").count().orderBy("domain").collect()
-    if len(sizes) > MAX_DOMAINS:
-        raise ValueError(f"over {MAX_DOMAINS} domains")
     at = [k / BINS for k in range(1, BINS)]
     found = sample.agg(*(F.percentile_approx(F.col("x")[k], at, 1000).alias(f"c{k}") for k in range(len(FEATURES)))).first()
     cuts = [sorted(set(found[k] or [])) for k in range(len(FEATURES))]
@@ -163,6 +166,12 @@ class Mixture:
     after: list[float] = field(default_factory=list)
     steps: list[list[float]] = field(default_factory=list)  # H (A - t) of each round
 
+    @property
+    def gaps(self) -> dict[str, float]:
+        """Per domain: tokens above its target, as a share of all targets."""
+        budget = sum(self.targets) or 1.0
+        return {d: (a - t) / budget for d, a, t in zip(self.table.domains, self.after, self.targets)}
+
     def rate(self, p: Column, steps: list[list[float]] | None = None, start: Column | None = None) -> Column:
         """Replays the projected steps for a posterior array."""
         steps = self.steps if steps is None else steps
@@ -174,74 +183,83 @@ class Mixture:
 
 
 def _dot(p: Column, g: Column, n: int) -> Column:
+    if n > 50:  # a tree of that depth is slow to plan; same sums, same order
+        return F.aggregate(F.zip_with(p, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     out = p[0] * g[0]
     for k in range(1, n):
         out = out + p[k] * g[k]
     return out
 
 
+def _sums(df: DataFrame, values: list[Column]) -> list[float]:
+    """The total of each value, a bounded number of them per aggregation."""
+    out = []
+    for at in range(0, len(values), SUMS_AT_ONCE):
+        out += df.agg(*(F.sum(v) for v in values[at : at + SUMS_AT_ONCE])).first()
+    return [v or 0.0 for v in out]
+
+
 def solve(mass: DataFrame, table: DomainTable, weights: dict[str, float], budget: float | None = None,
           max_rounds: int = MAX_ROUNDS, tolerance: float = TOLERANCE) -> Mixture:
     """Projected gradient over ``mass`` (n long, p array), one row per document.
 
     ``weights`` are normalised over the table's domains (a domain without a
     weight gets 0); ``budget`` is the wanted number of tokens, by default all
-    there are. Ends when every total is within ``tolerance`` of the budget
-    from its target, or when the totals stand still (targets out of reach).
+    there are. Any number of domains; see the module's text for when it ends.
     """
     size = len(table.domains)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
     p, n = F.col("p"), F.col("n")
-    sums = mass.agg(
-        F.sum(n).alias("n"), *(F.sum(n * p[i]).alias(f"a{i}") for i in range(size)),
-        *(F.sum(n * p[i] * p[j]).alias(f"m{i}_{j}") for i, j in pairs),
-    ).first()
-    before = [sums[f"a{i}"] or 0.0 for i in range(size)]
-    budget = float(sums["n"] or 0) if budget is None else budget
+    total, *before = _sums(mass, [n, *(n * p[i] for i in range(size))])
+    budget = float(total) if budget is None else budget
     given = [max(0.0, weights.get(d, 0.0)) for d in table.domains]
     mix = Mixture(table, [budget * w / (sum(given) or 1.0) for w in given], before, before)
     if not budget:
         return mix
-    gram = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(size)] for i in range(size)])
-    soft = SOFTEN * np.maximum(mix.targets, LEAST_TARGET * budget)
-    inverse = np.linalg.inv(gram + np.diag(soft))
+    gram = np.zeros((size, size))
+    for (i, j), m in zip(pairs, _sums(mass, [n * p[i] * p[j] for i, j in pairs])):
+        gram[i, j] = gram[j, i] = m
+    soft, share = SOFTEN * np.maximum(mix.targets, LEAST_TARGET * budget), 1.0
     held, kept = mass.withColumn("r", F.lit(1.0)), 0
     for k in range(max_rounds):
         off = [a - t for a, t in zip(mix.after, mix.targets)]
         if max(map(abs, off)) <= tolerance * budget:
             break
-        mix.steps.append((inverse @ np.array(off)).tolist())
+        mix.steps.append(np.linalg.solve(gram + np.diag(soft * share), off).tolist())
         now = mix.rate(p, mix.steps[kept:], F.col("r"))
         if len(mix.steps) - kept == KEEP_EVERY:
             held, kept, now = stored(held.withColumn("r", now), "rates"), len(mix.steps), F.col("r")
-        got = held.withColumn("_now", now).agg(*(F.sum(F.col("_now") * n * p[i]) for i in range(size))).first()
-        last, mix.after = mix.after, [v or 0.0 for v in got]
-        if max(abs(a - b) for a, b in zip(last, mix.after)) <= tolerance * budget / 20:
+        last, mix.after = mix.after, _sums(held.withColumn("_now", now), [F.col("_now") * n * p[i] for i in range(size)])
+        if share == LEAST_SOFT and max(abs(a - b) for a, b in zip(last, mix.after)) <= STILL * budget:
             break
+        share = max(LEAST_SOFT, share / 4)
     return mix
 
 
-ADDED = ("n_tokens", "domain", "posterior", "rate")
+ADDED = ("n_tokens", "domain", "posterior", "rate", "target_gap")
 
 
 def mix(docs: DataFrame, table: DomainTable, weights: dict[str, float], budget: float | None = None,
         carry: list[str] | None = None) -> tuple[DataFrame, Mixture]:
     """Rows of ``docs`` (columns ``carry``, by default all) plus n_tokens, domain
-    (likeliest), posterior (map) and rate; and the solution.
+    (likeliest), posterior (map), rate and target_gap (the largest distance of a
+    domain from its target that is left, as a share of the budget, in every row);
+    and the solution.
 
     Null and empty texts have no tokens and the posterior of an empty text;
     repeated rows get the same rate; with no labelled document every rate is 1
-    and the domain null; an empty table gives no rows. Columns that are named
+    and the domain and target_gap null; an empty table gives no rows. Columns that are named
     like the added ones are replaced.
     """
     names = [c for c in carry or docs.columns if c not in ADDED]
     # the row travels as one struct, so that no column of it can clash
     rows = docs.select(F.struct(*([F.col(f"`{c}`") for c in names] or [F.lit(0)])).alias("row"), "text")
-    own, added = [F.col("row")[c].alias(c) for c in names], ["n_tokens", "domain", "posterior", "rate"]
+    own, added = [F.col("row")[c].alias(c) for c in names], list(ADDED)
     if not table.domains:
         return with_features(rows).select(
             "row", F.col("_mix_n").alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
             F.lit(None).cast("map<string,double>").alias("posterior"), F.lit(1.0).alias("rate"),
+            F.lit(None).cast("double").alias("target_gap"),
         ).select(*own, *added), Mixture(table, [], [])
     found = table.with_posterior(with_features(rows)).select("row", "_mix_n", "_mix_p")
     held = stored(found, "posteriors")  # texts are read once
@@ -252,6 +270,7 @@ def mix(docs: DataFrame, table: DomainTable, weights: dict[str, float], budget:
         "row", F.col("_mix_n").alias("n_tokens"),
         F.element_at(domains, F.array_position(p, F.array_max(p)).cast("int")).alias("domain"),
         F.map_from_arrays(domains, p).alias("posterior"), solved.rate(p).alias("rate"),
+        F.lit(max(map(abs, solved.gaps.values()))).alias("target_gap"),
     ).select(*own, *added), solved
 
 

@@ -10,17 +10,18 @@ DataFrame functions only.
    A_d = sum_i r_i n_i p_id. Projected-gradient least squares lowers
    (A - t)' H (A - t) / 2 towards the target totals t: in the metric weighted by
    n_i a step is r_i <- max(0, r_i - p_i . H (A - t)). H is the inverse of
-   M + diag(s) with M = sum_i n_i p_i p_i', so that a full step never
-   overshoots. The softening s starts at SOFTEN * t and falls to a quarter every
+   M + diag(s). M is sum_i n_i p_i p_i' over the documents whose rate is above 0
+   (the others do not answer to a step down); whenever a step ends farther off
+   than it began, M is blended with the sum over all documents, whose steps never
+   overshoot. The softening s starts at SOFTEN * t and falls to a quarter every
    round, down to LEAST_SOFT of that: well-stocked domains settle first, those
-   with hardly a document after them. A round is one aggregation of D sums. The
-   rounds end when every total is within TOLERANCE of the budget from its target,
-   or when s is at its floor and the totals stand still: every round lowers the
-   objective by the squares of the rates' moves, so the rates are then optimal
-   and the targets out of reach. What is left is returned (``Mixture.gaps``, and
-   the largest one in the column target_gap).
-
-What the driver holds is D numbers per step. Rates start at 1, so documents
+   with hardly a document after them. A round is one aggregation to D rows of D
+   sums. The rounds end when every total is within TOLERANCE of the budget from
+   its target, or when s is at its floor and the totals stand still (targets out
+   of reach). What is left is returned (``Mixture.gaps``, and the largest one in
+   the column target_gap).
+
+What the driver holds is D x D numbers. Rates start at 1, so documents
 are moved no further than the targets ask. A rate depends on the posterior
 alone, so the steps are replayed beside each row, without a join.
 """
@@ -38,12 +39,11 @@ from ticklake.llm.common import sampled, stored
 
 SAMPLE_ROWS = 20_000
 BINS = 16
-MAX_ROUNDS = 1000  # a guard; target_gap tells if it ever ends the rounds
+MAX_ROUNDS = 500  # a guard; target_gap tells if it ever ends the rounds
 TOLERANCE = 1e-3
 STILL = 1e-6
 SOFTEN = 0.1
 LEAST_SOFT = 1e-8
-SUMS_AT_ONCE = 400
 LEAST_TARGET = 1e-3
 KEEP_EVERY = 10
 
@@ -191,12 +191,16 @@ def _dot(p: Column, g: Column, n: int) -> Column:
     return out
 
 
-def _sums(df: DataFrame, values: list[Column]) -> list[float]:
-    """The total of each value, a bounded number of them per aggregation."""
-    out = []
-    for at in range(0, len(values), SUMS_AT_ONCE):
-        out += df.agg(*(F.sum(v) for v in values[at : at + SUMS_AT_ONCE])).first()
-    return [v or 0.0 for v in out]
+def _totals(mass: DataFrame, size: int, rate: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Domain tokens at ``rate``, and the sum of n p p' where it is above 0."""
+    own = mass.withColumn("now", rate)
+    each = own.select(F.posexplode(F.transform("p", lambda v: v * F.col("n"))).alias("i", "x"), "p", "now")
+    x, now = F.col("x"), F.col("now")
+    rows = each.groupBy("i").agg(F.sum(x * now).alias("a"), *(F.sum(F.when(now > 0, x * F.col("p")[j])).alias(f"m{j}") for j in range(size)))
+    totals, gram = np.zeros(size), np.zeros((size, size))
+    for i, a, *m in rows.collect():
+        totals[i], gram[i] = a or 0.0, [v or 0.0 for v in m]
+    return totals, (gram + gram.T) / 2
 
 
 def solve(mass: DataFrame, table: DomainTable, weights: dict[str, float], budget: float | None = None,
@@ -205,32 +209,33 @@ def solve(mass: DataFrame, table: DomainTable, weights: dict[str, float], budget
 
     ``weights`` are normalised over the table's domains (a domain without a
     weight gets 0); ``budget`` is the wanted number of tokens, by default all
-    there are. Any number of domains; see the module's text for when it ends.
+    there are. Any number of domains; the module's text tells when it ends.
     """
     size = len(table.domains)
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    p, n = F.col("p"), F.col("n")
-    total, *before = _sums(mass, [n, *(n * p[i] for i in range(size))])
-    budget = float(total) if budget is None else budget
+    p = F.col("p")
+    before, gram = _totals(mass, size, F.lit(1.0))
+    budget = float(before.sum()) if budget is None else budget
     given = [max(0.0, weights.get(d, 0.0)) for d in table.domains]
-    mix = Mixture(table, [budget * w / (sum(given) or 1.0) for w in given], before, before)
+    mix = Mixture(table, [budget * w / (sum(given) or 1.0) for w in given], before.tolist(), before.tolist())
     if not budget:
         return mix
-    gram = np.zeros((size, size))
-    for (i, j), m in zip(pairs, _sums(mass, [n * p[i] * p[j] for i, j in pairs])):
-        gram[i, j] = gram[j, i] = m
-    soft, share = SOFTEN * np.maximum(mix.targets, LEAST_TARGET * budget), 1.0
+    targets, now, free, blend = np.array(mix.targets), before, gram, 0.0
+    soft, share = SOFTEN * np.maximum(targets, LEAST_TARGET * budget), 1.0
     held, kept = mass.withColumn("r", F.lit(1.0)), 0
     for k in range(max_rounds):
-        off = [a - t for a, t in zip(mix.after, mix.targets)]
-        if max(map(abs, off)) <= tolerance * budget:
+        off = now - targets
+        if np.abs(off).max() <= tolerance * budget:
             break
-        mix.steps.append(np.linalg.solve(gram + np.diag(soft * share), off).tolist())
-        now = mix.rate(p, mix.steps[kept:], F.col("r"))
+        metric = blend * gram + (1 - blend) * free + np.diag(soft * share)
+        mix.steps.append(np.linalg.solve(metric, off).tolist())
+        rate = mix.rate(p, mix.steps[kept:], F.col("r"))
         if len(mix.steps) - kept == KEEP_EVERY:
-            held, kept, now = stored(held.withColumn("r", now), "rates"), len(mix.steps), F.col("r")
-        last, mix.after = mix.after, _sums(held.withColumn("_now", now), [F.col("_now") * n * p[i] for i in range(size)])
-        if share == LEAST_SOFT and max(abs(a - b) for a, b in zip(last, mix.after)) <= STILL * budget:
+            held, kept, rate = stored(held.withColumn("r", rate), "rates"), len(mix.steps), F.col("r")
+        last, (now, free) = now, _totals(held, size, rate)
+        mix.after = now.tolist()
+        farther = np.abs(now - targets).max() > np.abs(off).max()
+        blend = min(1.0, 2 * blend + 0.1) if farther else 0.7 * blend
+        if share == LEAST_SOFT and np.abs(now - last).max() <= STILL * budget:
             break
         share = max(LEAST_SOFT, share / 4)
     return mix

@@ -110,3 +110,36 @@ def test_short_recurring_lines_go(spark, tmp_path):
     assert got == {1: (0, len(rows[0][1])), 2: (2, len("\none three\nPage 7")), 3: (1, len("x\n\ny"))}
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.text for r in P.line_dedup(spark, docs, None).collect()} == {1: rows[0][1], 2: "\none three\nPage 7", 3: "x\n\ny"}
+
+
+def plain_links(rows, similarity):
+    """Components of the templates that are alike, by comparing all pairs."""
+    root = {t: t for t, _ in rows}
+    for a, x in rows:
+        for b, y in rows:
+            both = sum(p == q == "<*>" for p, q in zip(x, y))
+            if len(x) == len(y) and sum(p == q for p, q in zip(x, y)) - both >= similarity * (len(x) - both):
+                low, high = sorted((root[a], root[b]))
+                root = {t: low if r == high else r for t, r in root.items()}
+    return {t: r for t, r in root.items() if sum(q == r for q in root.values()) > 1}
+
+
+@pytest.mark.parametrize("size,words", [(5, 4), (10, 3), (12, 5), (21, 2)])
+def test_links_of_a_hot_leaf_equal_all_pairs(spark, size, words):
+    """Groups of at most 4, so that every way of dealing a leaf anew is met."""
+    rng = np.random.default_rng(size)
+    pool = ["<*>", *"abcdefg"[: words]]
+    rows = [(k, ["x", "<*>", "z", *rng.choice(pool, size - 3, p=[0.1] + [0.9 / words] * words)]) for k in range(150)]
+    rows += [(1000 + k, [w if rng.random() > 0.1 else "q" for w in rows[k][1][:3] + rows[k][1][3:]]) for k in range(0, 60)]
+    rows = [(k, ["x", "<*>", "z", *map(str, r[3:])]) for k, r in rows]
+    heads = spark.createDataFrame([(7, k, " ".join(r)) for k, r in rows], "leaf long, template long, pattern string")
+    got = {r.node: r.component for r in L.components(L.alike(heads, 0.8, 4)).collect()}
+    assert got == plain_links(rows, 0.8)
+
+
+def test_rows_without_id_lose_their_own_lines(spark):
+    """Null ids are one document, yet each row is cut by its own lines alone."""
+    rows = [(None, f"a line that two rows share {'abc'[i % 3]}\nown words of row {'abcdefghij'[i]} stay here today") for i in range(10)]
+    docs = spark.createDataFrame([(1, "a line that two rows share a"), *rows], "doc_id long, text string")
+    got = [r.text for r in L.drop_recurring(docs).where("doc_id is null").collect()]
+    assert all("share" not in t for t in got) and len(got) == 10

@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ticklake.llm import warc_index as W
@@ -34,6 +35,9 @@ def test_query_round_trip(spark):
     got = W.op4_warc_index(spark, SF).collect()
     assert all(r.digest_ok for r in got)
     assert sorted((tuple(r)[:5] for r in got), key=str) == plain(rows)
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{SF}/pages.parquet'")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.sql(W.ORACLE_SQL).fetchall()))
 
 
 def test_edges(spark):
@@ -45,6 +49,11 @@ def test_edges(spark):
     got = W.capture_histories(df)
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()), key=str) == plain(rows)
     assert got.where("not digest_ok").count() == 0
+    con = duckdb.connect()
+    con.sql("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    cols = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "digest_ok")
+    assert sorted(str(tuple(r)) for r in got.select(*cols).collect()) == sorted(map(str, con.sql(W.ORACLE_SQL).fetchall()))
     few = W.capture_histories(df, min_bytes=5)
     assert few.where("record_type = 'revisit'").count() == 0
     assert W.capture_histories(df.limit(0)).count() == 0

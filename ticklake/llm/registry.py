@@ -37,6 +37,7 @@ QUERIES = {
 # The other operators fit models, walk trees or parse whole documents: they
 # are tested against brute force, round trips and held-out labels instead.
 ORACLE = {
+    "op4_warc_index": warc_index.ORACLE_SQL,
     "op5_url_vocabulary": url_vocabulary.ORACLE_SQL,
     "op8_threshold_topk": threshold_topk.ORACLE_SQL,
     "op11_prefix_free_phrases": prefix_free_phrases.ORACLE_SQL,

@@ -277,3 +277,26 @@ def op4_warc_index(spark, sf_dir):
 
     found = capture_histories(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "digest_ok")
+
+
+# 160 bits as eight groups of five hexadecimal digits, four base32 digits each
+_BASE32_SQL = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {1 + 5 * g}, 5))::BIGINT >> {shift}) & 31)::INTEGER, 1)"
+    for g in range(8) for shift in (15, 10, 5, 0)
+)
+
+ORACLE_SQL = f"""
+WITH own AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h,
+    regexp_replace(lower(replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A')), '^[a-z][a-z0-9+.-]*://', '') AS rest
+  FROM pages
+), decided AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS winner, strlen(payload) AS size FROM own
+)
+SELECT page_id, size AS payload_bytes, {_BASE32_SQL} AS payload_digest,
+  CASE WHEN size < {MIN_BYTES} OR page_id IS NOT DISTINCT FROM winner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN size >= {MIN_BYTES} AND page_id IS DISTINCT FROM winner THEN winner END AS refers_to,
+  array_to_string(list_reverse(string_split(regexp_extract(rest, '^([^/?#]*)', 1), '.')), ',') || ')'
+    || regexp_extract(rest, '(?s)^[^/?#]*(.*)$', 1) AS urlkey,
+  TRUE AS digest_ok
+FROM decided"""

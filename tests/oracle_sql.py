@@ -464,6 +464,8 @@ _SLICE = "pair = 'CLICK' AND minute_bucket >="
 ORACLE_SQL |= {
     "contract_minimal": with_trades(MINIMAL),
     "stream_land_lake": with_trades(LAKE_SELECT.replace("FROM trades", "FROM checked WHERE error IS NULL"), CHECKED),
+    "land_crash_replay": with_trades(LAKE_SELECT.replace("FROM trades", "FROM checked WHERE error IS NULL"), CHECKED),
+    "stream_rolling_activity": with_stg(ROLLING),
     "stream_land_dlq": with_trades(LANDED_DLQ, CHECKED),
     "land_compact_read": with_trades(LAKE_SELECT),
     "land_external_table": with_trades(LAKE_SELECT),

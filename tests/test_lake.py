@@ -208,6 +208,43 @@ def test_snapshot_as_of(spark):
     assert read_as_of(spark, path, "2023-12-31 00:00:00").count() == 0
 
 
+def test_snapshot_stores_changed_dates_only(spark):
+    path, day = scratch_path(spark, "t-snap"), 24 * HOUR
+    rows = [("A", 1, M, 10, 1, False), ("A", 2, M + day, 20, 1, False), ("B", 3, M + 2 * day, 30, 1, True)]
+    one, two = (marts.fct_candles_1m(stg_of(spark, r)) for r in (rows, [*rows[:2], ("B", 4, M + 2 * day, 31, 2, True)]))
+    assert append_snapshot(one, path, "2024-01-04 00:00:00") == 3
+    held = set(_files(f"{path}/data"))
+    assert append_snapshot(two, path, "2024-01-05 00:00:00") == 1  # the third date alone
+    assert append_snapshot(two, path, "2024-01-06 00:00:00") == 0
+    assert held < set(_files(f"{path}/data")) and len(_files(f"{path}/data")) == 4
+    plan = read_as_of(spark, path, "2024-01-05 12:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+    def as_of(t):
+        return sorted(map(tuple, read_as_of(spark, path, t).select(*one.columns).collect()))
+
+    plain = {n: sorted(map(tuple, m.collect())) for n, m in (("one", one), ("two", two))}
+    assert as_of("2024-01-04 12:00:00") == plain["one"] and as_of("2024-01-05 00:00:00") == as_of("2024-01-09 00:00:00") == plain["two"]
+    append_snapshot(one.where("pair = 'B'"), path, "2024-01-04 00:00:00")  # replaced; later snapshots stay as they were
+    assert as_of("2024-01-04 12:00:00") == [r for r in plain["one"] if r[0] == "B"] and as_of("2024-01-05 00:00:00") == plain["two"]
+    append_snapshot(one.limit(0), path, "2024-01-07 00:00:00")  # an empty mart is a snapshot, too
+    assert as_of("2024-01-07 00:00:00") == [] and as_of("2024-01-06 00:00:00") == plain["two"]
+
+
+def test_snapshot_of_marts_without_minutes(spark):
+    path = scratch_path(spark, "t-snap")
+    health = spark.createDataFrame([("A", 1), ("B", None)], "pair string, trades_last_5m int")
+    assert append_snapshot(health.limit(0), path, "2024-01-01 00:00:00") == 0
+    assert read_as_of(spark, path, "2024-01-02 00:00:00").count() == 0
+    assert append_snapshot(health, path, "2024-01-02 00:00:00") == 1
+    assert append_snapshot(health.orderBy(F.desc("pair")), path, "2024-01-03 00:00:00") == 0
+    swapped = spark.createDataFrame([("A", None), ("B", 1)], health.schema)
+    assert append_snapshot(swapped, path, "2024-01-04 00:00:00") == 1
+    assert append_snapshot(swapped.union(swapped.where("pair = 'A'")), path, "2024-01-05 00:00:00") == 1
+    counts = [read_as_of(spark, path, f"2024-01-0{d} 00:00:00").count() for d in range(1, 6)]
+    assert counts == [0, 2, 2, 2, 3]
+
+
 def test_refresh_select_and_catalog(spark):
     stg = stg_of(spark, [("A", 1, M, 10, 1, False), ("B", 2, M, 20, 1, True)])
     assert R.resolve(["fct_candles_1m", "stg_trades"]) == ["fct_candles_1m"]

@@ -243,3 +243,16 @@ def test_aggregate_forms_equal_window_forms(spark):
         w = Q.QUERIES[window_form](spark, SMOKE_DIR).select(*a.columns)
         got, want = sorted(map(tuple, w.collect())), sorted(map(tuple, a.collect()))
         assert got == want and len(want) > 0, agg_form
+
+
+def test_dlq_rate_of_checked_records(spark):
+    """One pass gives what the two stored sides give; times that are missing count nowhere."""
+    from ticklake.operators import ingest
+    from ticklake.sources.testdata import kafka_records
+
+    checked = ingest.check_contract(kafka_records(trades_df(spark, [("A", i, M + i * 20_000, 1, 1, False) for i in range(200)])), metrics_name=None)
+    two = quality.dlq_rate(staging.stg_trades(ingest.good_rows(checked)), ingest.to_dlq(ingest.bad_rows(checked)), interval="10 minutes")
+    one = quality.dlq_rate_of(checked, "10 minutes")
+    assert one.columns == two.columns and sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    assert one.agg(F.sum(F.col("landed") + F.col("dead_lettered"))).first()[0] == 200
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1

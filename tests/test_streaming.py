@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+from collections import Counter
 
-from conftest import M, SMOKE_DIR, iso, trades_df
+import pandas as pd
+import pytest
+from conftest import M, SMOKE_DIR, iso, stg_of, trades_df
 from pyspark.sql import functions as F
 
 from ticklake.operators import ingest, marts
@@ -205,6 +209,31 @@ def test_rolling_activity_stream(spark):
     assert got[5] == 5  # window [00:05, 00:10) holds minutes 5..9
 
 
+@pytest.mark.parametrize("window, slide", [("5 minutes", "1 minute"), ("5 minutes", "2 minutes"), ("90 seconds", "1 minute")])
+def test_rolling_activity_equals_brute_force(spark, window, slide):
+    """Any widths: the slices of the first level never straddle a window's edge."""
+    rows = [("AB"[i % 2], i, M + i * 37_000, 10, 1, False) for i in range(40)]
+    width, step = (int(pd.Timedelta(x).total_seconds() * 1000) for x in (window, slide))
+    want = Counter()
+    for pair, _, ts, *_ in rows:
+        ts -= ts % 1000
+        start = ts - ts % step
+        while start > ts - width:
+            want[pair, start] += 1
+            start -= step
+    got = SM.rolling_activity(stg_of(spark, rows), window, slide).collect()
+    assert {(r.pair, int(r.window_start.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)): r.trade_count for r in got} == want
+
+
+def test_rolling_activity_from_minutes(spark):
+    stg = stg_of(spark, [("AB"[i % 2], i, M + i * 37_000, 10, 1, False) for i in range(40)])
+    minutes = marts.fct_trades_1m(stg)
+    want = sorted(map(tuple, SM.rolling_activity(stg).collect()))
+    assert sorted(map(tuple, SM.rolling_from_minutes(minutes).collect())) == want
+    with pytest.raises(ValueError):
+        SM.rolling_from_minutes(minutes, "90 seconds")
+
+
 def test_dedupe_stream_drops_redelivery(spark):
     src, sink, ck = (scratch_path(spark, n) for n in ("t-in", "t-sink", "t-ck"))
     _trade_files(spark, src, [("A", 1, M, 10, 1, False), ("A", 1, M, 10, 1, False), ("A", 2, M, 10, 1, False)])

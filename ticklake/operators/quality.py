@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.functions.time import iso_to_ts
 from ticklake.schema import NOT_NULL_RULES
 
 CHECK_COLUMNS = ("table_name", "column_name", "check_name", "failures")
@@ -89,3 +90,20 @@ def dlq_rate(landed: DataFrame, dlq: DataFrame, landed_ts: str = "ingested_at_ut
     ).withColumn(
         "dlq_rate", F.col("dead_lettered") / (F.col("landed") + F.col("dead_lettered"))
     )
+
+
+def dlq_rate_of(checked: DataFrame, interval: str = "1 hour") -> DataFrame:
+    """``dlq_rate`` straight from checked records (``ingest.check_contract``): one
+    scan, one parse, one aggregate.
+
+    A good record counts at its ingest time, a dead letter at its record time; a
+    record without that time is in no interval.
+    """
+    good = F.col("error").isNull()
+    at = F.when(good, iso_to_ts(F.col("ingested_at").cast("string"))).otherwise(F.col("timestamp"))
+    counted = checked.select(good.alias("good"), F.window(at, interval).getField("start").alias("interval_start"))
+    out = counted.groupBy("interval_start").agg(
+        F.count_if("good").alias("landed"),
+        F.count_if(~F.col("good")).alias("dead_lettered"),
+    )
+    return out.withColumn("dlq_rate", F.col("dead_lettered") / (F.col("landed") + F.col("dead_lettered")))

@@ -18,7 +18,7 @@ from ticklake.plans.refresh import read_mart
 from ticklake.schema import LAKE_PARTITION_COLS, MART_COLUMNS, TRADE_V1, TRADE_V1_REQUIRED
 from ticklake.session import configure, scratch_path
 from ticklake.sources.catalog import create_staging_view
-from ticklake.sources.lake import create_external_table, partition_dir, read_lake, read_trades, write_lake
+from ticklake.sources.lake import create_external_table, partition_dir, matches, read_lake, read_trades, write_lake
 from ticklake.sources.testdata import BASE_MS, feed_messages, kafka_records, load_trades, with_redelivery
 
 AS_OF = "2024-01-01 01:10:00"
@@ -68,6 +68,51 @@ def q_stream_land_lake(spark, sf_dir):
     return stable(_lake_cols(read_lake(spark, lake)))
 
 
+def q_land_crash_replay(spark, sf_dir):
+    """A batch dies after its lake write (its dead letters cannot be written),
+    is replayed from the checkpoint, and the lake holds every event once."""
+    from pyspark.errors import StreamingQueryException
+
+    from ticklake.streaming.landing import land
+    from ticklake.streaming.sources import file_source
+
+    configure(spark)
+    src = _in_files(kafka_records(load_trades(spark, sf_dir)), spark, "records")
+    lake, dlq, ck = (scratch_path(spark, n) for n in ("lake", "dlq", "land-ck"))
+    blocked = scratch_path(spark, "blocked")
+    _touch(spark, blocked)  # a file where the dead letters' folder should be
+    records = file_source(spark, src, max_files_per_trigger=1)
+    try:
+        land(records, lake, blocked, ck, available_now=True).awaitTermination()
+    except StreamingQueryException:
+        pass
+    else:
+        raise RuntimeError("the batch was to fail after its lake write")
+    if not matches(spark, f"{lake}/pair=*"):
+        raise RuntimeError("the batch was to reach the lake")
+    land(records, lake, dlq, ck, available_now=True).awaitTermination()
+    return stable(_lake_cols(read_lake(spark, lake)))
+
+
+def _touch(spark, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True).close()
+
+
+def q_stream_rolling_activity(spark, sf_dir):
+    """T4: rolling activity of a streamed minute table, open windows included."""
+    from ticklake.plans.registry import STREAM_DISORDER, _state_partitions
+    from ticklake.sources.testdata import events_stream, trades_from_events
+    from ticklake.streaming import marts as S
+
+    configure(spark)
+    stg = stg_trades(trades_from_events(events_stream(spark, sf_dir, max_files_per_trigger=1)))
+    root = scratch_path(spark, "stream-rolling")
+    with _state_partitions(spark):
+        S.write_minute_table(S.stream_minute_marts(stg, STREAM_DISORDER), root, root + "-checkpoint", available_now=True).awaitTermination()
+    return stable(S.rolling_from_minutes(S.read_minute_table(spark, root)))
+
+
 def q_stream_land_dlq(spark, sf_dir):
     """The same landing's dead letters, with the whole payload."""
     from ticklake.streaming.landing import read_dlq
@@ -405,6 +450,8 @@ QUERIES = {
     "contract_minimal": q_contract_minimal,
     "stream_land_lake": q_stream_land_lake,
     "stream_land_dlq": q_stream_land_dlq,
+    "land_crash_replay": q_land_crash_replay,
+    "stream_rolling_activity": q_stream_rolling_activity,
     "land_compact_read": q_land_compact_read,
     "land_external_table": q_land_external_table,
     "catalog_after_incremental": q_catalog_after_incremental,

@@ -217,10 +217,7 @@ def q_ingest_counts(spark, sf_dir):
 
 def q_dlq_rate_10m(spark, sf_dir):
     """Q4: landed vs dead-lettered records per 10 minutes."""
-    c = _checked(spark, sf_dir)
-    landed = staging.stg_trades(ingest.good_rows(c))
-    dlq = ingest.to_dlq(ingest.bad_rows(c))
-    return stable(quality.dlq_rate(landed, dlq, "ingested_at_utc", "timestamp", "10 minutes"))
+    return stable(quality.dlq_rate_of(_checked(spark, sf_dir), "10 minutes"))
 
 
 def q_normalize_feed(spark, sf_dir):

@@ -10,9 +10,11 @@ stream's own table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -83,17 +85,37 @@ def dedupe_updates(stg: DataFrame, watermark: str) -> DataFrame:
     return earliest(stg.withWatermark("trade_ts_utc", watermark), list(TRADE_KEYS))
 
 
+def _slice(window: str, slide: str) -> str:
+    """The widest tumbling window of which ``window`` and ``slide`` are multiples."""
+    widths = [pd.Timedelta(x) // pd.Timedelta("1us") for x in (window, slide)]
+    return f"{math.gcd(*widths)} microseconds"
+
+
 def rolling_activity(stg: DataFrame, window: str = ROLLING_WINDOW, slide: str = ROLLING_SLIDE,
                      watermark: str | None = None) -> DataFrame:
     """Trades per pair in every ``window`` sliding by ``slide`` (batch or stream).
 
-    Each trade falls in window/slide windows (5 here): a bounded fan-out,
-    aggregated with partial aggregation like any group-by.
+    Trades are counted per slice of time first and the slices' counts added to
+    the windows they lie in, so the fan-out (five windows here) meets one row per
+    pair and slice, not every trade. As a stream (append mode, ``watermark``
+    given) both levels keep one row per pair and open slice or window;
+    ``rolling_from_minutes`` serves windows that are still open.
     """
     src = stg.withWatermark("trade_ts_utc", watermark) if watermark else stg
-    out = src.groupBy("pair", F.window("trade_ts_utc", window, slide).alias("w")).agg(
-        F.count(F.lit(1)).alias("trade_count")
-    )
+    slices = src.groupBy("pair", F.window("trade_ts_utc", _slice(window, slide)).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    return _windows(slices, F.window("s", window, slide), "n")
+
+
+def rolling_from_minutes(minutes: DataFrame, window: str = ROLLING_WINDOW, slide: str = ROLLING_SLIDE) -> DataFrame:
+    """``rolling_activity`` from a table of minutes (``read_minute_table``, a minute
+    mart): open windows included, whole minutes as widths."""
+    if pd.Timedelta(_slice(window, slide)) % pd.Timedelta(BUCKET):
+        raise ValueError(f"{window} sliding by {slide} cuts minutes")
+    return _windows(minutes, F.window("minute_bucket", window, slide), "trade_count")
+
+
+def _windows(counts: DataFrame, window: Column, n: str) -> DataFrame:
+    out = counts.groupBy("pair", window.alias("w")).agg(F.sum(n).alias("trade_count"))
     return out.select(
         "pair", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "trade_count"
     )

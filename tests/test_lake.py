@@ -245,6 +245,27 @@ def test_snapshot_of_marts_without_minutes(spark):
     assert counts == [0, 2, 2, 2, 3]
 
 
+def test_health_report_is_swapped(spark, monkeypatch):
+    """The report is there at every step of its replacement, and a crash after the commit is finished."""
+    path = scratch_path(spark, "t-health")
+    report = lambda n: spark.createDataFrame([("A", n), ("B", n)], "pair string, n int").repartition(2)
+    read = lambda: sorted(map(tuple, spark.read.parquet(path).collect()))
+    for n in (1, 2):
+        R.materialize(report(n), path, R.HEALTH_MART)
+        assert read() == [("A", n), ("B", n)]
+    with monkeypatch.context() as m:
+        m.setattr(files, "apply", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            R.materialize(report(3), path, R.HEALTH_MART)
+        assert read() == [("A", 2), ("B", 2)]
+    files.recover(spark, path)
+    assert read() == [("A", 3), ("B", 3)]
+    R.materialize(spark.read.parquet(path).withColumn("n", F.col("n") + 1), path, R.HEALTH_MART)  # from itself
+    assert read() == [("A", 4), ("B", 4)]
+    R.materialize(report(5).limit(0), path, R.HEALTH_MART)
+    assert read() == []
+
+
 def test_refresh_select_and_catalog(spark):
     stg = stg_of(spark, [("A", 1, M, 10, 1, False), ("B", 2, M, 20, 1, True)])
     assert R.resolve(["fct_candles_1m", "stg_trades"]) == ["fct_candles_1m"]

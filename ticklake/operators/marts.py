@@ -147,12 +147,14 @@ def _by_latency_first(base: DataFrame, groups, as_of, bucket: str, lookback: str
     return merge_counts(latency_counts(base, groups, as_of, bucket, lookback))
 
 
-def latency_counts(stg: DataFrame, groups=ALL_MINUTE, as_of=None, bucket: str = "1 minute",
+def latency_counts(stg: DataFrame, groups=ALL_MINUTE, as_of=None, bucket: Column | str = "1 minute",
                    lookback: str = HEALTH_LOOKBACK) -> DataFrame:
     """Mergeable partials: the measures of ``groups`` per (pair, minute, whole second
-    of latency). Rows of the same key from any number of passes add up."""
+    of latency). Rows of the same key from any number of passes add up. A
+    ``window(...)`` Column as ``bucket`` is grouped by as it is (streaming)."""
     rest = tuple(g for g in groups if g != LATENCY)
-    keys = [F.col("pair"), bucket_start("trade_ts_utc", bucket).alias("minute_bucket"), _latency().alias("_lat")]
+    at = bucket if isinstance(bucket, Column) else bucket_start("trade_ts_utc", bucket)
+    keys = [F.col("pair"), at.alias("minute_bucket"), _latency().alias("_lat")]
     order = trade_order_key(STG_ORDER_COL, "trade_id")
     first = [
         *_measures(rest, as_of, lookback), F.count(F.lit(1)).alias("_n"),
@@ -160,7 +162,8 @@ def latency_counts(stg: DataFrame, groups=ALL_MINUTE, as_of=None, bucket: str =
     ]
     if TRADES in rest:  # an average does not add up; its sum and count do
         first += [F.sum("price").alias("_price_sum"), F.count("price").alias("_price_n")]
-    return stg.groupBy(*keys).agg(*first).drop("avg_price")
+    counted = stg.groupBy(*keys).agg(*first).drop("avg_price")
+    return counted.withColumn("minute_bucket", F.col("minute_bucket.start")) if isinstance(bucket, Column) else counted
 
 
 _MERGE = {

@@ -94,6 +94,20 @@ def q_land_crash_replay(spark, sf_dir):
     return stable(_lake_cols(read_lake(spark, lake)))
 
 
+def q_stream_minute_counts(spark, sf_dir):
+    """The minute marts streamed as partials per second of latency, merged on read;
+    trades in four files in any order."""
+    from ticklake.plans.registry import STREAM_DISORDER, _state_partitions
+    from ticklake.streaming import marts as S
+
+    configure(spark)
+    root = scratch_path(spark, "minute-counts")
+    stg = stg_trades(_trade_stream(spark, sf_dir))
+    with _state_partitions(spark):
+        S.write_minute_counts(S.stream_minute_counts(stg, STREAM_DISORDER), root, root + "-checkpoint", available_now=True).awaitTermination()
+    return stable(_ties_up(S.read_minute_counts(spark, root)))
+
+
 def _touch(spark, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True).close()
@@ -451,6 +465,7 @@ QUERIES = {
     "stream_land_lake": q_stream_land_lake,
     "stream_land_dlq": q_stream_land_dlq,
     "land_crash_replay": q_land_crash_replay,
+    "stream_minute_counts": q_stream_minute_counts,
     "stream_rolling_activity": q_stream_rolling_activity,
     "land_compact_read": q_land_compact_read,
     "land_external_table": q_land_external_table,

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ticklake.operators import marts as M
 from ticklake.session import configure, scratch_path
+from ticklake.sources import files
+from ticklake.sources.lake import matches
 
 # Model graph: name -> (measure groups needed in minute_stats, projection).
 MINUTE_MARTS = {
@@ -148,7 +150,8 @@ def materialize(df: DataFrame, path: str, name: str | None = None, dates_only: b
     swapped in when the new files are complete (dynamic partition
     overwrite): the mart is never empty for its readers. A full rebuild then
     removes dates that no longer occur; ``dates_only`` leaves other dates
-    alone. The per-pair health report is always replaced whole.
+    alone. The per-pair health report is always replaced whole, by a swap of
+    files: it is never missing for its readers.
     """
     if name in MINUTE_MARTS:
         dated = df.withColumn(MART_DATE, F.to_date("minute_bucket"))
@@ -161,6 +164,12 @@ def materialize(df: DataFrame, path: str, name: str | None = None, dates_only: b
         )
         if not dates_only:
             _remove_other_dates(dated, path)
+        return
+    spark = df.sparkSession
+    files.recover(spark, path)
+    old = [r[0] for r in files.file_rows(spark, path).select("path").collect()] if matches(spark, path) else []
+    if old:
+        files.replace(spark, path, old, df, path)
     else:
         df.write.mode("overwrite").parquet(path)
 

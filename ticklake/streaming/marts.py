@@ -30,6 +30,7 @@ ROLLING_WINDOW = "5 minutes"
 ROLLING_SLIDE = "1 minute"
 REFRESH_INTERVAL = "5 minutes"
 MINUTE_KEYS = ("pair", "minute_bucket")
+COUNT_KEYS = (*MINUTE_KEYS, "_lat")
 TRADE_KEYS = ("trade_key", "trade_ts_utc")
 # A versioned table with more versions than this folds the older ones.
 FOLD_VERSIONS = 24
@@ -167,6 +168,28 @@ def fold_versions(spark: SparkSession, root: str, keys: Iterable[str], first: in
     return files.replace(spark, base, paths, _newest(rows, keys), f"{base}/version={max(versions)}")
 
 
+def stream_minute_counts(stg: DataFrame, watermark: str) -> DataFrame:
+    """All four minute marts as partials per (pair, minute, second of latency).
+
+    The state of ``stream_minute_marts`` holds every latency of an open minute
+    for its exact percentiles; here each state row is a fixed set of numbers in a
+    hash aggregate. Keep it with ``write_minute_counts``.
+    """
+    return M.latency_counts(stg.withWatermark("trade_ts_utc", watermark), bucket=F.window("trade_ts_utc", BUCKET))
+
+
+def write_minute_counts(counts: DataFrame, root: str, checkpoint: str, trigger: str | None = REFRESH_INTERVAL,
+                        available_now: bool = False) -> StreamingQuery:
+    """Keep ``stream_minute_counts`` under ``root`` (``write_versions``)."""
+    return write_versions(counts, root, checkpoint, COUNT_KEYS, trigger, available_now)
+
+
+def read_minute_counts(spark: SparkSession, root: str) -> DataFrame:
+    """The wide minute table (as ``read_minute_table``) of a table of
+    ``write_minute_counts``, its percentiles taken on read."""
+    return M.wide_from_stats(M.merge_counts(read_versions(spark, root, COUNT_KEYS)))
+
+
 def read_minute_table(spark: SparkSession, root: str) -> DataFrame:
     """The newest version of every (pair, minute) of a streamed minute table."""
     return read_versions(spark, root, MINUTE_KEYS)

@@ -465,6 +465,7 @@ ORACLE_SQL |= {
     "contract_minimal": with_trades(MINIMAL),
     "stream_land_lake": with_trades(LAKE_SELECT.replace("FROM trades", "FROM checked WHERE error IS NULL"), CHECKED),
     "land_crash_replay": with_trades(LAKE_SELECT.replace("FROM trades", "FROM checked WHERE error IS NULL"), CHECKED),
+    "late_split": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
     "stream_minute_counts": with_stg(WHOLE_MARTS, MINUTE_AGG, LATENCY_AGG),
     "stream_rolling_activity": with_stg(ROLLING),
     "stream_land_dlq": with_trades(LANDED_DLQ, CHECKED),

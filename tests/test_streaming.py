@@ -316,6 +316,28 @@ def test_versions_stay_few_and_newest_wins(spark, monkeypatch):
     assert {r.minute_bucket.minute: r.trade_count for r in SM.read_minute_table(spark, root).collect()}[0] == 1
 
 
+def test_split_late_parts_every_trade_once(spark, monkeypatch):
+    """Files in any order: late and in time add up to the input; a restart goes on from the same watermark."""
+    monkeypatch.setattr(SM, "FOLD_VERSIONS", 2)
+    src, root, side, ck = (scratch_path(spark, n) for n in ("t-src", "t-counts", "t-late", "t-ck"))
+    order = [3, 0, 5, 1, 4, 2]  # file b holds the minutes 2b and 2b + 1
+    stream = lambda: SM.stream_stg(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src))
+    for half in (order[:3], order[3:]):
+        for b in half:
+            rows = [("A", 100 * b + i, M + (2 * b + i // 5) * 60_000 + i % 5 * 1000, 10 + i, 1, False) for i in range(10)]
+            trades_df(spark, rows).coalesce(1).write.mode("append").parquet(src)
+            SM.split_late(stream(), root, side, ck, "2 minutes", available_now=True).awaitTermination()  # a restart per file
+    # after minutes 6 and 7 (file 3) the line is 00:05:04, after 10 and 11 (file 5) 00:09:04
+    late = spark.read.parquet(f"{side}/late")
+    assert {r.trade_id // 100 for r in late.collect()} == {0, 1, 2, 4} and late.where("trade_id >= 400").count() == 5
+    timed = SM.read_split(spark, root)
+    assert timed.agg(F.sum("trade_count")).first()[0] + late.count() == 60
+    want = marts.wide_from_stats(marts.minute_stats(stg_trades(spark.read.schema(TRADE_V1).parquet(src))))
+    got = SM.read_split(spark, root, side).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 12
+    assert spark.read.parquet(root).select("version").distinct().count() <= 4
+
+
 def test_minute_counts_equal_the_batch_marts(spark, monkeypatch):
     """Partials over many batches, folded, with null latencies and a minute that keeps growing."""
     monkeypatch.setattr(SM, "FOLD_VERSIONS", 2)

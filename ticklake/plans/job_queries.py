@@ -289,6 +289,17 @@ def q_late_reconciled(spark, sf_dir):
     return stable(_ties_up(SM.read_minute_table(spark, root)))
 
 
+def q_late_split(spark, sf_dir):
+    """T5: one query parts late trades from trades in time; the table with both."""
+    from ticklake.streaming import marts as S
+
+    configure(spark)
+    root, side = scratch_path(spark, "minute-counts"), scratch_path(spark, "late")
+    stg = stg_trades(_trade_stream(spark, sf_dir))
+    S.split_late(stg, root, side, scratch_path(spark, "ck"), "1 minute", available_now=True).awaitTermination()
+    return stable(_ties_up(S.read_split(spark, root, side)))
+
+
 def _wide_marts(spark, root: str) -> DataFrame:
     """The four stored minute marts side by side."""
     mart = lambda name: read_mart(spark, f"{root}/{name}")
@@ -477,6 +488,7 @@ QUERIES = {
     "orderflow_slice_stored": q_orderflow_slice_stored,
     "trades_slice_stored": q_trades_slice_stored,
     "late_reconciled": q_late_reconciled,
+    "late_split": q_late_split,
     "stream_dedupe_earliest": q_stream_dedupe_earliest,
     "refresh_merged": q_refresh_merged,
     "refresh_merged_health": q_refresh_merged_health,

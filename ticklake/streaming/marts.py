@@ -154,9 +154,11 @@ def write_versions(df: DataFrame, root: str, checkpoint: str, keys: Iterable[str
                          trigger, available_now).start()
 
 
-def fold_versions(spark: SparkSession, root: str, keys: Iterable[str], first: int, below: int, most: int | None = None) -> int:
+def fold_versions(spark: SparkSession, root: str, keys: Iterable[str], first: int, below: int, most: int | None = None,
+                  merge=None) -> int:
     """Merge the versions in [first, below) into the newest of them if they are over
-    ``most`` (``FOLD_VERSIONS``), keeping the newest row of each key."""
+    ``most`` (``FOLD_VERSIONS``), keeping the newest row of each key, or what
+    ``merge`` makes of the rows."""
     base, most = root.rstrip("/"), FOLD_VERSIONS if most is None else most
     version = F.regexp_extract("path", "/version=([0-9]+)/", 1).cast("long").alias("version")
     found = files.file_rows(spark, base).select("path", version).where(F.col("version").between(first, below - 1)).collect()
@@ -165,7 +167,8 @@ def fold_versions(spark: SparkSession, root: str, keys: Iterable[str], first: in
         return 0
     paths = [r.path for r in found]  # file names; bounded by the versions kept
     rows = spark.read.option("basePath", base).parquet(*paths)
-    return files.replace(spark, base, paths, _newest(rows, keys), f"{base}/version={max(versions)}")
+    merged = merge(rows) if merge else _newest(rows, keys)
+    return files.replace(spark, base, paths, merged, f"{base}/version={max(versions)}")
 
 
 def stream_minute_counts(stg: DataFrame, watermark: str) -> DataFrame:
@@ -232,27 +235,80 @@ def late_rows(stg: DataFrame, root: str, checkpoint: str, watermark: str, trigge
     """
     base = root.rstrip("/")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.where(_late(batch, base, batch_id, watermark)).write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
+            _note_newest(batch, base, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = stg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return apply_trigger(w, trigger, available_now).start()
+
+
+def _seen(spark: SparkSession, base: str, batch_id: int) -> Column:
+    """The newest trade time of the batches before ``batch_id``; null before the first."""
+    seen, at = None, f"{base}/newest/batch={batch_id - 1}"
+    if matches(spark, at):
+        # the newest time travels as text: no zone between driver and executors
+        seen = spark.read.parquet(at).select(F.col("newest").cast("string")).first()[0]
+    return F.lit(seen).cast("timestamp")
+
+
+def _late(batch: DataFrame, base: str, batch_id: int, watermark: str) -> Column:
+    ends = F.date_trunc("minute", "trade_ts_utc") + F.expr(f"INTERVAL {BUCKET}")
+    line = _seen(batch.sparkSession, base, batch_id) - F.expr(f"INTERVAL {watermark}")
+    return F.coalesce(ends <= line, F.lit(False))
+
+
+def _note_newest(batch: DataFrame, base: str, batch_id: int) -> None:
+    spark = batch.sparkSession
+    newest = batch.agg(F.greatest(F.max("trade_ts_utc"), _seen(spark, base, batch_id)).alias("newest"))
+    newest.write.mode("overwrite").parquet(f"{base}/newest/batch={batch_id}")
+    files.remove(spark, f"{base}/newest/batch={batch_id - 2}")
+
+
+def split_late(stg: DataFrame, root: str, side: str, checkpoint: str, watermark: str, trigger: str | None = REFRESH_INTERVAL,
+               available_now: bool = False) -> StreamingQuery:
+    """Minute partials of the trades in time under ``root``, late ones under
+    ``side/late``, from one query.
+
+    Every row of a batch goes to exactly one of the two by one watermark, whatever
+    the order of files and the cut of batches (two queries, ``late_rows`` beside an
+    aggregate, each keep a watermark of their own). A batch adds its partials as
+    ``version=<batch_id>`` (replaced when it is replayed); there is no state
+    besides the newest trade time. ``read_split`` reads both.
+    """
+    base, side = root.rstrip("/"), side.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        files.recover(spark, base)
         batch = batch.persist()
         try:
-            seen = None
-            if matches(spark, f"{base}/newest/batch={batch_id - 1}"):
-                # the newest time travels as text: no zone between driver and executors
-                seen = spark.read.parquet(f"{base}/newest/batch={batch_id - 1}").select(F.col("newest").cast("string")).first()[0]
-            ends = F.date_trunc("minute", "trade_ts_utc") + F.expr(f"INTERVAL {BUCKET}")
-            line = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
-            batch.where(F.coalesce(ends <= line, F.lit(False))).write.mode("overwrite").parquet(f"{base}/late/batch={batch_id}")
-            newest = batch.agg(F.greatest(F.max("trade_ts_utc"), F.lit(seen).cast("timestamp")).alias("newest"))
-            newest.write.mode("overwrite").parquet(f"{base}/newest/batch={batch_id}")
-            files.remove(spark, f"{base}/newest/batch={batch_id - 2}")
+            late = _late(batch, side, batch_id, watermark)
+            M.latency_counts(batch.where(~late)).write.mode("overwrite").parquet(f"{base}/version={batch_id}")
+            batch.where(late).write.mode("overwrite").parquet(f"{side}/late/batch={batch_id}")
+            _note_newest(batch, side, batch_id)
         finally:
             batch.unpersist()
+        fold_versions(spark, base, COUNT_KEYS, 0, batch_id, merge=M.fold_counts)
 
     w = stg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return apply_trigger(w, trigger, available_now).start()
 
 
+def read_split(spark: SparkSession, root: str, side: str | None = None) -> DataFrame:
+    """The wide minute table of ``split_late``; with ``side`` the late trades are in it:
+    their partials add to the stored ones, so no landed trade is read again."""
+    counts = spark.read.parquet(root).drop("version")
+    if side is not None:
+        late = spark.read.parquet(f"{side.rstrip('/')}/late").drop("batch")
+        counts = counts.unionByName(M.latency_counts(late))
+    return M.wide_from_stats(M.merge_counts(counts))
+
+
 def scheduled_refresh(trades_stream: DataFrame, lake_root: str, root: str, checkpoint: str,
                       interval: str = REFRESH_INTERVAL, available_now: bool = False,
                       db: str | None = None, dedupe: bool = False):

@@ -256,3 +256,23 @@ def test_dlq_rate_of_checked_records(spark):
     assert one.columns == two.columns and sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
     assert one.agg(F.sum(F.col("landed") + F.col("dead_lettered"))).first()[0] == 200
     assert one._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
+
+
+def test_first_last_equals_row_number(spark):
+    """One row per group, one of the tied ones, where the flag form marks them all."""
+    from pyspark.sql import Window
+
+    from ticklake.operators import windows
+
+    rows = [("A", 1, 10.0), ("A", 1, 11.0), ("A", 2, 12.0), ("A", None, 1.0), ("B", None, 5.0), ("C", 3, None), ("C", 4, 6.0)]
+    df = spark.createDataFrame(rows, "pair string, k long, price double")
+    got = {r.pair: (r.o, r.c) for r in windows.first_last(df, ["pair"], F.col("k"), "price", "o", "c").collect()}
+    w = Window.partitionBy("pair")
+    numbered = df.select("*", F.row_number().over(w.orderBy(F.asc_nulls_last("k"), "price")).alias("a"),
+                         F.row_number().over(w.orderBy(F.desc_nulls_last("k"), "price")).alias("d"))
+    want = {r.pair: (r.o, r.c) for r in numbered.groupBy("pair").agg(
+        F.max(F.when(F.col("a") == 1, F.col("price"))).alias("o"), F.max(F.when(F.col("d") == 1, F.col("price"))).alias("c")).collect()}
+    assert got["A"][0] in (10.0, 11.0) and got["A"][1] == want["A"][1] == 12.0
+    assert {k: got[k] for k in "BC"} == {k: want[k] for k in "BC"} == {"B": (5.0, 5.0), "C": (None, 6.0)}
+    plan = windows.first_last(df, ["pair"], F.col("k"), "price", "o", "c")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 and "SortAggregate" not in plan

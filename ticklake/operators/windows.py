@@ -8,8 +8,11 @@ single task. These helpers give the same results with aggregates
 (partial + final) and a join back on the group keys; AQE's skew-join
 splits an oversized join partition at runtime.
 
-They exist for users porting window-shaped SQL and for equivalence
-tests; the marts themselves use single aggregates (``operators.marts``).
+``first_last`` and ``distinct_over_group`` give what such SQL reduces its
+windows to (one row per group) in one aggregate, without the join back.
+
+They exist for users porting window-shaped SQL; the marts themselves use
+single aggregates (``operators.marts``).
 """
 
 from __future__ import annotations
@@ -47,6 +50,24 @@ def first_last_values(flagged: DataFrame, keys: Sequence[str], value: str,
     )
 
 
+def first_last(df: DataFrame, keys: Sequence[str], order_key: Column, value: str,
+               first_alias: str, last_alias: str) -> DataFrame:
+    """``value`` of the row with ``ROW_NUMBER() = 1`` per group, ascending and
+    descending by ``order_key``, in one aggregate. As with ROW_NUMBER one row is
+    taken among ties; rows without a key come after all others."""
+    keyed = df.select(*keys, F.col(value).alias("_value"), order_key.alias("_ok"))
+    any_row = F.any_value("_value")
+    return keyed.groupBy(*keys).agg(
+        F.when(F.count("_ok") > 0, F.min_by("_value", "_ok")).otherwise(any_row).alias(first_alias),
+        F.when(F.count("_ok") > 0, F.max_by("_value", "_ok")).otherwise(any_row).alias(last_alias),
+    )
+
+
+def distinct_over_group(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """``SELECT DISTINCT keys, agg(...) OVER (PARTITION BY keys)``: one row per group."""
+    return df.groupBy(*keys).agg(*aggs)
+
+
 def over_group(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """``agg(...) OVER (PARTITION BY keys)`` attached to every row.
 

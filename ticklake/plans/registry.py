@@ -75,8 +75,7 @@ def q_open_close_row_number(spark, sf_dir):
     """earliest/latest trade per pair x minute (ROW_NUMBER() = 1)."""
     stg = _stg(spark, sf_dir).withColumn("minute_bucket", F.date_trunc("minute", "trade_ts_utc"))
     keys = ["pair", "minute_bucket"]
-    flagged = windows.first_last_flags(stg, keys, trade_order_key(STG_ORDER_COL, "trade_id"))
-    return stable(windows.first_last_values(flagged, keys, "price", "open_price", "close_price"))
+    return stable(windows.first_last(stg, keys, trade_order_key(STG_ORDER_COL, "trade_id"), "price", "open_price", "close_price"))
 
 
 def q_candles_window_join_form(spark, sf_dir):
@@ -90,8 +89,7 @@ def q_candles_window_join_form(spark, sf_dir):
         F.min("price").alias("low_price"),
         F.max("price").alias("high_price"),
     ).withColumn("vwap", F.col("notional_usdt") / F.when(F.col("total_qty") != 0, F.col("total_qty")))
-    flagged = windows.first_last_flags(stg, keys, trade_order_key(STG_ORDER_COL, "trade_id"))
-    oc = windows.first_last_values(flagged, keys, "price", "open_price", "close_price")
+    oc = windows.first_last(stg, keys, trade_order_key(STG_ORDER_COL, "trade_id"), "price", "open_price", "close_price")
     out = windows.join_on_keys(agg, oc, keys).select(
         "pair", "minute_bucket", "open_price", "high_price", "low_price", "close_price",
         "vwap", "trade_count", "total_qty", "notional_usdt",
@@ -109,7 +107,7 @@ def q_latency_window_distinct_form(spark, sf_dir):
     )
     w = ["pair", "minute_bucket"]
     lat = F.col("latency_seconds")
-    rows = windows.over_group(calc, w, [
+    rows = windows.distinct_over_group(calc, w, [
         F.count(F.lit(1)).alias("trade_count"),
         F.avg(lat.cast("double")).alias("avg_latency_s"),
         F.min(lat).alias("min_latency_s"),
@@ -117,7 +115,7 @@ def q_latency_window_distinct_form(spark, sf_dir):
         F.percentile(lat, 0.95).alias("p95_latency_s"),
         F.percentile(lat, 0.99).alias("p99_latency_s"),
     ])
-    return stable(rows.drop("latency_seconds").distinct())
+    return stable(rows)
 
 
 def _marts(spark, sf_dir):

@@ -2,7 +2,7 @@
 
     python tests/plan_report.py [sf_dir]
 
-For each registered query: shuffles, reused exchanges, aggregate
+For each registered query of the trade lake: shuffles, reused exchanges, aggregate
 operators, joins, broadcasts, and what reached the Parquet scan.
 """
 
@@ -55,7 +55,7 @@ def summarize(plan: str) -> dict:
 
 
 def main(argv):
-    from __spark_entry__ import queries
+    from ticklake.plans.registry import queries
     from ticklake.session import get_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"

@@ -1,0 +1,37 @@
+"""The job queries' inputs: micro-batches that use the whole cluster."""
+
+from __future__ import annotations
+
+from conftest import SMOKE_DIR
+
+from ticklake.plans import job_queries as J
+from ticklake.sources.lake import read_lake
+from ticklake.sources.testdata import kafka_records, load_trades
+
+
+def test_micro_batches_are_dealt_to_every_core(spark):
+    """A micro-batch is a file per core at least, not one file that one task reads."""
+    cores = spark.sparkContext.defaultParallelism
+    events = J._dealt_trades(spark, SMOKE_DIR)
+    path, batch_files = J._in_files(kafka_records(events), spark, "records")
+    assert cores > 1 and batch_files == cores
+    assert spark.read.parquet(path).count() == load_trades(spark, SMOKE_DIR).count()
+    got = events.selectExpr("sum(xxhash64(struct(*)) % 1000003)").first()
+    assert got == load_trades(spark, SMOKE_DIR).selectExpr("sum(xxhash64(struct(*)) % 1000003)").first()
+
+
+def test_landing_reads_a_batch_on_every_core(spark):
+    lake, dlq = J._land(spark, kafka_records(J._dealt_trades(spark, SMOKE_DIR)))
+    dead = [p[0].split("/batch=")[1].split("/")[0] for p in spark.read.parquet(dlq).select("_metadata.file_path").distinct().collect()]
+    assert set(dead) == {str(b) for b in range(J.BATCHES)} and len(dead) > J.BATCHES
+    assert read_lake(spark, lake).count() + spark.read.parquet(dlq).count() == load_trades(spark, SMOKE_DIR).count()
+
+
+def test_lake_without_its_last_quarter_needs_no_set_difference(spark, monkeypatch):
+    def shuffled_twice(*_):
+        raise AssertionError("a filter does it")
+
+    monkeypatch.setattr(type(spark.range(1)), "exceptAll", shuffled_twice)
+    lake = J._landed_then_appended(spark, SMOKE_DIR, whole=False)
+    ids = lambda df: sorted(r[0] for r in df.select("trade_id").collect())
+    assert ids(read_lake(spark, lake)) == ids(load_trades(spark, SMOKE_DIR).where("trade_id % 4 <> 3"))

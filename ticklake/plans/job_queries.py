@@ -7,7 +7,7 @@ checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.operators import ingest, serving
@@ -18,8 +18,11 @@ from ticklake.plans.refresh import read_mart
 from ticklake.schema import LAKE_PARTITION_COLS, MART_COLUMNS, TRADE_V1, TRADE_V1_REQUIRED
 from ticklake.session import configure, scratch_path
 from ticklake.sources.catalog import create_staging_view
+from ticklake.sources.files import file_rows
 from ticklake.sources.lake import create_external_table, partition_dir, matches, read_lake, read_trades, write_lake
-from ticklake.sources.testdata import BASE_MS, feed_messages, kafka_records, load_trades, with_redelivery
+from ticklake.sources.testdata import (
+    BASE_MS, feed_messages, kafka_records, load_trades, read_table, trades_from_events, with_redelivery,
+)
 
 AS_OF = "2024-01-01 01:10:00"
 RANGE_START = "2024-01-01 00:30:00"
@@ -27,29 +30,43 @@ RANGE_END = "2024-01-01 00:45:00"
 SLICE_PAIR = "CLICK"
 CUT_MS = BASE_MS + 48 * 60_000
 DAY_MS = 86_400_000
-FILES = 4
+BATCHES = 4
 
 
 def _lake_cols(df: DataFrame) -> DataFrame:
     return df.select(*TRADE_V1_REQUIRED, *LAKE_PARTITION_COLS)
 
 
-def _in_files(df: DataFrame, spark, name: str) -> str:
-    """``df`` as FILES files, its rows dealt to them in no order of time."""
+def _dealt(spark, df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly, in no order of time, to a task per core for each of BATCHES
+    micro-batches, however few row groups it was read from."""
+    return df.repartition(BATCHES * spark.sparkContext.defaultParallelism, F.xxhash64(*df.columns))
+
+
+def _dealt_trades(spark, sf_dir) -> DataFrame:
+    """All trades; the raw events are dealt, so that trades (and what is made of them)
+    are built on every core and no payload is shuffled."""
+    return trades_from_events(_dealt(spark, read_table(spark, sf_dir, "events")))
+
+
+def _in_files(dealt: DataFrame, spark, name: str) -> tuple[str, int]:
+    """``(folder, files of a micro-batch)``: ``dealt`` rows (``_dealt``) as files that
+    make BATCHES micro-batches. A batch is several files, for a file of one row group
+    is read by one task, whatever the cluster."""
     path = scratch_path(spark, name)
-    df.repartition(FILES, F.xxhash64(*df.columns)).write.parquet(path)
-    return path
+    dealt.write.parquet(path)
+    return path, max(1, -(-file_rows(spark, path).count() // BATCHES))
 
 
 def _land(spark, records: DataFrame, mode: str = ingest.FULL) -> tuple[str, str]:
-    """(lake, DLQ) after landing ``records`` file by file."""
+    """(lake, DLQ) after landing ``records`` (of dealt trades) in BATCHES micro-batches."""
     from ticklake.streaming.landing import land
     from ticklake.streaming.sources import file_source
 
     configure(spark)
-    src = _in_files(records, spark, "records")
+    src, batch_files = _in_files(records, spark, "records")
     lake, dlq, ck = (scratch_path(spark, n) for n in ("lake", "dlq", "land-ck"))
-    land(file_source(spark, src, max_files_per_trigger=1), lake, dlq, ck, mode, available_now=True).awaitTermination()
+    land(file_source(spark, src, batch_files), lake, dlq, ck, mode, available_now=True).awaitTermination()
     return lake, dlq
 
 
@@ -64,7 +81,7 @@ def q_contract_minimal(spark, sf_dir):
 
 def q_stream_land_lake(spark, sf_dir):
     """Damaged records landed in four batches; the lake."""
-    lake, _ = _land(spark, kafka_records(load_trades(spark, sf_dir)))
+    lake, _ = _land(spark, kafka_records(_dealt_trades(spark, sf_dir)))
     return stable(_lake_cols(read_lake(spark, lake)))
 
 
@@ -77,11 +94,11 @@ def q_land_crash_replay(spark, sf_dir):
     from ticklake.streaming.sources import file_source
 
     configure(spark)
-    src = _in_files(kafka_records(load_trades(spark, sf_dir)), spark, "records")
+    src, batch_files = _in_files(kafka_records(_dealt_trades(spark, sf_dir)), spark, "records")
     lake, dlq, ck = (scratch_path(spark, n) for n in ("lake", "dlq", "land-ck"))
     blocked = scratch_path(spark, "blocked")
     _touch(spark, blocked)  # a file where the dead letters' folder should be
-    records = file_source(spark, src, max_files_per_trigger=1)
+    records = file_source(spark, src, batch_files)
     try:
         land(records, lake, blocked, ck, available_now=True).awaitTermination()
     except StreamingQueryException:
@@ -96,7 +113,7 @@ def q_land_crash_replay(spark, sf_dir):
 
 def q_stream_minute_counts(spark, sf_dir):
     """The minute marts streamed as partials per second of latency, merged on read;
-    trades in four files in any order."""
+    trades in four batches in any order."""
     from ticklake.plans.registry import STREAM_DISORDER, _state_partitions
     from ticklake.streaming import marts as S
 
@@ -131,7 +148,7 @@ def q_stream_land_dlq(spark, sf_dir):
     """The same landing's dead letters, with the whole payload."""
     from ticklake.streaming.landing import read_dlq
 
-    _, dlq = _land(spark, kafka_records(load_trades(spark, sf_dir)))
+    _, dlq = _land(spark, kafka_records(_dealt_trades(spark, sf_dir)))
     value = lambda k: F.get_json_object("value", f"$.{k}")
     return stable(read_dlq(spark, dlq).select(
         "key", "topic", "partition", "offset", value("error").alias("error"),
@@ -139,15 +156,15 @@ def q_stream_land_dlq(spark, sf_dir):
     ))
 
 
-def _last_quarter(trades: DataFrame) -> DataFrame:
-    return trades.where(F.col("trade_id") % 4 == 3)
+def _last_quarter() -> Column:
+    return F.col("trade_id") % 4 == 3
 
 
 def _landed_then_appended(spark, sf_dir, whole: bool = True) -> str:
     """A lake whose first 48 minutes were landed by the stream, the rest appended
     by a batch job; not ``whole``: without its last quarter."""
-    trades = load_trades(spark, sf_dir)
-    trades = trades if whole else trades.exceptAll(_last_quarter(trades))
+    trades = _dealt_trades(spark, sf_dir)
+    trades = trades if whole else trades.where(~F.coalesce(_last_quarter(), F.lit(False)))
     lake, _ = _land(spark, kafka_records(trades.where(F.col("trade_ts") < CUT_MS), damaged=False))
     write_lake(trades.where(F.col("trade_ts") >= CUT_MS), lake)
     return lake
@@ -179,7 +196,7 @@ def q_compact_concurrent(spark, sf_dir):
 
     lake = _landed_then_appended(spark, sf_dir, whole=False)
     staged = stage_compaction(spark, lake)
-    write_lake(_last_quarter(load_trades(spark, sf_dir)), lake)  # between the read and the swap
+    write_lake(_dealt_trades(spark, sf_dir).where(_last_quarter()), lake)  # between the read and the swap
     files.apply(spark, staged.swap)
     stage_compaction(spark, lake)
     compact(spark, lake)
@@ -271,14 +288,14 @@ def q_trades_slice_stored(spark, sf_dir):
 
 
 def q_late_reconciled(spark, sf_dir):
-    """Trades in four shuffled files, a watermark that many of them miss;
+    """Trades in four shuffled batches, a watermark that many of them miss;
     the late ones are kept aside and their date is rebuilt in the same table."""
     from ticklake.streaming import marts as SM
 
     configure(spark)
-    trades = load_trades(spark, sf_dir)
-    src, root, side = _in_files(trades, spark, "trades"), scratch_path(spark, "minutes"), scratch_path(spark, "late")
-    stream = lambda: stg_trades(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src))
+    trades = _dealt_trades(spark, sf_dir)
+    (src, batch_files), root, side = _in_files(trades, spark, "trades"), scratch_path(spark, "minutes"), scratch_path(spark, "late")
+    stream = lambda: stg_trades(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", batch_files).parquet(src))
     SM.write_minute_table(SM.stream_minute_marts(stream(), "1 minute"), root, scratch_path(spark, "ck"), available_now=True).awaitTermination()
     SM.late_rows(stream(), side, scratch_path(spark, "ck"), "1 minute", available_now=True).awaitTermination()
     late = spark.read.parquet(f"{side}/late")
@@ -317,19 +334,19 @@ def _ties_up(wide: DataFrame) -> DataFrame:
 
 
 def _trade_stream(spark, sf_dir) -> DataFrame:
-    """All trades as a stream of FILES micro-batches, in no order of time."""
-    src = _in_files(load_trades(spark, sf_dir), spark, "trades")
-    return spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src)
+    """All trades as a stream of BATCHES micro-batches, in no order of time."""
+    src, batch_files = _in_files(_dealt_trades(spark, sf_dir), spark, "trades")
+    return spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", batch_files).parquet(src)
 
 
 def q_stream_dedupe_earliest(spark, sf_dir):
-    """Every trade delivered twice, in four files in no order; the stream keeps
+    """Every trade delivered twice, in four batches in no order; the stream keeps
     the earliest ingest, as the batch rule does. All staging columns."""
     from ticklake.streaming import marts as SM
 
     configure(spark)
-    src = _in_files(with_redelivery(load_trades(spark, sf_dir)), spark, "trades")
-    stream = stg_trades(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", "1").parquet(src))
+    src, batch_files = _in_files(_dealt(spark, with_redelivery(_dealt_trades(spark, sf_dir))), spark, "trades")
+    stream = stg_trades(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", batch_files).parquet(src))
     root = scratch_path(spark, "deduped")
     SM.write_versions(SM.dedupe_updates(stream, "30 days"), root, scratch_path(spark, "ck"), SM.TRADE_KEYS, available_now=True).awaitTermination()
     return stable(SM.read_versions(spark, root, SM.TRADE_KEYS).select(*stream.columns))
@@ -444,7 +461,7 @@ def _published(spark, sf_dir, topic: str) -> DataFrame:
 
     configure(spark)
     src, out, ck = (scratch_path(spark, n) for n in ("feed", "topics", "publish-ck"))
-    _damaged_feed(spark, sf_dir).repartition(FILES).write.text(src)
+    _damaged_feed(spark, sf_dir).repartition(BATCHES).write.text(src)
     publish(feed_text_source(spark, src), ck, out_root=out, trades_topic="good", dlq_topic="dead", available_now=True).awaitTermination()
     return read_topic(spark, out, topic)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from conftest import SMOKE_DIR
 
 from ticklake.plans import job_queries as J
+from ticklake.session import checkpoint_dir, local_path
 from ticklake.sources.lake import read_lake
 from ticklake.sources.testdata import kafka_records, load_trades
 
@@ -35,3 +38,18 @@ def test_lake_without_its_last_quarter_needs_no_set_difference(spark, monkeypatc
     lake = J._landed_then_appended(spark, SMOKE_DIR, whole=False)
     ids = lambda df: sorted(r[0] for r in df.select("trade_id").collect())
     assert ids(read_lake(spark, lake)) == ids(load_trades(spark, SMOKE_DIR).where("trade_id % 4 <> 3"))
+
+
+def test_dedupe_state_is_one_store_per_core(spark):
+    """Not one per shuffle partition: every store is committed in every batch."""
+    kept = os.path.join(local_path(checkpoint_dir(spark)), "ticklake")
+    before, prev = set(os.listdir(kept)) if os.path.isdir(kept) else set(), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        rows = J.q_stream_dedupe_earliest(spark, SMOKE_DIR).count()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    (ck,) = (x for x in set(os.listdir(kept)) - before if x.startswith("ck-"))
+    stores = [x for x in os.listdir(f"{kept}/{ck}/state/0") if x.isdigit()]
+    assert len(stores) == spark.sparkContext.defaultParallelism and rows == load_trades(spark, SMOKE_DIR).count()

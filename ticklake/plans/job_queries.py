@@ -342,13 +342,15 @@ def _trade_stream(spark, sf_dir) -> DataFrame:
 def q_stream_dedupe_earliest(spark, sf_dir):
     """Every trade delivered twice, in four batches in no order; the stream keeps
     the earliest ingest, as the batch rule does. All staging columns."""
+    from ticklake.plans.registry import _state_partitions
     from ticklake.streaming import marts as SM
 
     configure(spark)
     src, batch_files = _in_files(_dealt(spark, with_redelivery(_dealt_trades(spark, sf_dir))), spark, "trades")
     stream = stg_trades(spark.readStream.schema(TRADE_V1).option("maxFilesPerTrigger", batch_files).parquet(src))
     root = scratch_path(spark, "deduped")
-    SM.write_versions(SM.dedupe_updates(stream, "30 days"), root, scratch_path(spark, "ck"), SM.TRADE_KEYS, available_now=True).awaitTermination()
+    with _state_partitions(spark):
+        SM.write_versions(SM.dedupe_updates(stream, "30 days"), root, scratch_path(spark, "ck"), SM.TRADE_KEYS, available_now=True).awaitTermination()
     return stable(SM.read_versions(spark, root, SM.TRADE_KEYS).select(*stream.columns))
 
 

@@ -29,14 +29,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import compress
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,8 +50,9 @@ LONGEST = 256
 MOST_BITS = 1 << 28
 BUCKET_ROWS = 50_000
 BUCKETS = 8
-STEP = 4096  # chunks worked on at once
-HELD = 300_000  # grams, or hashes, that a task holds at once
+STEP = 4096  # chunks added at once
+HELD = 16 << 20  # bytes of chunks that a task counts at once
+OUT = 1 << 16  # rows of a batch that goes back to Spark
 
 BREAK = b"\n"
 _TABLE = bytes.maketrans(
@@ -108,26 +108,17 @@ def dictionary(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return chunks.groupBy("lang", "chunk", "owned").agg(F.count("*").alias("freq"))
 
 
-class _Grams(dict):
-    """Token hashes for the filters: 0 for a break, odd for words. Forgotten when
-    there are many, so memory stays bounded."""
+def _hashes(tokens: list[bytes]) -> np.ndarray:
+    """Token hashes for the filters: 0 for a break, odd for words."""
+    objects = np.fromiter(tokens, object, len(tokens))
+    return np.where(objects == BREAK, np.uint64(0), pd.util.hash_array(objects, categorize=False) | np.uint64(1))
 
-    def __missing__(self, token: bytes) -> int:
-        if len(self) > HELD:
-            self.clear()
-        value = self[token] = 0 if token == BREAK else xxhash.xxh64_intdigest(token) | 1
-        return value
 
-    def of(self, toks: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, toks), np.uint64, len(toks))
-
-
-def _mixed(h: np.ndarray, words: int) -> np.ndarray:
-    """Hashes of all runs of ``words`` tokens, from the tokens' hashes."""
-    n = max(0, len(h) - words + 1)
-    out = h[:n].copy()
-    for k in range(1, words):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
+def _mixed(parts: list[np.ndarray]) -> np.ndarray:
+    """Hashes of runs of tokens, from the hashes of their first, second, … tokens."""
+    out = parts[0]
+    for h in parts[1:]:
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h
         out ^= out >> np.uint64(29)
     return out
 
@@ -143,10 +134,10 @@ def bit_filter(grams: DataFrame, words: int, how_many: int) -> bytes:
     bits = min(MOST_BITS, max(1 << 16, 1 << (16 * how_many).bit_length()))
 
     def places(batches):
-        hashes = _Grams()
         for batch in batches:
             toks = b" ".join(batch.column(0).to_pylist()).split(b" ") if batch.num_rows else []
-            at = _mixed(hashes.of(toks), words)[::words] & np.uint64(bits - 1)
+            h = _hashes(toks)
+            at = _mixed([h[k::words] for k in range(words)]) & np.uint64(bits - 1)
             one = np.left_shift(np.uint64(1), at & np.uint64(63)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(one)], names=["word", "set"])
 
@@ -159,59 +150,77 @@ def bit_filter(grams: DataFrame, words: int, how_many: int) -> bytes:
     return array.tobytes()
 
 
-def owned_grams(chunks: list[bytes], owned: np.ndarray, words: int, hashes: _Grams, filters: list[np.ndarray]):
-    """``(grams, chunk of each)``: the grams that start at a token their chunk owns
-    and whose parts all pass the filters; none spans a break."""
-    toks = b" ".join(chunks).split(b" ")
-    lens = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
-    of = np.repeat(np.arange(len(chunks)), lens)
-    place = np.arange(len(toks)) - np.repeat(np.cumsum(lens) - lens, lens)
-    if words == 1:
-        own = place < owned[of]
-        return list(compress(toks, own.tolist())), of[own]
-    h = hashes.of(toks)
-    alive = (h != 0) & _set(filters[0], h)
-    for m in range(2, words + 1):
-        alive = alive[:-1] & alive[1:] & (of[: len(of) - m + 1] == of[m - 1 :])
-        if m < words:
-            alive &= _set(filters[m - 1], _mixed(h, m))
-    at = np.flatnonzero(alive & (place < owned[of])[: len(alive)])
-    if words == 2:
-        return [toks[i] + b" " + toks[i + 1] for i in at.tolist()], of[at]
-    return [b" ".join(toks[i : i + words]) for i in at.tolist()], of[at]
+def _distinct(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The place of each value among the distinct ones, and these."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``HELD`` bytes: words that recur are numbered once in each."""
+    some, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, STEP):
+            some.append(batch.slice(at, STEP))
+            size += some[-1].nbytes
+            if size > HELD:
+                yield pa.concat_batches(some)
+                some, size = [], 0
+    if some:
+        yield pa.concat_batches(some)
+
+
+def owned_grams(code: np.ndarray, lens: np.ndarray, owned: np.ndarray, words: int, hashes: np.ndarray, filters: list[np.ndarray]):
+    """Places of the grams that start at a token their chunk owns and whose parts all
+    pass the filters; none spans a break. Tokens come as places (``code``) in the
+    distinct ones' ``hashes``, chunks as their ``lens``."""
+    ends = np.cumsum(lens)
+    place = np.arange(len(code)) - np.repeat(ends - lens, lens)
+    alive = (hashes != 0) & _set(filters[0], hashes) if filters else hashes != 0
+    alive = alive[code]
+    start = alive & (place < np.repeat(owned, lens))
+    left = np.repeat(ends, lens) - np.arange(len(code))  # tokens of the chunk from here on
+    at = np.flatnonzero(start & (left >= words))
+    for k in range(1, words):
+        at = at[alive[at + k]]
+    for m in range(2, words):
+        for k in range(words - m + 1):
+            at = at[_set(filters[m - 1], _mixed([hashes[code[at + k + i]] for i in range(m)]))]
+    return at
 
 
 def gram_counts(chunks: DataFrame, words: int, filters: list) -> DataFrame:
     """``(lang, gram, f)``: occurrences of the grams of ``words`` words that pass the
-    filters (broadcast bit arrays of the grams of 1, 2, … words)."""
-    schema = arrow_schema("lang string, gram string, f long")
+    filters (broadcast bit arrays of the grams of 1, 2, … words).
 
-    def flush(held):
-        for lang, counts in held.items():
-            counts.pop(BREAK, None)
-            grams = pa.array(list(counts), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts), pa.string()), grams, pa.array(list(counts.values()), pa.int64())], schema=schema
-            )
-        held.clear()
+    A task counts grams as numbers of its distinct words; only distinct grams become
+    strings."""
+    schema = arrow_schema("lang string, gram string, f long")
 
     def run(batches):
-        hashes, arrays = _Grams(), [np.frombuffer(f.value, np.uint8) for f in filters]
-        held: dict = {}
-        for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
-            langs = batch.column(0).dictionary_encode()
-            code, freq = langs.indices.to_numpy(), batch.column(3).to_numpy()
-            grams, of = owned_grams(batch.column(1).to_pylist(), batch.column(2).to_numpy(), words, hashes, arrays)
-            code, many = code[of], freq[of]
-            for k, lang in enumerate(langs.dictionary.to_pylist()):
-                counts = held.setdefault(lang, Counter())
-                counts.update(compress(grams, ((code == k) & (many == 1)).tolist()))
-                rest = np.flatnonzero((code == k) & (many > 1))
-                for i, weight in zip(rest.tolist(), many[rest].tolist()):
-                    counts[grams[i]] += weight
-            if sum(map(len, held.values())) > HELD:
-                yield from flush(held)
-        yield from flush(held)
+        arrays = [np.frombuffer(f.value, np.uint8) for f in filters]
+        for batch in _held(batches):
+            tokens = pc.split_pattern(batch.column(1), pattern=b" ")
+            lens = pc.list_value_length(tokens).to_numpy().astype(np.int64)
+            code, distinct = _distinct(tokens.flatten())
+            lang, langs = _distinct(batch.column(0))
+            at = owned_grams(code, lens, batch.column(2).to_numpy(), words, _hashes(distinct.to_pylist()), arrays)
+            of = np.repeat(np.arange(len(lens)), lens)[at]
+            key, size = lang[of].astype(np.int64), len(langs)
+            for k in range(words):
+                if size * len(distinct) >= 1 << 62:  # too large for a number: only those that occur
+                    key, found = pd.factorize(key)
+                    size = len(found)
+                key, size = key * len(distinct) + code[at + k], size * len(distinct)
+            gram, found = pd.factorize(key)
+            counts, first = np.zeros(len(found), np.int64), np.empty(len(found), np.int64)
+            np.add.at(counts, gram, batch.column(3).to_numpy()[of])
+            first[gram] = np.arange(len(gram))  # one occurrence of each
+            for i in range(0, len(first), OUT):
+                one = first[i : i + OUT]
+                parts = [distinct.take(pa.array(code[at[one] + k])) for k in range(words)]
+                grams = pc.binary_join_element_wise(*parts, b" ").cast(pa.string())
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang[of[one]])), grams, pa.array(counts[i : i + OUT])], schema=schema)
 
     rows = chunks.select("lang", F.col("chunk").cast("binary"), "owned", "freq")
     return (

@@ -76,3 +76,36 @@ def test_large_components_stay_exact(spark):
     assert sorted(map(tuple, T.top_k(df, F.col("vec_id") % 50 == 0).collect())) == sorted(exact)
     huge = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, -5.0]), (2, [-1e300, 0.0])], "vec_id long, embedding array<double>")
     assert [tuple(r)[2:] for r in T.top_k(huge, F.col("vec_id") == 0).collect()] == [(1, (1 << 63) - 1), (2, -(1 << 63))]
+
+
+def test_queries_are_not_broadcast(spark):
+    """The queries' copies, one per band of shards, grow with the square of the table: none of them go through the driver."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(60)], "vec_id long, embedding array<float>")
+    found = T.top_k(df, F.col("vec_id") % 5 == 0, shard_rows=5, query_rows=4)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_of_several_shards_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(T, "CELLS", 4)
+    monkeypatch.setattr(T, "GROUP_BLOCKS", 2)
+    rows = [(i // 2 * 5 % 200, [(i * 37 % 101 - 50) / 32, (i % 7 - 3) / 8, 1e6 if i % 31 == 0 else 0.5][: 2 + i % 2]) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, T.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=4, query_rows=2).collect())) == plain(rows)
+
+
+def test_numbers_are_kept_in_few_bytes():
+    for largest, width in ((127, 1), (-128, 1), (148, 2), (-(1 << 15), 2), (1 << 15, 4), (-(1 << 31), 4), (1 << 31, 8), ((1 << 63) - 1, 8), (-(1 << 63), 8)):
+        t = T._pack(T.pa.table({"block": T.pa.array([3, 3], T.pa.int32()), "vec_id": [7, 8], "row_id": [0, 1], "q": T.pa.array([[largest, 1], [2]], T.pa.list_(T.pa.int64()))}))
+        ids, row_ids, vectors = T._open(t, 0)
+        assert (t["width"][0].as_py(), ids.tolist(), row_ids.tolist(), vectors.tolist()) == (width, [7, 8], [0, 1], [[largest, 1], [2, 0]])
+
+
+def test_scores_below_the_least_are_not_asked_for():
+    rng = np.random.default_rng(2)
+    v = rng.integers(-9, 10, (300, 4))
+    lists = T.SortedLists(np.arange(300), v)
+    for i in range(20):
+        ids, scores = lists.top(v[i].astype(float), i, 5)
+        for least in (int(scores[0]) + 1, int(scores[2]), int(scores[4])):
+            some, high = lists.top(v[i].astype(float), i, 5, least)
+            assert some.tolist() == ids[scores >= least].tolist() and high.tolist() == scores[scores >= least].tolist()
